@@ -17,32 +17,28 @@ RECORD_TEXT = "(partitionId=%d, seqNo=%d, key=%s, recType=%s)"
 FAILOVER_ENTRY = "{uuid=%d, seqno=%d}"
 
 
-def _code(value: Column, names: list[str]) -> Column:
-    code = F.lit(None).cast("byte")
-    for position, name in enumerate(names):
-        code = F.when(value == name, F.lit(position).cast("byte")).otherwise(code)
-    return code
+def _code(column: str, names: list[str]) -> Column:
+    cases = " ".join(f"WHEN '{name}' THEN {code}Y" for code, name in enumerate(names))
+    return F.expr(f"CASE {column} {cases} END")
 
 
-def _name(code: Column, names: list[str]) -> Column:
-    return F.get(F.array(*[F.lit(name) for name in names]), code.cast("int"))
+def _name(column: str, names: list[str]) -> Column:
+    cases = " ".join(f"WHEN {code} THEN '{name}'" for code, name in enumerate(names))
+    return F.expr(f"CASE {column} {cases} END")
 
 
-def record_code(rec_type: Column) -> Column:
+def record_code(column: str = "rec_type") -> Column:
     """Record type as a one-byte code; fixed width keeps aggregates hash-based."""
-    return _code(rec_type, RECORD_TYPES)
+    return _code(column, RECORD_TYPES)
 
 
-def record_name(code: Column) -> Column:
-    return _name(code, RECORD_TYPES)
+def record_name(column: str) -> Column:
+    return _name(column, RECORD_TYPES)
 
 
-def state_code(state: Column) -> Column:
-    return _code(state, PARTITION_STATES)
-
-
-def state_name(code: Column) -> Column:
-    return _name(code, PARTITION_STATES)
+def state_name(column: str) -> Column:
+    """Partition state of a code."""
+    return _name(column, PARTITION_STATES)
 
 
 def partition_group(partition_id: Column, num_partitions: Column, num_pgroups: Column) -> Column:

@@ -30,10 +30,10 @@ def latest_per_key(filter_rows: DataFrame) -> DataFrame:
         .agg(
             F.max_by("partition_id", "seqno").alias("partition_id"),
             F.max_by("partition_uuid", "seqno").alias("partition_uuid"),
-            F.max_by(record_code(F.col("rec_type")), F.col("seqno")).alias("_code"),
+            F.max_by(record_code(), "seqno").alias("_code"),
             F.max("seqno").alias("seqno"),
         )
-        .withColumn("rec_type", record_name(F.col("_code")))
+        .withColumn("rec_type", record_name("_code"))
         .select(*FILTER_COLUMNS)
     )
 
@@ -64,8 +64,7 @@ def active_groups(new_filter: DataFrame) -> DataFrame:
 def drop_rolled_back(rows: DataFrame, cuts: Lookup | DataFrame) -> DataFrame:
     """Keep rows strictly below the cut of their branch, or without a cut."""
     lookup = cuts if isinstance(cuts, Lookup) else Lookup(cuts)
-    at_or_above = F.col("l.seqno") >= F.col("r.cut")
-    return lookup.join(rows, BRANCH, "left_anti", at_or_above)
+    return lookup.join(rows, BRANCH, "left_anti", "l.seqno >= r.cut")
 
 
 def drop_superseded(old_filter: DataFrame, new_filter: DataFrame) -> DataFrame:
@@ -81,14 +80,11 @@ def merge_newer(old_filter: DataFrame, new_filter: DataFrame) -> DataFrame:
     Both sides hold at most one row per key, so no key can skew the join, and
     each side is read once. Equals `drop_superseded(old, new)` ∪ `new`.
     """
-    old, new = old_filter.alias("o"), new_filter.alias("n")
-    same_key = F.lit(True)
-    for name in GROUP_KEY:
-        same_key = same_key & (F.col(f"o.{name}") == F.col(f"n.{name}"))
-    from_new = F.col("n.key").isNotNull()
-    return old.join(new, same_key, "full_outer").select(
-        *[
-            F.when(from_new, F.col(f"n.{name}")).otherwise(F.col(f"o.{name}")).alias(name)
-            for name in FILTER_COLUMNS
-        ]
+    same_key = " AND ".join(f"o.{name} = n.{name}" for name in GROUP_KEY)
+    return (
+        old_filter.alias("o")
+        .join(new_filter.alias("n"), F.expr(same_key), "full_outer")
+        .selectExpr(
+            *[f"IF(n.key IS NOT NULL, n.{name}, o.{name}) AS {name}" for name in FILTER_COLUMNS]
+        )
     )

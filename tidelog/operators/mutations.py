@@ -55,9 +55,8 @@ def restore(
     of their partition are restored; a partition not listed is restored whole.
     """
     if since is not None:
-        already = F.col("l.seqno") <= F.col("r.since_seqno")
         mutations = Lookup(since.select(*PARTITION, "since_seqno")).join(
-            mutations, PARTITION, "left_anti", already
+            mutations, PARTITION, "left_anti", "l.seqno <= r.since_seqno"
         )
     if not include_deletes:
         mutations = mutations.where(~F.col("rec_type").eqNullSafe("DELETE"))

@@ -107,7 +107,7 @@ def range_outcomes(high: DataFrame, known: DataFrame) -> DataFrame:
 def capture_ranges(events: DataFrame, ranges: DataFrame | Lookup) -> DataFrame:
     """Events inside the range of their partition: above the start, up to the end."""
     lookup = ranges if isinstance(ranges, Lookup) else Lookup(ranges)
-    inside = (F.col("l.seqno") > F.col("r.start_seqno")) & (F.col("l.seqno") <= F.col("r.end_seqno"))
+    inside = "l.seqno > r.start_seqno AND l.seqno <= r.end_seqno"
     return lookup.join(events, PARTITION, "left_semi", inside)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.scalars import state_code, state_name
+from tidelog.functions.scalars import state_name
 from tidelog.operators.ranges import checked_events
 from tidelog.schemas import COUNTERS, PARTITION, PARTITION_STATE
 from tidelog.session import Lookup
@@ -37,17 +37,29 @@ LATEST = {
 LATEST_TEXT = {"failover_log": "failover_at", "reason": "reason_at"}
 
 
-def _at(*kinds: str) -> Column:
+# Kinds whose seqno is the position a partition has reached.
+POSITION_KINDS = ["mutation", "remove", "requested", "retry_stale"]
+# State code (position in PARTITION_STATES) that an event leaves its partition in.
+STATE_OF_KIND = "CASE kind WHEN 'end' THEN 1Y WHEN 'rollback' THEN 2Y ELSE 0Y END"
+
+
+def _at(*kinds: str) -> str:
     """Arrival of events of these kinds, null for others."""
-    return F.when(F.col("kind").isin(*kinds), F.col("arrival"))
+    return f"IF(kind IN ({', '.join(repr(kind) for kind in kinds)}), arrival, NULL)"
 
 
-def _counters() -> list[Column]:
+def _latest(values: dict[str, str], at: str, at_name: str) -> list[Column]:
+    """Value at the highest arrival, for each name, and that arrival."""
     return [
-        F.count_if(F.col("kind") == kind).alias(name) for name, kind in COUNTED_KINDS.items()
+        *[F.expr(f"max_by({value}, {at}) AS {name}") for name, value in values.items()],
+        F.expr(f"max({at}) AS {at_name}"),
     ]
 
 
+def _counters() -> list[Column]:
+    return [F.expr(f"count_if(kind = '{kind}') AS {name}") for name, kind in COUNTED_KINDS.items()]
+
+
 def partition_counters(events: DataFrame) -> DataFrame:
     """Snapshots, mutations, deletions and retries of each partition."""
     return events.groupBy(*PARTITION).agg(*_counters())
@@ -77,34 +89,20 @@ def fold_events(events: DataFrame) -> DataFrame:
     hash-based and a hot partition shrinks to one row per map task. Reason and
     failover log come from the rare control events only.
     """
-    checked = checked_events(events)
-    state = (
-        F.when(F.col("kind") == "end", F.lit("Closed"))
-        .when(F.col("kind") == "rollback", F.lit("Stale"))
-        .otherwise(F.lit("Open"))
-    )
-    seen_at = _at("mutation", "remove", "requested", "retry_stale")
-    marker_at, rollback_at = _at("marker"), _at("rollback")
-    numbers = checked.groupBy(*PARTITION).agg(
-        F.max_by(state_code(state), F.col("arrival")).alias("state_code"),
-        F.max("arrival").alias("state_at"),
-        F.max_by(F.col("seqno"), seen_at).alias("last_seen_seqno"),
-        F.max(seen_at).alias("seen_at"),
-        F.max_by(F.col("snapshot_start_seqno"), marker_at).alias("last_snapshot_start_seqno"),
-        F.max_by(F.col("snapshot_end_seqno"), marker_at).alias("last_snapshot_end_seqno"),
-        F.max(marker_at).alias("snapshot_at"),
-        F.max_by(F.col("seqno"), rollback_at).alias("rollback_seqno"),
-        F.max(rollback_at).alias("rollback_at"),
+    snapshot = ["last_snapshot_start_seqno", "last_snapshot_end_seqno"]
+    numbers = checked_events(events).groupBy(*PARTITION).agg(
+        *_latest({"state_code": STATE_OF_KIND}, "arrival", "state_at"),
+        *_latest({"last_seen_seqno": "seqno"}, _at(*POSITION_KINDS), "seen_at"),
+        *_latest({name: name.removeprefix("last_") for name in snapshot}, _at("marker"), "snapshot_at"),
+        *_latest({"rollback_seqno": "seqno"}, _at("rollback"), "rollback_at"),
         *_counters(),
     )
     texts = (
         events.where(F.col("kind").isin("opened", "end"))
         .groupBy(*PARTITION)
         .agg(
-            F.max_by(F.col("failover_log"), _at("opened")).alias("failover_log"),
-            F.max(_at("opened")).alias("failover_at"),
-            F.max_by(F.col("reason"), _at("end")).alias("reason"),
-            F.max(_at("end")).alias("reason_at"),
+            *_latest({"failover_log": "failover_log"}, _at("opened"), "failover_at"),
+            *_latest({"reason": "reason"}, _at("end"), "reason_at"),
         )
     )
     return numbers.join(texts, PARTITION, "left")
@@ -122,13 +120,12 @@ def combine_progress(progress: DataFrame) -> DataFrame:
 
 def progress_to_state(progress: DataFrame) -> DataFrame:
     """Progress rows as partition states: Open, Closed (with reason) or Stale."""
-    named = progress.withColumn("state", state_name(F.col("state_code")))
-    only_closed = F.when(F.col("state") == "Closed", F.col("reason"))
-    only_stale = F.when(F.col("state") == "Stale", F.col("rollback_seqno"))
-    return (
-        named.withColumn("reason", only_closed)
-        .withColumn("rollback_seqno", only_stale)
-        .select(*PARTITION_STATE.names)
+    only_in = {"reason": "Closed", "rollback_seqno": "Stale"}
+    return progress.withColumn("state", state_name("state_code")).selectExpr(
+        *[
+            f"IF(state = '{only_in[name]}', {name}, NULL) AS {name}" if name in only_in else name
+            for name in PARTITION_STATE.names
+        ]
     )
 
 

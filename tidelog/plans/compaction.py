@@ -70,9 +70,9 @@ def merge_ranked(rows: DataFrame) -> DataFrame:
         rows.groupBy(*GROUP_KEY)
         .agg(
             *[F.min_by(name, "_depth").alias(name) for name in fixed],
-            F.min_by(record_code(F.col("rec_type")), F.col("_depth")).alias("_code"),
+            F.min_by(record_code(), "_depth").alias("_code"),
         )
-        .withColumn("rec_type", record_name(F.col("_code")))
+        .withColumn("rec_type", record_name("_code"))
         .select(*FILTER_COLUMNS)
     )
 

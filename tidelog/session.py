@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
@@ -46,15 +46,16 @@ def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
 
     Reads no more rows than could fit, so the check itself stays bounded.
     """
-    width = F.lit(FIXED_WIDTH_BYTES * len(df.columns))
+    width = [str(FIXED_WIDTH_BYTES * len(df.columns))]
     for field in df.schema.fields:
         if isinstance(field.dataType, (StringType, BinaryType)):
-            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+            width.append(f"coalesce(octet_length({field.name}), 0)")
     max_rows = max_bytes // (FIXED_WIDTH_BYTES * len(df.columns))
-    seen = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("size"),
-    ).first()
+    seen = (
+        df.limit(max_rows + 1)
+        .selectExpr("count(*) AS n", f"coalesce(sum(bigint({' + '.join(width)})), 0) AS size")
+        .first()
+    )
     return seen["n"] <= max_rows and seen["size"] <= max_bytes
 
 
@@ -77,30 +78,28 @@ class Lookup:
         rows: DataFrame,
         on: Sequence[str],
         how: str,
-        condition: Column | None = None,
+        condition: str | None = None,
         spread: Sequence[str] = ("seqno",),
     ) -> DataFrame:
-        """Join `rows` to this side; `condition` may name columns `l.x` and `r.x`.
+        """Join `rows` to this side; `condition` is SQL over `l.x` and `r.x`.
 
         `spread` names columns of `rows` whose hash picks the salt.
         """
         keys = list(on)
         if self.small:
-            left, right = rows.alias("l"), F.broadcast(self.side).alias("r")
+            left, right = rows, F.broadcast(self.side)
         else:
             partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             salts = max(2, min(MAX_SALTS, partitions))
-            salt = F.pmod(F.xxhash64(*spread), F.lit(salts))
-            every_salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
-            left = rows.withColumn("_salt", salt).alias("l")
-            right = self.side.withColumn("_salt", every_salt).alias("r")
+            salt = f"pmod(xxhash64({', '.join(spread)}), {salts}) AS _salt"
+            left = rows.selectExpr("*", salt)
+            right = self.side.selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) AS _salt")
             keys.append("_salt")
-        matches = condition
-        for key in keys:
-            same = F.col(f"l.{key}") == F.col(f"r.{key}")
-            matches = same if matches is None else same & matches
-        joined = left.join(right, matches, how)
-        kept = [F.col(f"l.{name}") for name in rows.columns]
+        matches = [f"l.{key} = r.{key}" for key in keys]
+        if condition:
+            matches.append(condition)
+        joined = left.alias("l").join(right.alias("r"), F.expr(" AND ".join(matches)), how)
+        kept = [f"l.{name}" for name in rows.columns]
         if how not in ("left_semi", "left_anti"):
-            kept += [F.col(f"r.{name}") for name in self.side.columns if name not in on]
+            kept += [f"r.{name}" for name in self.side.columns if name not in on]
         return joined.select(*kept)

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.scalars import partition_group
 from tidelog.operators.filters import latest_per_key
 from tidelog.operators.ranges import high_seqnos, plan_ranges
 from tidelog.plans.compaction import compact_filter
@@ -22,44 +21,52 @@ ORDER_PARTITIONS, ORDER_GROUPS = 32, 8
 ORDER_LEVEL_SPLIT = "1997-01-01 00:00:00"
 
 
+SCHEMAS = {
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+        " value double, props string"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def at(text: str):
-    return F.lit(text).cast("timestamp")
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All mutations of bucket `default`, old and new, with level and time."""
-    rows = table(spark, sf_dir, "events")
-    partition = F.col("user_id") % PARTITIONS
-    branch = F.when(F.col("ts") < at(BRANCH_SPLIT), 1).otherwise(2)
-    rec_type = (
-        F.when(F.col("event_type") == "error", "DELETE")
-        .when(F.col("event_type") == "signup", "INSERT")
-        .otherwise("UPDATE")
-    )
-    return rows.select(
-        F.lit("default").alias("bucket"),
-        partition_group(partition, F.lit(PARTITIONS), F.lit(GROUPS)).alias("pgroup"),
-        partition.cast("short").alias("partition_id"),
-        (partition * 10 + branch).alias("partition_uuid"),
-        F.col("event_id").alias("seqno"),
-        F.concat(
-            F.lit("k"),
-            F.col("user_id").cast("string"),
-            F.lit(":"),
-            (F.col("event_id") % 20).cast("string"),
-        ).alias("key"),
-        rec_type.alias("rec_type"),
-        F.col("props").cast("binary").alias("content"),
-        F.lit(0).alias("expiration"),
-        F.lit(1).cast("long").alias("revision_seqno"),
-        F.lit(0).alias("lock_time"),
-        F.col("event_id").alias("cas"),
-        F.lit(0).alias("flags"),
-        "ts",
+    """All mutations of bucket `default`, old and new, with level and time.
+
+    The bucket is a column value, as it comes from storage, not a constant.
+    """
+    return (
+        table(spark, sf_dir, "events")
+        .selectExpr("*", f"user_id % {PARTITIONS} AS part")
+        .selectExpr(
+            "IF(event_id IS NOT NULL, 'default', NULL) AS bucket",
+            f"int(part div {PARTITIONS // GROUPS}) AS pgroup",
+            "smallint(part) AS partition_id",
+            f"part * 10 + IF(ts < timestamp_ntz'{BRANCH_SPLIT}', 1, 2) AS partition_uuid",
+            "event_id AS seqno",
+            "concat('k', user_id, ':', event_id % 20) AS key",
+            "CASE event_type WHEN 'error' THEN 'DELETE' WHEN 'signup' THEN 'INSERT'"
+            " ELSE 'UPDATE' END AS rec_type",
+            "binary(props) AS content",
+            "0 AS expiration",
+            "1L AS revision_seqno",
+            "0 AS lock_time",
+            "event_id AS cas",
+            "0 AS flags",
+            "ts",
+        )
     )
 
 
@@ -87,12 +94,13 @@ def mutations(spark, sf_dir) -> DataFrame:
 
 def rollback_log(spark, sf_dir) -> DataFrame:
     """Rollback entries, many per branch; they hit rows of both levels."""
-    partition, ts = F.col("partition_id"), F.col("ts")
-    hits_new = (partition % 4 == 0) & (ts >= at("2024-01-25 00:00:00"))
+    hits_new = "partition_id % 4 = 0 AND ts >= timestamp_ntz'2024-01-25 00:00:00'"
     hits_old = (
-        (partition % 4 == 1) & (ts >= at("2024-01-08 00:00:00")) & (ts < at(BRANCH_SPLIT))
+        "partition_id % 4 = 1 AND ts >= timestamp_ntz'2024-01-08 00:00:00'"
+        f" AND ts < timestamp_ntz'{BRANCH_SPLIT}'"
     )
-    return changes(spark, sf_dir).where(hits_new | hits_old).select(*ROLLBACK_LOG.names)
+    hit = changes(spark, sf_dir).where(f"({hits_new}) OR ({hits_old})")
+    return hit.select(*ROLLBACK_LOG.names)
 
 
 def compacted(spark, sf_dir) -> DataFrame:
@@ -107,21 +115,23 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     Levels go by date and seqnos by order number, so new rows often have lower
     seqnos than old ones. Groups 4 to 7 have no new rows at all.
     """
-    rows = table(spark, sf_dir, "orders")
-    partition = F.col("o_custkey") % ORDER_PARTITIONS
-    group = partition_group(partition, F.lit(ORDER_PARTITIONS), F.lit(ORDER_GROUPS))
-    is_new = (F.col("o_orderdate") >= at(ORDER_LEVEL_SPLIT)) & (group < 4)
-    return rows.select(
-        F.lit("orders").alias("bucket"),
-        group.alias("pgroup"),
-        partition.cast("short").alias("partition_id"),
-        (partition * 10 + 1).alias("partition_uuid"),
-        F.col("o_orderkey").alias("seqno"),
-        F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("key"),
-        F.when(F.col("o_orderstatus") == "F", "DELETE").otherwise("UPDATE").alias("rec_type"),
-        F.col("o_orderpriority").cast("binary").alias("content"),
-        F.when(is_new, "l0").otherwise("l1").alias("level"),
-        F.col("o_orderdate").alias("ts"),
+    return (
+        table(spark, sf_dir, "orders")
+        .selectExpr("*", f"o_custkey % {ORDER_PARTITIONS} AS part")
+        .selectExpr("*", f"int(part div {ORDER_PARTITIONS // ORDER_GROUPS}) AS pgroup")
+        .selectExpr(
+            "IF(o_orderkey IS NOT NULL, 'orders', NULL) AS bucket",
+            "pgroup",
+            "smallint(part) AS partition_id",
+            "part * 10 + 1 AS partition_uuid",
+            "o_orderkey AS seqno",
+            "concat('c', o_custkey) AS key",
+            "IF(o_orderstatus = 'F', 'DELETE', 'UPDATE') AS rec_type",
+            "binary(o_orderpriority) AS content",
+            f"IF(o_orderdate >= timestamp_ntz'{ORDER_LEVEL_SPLIT}' AND pgroup < 4, 'l0', 'l1')"
+            " AS level",
+            "o_orderdate AS ts",
+        )
     )
 
 
@@ -162,45 +172,36 @@ def ranges(spark, sf_dir) -> DataFrame:
 
 def data_stream(spark, sf_dir) -> DataFrame:
     """All changes as change-stream events; an INSERT stands for a snapshot marker."""
-    kind = (
-        F.when(F.col("rec_type") == "DELETE", "remove")
-        .when(F.col("rec_type") == "INSERT", "marker")
-        .otherwise("mutation")
-    )
     return _as_events(
         changes(spark, sf_dir)
-        .withColumn("kind", kind)
-        .withColumn("arrival", F.col("seqno"))
-        .withColumn("snapshot_start_seqno", F.when(F.col("kind") == "marker", F.col("seqno")))
-        .withColumn("snapshot_end_seqno", F.when(F.col("kind") == "marker", F.col("seqno") + 9))
+        .selectExpr(
+            "*",
+            "CASE rec_type WHEN 'DELETE' THEN 'remove' WHEN 'INSERT' THEN 'marker'"
+            " ELSE 'mutation' END AS kind",
+            "seqno AS arrival",
+        )
+        .selectExpr(
+            "*",
+            "IF(kind = 'marker', seqno, NULL) AS snapshot_start_seqno",
+            "IF(kind = 'marker', seqno + 9, NULL) AS snapshot_end_seqno",
+        )
     )
 
 
 def control_stream(planned: DataFrame) -> DataFrame:
     """Answers to the range requests: opened, rolled back, or closed at the end."""
-    turn = F.col("partition_id") % 4
-    opened = planned.where(turn != 2).select(
+    opened = planned.where("partition_id % 4 <> 2").selectExpr(
         "bucket",
         "partition_id",
-        F.lit(-1).cast("long").alias("arrival"),
-        F.lit("opened").alias("kind"),
-        F.array(
-            F.struct(F.col("uuid"), F.lit(0).cast("long").alias("seqno"))
-        ).alias("failover_log"),
+        "-1L AS arrival",
+        "'opened' AS kind",
+        "array(named_struct('uuid', uuid, 'seqno', 0L)) AS failover_log",
     )
-    ended = planned.where(turn < 2).select(
-        "bucket",
-        "partition_id",
-        (F.col("end_seqno") + 1).alias("arrival"),
-        F.lit("end").alias("kind"),
-        F.lit("OK").alias("reason"),
+    ended = planned.where("partition_id % 4 < 2").selectExpr(
+        "bucket", "partition_id", "end_seqno + 1 AS arrival", "'end' AS kind", "'OK' AS reason"
     )
-    rolled_back = planned.where(turn == 2).select(
-        "bucket",
-        "partition_id",
-        F.lit(0).cast("long").alias("arrival"),
-        F.lit("rollback").alias("kind"),
-        F.floor(F.col("start_seqno") / 2).alias("seqno"),
+    rolled_back = planned.where("partition_id % 4 = 2").selectExpr(
+        "bucket", "partition_id", "0L AS arrival", "'rollback' AS kind", "start_seqno div 2 AS seqno"
     )
     return (
         _as_events(opened).unionByName(_as_events(ended)).unionByName(_as_events(rolled_back))
@@ -208,11 +209,12 @@ def control_stream(planned: DataFrame) -> DataFrame:
 
 
 def _as_events(rows: DataFrame) -> DataFrame:
-    return rows.select(
+    """Rows with all columns of a change event, null where they have none."""
+    return rows.selectExpr(
         *[
-            F.col(field.name)
-            if field.name in rows.columns
-            else F.lit(None).cast(field.dataType).alias(field.name)
+            name
+            if (name := field.name) in rows.columns
+            else f"CAST(NULL AS {field.dataType.simpleString()}) AS {name}"
             for field in CHANGE_EVENTS.fields
         ]
     )
