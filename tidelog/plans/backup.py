@@ -1 +1,140 @@
-def run_backup(): pass
+"""One incremental backup: plan ranges, capture them, record the snapshot."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidelog.functions.records import mutation_rows, stamp_uuid
+from tidelog.operators.ranges import (
+    capture_ranges,
+    data_events,
+    high_seqnos,
+    mainline,
+    plan_ranges,
+)
+from tidelog.operators.state import (
+    partition_state,
+    partitions_in,
+    rollback_from_stale,
+)
+from tidelog.plans.store import Bucket, ChangeLogStore, with_group
+from tidelog.schemas import CATALOG, CHANGE_EVENTS, PARTITION
+from tidelog.session import Lookup
+from tidelog.sources import paths
+
+
+def read_catalog(store: ChangeLogStore) -> DataFrame:
+    """Partition states of all snapshots, none before the first backup."""
+    path = f"{store.home}/catalog"
+    if not paths.child_names(store.spark, path):
+        return store.spark.createDataFrame([], CATALOG)
+    return store.spark.read.schema(CATALOG).parquet(f"{path}/*")
+
+
+def as_events(rows: DataFrame) -> DataFrame:
+    """Rows with all columns of a change event, null where they have none."""
+    return rows.selectExpr(
+        *[
+            field.name
+            if field.name in rows.columns
+            else f"CAST(NULL AS {field.dataType.simpleString()}) AS {field.name}"
+            for field in CHANGE_EVENTS.fields
+        ]
+    )
+
+
+def request_events(ranges: DataFrame) -> DataFrame:
+    """One event per requested range; it sets the position to the range's start."""
+    return as_events(
+        ranges.selectExpr(
+            *PARTITION,
+            f"{-(2**63) + 1}L AS arrival",
+            "'requested' AS kind",
+            "start_seqno AS seqno",
+        )
+    )
+
+
+def accepted_answers(ranges: DataFrame, captured: DataFrame) -> DataFrame:
+    """Answers of a source that accepts every range and sends it whole."""
+    branch = captured.groupBy(*PARTITION).agg(
+        F.max_by("partition_uuid", "seqno").alias("_uuid"), F.max("arrival").alias("_last")
+    )
+    answered = ranges.join(branch, PARTITION, "left")
+    opened = answered.selectExpr(
+        *PARTITION,
+        f"{-(2**63) + 2}L AS arrival",
+        "'opened' AS kind",
+        "array(named_struct('uuid', coalesce(_uuid, uuid), 'seqno', 0L)) AS failover_log",
+    )
+    ended = answered.selectExpr(
+        *PARTITION, "coalesce(_last, 0L) + 1 AS arrival", "'end' AS kind", "'OK' AS reason"
+    )
+    return as_events(opened).unionByName(as_events(ended))
+
+
+def catalog_rows(state: DataFrame, known: DataFrame) -> DataFrame:
+    """States to record. A stale partition goes back to just below its rollback seqno."""
+    before = known.select(*PARTITION, F.col("failover_log").alias("_failover_log"))
+    return (
+        state.join(before, PARTITION, "left")
+        .withColumn("failover_log", F.coalesce("failover_log", "_failover_log"))
+        .withColumn(
+            "last_seen_seqno",
+            F.expr("IF(state = 'Stale', greatest(rollback_seqno - 1, 0L), last_seen_seqno)"),
+        )
+        .drop("_failover_log")
+    )
+
+
+def run_backup(
+    store: ChangeLogStore,
+    events: DataFrame,
+    snapshot_id: str,
+    buckets: Sequence[Bucket],
+    answers: DataFrame | None = None,
+) -> bool:
+    """Capture what is new in `events` into the store, under a snapshot name.
+
+    `answers` are the source's control events for the requested ranges (opened,
+    rollback, marker, end); without them every range counts as sent whole.
+    Partitions answered with a rollback are not captured: their rollback seqno
+    goes to the rollback log, and the next run restarts below it. Returns False
+    when no partition has changed.
+    """
+    catalog = read_catalog(store)
+    known = mainline(catalog)
+    data = data_events(events)
+    ranges = Lookup(plan_ranges(high_seqnos(data), known))
+    if ranges.side.isEmpty():
+        return False
+    captured = capture_ranges(data, ranges)
+    if "partition_uuid" not in captured.columns:
+        captured = stamp_uuid(captured, ranges.side)
+    if answers is None:
+        answers = accepted_answers(ranges.side, captured)
+    refused = Lookup(answers.where("kind = 'rollback'").select(*PARTITION).distinct())
+    captured = refused.join(captured, PARTITION, "left_anti")
+    seen = as_events(captured).unionByName(answers).unionByName(request_events(ranges.side))
+    state = partition_state(seen)
+
+    number = (catalog.agg(F.max("run_number")).first()[0] or 0) + 1
+    path = f"{store.home}/catalog/run={snapshot_id}"
+    (
+        catalog_rows(state, known)
+        .withColumn("snapshot_id", F.lit(snapshot_id))
+        .withColumn("run_number", F.lit(number).cast("long"))
+        .select(*CATALOG.names)
+        .write.mode("errorifexists")
+        .parquet(path)
+    )
+    recorded = store.spark.read.schema(CATALOG).parquet(path)
+    stale = partitions_in(recorded, "Stale")
+    rollbacks = None
+    if not stale.isEmpty():
+        rollbacks = with_group(rollback_from_stale(stale, ranges.side), buckets)
+    mutations = mutation_rows(with_group(captured, buckets))
+    return store.append_run(snapshot_id, mutations, rollbacks)

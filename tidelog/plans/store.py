@@ -1,10 +1,499 @@
+"""The store: captured runs, filter and mutation compaction, mapping, restore.
+
+Layout below `home`:
+
+    new_filter/run=…   raw filter rows of a capture run (L0), as they came
+    filter/run=…       mainline filter (L1), clustered by (bucket, pgroup, key)
+    mutations/run=…    mutations, clustered by (bucket, partition, uuid, seqno)
+    rblog/run=…        rollback entries, as text
+    manifest/…         which of these are valid, at which level, for which groups
+
+Mainline filter and mutations are bucketed tables. So merging a run does not
+shuffle the mainline filter, and finding the live mutations shuffles only the
+slim filter, never the mutations with their content.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from tidelog.functions.scalars import group_bounds, group_label, partition_group
+from tidelog.operators.mutations import MutationMapper, live_mutations, map_rows, restore
+from tidelog.plans import manifest as entries_of
+from tidelog.plans.compaction import compact_filter
+from tidelog.plans.manifest import APPLIED, L0, L1, NEW_FILTER, ROLLBACK, STAGED, Manifest, Version
+from tidelog.schemas import FILTER, GROUP, GROUP_KEY, MUTATIONS, ROLLBACK_LOG, SEQNO_TUPLE
+from tidelog.session import fits_broadcast
+from tidelog.sources import paths
+from tidelog.sources.files import read_rollback_log, write_rollback_log
+
+# Fixed value: a group is compacted when it has more mutation files than this.
+MUTATION_FILES_THRESHOLD = 10
+
+CLUSTERED = {
+    entries_of.FILTER: (FILTER, GROUP_KEY),
+    entries_of.MUTATIONS: (MUTATIONS, SEQNO_TUPLE),
+}
+
+
 @dataclass(frozen=True)
 class Bucket:
+    """A named collection, its number of partitions and of partition groups."""
+
     name: str
     num_partitions: int
     num_pgroups: int
-def enumerate_groups(spark, buckets):
-    raise NotImplementedError
-class ChangeLogStore: pass
+
+
+def bucket_table(spark: SparkSession, buckets: Sequence[Bucket]) -> DataFrame:
+    rows = [(b.name, b.num_partitions, b.num_pgroups) for b in buckets]
+    return spark.createDataFrame(rows, "bucket string, num_partitions int, num_pgroups int")
+
+
+def enumerate_groups(spark: SparkSession, buckets: Sequence[Bucket]) -> DataFrame:
+    """All groups of all buckets, with their `(low-high)` label."""
+    groups = bucket_table(spark, buckets).where("num_pgroups > 0").withColumn(
+        "pgroup", F.explode(F.sequence(F.lit(0), F.col("num_pgroups") - 1))
+    )
+    low, high = group_bounds(F.col("pgroup"), F.col("num_partitions"), F.col("num_pgroups"))
+    return groups.select("bucket", "pgroup", group_label(low, high).alias("label"))
+
+
+def with_group(rows: DataFrame, buckets: Sequence[Bucket]) -> DataFrame:
+    """Add `pgroup`; an unknown bucket or a partition out of range aborts."""
+    sized = rows.join(bucket_table(rows.sparkSession, buckets), "bucket", "left")
+    known = "partition_id >= 0 AND partition_id < num_partitions"
+    group = F.when(
+        F.expr(known),
+        partition_group(F.col("partition_id"), F.col("num_partitions"), F.col("num_pgroups")),
+    ).otherwise(
+        F.raise_error(
+            F.concat_ws(" ", F.lit("no such partition:"), "bucket", F.col("partition_id"))
+        ).cast("int")
+    )
+    return sized.withColumn("pgroup", group).drop("num_partitions", "num_pgroups")
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, number: int) -> Iterator[None]:
+    """Shuffle into as many partitions as the tables have buckets."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+class ChangeLogStore:
+    """Runs, compactions and reads of one `home` folder on shared storage.
+
+    `num_buckets` is fixed for the life of a store: at least the shuffle
+    partitions of a cluster, so that one bucket of mutations fits a task.
+    """
+
+    def __init__(self, spark: SparkSession, home: str, num_buckets: int | None = None):
+        self.spark = spark
+        self.home = home.rstrip("/")
+        self.num_buckets = self._layout(num_buckets)
+        self.manifest = Manifest(spark, self.home)
+        self._prefix = "tidelog_" + hashlib.md5(self.home.encode()).hexdigest()[:12]
+
+    def _layout(self, num_buckets: int | None) -> int:
+        """The number of buckets the store was created with, or is created with now."""
+        path = f"{self.home}/layout"
+        if paths.exists(self.spark, f"{path}/_SUCCESS"):
+            return self.spark.read.schema("num_buckets int").parquet(path).first()["num_buckets"]
+        number = num_buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        row = self.spark.range(1).select(F.lit(number).alias("num_buckets"))
+        row.write.mode("overwrite").parquet(path)
+        return number
+
+    # --- files ------------------------------------------------------------------
+
+    def _run_path(self, kind: str, run: str) -> str:
+        return f"{self.home}/{kind}/run={run}"
+
+    def _write_clustered(self, kind: str, run: str, rows: DataFrame) -> None:
+        """Write one run as bucket files; rows must already be spread by bucket."""
+        schema, keys = CLUSTERED[kind]
+        path = self._run_path(kind, run)
+        paths.delete(self.spark, path)
+        table = f"{self._prefix}_{kind}_{uuid.uuid4().hex}"
+        (
+            rows.select(*schema.names)
+            .write.format("parquet")
+            .bucketBy(self.num_buckets, *keys)
+            .sortBy(*keys)
+            .option("path", path)
+            .saveAsTable(table)
+        )
+        self.spark.sql(f"DROP TABLE {table}")
+
+    def _clustered_table(self, kind: str, runs: Sequence[str]) -> DataFrame:
+        """The runs of a kind as one bucketed table, with a `run` column."""
+        schema, keys = CLUSTERED[kind]
+        table = f"{self._prefix}_{kind}"
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}, run string) USING parquet"
+            f" PARTITIONED BY (run) CLUSTERED BY ({', '.join(keys)})"
+            f" INTO {self.num_buckets} BUCKETS LOCATION '{self.home}/{kind}'"
+        )
+        partitions = " ".join(f"PARTITION (run = '{run}')" for run in runs)
+        self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
+        return self.spark.table(table).where(F.col("run").isin(*runs))
+
+    def _read(self, kind: str, schema: StructType, visible: DataFrame) -> DataFrame:
+        """Rows of the visible (run, group) entries of a kind."""
+        runs = visible.groupBy("run").agg(
+            (F.count(F.lit(1)) == F.max("run_groups")).alias("whole")
+        ).collect()
+        if not runs:
+            return self.spark.createDataFrame([], schema)
+        names = sorted(row["run"] for row in runs)
+        if kind in CLUSTERED:
+            rows = self._clustered_table(kind, names)
+        elif kind == ROLLBACK:
+            rows = self._each_run(kind, names, read_rollback_log)
+        else:
+            rows = self._each_run(
+                kind, names, lambda spark, path: spark.read.schema(schema).parquet(path)
+            )
+        if not all(row["whole"] for row in runs):
+            side = visible.select("run", *GROUP)
+            side = F.broadcast(side) if fits_broadcast(side) else side
+            rows = rows.join(side, ["run", *GROUP], "left_semi")
+        return rows.select(*schema.names)
+
+    def _each_run(self, kind: str, runs: Sequence[str], read: Callable) -> DataFrame:
+        parts = [
+            read(self.spark, self._run_path(kind, run)).withColumn("run", F.lit(run)) for run in runs
+        ]
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part)
+        return rows
+
+    def _groups(self, buckets: Sequence[Bucket] | None, version: Version) -> DataFrame:
+        if buckets is None:
+            return version.entries.where("kind <> 'applied'").select(*GROUP).distinct()
+        return enumerate_groups(self.spark, buckets).select(*GROUP)
+
+    def _level(self, version: Version, kind: str, level: str, groups: DataFrame) -> DataFrame:
+        return version.of(kind, level).join(groups, GROUP, "left_semi")
+
+    def _entries(self, groups: DataFrame, kind: str, level: str, run: str) -> DataFrame:
+        """Manifest entries that make `run` valid for `groups`."""
+        count = groups.count()
+        return groups.select(
+            F.lit(kind).alias("kind"),
+            F.lit(level).alias("level"),
+            F.lit(run).alias("run"),
+            *GROUP,
+            F.lit(count).cast("long").alias("run_groups"),
+            F.lit(None).cast("array<string>").alias("replaces"),
+        )
+
+    # --- capture ----------------------------------------------------------------
+
+    def append_run(
+        self,
+        run: str,
+        mutations: DataFrame | None = None,
+        rollback_log: DataFrame | None = None,
+    ) -> bool:
+        """Add the mutations of a capture run, and its rollback entries, at L0.
+
+        The slim filter is written beside the mutations. A run that was already
+        applied is left alone, so a replay after a failure changes nothing;
+        files of an unfinished attempt are replaced.
+        """
+        base = self.manifest.latest()
+        if not base.of(APPLIED, L0).where(F.col("run") == run).isEmpty():
+            return False
+        added = [self._entries(self._applied_group(), APPLIED, L0, run)]
+        if mutations is not None:
+            spread = mutations.select(*MUTATIONS.names).repartition(self.num_buckets, *SEQNO_TUPLE)
+            self._write_clustered(entries_of.MUTATIONS, run, spread)
+            written = self.spark.read.schema(FILTER).parquet(
+                self._run_path(entries_of.MUTATIONS, run)
+            )
+            path = self._run_path(NEW_FILTER, run)
+            written.write.mode("overwrite").parquet(path)
+            groups = self.spark.read.schema(FILTER).parquet(path).select(*GROUP).distinct()
+            added.append(self._entries(groups, entries_of.MUTATIONS, L0, run))
+            added.append(self._entries(groups, NEW_FILTER, L0, run))
+        if rollback_log is not None:
+            path = self._run_path(ROLLBACK, run)
+            write_rollback_log(rollback_log, path, mode="overwrite")
+            groups = read_rollback_log(self.spark, path).select(*GROUP).distinct()
+            added.append(self._entries(groups, ROLLBACK, L0, run))
+        entries = base.entries
+        for more in added:
+            entries = entries.unionByName(more)
+        self.manifest.publish(base, entries)
+        return True
+
+    def _applied_group(self) -> DataFrame:
+        return self.spark.range(1).selectExpr("'' AS bucket", "0 AS pgroup")
+
+    # --- compaction -------------------------------------------------------------
+
+    def groups_needing_filter_compaction(self, buckets: Sequence[Bucket] | None = None) -> DataFrame:
+        """Groups with new filter rows; known from the manifest, without a scan."""
+        version = self.manifest.latest()
+        groups = self._groups(buckets, version)
+        return self._level(version, NEW_FILTER, L0, groups).select(*GROUP).distinct()
+
+    def groups_over_threshold(
+        self,
+        buckets: Sequence[Bucket] | None = None,
+        threshold: int = MUTATION_FILES_THRESHOLD,
+    ) -> DataFrame:
+        """Groups with strictly more mainline mutation runs than `threshold`."""
+        version = self.manifest.latest()
+        groups = self._groups(buckets, version)
+        return (
+            self._level(version, entries_of.MUTATIONS, L1, groups)
+            .groupBy(*GROUP)
+            .agg(F.countDistinct("run").alias("num_files"))
+            .where(F.col("num_files") > threshold)
+        )
+
+    def compact_filters(self, buckets: Sequence[Bucket] | None = None) -> str | None:
+        """Merge the new filter rows into the mainline filter, and publish.
+
+        One job covers all groups. Groups without new rows keep their filter and
+        their rollback entries. New mutations of the compacted groups become
+        part of the mainline without being copied.
+        """
+        base = self.manifest.latest()
+        active = self._level(base, NEW_FILTER, L0, self._groups(buckets, base)).select(*GROUP).distinct()
+        if active.isEmpty():
+            return None
+        cuts = self._level(base, ROLLBACK, L0, active)
+        run = f"f{base.number + 1}-{uuid.uuid4().hex[:8]}"
+        with _shuffle_partitions(self.spark, self.num_buckets):
+            compacted = compact_filter(
+                self._read(entries_of.FILTER, FILTER, self._level(base, entries_of.FILTER, L1, active)),
+                self._read(NEW_FILTER, FILTER, self._level(base, NEW_FILTER, L0, active)),
+                None if cuts.isEmpty() else self._read(ROLLBACK, ROLLBACK_LOG, cuts),
+                active,
+            )
+            self._write_clustered(entries_of.FILTER, run, compacted)
+
+        touched = base.entries.join(active.withColumn("_active", F.lit(True)), GROUP, "left")
+        consumed = f"_active AND kind IN ('{NEW_FILTER}', '{ROLLBACK}', '{entries_of.FILTER}')"
+        moved = f"_active AND kind = '{entries_of.MUTATIONS}' AND level = '{L0}'"
+        kept = touched.where(f"NOT coalesce({consumed}, false)").withColumn(
+            "level", F.expr(f"IF({moved}, '{L1}', level)")
+        )
+        self.manifest.publish(
+            base,
+            kept.select(*entries_of.ENTRY).unionByName(
+                self._entries(active, entries_of.FILTER, L1, run)
+            ),
+        )
+        return run
+
+    def compact_mutations(
+        self,
+        buckets: Sequence[Bucket] | None = None,
+        threshold: int = MUTATION_FILES_THRESHOLD,
+    ) -> str | None:
+        """Write the live mutations of the groups over the threshold, unpublished.
+
+        The result stays invisible until `publish_compacted_mutations`; runs
+        appended in between are not lost, as only the runs read here get replaced.
+        """
+        base = self.manifest.latest()
+        over = self.groups_over_threshold(buckets, threshold).select(*GROUP)
+        if over.isEmpty():
+            return None
+        read = self._level(base, entries_of.MUTATIONS, L1, over)
+        run = f"m{base.number + 1}-{uuid.uuid4().hex[:8]}"
+        with _shuffle_partitions(self.spark, self.num_buckets):
+            live = self._live(base, over)
+            self._write_clustered(entries_of.MUTATIONS, run, live)
+        replaced = read.groupBy(*GROUP).agg(F.array_sort(F.collect_set("run")).alias("replaces"))
+        staged = (
+            self._entries(over, entries_of.MUTATIONS, STAGED, run)
+            .drop("replaces")
+            .join(replaced, GROUP)
+        )
+        earlier = base.entries.join(over.withColumn("_over", F.lit(True)), GROUP, "left").where(
+            f"NOT coalesce(_over AND level = '{STAGED}', false)"
+        )
+        self.manifest.publish(
+            base,
+            earlier.select(*entries_of.ENTRY).unionByName(staged.select(*entries_of.ENTRY)),
+        )
+        return run
+
+    def publish_compacted_mutations(self, buckets: Sequence[Bucket] | None = None) -> bool:
+        """Let staged mutations take the place of the runs they were made from.
+
+        A staged group whose source runs are no longer all valid is dropped.
+        """
+        base = self.manifest.latest()
+        groups = self._groups(buckets, base)
+        staged = self._level(base, entries_of.MUTATIONS, STAGED, groups)
+        if staged.isEmpty():
+            return False
+        current = (
+            base.of(entries_of.MUTATIONS, L1)
+            .groupBy(*GROUP)
+            .agg(F.collect_set("run").alias("_current"))
+        )
+        plan = staged.join(current, GROUP, "left").select(
+            *GROUP,
+            F.col("run").alias("_staged_run"),
+            F.col("replaces").alias("_replaces"),
+            F.expr("coalesce(size(array_except(replaces, _current)) = 0, false)").alias("_valid"),
+        )
+        is_replaced = f"kind = '{entries_of.MUTATIONS}' AND level = '{L1}' AND _valid AND array_contains(_replaces, run)"
+        is_staged = f"kind = '{entries_of.MUTATIONS}' AND level = '{STAGED}' AND run = _staged_run"
+        after = (
+            base.entries.join(plan, GROUP, "left")
+            .where(f"NOT coalesce({is_replaced}, false)")
+            .where(f"NOT coalesce({is_staged} AND NOT _valid, false)")
+            .withColumn("level", F.expr(f"IF(coalesce({is_staged}, false), '{L1}', level)"))
+            .withColumn("replaces", F.expr(f"IF(level = '{STAGED}', replaces, NULL)"))
+        )
+        self.manifest.publish(base, after.select(*entries_of.ENTRY))
+        return True
+
+    def compact(
+        self,
+        buckets: Sequence[Bucket] | None = None,
+        threshold: int = MUTATION_FILES_THRESHOLD,
+    ) -> None:
+        """Compact the filters, then the mutations, and publish both."""
+        self.compact_filters(buckets)
+        if self.compact_mutations(buckets, threshold):
+            self.publish_compacted_mutations(buckets)
+
+    # --- reads ------------------------------------------------------------------
+
+    def _version(self, snapshot: str | None) -> Version:
+        if snapshot is None:
+            return self.manifest.latest()
+        path = f"{self.home}/snapshots/name={snapshot}"
+        number = self.spark.read.schema("version bigint").parquet(path).first()["version"]
+        return self.manifest.at(number)
+
+    def create_snapshot(self, name: str) -> None:
+        """Name the current state; its files are kept until the name is dropped."""
+        version = self.spark.range(1).select(
+            F.lit(self.manifest.latest().number).cast("long").alias("version")
+        )
+        version.write.mode("errorifexists").parquet(f"{self.home}/snapshots/name={name}")
+
+    def filter_rows(
+        self, buckets: Sequence[Bucket] | None = None, snapshot: str | None = None
+    ) -> DataFrame:
+        """Mainline filter."""
+        version = self._version(snapshot)
+        visible = self._level(version, entries_of.FILTER, L1, self._groups(buckets, version))
+        return self._read(entries_of.FILTER, FILTER, visible)
+
+    def mutation_rows(
+        self, buckets: Sequence[Bucket] | None = None, snapshot: str | None = None
+    ) -> DataFrame:
+        """Mainline mutations, live or not."""
+        version = self._version(snapshot)
+        visible = self._level(version, entries_of.MUTATIONS, L1, self._groups(buckets, version))
+        return self._read(entries_of.MUTATIONS, MUTATIONS, visible)
+
+    def _live(self, version: Version, groups: DataFrame) -> DataFrame:
+        filters = self._level(version, entries_of.FILTER, L1, groups)
+        mutations = self._level(version, entries_of.MUTATIONS, L1, groups)
+        self._check_complete(filters, mutations)
+        return live_mutations(
+            self._read(entries_of.MUTATIONS, MUTATIONS, mutations),
+            self._read(entries_of.FILTER, FILTER, filters),
+        )
+
+    def _check_complete(self, filters: DataFrame, mutations: DataFrame) -> None:
+        """A group must have both its filter and its mutations, or neither."""
+        sides = (
+            filters.select(*GROUP, F.lit(1).alias("side"))
+            .unionByName(mutations.select(*GROUP, F.lit(2).alias("side")))
+            .groupBy(*GROUP)
+            .agg(F.countDistinct("side").alias("sides"))
+            .where("sides < 2")
+        )
+        incomplete = sides.first()
+        if incomplete is not None:
+            raise RuntimeError(
+                f"group {incomplete['bucket']}/{incomplete['pgroup']} lacks filter or mutations"
+            )
+
+    def live_mutations(
+        self, buckets: Sequence[Bucket] | None = None, snapshot: str | None = None
+    ) -> DataFrame:
+        version = self._version(snapshot)
+        return self._live(version, self._groups(buckets, version))
+
+    def map_mutations(
+        self,
+        mapper: MutationMapper | Callable[[DataFrame], DataFrame],
+        schema=None,
+        buckets: Sequence[Bucket] | None = None,
+        snapshot: str | None = None,
+    ) -> DataFrame:
+        """Live mutations of every group through `mapper`, lazily."""
+        live = self.live_mutations(buckets, snapshot)
+        if isinstance(mapper, MutationMapper):
+            return map_rows(live, mapper, schema)
+        return live.transform(mapper)
+
+    def restore(
+        self,
+        buckets: Sequence[Bucket] | None = None,
+        snapshot: str | None = None,
+        since: DataFrame | None = None,
+        include_deletes: bool = True,
+    ) -> DataFrame:
+        """Rows to write back: all live ones, or those above a seqno per partition."""
+        return restore(
+            self.mutation_rows(buckets, snapshot),
+            self.filter_rows(buckets, snapshot),
+            since,
+            include_deletes,
+        )
+
+    # --- cleaning ---------------------------------------------------------------
+
+    def vacuum(self) -> int:
+        """Delete run folders that neither the mainline nor a snapshot refers to.
+
+        Run it while no other operation writes to the store.
+        """
+        versions = [self.manifest.latest()]
+        for name in paths.child_names(self.spark, f"{self.home}/snapshots"):
+            if name.startswith("name="):
+                versions.append(self._version(name.removeprefix("name=")))
+        used = set()
+        for version in versions:
+            used |= {
+                (row["kind"], row["run"])
+                for row in version.entries.select("kind", "run").distinct().collect()
+            }
+        deleted = 0
+        for kind in (NEW_FILTER, entries_of.FILTER, entries_of.MUTATIONS, ROLLBACK):
+            for name in paths.child_names(self.spark, f"{self.home}/{kind}"):
+                if name.startswith("run=") and (kind, name.removeprefix("run=")) not in used:
+                    paths.delete(self.spark, f"{self.home}/{kind}/{name}")
+                    deleted += 1
+        return deleted

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tidelog.operators.filters import latest_per_key
 from tidelog.operators.ranges import high_seqnos, plan_ranges
 from tidelog.plans.compaction import compact_filter
-from tidelog.schemas import CHANGE_EVENTS, FILTER, MUTATIONS, ROLLBACK_LOG
+from tidelog.plans.backup import as_events
+from tidelog.schemas import FILTER, MUTATIONS, ROLLBACK_LOG
 
 LEVEL_SPLIT = "2024-01-16 00:00:00"
 BRANCH_SPLIT = "2024-01-11 00:00:00"
@@ -172,7 +173,7 @@ def ranges(spark, sf_dir) -> DataFrame:
 
 def data_stream(spark, sf_dir) -> DataFrame:
     """All changes as change-stream events; an INSERT stands for a snapshot marker."""
-    return _as_events(
+    return as_events(
         changes(spark, sf_dir)
         .selectExpr(
             "*",
@@ -204,17 +205,5 @@ def control_stream(planned: DataFrame) -> DataFrame:
         "bucket", "partition_id", "0L AS arrival", "'rollback' AS kind", "start_seqno div 2 AS seqno"
     )
     return (
-        _as_events(opened).unionByName(_as_events(ended)).unionByName(_as_events(rolled_back))
-    )
-
-
-def _as_events(rows: DataFrame) -> DataFrame:
-    """Rows with all columns of a change event, null where they have none."""
-    return rows.selectExpr(
-        *[
-            name
-            if (name := field.name) in rows.columns
-            else f"CAST(NULL AS {field.dataType.simpleString()}) AS {name}"
-            for field in CHANGE_EVENTS.fields
-        ]
+        as_events(opened).unionByName(as_events(ended)).unionByName(as_events(rolled_back))
     )

@@ -12,12 +12,15 @@ from tidelog.functions import records, scalars
 from tidelog.operators import filters, ranges, state
 from tidelog.operators import mutations as muts
 from tidelog.plans.compaction import compact, compact_filter, compact_levels
-from tidelog.schemas import COUNTERS, FILTER
+from tidelog.plans.store import Bucket, enumerate_groups
+from tidelog.schemas import FILTER
 from tidelog.workload import changelog as log
 from tidelog.workload.oracle import FILTER as FILTER_SQL
 from tidelog.workload.oracle import LIVE, over_changes, over_orders, over_ranges
 
 Query = Callable[[SparkSession, str], DataFrame]
+BUCKETS = [Bucket("default", log.PARTITIONS, log.GROUPS)]
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -252,15 +255,8 @@ def groups_over_threshold(spark, sf_dir):
     " GROUP BY bucket, pgroup"))
 def group_enumeration(spark, sf_dir):
     """Every group of both buckets with its label and its number of changes."""
-    from tidelog.plans.store import Bucket, enumerate_groups
-
-    groups = enumerate_groups(
-        spark,
-        [
-            Bucket("default", log.PARTITIONS, log.GROUPS),
-            Bucket("orders", log.ORDER_PARTITIONS, log.ORDER_GROUPS),
-        ],
-    )
+    orders = Bucket("orders", log.ORDER_PARTITIONS, log.ORDER_GROUPS)
+    groups = enumerate_groups(spark, [*BUCKETS, orders])
     counts = (
         log.changes(spark, sf_dir)
         .select("bucket", "pgroup")
