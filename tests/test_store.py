@@ -197,6 +197,13 @@ def test_unfinished_version_blocks_until_discarded(store, make):
     assert store.manifest.latest().number == 1
 
 
+@pytest.mark.parametrize("name", ["", "a/b", "x'y", "a b"])
+def test_names_are_safe_in_paths(store, name):
+    for call in (store.append_run, store.create_snapshot):
+        with pytest.raises(ValueError, match="letters"):
+            call(name)
+
+
 def test_bucket_count_is_remembered(store, spark):
     assert ChangeLogStore(spark, store.home, num_buckets=9).num_buckets == 4
 

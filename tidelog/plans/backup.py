@@ -20,7 +20,7 @@ from tidelog.operators.state import (
     partitions_in,
     rollback_from_stale,
 )
-from tidelog.plans.store import Bucket, ChangeLogStore, with_group
+from tidelog.plans.store import Bucket, ChangeLogStore, checked_name, with_group
 from tidelog.schemas import CATALOG, CHANGE_EVENTS, PARTITION
 from tidelog.session import Lookup
 from tidelog.sources import paths
@@ -105,6 +105,7 @@ def run_backup(
     goes to the rollback log, and the next run restarts below it. Returns False
     when no partition has changed.
     """
+    checked_name(snapshot_id)
     catalog = read_catalog(store)
     known = mainline(catalog)
     data = data_events(events)

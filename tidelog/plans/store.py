@@ -16,6 +16,7 @@ slim filter, never the mutations with their content.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
@@ -31,7 +32,7 @@ from tidelog.plans import manifest as entries_of
 from tidelog.plans.compaction import compact_filter
 from tidelog.plans.manifest import APPLIED, L0, L1, NEW_FILTER, ROLLBACK, STAGED, Manifest, Version
 from tidelog.schemas import FILTER, GROUP, GROUP_KEY, MUTATIONS, ROLLBACK_LOG, SEQNO_TUPLE
-from tidelog.session import fits_broadcast
+from tidelog.session import fits_broadcast, stored
 from tidelog.sources import paths
 from tidelog.sources.files import read_rollback_log, write_rollback_log
 
@@ -82,6 +83,13 @@ def with_group(rows: DataFrame, buckets: Sequence[Bucket]) -> DataFrame:
     return sized.withColumn("pgroup", group).drop("num_partitions", "num_pgroups")
 
 
+def checked_name(name: str) -> str:
+    """A run or snapshot name, which becomes part of paths."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", name):
+        raise ValueError(f"use letters, digits, '_', '.' and '-' only: {name!r}")
+    return name
+
+
 @contextmanager
 def _shuffle_partitions(spark: SparkSession, number: int) -> Iterator[None]:
     """Shuffle into as many partitions as the tables have buckets."""
@@ -194,14 +202,12 @@ class ChangeLogStore:
 
     def _entries(self, groups: DataFrame, kind: str, level: str, run: str) -> DataFrame:
         """Manifest entries that make `run` valid for `groups`."""
-        count = groups.count()
         return groups.select(
-            F.lit(kind).alias("kind"),
-            F.lit(level).alias("level"),
-            F.lit(run).alias("run"),
-            *GROUP,
-            F.lit(count).cast("long").alias("run_groups"),
-            F.lit(None).cast("array<string>").alias("replaces"),
+            F.lit(kind).alias("kind"), F.lit(level).alias("level"), F.lit(run).alias("run"), *GROUP
+        ).selectExpr(
+            "*",
+            "count(*) OVER (PARTITION BY run) AS run_groups",
+            "CAST(NULL AS array<string>) AS replaces",
         )
 
     # --- capture ----------------------------------------------------------------
@@ -218,6 +224,7 @@ class ChangeLogStore:
         applied is left alone, so a replay after a failure changes nothing;
         files of an unfinished attempt are replaced.
         """
+        checked_name(run)
         base = self.manifest.latest()
         if not base.of(APPLIED, L0).where(F.col("run") == run).isEmpty():
             return False
@@ -278,7 +285,8 @@ class ChangeLogStore:
         part of the mainline without being copied.
         """
         base = self.manifest.latest()
-        active = self._level(base, NEW_FILTER, L0, self._groups(buckets, base)).select(*GROUP).distinct()
+        waiting = self._level(base, NEW_FILTER, L0, self._groups(buckets, base))
+        active = stored(waiting.select(*GROUP).distinct())
         if active.isEmpty():
             return None
         cuts = self._level(base, ROLLBACK, L0, active)
@@ -317,7 +325,7 @@ class ChangeLogStore:
         appended in between are not lost, as only the runs read here get replaced.
         """
         base = self.manifest.latest()
-        over = self.groups_over_threshold(buckets, threshold).select(*GROUP)
+        over = stored(self.groups_over_threshold(buckets, threshold).select(*GROUP))
         if over.isEmpty():
             return None
         read = self._level(base, entries_of.MUTATIONS, L1, over)
@@ -394,6 +402,7 @@ class ChangeLogStore:
 
     def create_snapshot(self, name: str) -> None:
         """Name the current state; its files are kept until the name is dropped."""
+        checked_name(name)
         version = self.spark.range(1).select(
             F.lit(self.manifest.latest().number).cast("long").alias("version")
         )

@@ -14,6 +14,7 @@ from tidelog.operators import mutations as muts
 from tidelog.plans.compaction import compact, compact_filter, compact_levels
 from tidelog.plans.store import Bucket, enumerate_groups
 from tidelog.schemas import FILTER
+from tidelog.session import stored
 from tidelog.workload import changelog as log
 from tidelog.workload.oracle import FILTER as FILTER_SQL
 from tidelog.workload.oracle import LIVE, over_changes, over_orders, over_ranges
@@ -83,7 +84,7 @@ def captured_text(spark, sf_dir):
     "SELECT c.bucket, c.partition_id, c.seqno, c.key, r.uuid AS partition_uuid"
     " FROM captured c JOIN ranges r ON c.bucket = r.bucket AND c.partition_id = r.partition_id"))
 def stamped_uuid(spark, sf_dir):
-    planned = log.ranges(spark, sf_dir)
+    planned = planned_ranges(spark, sf_dir)
     captured = ranges.capture_ranges(log.data_stream(spark, sf_dir), planned)
     return records.stamp_uuid(captured.select("bucket", "partition_id", "seqno", "key"), planned)
 
@@ -457,15 +458,21 @@ def capture_ranges(spark, sf_dir):
     ).select("bucket", "partition_id", "partition_uuid", "seqno", "key", "kind")
 
 
-def stream(spark, sf_dir) -> DataFrame:
+def planned_ranges(spark, sf_dir) -> DataFrame:
+    """The ranges as a backup run holds them: planned once, then stored."""
+    return stored(log.ranges(spark, sf_dir))
+
+
+def stream(spark, sf_dir, planned: DataFrame | None = None) -> DataFrame:
     """Captured data events of the accepted partitions, plus the control events."""
-    planned = log.ranges(spark, sf_dir)
+    if planned is None:
+        planned = planned_ranges(spark, sf_dir)
     data = ranges.capture_ranges(log.data_stream(spark, sf_dir), planned)
     return data.where(F.col("partition_id") % 4 != 2).unionByName(log.control_stream(planned))
 
 
-def folded(spark, sf_dir) -> DataFrame:
-    return state.partition_state(stream(spark, sf_dir))
+def folded(spark, sf_dir, planned: DataFrame | None = None) -> DataFrame:
+    return state.partition_state(stream(spark, sf_dir, planned))
 
 
 STATE_SQL = (
@@ -530,7 +537,7 @@ def partition_counters(spark, sf_dir):
     " ON r.bucket = s.bucket AND r.partition_id = s.partition_id GROUP BY r.bucket, r.partition_id"))
 def requested_counters(spark, sf_dir):
     """Counters of every requested partition, also of those that sent nothing."""
-    planned = log.ranges(spark, sf_dir)
+    planned = planned_ranges(spark, sf_dir)
     captured = ranges.data_events(ranges.capture_ranges(log.data_stream(spark, sf_dir), planned))
     arrived = captured.where(F.col("partition_id") % 4 == 1)
     return state.counters_for(planned, state.partition_counters(arrived))
@@ -563,10 +570,11 @@ def total_mutations(spark, sf_dir):
     " ON c.bucket = s.bucket AND c.partition_id = s.partition_id"
     " WHERE c.kind IN ('mutation', 'remove') AND c.partition_id % 4 <> 2"))
 def changes_with_state(spark, sf_dir):
-    captured = ranges.data_events(stream(spark, sf_dir)).select(
+    planned = planned_ranges(spark, sf_dir)
+    captured = ranges.data_events(stream(spark, sf_dir, planned)).select(
         "bucket", "partition_id", "seqno", "key"
     )
-    return state.attach_state(captured, folded(spark, sf_dir))
+    return state.attach_state(captured, folded(spark, sf_dir, planned))
 
 
 @query("retry_open_ranges", over_ranges(
@@ -576,7 +584,8 @@ def changes_with_state(spark, sf_dir):
     " FROM ranges r JOIN state s ON r.bucket = s.bucket AND r.partition_id = s.partition_id"
     " WHERE s.state = 'Open'"))
 def retry_open_ranges(spark, sf_dir):
-    return ranges.retry_open_ranges(folded(spark, sf_dir), log.ranges(spark, sf_dir))
+    planned = planned_ranges(spark, sf_dir)
+    return ranges.retry_open_ranges(folded(spark, sf_dir, planned), planned)
 
 
 RESTART_SQL = (
@@ -591,8 +600,9 @@ RESTART_SQL = (
 @query("retry_stale_ranges", over_ranges(RESTART_SQL))
 def retry_stale_ranges(spark, sf_dir):
     """Stale partitions asked for again from just below their rollback seqno."""
-    current = folded(spark, sf_dir)
-    restart = ranges.stale_restart_ranges(current, log.ranges(spark, sf_dir))
+    planned = planned_ranges(spark, sf_dir)
+    current = stored(folded(spark, sf_dir, planned))
+    restart = ranges.stale_restart_ranges(current, planned)
     return ranges.retry_stale_ranges(current, restart)
 
 
@@ -601,7 +611,8 @@ def retry_stale_ranges(spark, sf_dir):
     " FROM ranges r JOIN state s ON r.bucket = s.bucket AND r.partition_id = s.partition_id"
     " WHERE s.state = 'Stale'"))
 def rollback_from_stale(spark, sf_dir):
-    return state.rollback_from_stale(folded(spark, sf_dir), log.ranges(spark, sf_dir))
+    planned = planned_ranges(spark, sf_dir)
+    return state.rollback_from_stale(folded(spark, sf_dir, planned), planned)
 
 
 def catalog(spark, sf_dir) -> DataFrame:
