@@ -153,6 +153,16 @@ def test_capture_is_half_open(make):
         assert sorted(r["seqno"] for r in capture_ranges(events, side).collect()) == [3, 4, 5]
 
 
+def test_range_bounds_reach_the_scan(make, spark, tmp_path):
+    path = str(tmp_path / "events")
+    make.events([{"kind": "mutation", "seqno": n, "key": "k"} for n in range(9)]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    ranges = make.ranges([{"partition_id": 0, "start_seqno": 2, "end_seqno": 5}])
+    plan = capture_ranges(stored, ranges)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(seqno,2), LessThanOrEqual(seqno,5)" in plan
+    assert capture_ranges(stored, ranges.where("false")).count() == 0
+
+
 def test_high_seqnos_and_count(make):
     assert {r["partition_id"]: r["high_seqno"] for r in high_seqnos(data_events(events_of(make))).collect()} == {0: 2, 1: 5}
     assert partition_count(events_of(make)).first()["num_partitions"] == 5

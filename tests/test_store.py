@@ -126,7 +126,7 @@ def test_default_threshold_is_ten_files(store, make, spark):
     groups = spark.createDataFrame([("b", 0)], "bucket string, pgroup int")
     entries = spark.createDataFrame([], manifest_module.ENTRY_SCHEMA)
     for n in range(11):
-        entries = entries.unionByName(store._entries(groups, "mutations", "l1", f"r{n}"))
+        entries = entries.unionByName(store._entries(groups, ["mutations"], "l1", f"r{n}"))
         if n == 9:
             store.manifest.publish(store.manifest.latest(), entries)
             assert store.groups_over_threshold(ONE).isEmpty()
@@ -157,6 +157,7 @@ def test_snapshots_outlive_compaction_and_vacuum(store, make):
     store.append_run("r2", pairs(make, (4, "k2"), (5, "k1")))
     store.compact(ONE, threshold=1)
     assert store.vacuum() == 3
+    assert len(store.manifest._numbers()) == 2
     assert keyed(store.restore(ONE)) == ["k1@5", "k2@4"]
     assert keyed(store.restore(ONE, snapshot="monday")) == ["k1@3", "k2@2"]
 

@@ -105,10 +105,19 @@ def range_outcomes(high: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def capture_ranges(events: DataFrame, ranges: DataFrame | Lookup) -> DataFrame:
-    """Events inside the range of their partition: above the start, up to the end."""
+    """Events inside the range of their partition: above the start, up to the end.
+
+    The outermost bounds of all ranges go to the scan as plain limits on seqno,
+    so files that hold only older events are skipped.
+    """
     lookup = ranges if isinstance(ranges, Lookup) else Lookup(ranges)
+    outer = lookup.side.agg(F.min("start_seqno").alias("low"), F.max("end_seqno").alias("high"))
+    bounds = outer.first()
+    if bounds["low"] is None:
+        return events.where("false")
+    within = events.where((F.col("seqno") > bounds["low"]) & (F.col("seqno") <= bounds["high"]))
     inside = "l.seqno > r.start_seqno AND l.seqno <= r.end_seqno"
-    return lookup.join(events, PARTITION, "left_semi", inside)
+    return lookup.join(within, PARTITION, "left_semi", inside)
 
 
 def retry_open_ranges(state: DataFrame, ranges: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ from tidelog.operators.state import (
 )
 from tidelog.plans.store import Bucket, ChangeLogStore, checked_name, with_group
 from tidelog.schemas import CATALOG, CHANGE_EVENTS, PARTITION
-from tidelog.session import Lookup
+from tidelog.session import Lookup, no_rows
 from tidelog.sources import paths
 
 
@@ -30,7 +30,7 @@ def read_catalog(store: ChangeLogStore) -> DataFrame:
     """Partition states of all snapshots, none before the first backup."""
     path = f"{store.home}/catalog"
     if not paths.child_names(store.spark, path):
-        return store.spark.createDataFrame([], CATALOG)
+        return no_rows(store.spark, CATALOG)
     return store.spark.read.schema(CATALOG).parquet(f"{path}/*")
 
 

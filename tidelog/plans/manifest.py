@@ -11,9 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
 from tidelog.schemas import GROUP
+from tidelog.session import no_rows
 from tidelog.sources import paths
 
 ENTRY_SCHEMA = (
@@ -61,7 +63,7 @@ class Manifest:
     def latest(self) -> Version:
         numbers = self._numbers()
         if not numbers:
-            return Version(0, self.spark.createDataFrame([], ENTRY_SCHEMA))
+            return Version(0, no_rows(self.spark, StructType.fromDDL(ENTRY_SCHEMA)))
         return self.at(numbers[-1])
 
     def at(self, number: int) -> Version:
@@ -76,6 +78,12 @@ class Manifest:
             if not paths.exists(self.spark, f"{self._path(number)}/_SUCCESS"):
                 paths.delete(self.spark, self._path(number))
 
+    def keep_only(self, numbers: set[int]) -> None:
+        """Delete finished versions other than these; the latest always stays."""
+        for number in self._numbers()[:-1]:
+            if number not in numbers:
+                paths.delete(self.spark, self._path(number))
+
     def publish(self, base: Version, entries: DataFrame) -> int:
         """Write the version after `base`, which must still be the latest."""
         number = base.number + 1

@@ -22,9 +22,9 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tidelog.functions.scalars import group_bounds, group_label, partition_group
 from tidelog.operators.mutations import MutationMapper, live_mutations, map_rows, restore
@@ -32,9 +32,9 @@ from tidelog.plans import manifest as entries_of
 from tidelog.plans.compaction import compact_filter
 from tidelog.plans.manifest import APPLIED, L0, L1, NEW_FILTER, ROLLBACK, STAGED, Manifest, Version
 from tidelog.schemas import FILTER, GROUP, GROUP_KEY, MUTATIONS, ROLLBACK_LOG, SEQNO_TUPLE
-from tidelog.session import fits_broadcast, stored
+from tidelog.session import fits_broadcast, no_rows, stored
 from tidelog.sources import paths
-from tidelog.sources.files import read_rollback_log, write_rollback_log
+from tidelog.sources.files import read_filter, read_rollback_log, write_rollback_log
 
 # Fixed value: a group is compacted when it has more mutation files than this.
 MUTATION_FILES_THRESHOLD = 10
@@ -45,6 +45,28 @@ CLUSTERED = {
 }
 
 
+SCHEMAS = {
+    NEW_FILTER: FILTER,
+    entries_of.FILTER: FILTER,
+    entries_of.MUTATIONS: MUTATIONS,
+    ROLLBACK: ROLLBACK_LOG,
+}
+
+
+@dataclass(frozen=True)
+class View:
+    """The part of a manifest version that some groups can see.
+
+    `runs` holds, per (kind, level), the runs and whether all their groups are seen.
+    """
+
+    entries: DataFrame
+    runs: dict[tuple[str, str], list[tuple[str, bool]]]
+
+    def of(self, kind: str, level: str) -> DataFrame:
+        return self.entries.where(f"kind = '{kind}' AND level = '{level}'")
+
+
 @dataclass(frozen=True)
 class Bucket:
     """A named collection, its number of partitions and of partition groups."""
@@ -55,8 +77,15 @@ class Bucket:
 
 
 def bucket_table(spark: SparkSession, buckets: Sequence[Bucket]) -> DataFrame:
-    rows = [(b.name, b.num_partitions, b.num_pgroups) for b in buckets]
-    return spark.createDataFrame(rows, "bucket string, num_partitions int, num_pgroups int")
+    """The bucket list as a local relation, which joins without a shuffle."""
+    table = pa.table(
+        {
+            "bucket": pa.array([b.name for b in buckets], pa.string()),
+            "num_partitions": pa.array([b.num_partitions for b in buckets], pa.int32()),
+            "num_pgroups": pa.array([b.num_pgroups for b in buckets], pa.int32()),
+        }
+    )
+    return spark.createDataFrame(table)
 
 
 def enumerate_groups(spark: SparkSession, buckets: Sequence[Bucket]) -> DataFrame:
@@ -161,24 +190,34 @@ class ChangeLogStore:
         self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
         return self.spark.table(table).where(F.col("run").isin(*runs))
 
-    def _read(self, kind: str, schema: StructType, visible: DataFrame) -> DataFrame:
-        """Rows of the visible (run, group) entries of a kind."""
-        runs = visible.groupBy("run").agg(
+    def _view(self, version: Version, groups: DataFrame | None) -> View:
+        """The entries of some groups (all, if None), and the runs they name."""
+        entries = version.entries
+        if groups is not None:
+            entries = entries.join(groups, GROUP, "left_semi")
+        runs: dict[tuple[str, str], list[tuple[str, bool]]] = {}
+        named = entries.groupBy("kind", "level", "run").agg(
             (F.count(F.lit(1)) == F.max("run_groups")).alias("whole")
-        ).collect()
+        )
+        for row in named.collect():
+            runs.setdefault((row["kind"], row["level"]), []).append((row["run"], row["whole"]))
+        return View(entries, runs)
+
+    def _read(self, view: View, kind: str, level: str) -> DataFrame:
+        """Rows of a kind at a level, within the groups of the view."""
+        schema = SCHEMAS[kind]
+        runs = view.runs.get((kind, level))
         if not runs:
-            return self.spark.createDataFrame([], schema)
-        names = sorted(row["run"] for row in runs)
+            return no_rows(self.spark, schema)
+        names = sorted(name for name, _ in runs)
         if kind in CLUSTERED:
             rows = self._clustered_table(kind, names)
         elif kind == ROLLBACK:
             rows = self._each_run(kind, names, read_rollback_log)
         else:
-            rows = self._each_run(
-                kind, names, lambda spark, path: spark.read.schema(schema).parquet(path)
-            )
-        if not all(row["whole"] for row in runs):
-            side = visible.select("run", *GROUP)
+            rows = self._each_run(kind, names, read_filter)
+        if not all(whole for _, whole in runs):
+            side = view.of(kind, level).select("run", *GROUP)
             side = F.broadcast(side) if fits_broadcast(side) else side
             rows = rows.join(side, ["run", *GROUP], "left_semi")
         return rows.select(*schema.names)
@@ -192,21 +231,17 @@ class ChangeLogStore:
             rows = rows.unionByName(part)
         return rows
 
-    def _groups(self, buckets: Sequence[Bucket] | None, version: Version) -> DataFrame:
-        if buckets is None:
-            return version.entries.where("kind <> 'applied'").select(*GROUP).distinct()
-        return enumerate_groups(self.spark, buckets).select(*GROUP)
-
-    def _level(self, version: Version, kind: str, level: str, groups: DataFrame) -> DataFrame:
-        return version.of(kind, level).join(groups, GROUP, "left_semi")
+    def _groups(self, buckets: Sequence[Bucket] | None) -> DataFrame | None:
+        return None if buckets is None else enumerate_groups(self.spark, buckets).select(*GROUP)
 
-    def _entries(self, groups: DataFrame, kind: str, level: str, run: str) -> DataFrame:
-        """Manifest entries that make `run` valid for `groups`."""
-        return groups.select(
-            F.lit(kind).alias("kind"), F.lit(level).alias("level"), F.lit(run).alias("run"), *GROUP
+    def _entries(self, groups: DataFrame, kinds: Sequence[str], level: str, run: str) -> DataFrame:
+        """Manifest entries that make `run` valid for `groups`, for each kind."""
+        every_kind = ", ".join(f"'{kind}'" for kind in kinds)
+        return groups.selectExpr(
+            f"explode(array({every_kind})) AS kind", f"'{level}' AS level", f"'{run}' AS run", *GROUP
         ).selectExpr(
             "*",
-            "count(*) OVER (PARTITION BY run) AS run_groups",
+            "count(*) OVER (PARTITION BY kind) AS run_groups",
             "CAST(NULL AS array<string>) AS replaces",
         )
 
@@ -228,7 +263,8 @@ class ChangeLogStore:
         base = self.manifest.latest()
         if not base.of(APPLIED, L0).where(F.col("run") == run).isEmpty():
             return False
-        added = [self._entries(self._applied_group(), APPLIED, L0, run)]
+        no_group = self.spark.range(1).selectExpr("'' AS bucket", "0 AS pgroup")
+        added = [self._entries(no_group, [APPLIED], L0, run)]
         if mutations is not None:
             spread = mutations.select(*MUTATIONS.names).repartition(self.num_buckets, *SEQNO_TUPLE)
             self._write_clustered(entries_of.MUTATIONS, run, spread)
@@ -238,29 +274,23 @@ class ChangeLogStore:
             path = self._run_path(NEW_FILTER, run)
             written.write.mode("overwrite").parquet(path)
             groups = self.spark.read.schema(FILTER).parquet(path).select(*GROUP).distinct()
-            added.append(self._entries(groups, entries_of.MUTATIONS, L0, run))
-            added.append(self._entries(groups, NEW_FILTER, L0, run))
+            added.append(self._entries(groups, [entries_of.MUTATIONS, NEW_FILTER], L0, run))
         if rollback_log is not None:
             path = self._run_path(ROLLBACK, run)
             write_rollback_log(rollback_log, path, mode="overwrite")
             groups = read_rollback_log(self.spark, path).select(*GROUP).distinct()
-            added.append(self._entries(groups, ROLLBACK, L0, run))
+            added.append(self._entries(groups, [ROLLBACK], L0, run))
         entries = base.entries
         for more in added:
             entries = entries.unionByName(more)
         self.manifest.publish(base, entries)
         return True
 
-    def _applied_group(self) -> DataFrame:
-        return self.spark.range(1).selectExpr("'' AS bucket", "0 AS pgroup")
-
     # --- compaction -------------------------------------------------------------
 
     def groups_needing_filter_compaction(self, buckets: Sequence[Bucket] | None = None) -> DataFrame:
         """Groups with new filter rows; known from the manifest, without a scan."""
-        version = self.manifest.latest()
-        groups = self._groups(buckets, version)
-        return self._level(version, NEW_FILTER, L0, groups).select(*GROUP).distinct()
+        return self._within(self.manifest.latest().of(NEW_FILTER, L0), buckets).distinct()
 
     def groups_over_threshold(
         self,
@@ -268,15 +298,23 @@ class ChangeLogStore:
         threshold: int = MUTATION_FILES_THRESHOLD,
     ) -> DataFrame:
         """Groups with strictly more mainline mutation runs than `threshold`."""
-        version = self.manifest.latest()
-        groups = self._groups(buckets, version)
+        mainline = self.manifest.latest().of(entries_of.MUTATIONS, L1)
         return (
-            self._level(version, entries_of.MUTATIONS, L1, groups)
+            self._within(mainline, buckets, "run")
             .groupBy(*GROUP)
             .agg(F.countDistinct("run").alias("num_files"))
             .where(F.col("num_files") > threshold)
         )
 
+    def _within(
+        self, entries: DataFrame, buckets: Sequence[Bucket] | None, *columns: str
+    ) -> DataFrame:
+        """Groups of manifest entries, with more columns if named, in these buckets."""
+        groups = self._groups(buckets)
+        if groups is not None:
+            entries = entries.join(groups, GROUP, "left_semi")
+        return entries.select(*GROUP, *columns)
+
     def compact_filters(self, buckets: Sequence[Bucket] | None = None) -> str | None:
         """Merge the new filter rows into the mainline filter, and publish.
 
@@ -285,17 +323,16 @@ class ChangeLogStore:
         part of the mainline without being copied.
         """
         base = self.manifest.latest()
-        waiting = self._level(base, NEW_FILTER, L0, self._groups(buckets, base))
-        active = stored(waiting.select(*GROUP).distinct())
+        active = stored(self._within(base.of(NEW_FILTER, L0), buckets).distinct())
         if active.isEmpty():
             return None
-        cuts = self._level(base, ROLLBACK, L0, active)
+        view = self._view(base, active)
         run = f"f{base.number + 1}-{uuid.uuid4().hex[:8]}"
         with _shuffle_partitions(self.spark, self.num_buckets):
             compacted = compact_filter(
-                self._read(entries_of.FILTER, FILTER, self._level(base, entries_of.FILTER, L1, active)),
-                self._read(NEW_FILTER, FILTER, self._level(base, NEW_FILTER, L0, active)),
-                None if cuts.isEmpty() else self._read(ROLLBACK, ROLLBACK_LOG, cuts),
+                self._read(view, entries_of.FILTER, L1),
+                self._read(view, NEW_FILTER, L0),
+                self._read(view, ROLLBACK, L0) if (ROLLBACK, L0) in view.runs else None,
                 active,
             )
             self._write_clustered(entries_of.FILTER, run, compacted)
@@ -309,7 +346,7 @@ class ChangeLogStore:
         self.manifest.publish(
             base,
             kept.select(*entries_of.ENTRY).unionByName(
-                self._entries(active, entries_of.FILTER, L1, run)
+                self._entries(active, [entries_of.FILTER], L1, run)
             ),
         )
         return run
@@ -328,14 +365,14 @@ class ChangeLogStore:
         over = stored(self.groups_over_threshold(buckets, threshold).select(*GROUP))
         if over.isEmpty():
             return None
-        read = self._level(base, entries_of.MUTATIONS, L1, over)
+        view = self._view(base, over)
         run = f"m{base.number + 1}-{uuid.uuid4().hex[:8]}"
         with _shuffle_partitions(self.spark, self.num_buckets):
-            live = self._live(base, over)
+            live = self._live(view)
             self._write_clustered(entries_of.MUTATIONS, run, live)
-        replaced = read.groupBy(*GROUP).agg(F.array_sort(F.collect_set("run")).alias("replaces"))
+        replaced = view.of(entries_of.MUTATIONS, L1).groupBy(*GROUP).agg(F.array_sort(F.collect_set("run")).alias("replaces"))
         staged = (
-            self._entries(over, entries_of.MUTATIONS, STAGED, run)
+            self._entries(over, [entries_of.MUTATIONS], STAGED, run)
             .drop("replaces")
             .join(replaced, GROUP)
         )
@@ -354,8 +391,7 @@ class ChangeLogStore:
         A staged group whose source runs are no longer all valid is dropped.
         """
         base = self.manifest.latest()
-        groups = self._groups(buckets, base)
-        staged = self._level(base, entries_of.MUTATIONS, STAGED, groups)
+        staged = self._within(base.of(entries_of.MUTATIONS, STAGED), buckets, "run", "replaces")
         if staged.isEmpty():
             return False
         current = (
@@ -412,26 +448,23 @@ class ChangeLogStore:
         self, buckets: Sequence[Bucket] | None = None, snapshot: str | None = None
     ) -> DataFrame:
         """Mainline filter."""
-        version = self._version(snapshot)
-        visible = self._level(version, entries_of.FILTER, L1, self._groups(buckets, version))
-        return self._read(entries_of.FILTER, FILTER, visible)
+        view = self._view(self._version(snapshot), self._groups(buckets))
+        return self._read(view, entries_of.FILTER, L1)
 
     def mutation_rows(
         self, buckets: Sequence[Bucket] | None = None, snapshot: str | None = None
     ) -> DataFrame:
         """Mainline mutations, live or not."""
-        version = self._version(snapshot)
-        visible = self._level(version, entries_of.MUTATIONS, L1, self._groups(buckets, version))
-        return self._read(entries_of.MUTATIONS, MUTATIONS, visible)
-
-    def _live(self, version: Version, groups: DataFrame) -> DataFrame:
-        filters = self._level(version, entries_of.FILTER, L1, groups)
-        mutations = self._level(version, entries_of.MUTATIONS, L1, groups)
-        self._check_complete(filters, mutations)
-        return live_mutations(
-            self._read(entries_of.MUTATIONS, MUTATIONS, mutations),
-            self._read(entries_of.FILTER, FILTER, filters),
-        )
+        view = self._view(self._version(snapshot), self._groups(buckets))
+        return self._read(view, entries_of.MUTATIONS, L1)
+
+    def _both(self, view: View) -> tuple[DataFrame, DataFrame]:
+        """Mutations and filter, where every group has both or neither."""
+        self._check_complete(view.of(entries_of.FILTER, L1), view.of(entries_of.MUTATIONS, L1))
+        return self._read(view, entries_of.MUTATIONS, L1), self._read(view, entries_of.FILTER, L1)
+
+    def _live(self, view: View) -> DataFrame:
+        return live_mutations(*self._both(view))
 
     def _check_complete(self, filters: DataFrame, mutations: DataFrame) -> None:
         """A group must have both its filter and its mutations, or neither."""
@@ -451,8 +484,7 @@ class ChangeLogStore:
     def live_mutations(
         self, buckets: Sequence[Bucket] | None = None, snapshot: str | None = None
     ) -> DataFrame:
-        version = self._version(snapshot)
-        return self._live(version, self._groups(buckets, version))
+        return self._live(self._view(self._version(snapshot), self._groups(buckets)))
 
     def map_mutations(
         self,
@@ -475,24 +507,23 @@ class ChangeLogStore:
         include_deletes: bool = True,
     ) -> DataFrame:
         """Rows to write back: all live ones, or those above a seqno per partition."""
-        return restore(
-            self.mutation_rows(buckets, snapshot),
-            self.filter_rows(buckets, snapshot),
-            since,
-            include_deletes,
-        )
+        view = self._view(self._version(snapshot), self._groups(buckets))
+        return restore(*self._both(view), since, include_deletes)
 
     # --- cleaning ---------------------------------------------------------------
 
     def vacuum(self) -> int:
         """Delete run folders that neither the mainline nor a snapshot refers to.
 
+        Manifest versions that nothing refers to any more go as well.
+
         Run it while no other operation writes to the store.
         """
         versions = [self.manifest.latest()]
         for name in paths.child_names(self.spark, f"{self.home}/snapshots"):
             if name.startswith("name="):
                 versions.append(self._version(name.removeprefix("name=")))
+        self.manifest.keep_only({version.number for version in versions})
         used = set()
         for version in versions:
             used |= {

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 FIXED_WIDTH_BYTES = 16
@@ -30,6 +30,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty frame the optimizer knows to be empty, so joins with it vanish."""
+    columns = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
+    return spark.range(1).where("false").selectExpr(*columns)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

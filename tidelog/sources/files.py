@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidelog.functions.scalars import rollback_fields
 from tidelog.schemas import FILTER, MUTATIONS, ROLLBACK_LOG
+from tidelog.session import no_rows
 from tidelog.sources.paths import matches
 
 FORMATS = ["parquet", "orc", "json", "csv"]
@@ -44,7 +45,7 @@ def read_filter(spark: SparkSession, path: str, file_format: str = "parquet") ->
 def read_filter_or_empty(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
     """As `read_filter`; no rows where nothing matches, as on the very first run."""
     if not matches(spark, path):
-        return spark.createDataFrame([], FILTER)
+        return no_rows(spark, FILTER)
     return read_filter(spark, path, file_format)
 
 
@@ -56,7 +57,7 @@ def read_mutations_or_empty(
     spark: SparkSession, path: str, file_format: str = "parquet"
 ) -> DataFrame:
     if not matches(spark, path):
-        return spark.createDataFrame([], MUTATIONS)
+        return no_rows(spark, MUTATIONS)
     return read_mutations(spark, path, file_format)
 
 
@@ -87,7 +88,7 @@ def read_rollback_log(spark: SparkSession, path: str) -> DataFrame:
 def read_rollback_log_or_empty(spark: SparkSession, path: str) -> DataFrame:
     """As `read_rollback_log`; a missing log means nothing is rolled back."""
     if not matches(spark, path):
-        return spark.createDataFrame([], ROLLBACK_LOG)
+        return no_rows(spark, ROLLBACK_LOG)
     return read_rollback_log(spark, path)
 
 
