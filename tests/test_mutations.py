@@ -16,7 +16,9 @@ from tidelog.functions.scalars import (
 )
 from tidelog.operators.mutations import (
     MutationMapper,
+    MutationSink,
     count_by_type,
+    deliver,
     groups_over_threshold,
     map_mutations,
     map_rows,
@@ -121,6 +123,19 @@ def test_mapper_teardown_runs_after_a_failure(make, tmp_path):
     assert log.read_text().split("\n")[-2] == "teardown"
 
 
+def test_deliver_writes_every_record(make, tmp_path):
+    log = tmp_path / "restored"
+
+    class Printer(MutationSink):
+        def write(self, batch):
+            with open(log, "a") as out:
+                out.writelines(f"Rec: {key}\n" for key in batch["key"])
+
+    assert deliver(restore(data(make), everything(make)), Printer()) == 3
+    assert sorted(log.read_text().split("\n")[:-1]) == ["Rec: a", "Rec: b", "Rec: c"]
+    assert deliver(data(make).where("false"), Printer()) == 0
+
+
 def test_map_batches_and_columns_agree(make):
     class Lengths(MutationMapper):
         def map_batch(self, batch):

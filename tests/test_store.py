@@ -10,6 +10,7 @@ from tidelog.plans.manifest import ConcurrentPublish
 from tidelog.plans.store import Bucket, ChangeLogStore, enumerate_groups, with_group
 from tidelog.operators.mutations import MutationMapper
 from tidelog.operators.ranges import mainline, snapshot_partition
+from tidelog.sources import paths
 
 ONE = [Bucket("b", 1, 1)]
 TWO_GROUPS = [Bucket("b", 2, 2)]
@@ -144,6 +145,23 @@ def test_stale_staged_mutations_are_dropped(store, make):
     assert store.manifest.latest().of("mutations", "staged").isEmpty()
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_compacted_mutations_have_one_file_per_bucket(store, make, spark, threshold):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for n in range(3):
+            store.append_run(f"r{n}", pairs(make, *[(n * 100 + i, f"k{i}") for i in range(40)]))
+            store.compact_filters(ONE)
+        run = store.compact_mutations(ONE, threshold=1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for kind in ("mutations", "filter"):
+        name = run if kind == "mutations" else store._view(store.manifest.latest(), None).runs["filter", "l1"][0][0]
+        files = paths.list_files(spark, f"{store.home}/{kind}/run={name}/*.parquet")
+        assert 1 < files.count() <= store.num_buckets
+
+
 def test_compact_in_one_call(store, make):
     store.append_run("r1", pairs(make, (1, "k"), (2, "k")))
     store.compact(ONE, threshold=0)

@@ -152,3 +152,34 @@ def map_mutations(
     if isinstance(mapper, MutationMapper):
         return map_rows(live, mapper, schema)
     return live.transform(mapper)
+
+
+class MutationSink:
+    """A target that records are written back to, one batch at a time.
+
+    A task may run again after a failure, so `write` must bear repeats.
+    """
+
+    def setup(self) -> None:
+        pass
+
+    def write(self, batch: pd.DataFrame) -> None:
+        raise NotImplementedError
+
+    def teardown(self) -> None:
+        pass
+
+
+class _Delivery(MutationMapper):
+    def __init__(self, sink: MutationSink):
+        self.setup, self.teardown, self.write = sink.setup, sink.teardown, sink.write
+
+    def map_batch(self, batch: pd.DataFrame) -> pd.DataFrame:
+        self.write(batch)
+        return pd.DataFrame({"delivered": [len(batch)]})
+
+
+def deliver(rows: DataFrame, sink: MutationSink) -> int:
+    """Write rows to `sink` from the tasks that hold them; returns how many."""
+    written = map_rows(rows, _Delivery(sink), "delivered long")
+    return written.agg(F.coalesce(F.sum("delivered"), F.lit(0))).first()[0]

@@ -368,7 +368,9 @@ class ChangeLogStore:
         view = self._view(base, over)
         run = f"m{base.number + 1}-{uuid.uuid4().hex[:8]}"
         with _shuffle_partitions(self.spark, self.num_buckets):
-            live = self._live(view)
+            # Free where the join kept the bucketing; after a broadcast join it
+            # brings the rows of a bucket together, for one file per bucket.
+            live = self._live(view).repartition(self.num_buckets, *SEQNO_TUPLE)
             self._write_clustered(entries_of.MUTATIONS, run, live)
         replaced = view.of(entries_of.MUTATIONS, L1).groupBy(*GROUP).agg(F.array_sort(F.collect_set("run")).alias("replaces"))
         staged = (

@@ -12,10 +12,16 @@ from tidelog.session import no_rows
 from tidelog.sources.paths import matches
 
 FORMATS = ["parquet", "orc", "json", "csv"]
+WITH_CONNECTOR = ["avro"]
 TEXT_FORMATS = ["json", "csv"]
 BINARY_COLUMN = "content"
 
 
+def _check_format(file_format: str) -> None:
+    if file_format not in FORMATS + WITH_CONNECTOR:
+        raise ValueError(f"unsupported format: {file_format}")
+
+
 def _storable(rows: DataFrame, file_format: str) -> DataFrame:
     """Text formats hold binary content as base64."""
     if file_format in TEXT_FORMATS and BINARY_COLUMN in rows.columns:
@@ -27,8 +33,7 @@ def read_rows(
     spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet"
 ) -> DataFrame:
     """Rows of a known schema from a path or glob; a missing path is an error."""
-    if file_format not in FORMATS:
-        raise ValueError(f"unsupported format: {file_format}")
+    _check_format(file_format)
     if file_format not in TEXT_FORMATS or BINARY_COLUMN not in schema.names:
         return spark.read.schema(schema).format(file_format).load(path)
     stored = StructType(
@@ -63,8 +68,7 @@ def read_mutations_or_empty(
 
 def write_rows(rows: DataFrame, path: str, file_format: str = "parquet") -> None:
     """Write rows; fails when the path exists."""
-    if file_format not in FORMATS:
-        raise ValueError(f"unsupported format: {file_format}")
+    _check_format(file_format)
     _storable(rows, file_format).write.mode("errorifexists").format(file_format).save(path)
 
 
