@@ -50,15 +50,37 @@ def test_capture_of_ranges(spark, source, make, tmp_path):
     assert keyed(store.live_mutations(ONE)) == ["k2@2"]
 
 
-def test_stream_replayed_from_scratch_is_stored_once(spark, source, tmp_path):
+def forget_commits(checkpoint):
+    """Make a stream replay its last batch, as after a lost driver."""
+    commits = [p for p in checkpoint.joinpath("commits").iterdir() if p.name.isdigit()]
+    last = max(commits, key=lambda p: int(p.name))
+    last.unlink()
+    last.with_name(f".{last.name}.crc").unlink(missing_ok=True)
+
+
+def test_replayed_batch_is_stored_once(spark, source, tmp_path):
     store = ChangeLogStore(spark, str(tmp_path / "home"))
     events = stream_events(spark, source, max_files=1)
-    for attempt in ("o1", "o2"):
-        capture_stream(store, events, ONE, "s", str(tmp_path / attempt)).awaitTermination()
+    for _ in range(2):
+        query = capture_stream(store, events, ONE, "s", str(tmp_path / "o"))
+        query.awaitTermination()
+        forget_commits(tmp_path / "o")
     store.compact_filters(ONE)
     assert keyed(store.mutation_rows(ONE)) == ["k1@1", "k1@3", "k2@2"]
 
 
+def test_new_checkpoint_captures_anew(spark, source, make, tmp_path):
+    """Nothing may get lost because another stream used the same batch numbers."""
+    store = ChangeLogStore(spark, str(tmp_path / "home"))
+    other = str(tmp_path / "other")
+    make.events([put(1, 7, "k7")]).coalesce(1).write.parquet(other)
+    for number, path in enumerate((source, other)):
+        events = stream_events(spark, path)
+        capture_stream(store, events, ONE, "s", str(tmp_path / f"o{number}")).awaitTermination()
+    store.compact_filters(ONE)
+    assert keyed(store.live_mutations(ONE)) == ["k1@3", "k2@2", "k7@7"]
+
+
 def test_unknown_event_stops_the_stream(spark, source, make, tmp_path):
     make.events([{"kind": "odd"}]).write.mode("append").parquet(source)
     store = ChangeLogStore(spark, str(tmp_path / "home"))
@@ -69,15 +91,26 @@ def test_unknown_event_stops_the_stream(spark, source, make, tmp_path):
 
 @pytest.mark.parametrize("max_files", [1, 2, None])
 def test_state_equals_batch(spark, source, tmp_path, max_files):
-    path = str(tmp_path / "state")
+    path, checkpoint = str(tmp_path / "state"), tmp_path / "o"
     events = stream_events(spark, source, max_files=max_files)
-    for attempt in ("o1", "o2"):
-        track_state(events, path, str(tmp_path / attempt)).awaitTermination()
     expected = partition_state(read_events(spark, source)).collect()
-    assert read_state(spark, path).collect() == expected
+    for _ in range(2):
+        track_state(events, path, str(checkpoint)).awaitTermination()
+        assert read_state(spark, path, str(checkpoint)).collect() == expected
+        forget_commits(checkpoint)
     assert expected[0]["state"] == "Closed" and expected[0]["num_mutations"] == 3
 
 
+def test_state_of_another_checkpoint_starts_over(spark, source, tmp_path):
+    path = str(tmp_path / "state")
+    expected = partition_state(read_events(spark, source)).collect()
+    for number, max_files in enumerate((1, None)):
+        events = stream_events(spark, source, max_files=max_files)
+        checkpoint = str(tmp_path / f"o{number}")
+        track_state(events, path, checkpoint).awaitTermination()
+        assert read_state(spark, path, checkpoint).collect() == expected
+
+
 def test_counters_as_a_streaming_aggregate(spark, source, tmp_path):
     query = (
         counter_stream(stream_events(spark, source, max_files=1))

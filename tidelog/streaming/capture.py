@@ -11,6 +11,7 @@ from tidelog.functions.records import mutation_rows
 from tidelog.operators.ranges import capture_ranges, checked_events, data_events
 from tidelog.plans.store import Bucket, ChangeLogStore, with_group
 from tidelog.session import Lookup
+from tidelog.streaming.identity import stream_id
 
 
 def capture_stream(
@@ -24,9 +25,9 @@ def capture_stream(
 ) -> StreamingQuery:
     """Start a run that captures all available events and then stops.
 
-    Each micro-batch becomes one capture run, named after the stream and batch.
-    The store ignores a run it already has, so a batch replayed after a failure
-    is stored once. With `ranges` only events inside them are kept. With
+    Each micro-batch becomes one capture run, named after the stream, its
+    checkpoint and the batch. The store ignores a run it already has, so a batch
+    replayed after a failure is stored once. With `ranges` only events inside them are kept. With
     `compact` each batch is merged into the mainline filter at once.
     """
     lookup = None if ranges is None else Lookup(ranges)
@@ -35,7 +36,8 @@ def capture_stream(
         data = data_events(checked_events(batch))
         if lookup is not None:
             data = capture_ranges(data, lookup)
-        store.append_run(f"{name}-{batch_id}", mutation_rows(with_group(data, buckets)))
+        run = f"{name}-{stream_id(store.spark, checkpoint)}-{batch_id}"
+        store.append_run(run, mutation_rows(with_group(data, buckets)))
         if compact:
             store.compact_filters(buckets)
 

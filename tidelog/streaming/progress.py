@@ -12,6 +12,7 @@ from tidelog.operators.state import (
     progress_to_state,
 )
 from tidelog.sources import paths
+from tidelog.streaming.identity import stream_id
 
 
 def counter_stream(events: DataFrame) -> DataFrame:
@@ -29,8 +30,12 @@ def _epochs(spark: SparkSession, path: str) -> list[int]:
     ]
 
 
-def _epoch_path(path: str, number: int) -> str:
-    return f"{path}/epoch={number:010d}"
+def _epoch_path(folder: str, number: int) -> str:
+    return f"{folder}/epoch={number:010d}"
+
+
+def _folder(spark: SparkSession, path: str, checkpoint: str) -> str:
+    return f"{path}/stream={stream_id(spark, checkpoint)}"
 
 
 def track_state(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -43,15 +48,16 @@ def track_state(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
     def fold_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        folder = _folder(spark, path, checkpoint)
         progress = fold_events(batch)
-        before = [number for number in _epochs(spark, path) if number < batch_id]
+        before = [number for number in _epochs(spark, folder) if number < batch_id]
         if before:
-            earlier = spark.read.schema(progress.schema).parquet(_epoch_path(path, before[-1]))
+            earlier = spark.read.schema(progress.schema).parquet(_epoch_path(folder, before[-1]))
             progress = progress.unionByName(earlier)
-        target = _epoch_path(path, batch_id)
+        target = _epoch_path(folder, batch_id)
         combine_progress(progress).write.mode("overwrite").parquet(target)
         for number in before[:-1]:
-            paths.delete(spark, _epoch_path(path, number))
+            paths.delete(spark, _epoch_path(folder, number))
 
     return (
         events.writeStream.foreachBatch(fold_batch)
@@ -61,7 +67,7 @@ def track_state(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def read_state(spark: SparkSession, path: str) -> DataFrame:
-    """State after the last finished batch."""
-    progress = spark.read.parquet(_epoch_path(path, _epochs(spark, path)[-1]))
-    return progress_to_state(progress)
+def read_state(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """State after the last finished batch of the stream with this checkpoint."""
+    folder = _folder(spark, path, checkpoint)
+    return progress_to_state(spark.read.parquet(_epoch_path(folder, _epochs(spark, folder)[-1])))

@@ -241,10 +241,10 @@ def streaming_capture(spark, sf_dir):
 @query("streaming_state", over_ranges(STATE_SQL))
 def streaming_state(spark, sf_dir):
     """Partition state folded micro-batch by micro-batch."""
-    path = scratch_path(spark, "state")
+    path, checkpoint = scratch_path(spark, "state"), scratch_path(spark, "offsets")
     events = event_sources.stream_events(spark, event_files(spark, sf_dir), max_files=1)
-    track_state(events, path, scratch_path(spark, "offsets")).awaitTermination()
-    return read_state(spark, path).drop("failover_log")
+    track_state(events, path, checkpoint).awaitTermination()
+    return read_state(spark, path, checkpoint).drop("failover_log")
 
 
 @query("streaming_counters", over_ranges(
