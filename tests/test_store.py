@@ -205,6 +205,36 @@ def test_second_writer_fails(store, make):
         store.manifest.publish(base, base.entries)
 
 
+def between(monkeypatch, action):
+    """Let another writer act once, just before the next publish."""
+    publish = manifest_module.Manifest.publish
+
+    def interrupted(self, base, entries):
+        monkeypatch.setattr(manifest_module.Manifest, "publish", publish)
+        action()
+        return publish(self, base, entries)
+
+    monkeypatch.setattr(manifest_module, "PAUSE_SECONDS", 0)
+    monkeypatch.setattr(manifest_module.Manifest, "publish", interrupted)
+
+
+def test_capture_during_compaction_is_kept(store, make, monkeypatch):
+    store.append_run("r1", pairs(make, (1, "a")))
+    between(monkeypatch, lambda: store.append_run("r2", pairs(make, (2, "b"))))
+    store.compact_filters(ONE)
+    assert keyed(store.live_mutations(ONE)) == ["a@1"]
+    store.compact_filters(ONE)
+    assert keyed(store.live_mutations(ONE)) == ["a@1", "b@2"]
+
+
+def test_second_compaction_of_the_same_runs_fails(store, make, monkeypatch):
+    store.append_run("r1", pairs(make, (1, "a")))
+    between(monkeypatch, lambda: store.compact_filters(ONE))
+    with pytest.raises(ConcurrentPublish, match="used the same runs"):
+        store.compact_filters(ONE)
+    assert keyed(store.live_mutations(ONE)) == ["a@1"]
+
+
 def test_unfinished_version_blocks_until_discarded(store, make):
     store.append_run("r1", pairs(make, (1, "k")))
     import os

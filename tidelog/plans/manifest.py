@@ -8,6 +8,7 @@ the old or the new version.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ ENTRY_SCHEMA = (
     "kind string, level string, run string, bucket string, pgroup int,"
     " run_groups bigint, replaces array<string>"
 )
+IDENTITY = ["kind", "level", "run", *GROUP]
 ENTRY = ["kind", "level", "run", *GROUP, "run_groups", "replaces"]
 
 # Kinds of files and their levels. `applied` remembers finished runs.
@@ -32,6 +34,7 @@ NEW_FILTER, FILTER, MUTATIONS, ROLLBACK, APPLIED = (
     "rblog",
     "applied",
 )
+ATTEMPTS, PAUSE_SECONDS = 10, 1.0
 L0, L1, STAGED = "l0", "l1", "staged"
 
 
@@ -84,6 +87,27 @@ class Manifest:
             if number not in numbers:
                 paths.delete(self.spark, self._path(number))
 
+    def change(self, removed: DataFrame | None, added: DataFrame) -> int:
+        """Publish the latest version without `removed` and with `added` entries.
+
+        When another writer gets in between, the change is put on top of what it
+        wrote. That is safe as long as the entries to remove are still there; if
+        not, the other writer has used up the same runs, and this one must fail.
+        """
+        for _ in range(ATTEMPTS):
+            try:
+                base = self.latest()
+                entries = base.entries
+                if removed is not None:
+                    gone = removed.select(*IDENTITY).join(entries, IDENTITY, "left_anti")
+                    if not gone.isEmpty():
+                        break
+                    entries = entries.join(removed.select(*IDENTITY), IDENTITY, "left_anti")
+                return self.publish(base, entries.select(*ENTRY).unionByName(added.select(*ENTRY)))
+            except ConcurrentPublish:
+                time.sleep(PAUSE_SECONDS)
+        raise ConcurrentPublish("another writer used the same runs, or is still writing")
+
     def publish(self, base: Version, entries: DataFrame) -> int:
         """Write the version after `base`, which must still be the latest."""
         number = base.number + 1

@@ -21,6 +21,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -226,10 +227,7 @@ class ChangeLogStore:
         parts = [
             read(self.spark, self._run_path(kind, run)).withColumn("run", F.lit(run)) for run in runs
         ]
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
-        return rows
+        return reduce(DataFrame.unionByName, parts)
 
     def _groups(self, buckets: Sequence[Bucket] | None) -> DataFrame | None:
         return None if buckets is None else enumerate_groups(self.spark, buckets).select(*GROUP)
@@ -260,8 +258,7 @@ class ChangeLogStore:
         files of an unfinished attempt are replaced.
         """
         checked_name(run)
-        base = self.manifest.latest()
-        if not base.of(APPLIED, L0).where(F.col("run") == run).isEmpty():
+        if not self.manifest.latest().of(APPLIED, L0).where(F.col("run") == run).isEmpty():
             return False
         no_group = self.spark.range(1).selectExpr("'' AS bucket", "0 AS pgroup")
         added = [self._entries(no_group, [APPLIED], L0, run)]
@@ -280,10 +277,7 @@ class ChangeLogStore:
             write_rollback_log(rollback_log, path, mode="overwrite")
             groups = read_rollback_log(self.spark, path).select(*GROUP).distinct()
             added.append(self._entries(groups, [ROLLBACK], L0, run))
-        entries = base.entries
-        for more in added:
-            entries = entries.unionByName(more)
-        self.manifest.publish(base, entries)
+        self.manifest.change(None, reduce(DataFrame.unionByName, added))
         return True
 
     # --- compaction -------------------------------------------------------------
@@ -298,9 +292,13 @@ class ChangeLogStore:
         threshold: int = MUTATION_FILES_THRESHOLD,
     ) -> DataFrame:
         """Groups with strictly more mainline mutation runs than `threshold`."""
-        mainline = self.manifest.latest().of(entries_of.MUTATIONS, L1)
+        return self._over(self.manifest.latest(), buckets, threshold)
+
+    def _over(
+        self, version: Version, buckets: Sequence[Bucket] | None, threshold: int
+    ) -> DataFrame:
         return (
-            self._within(mainline, buckets, "run")
+            self._within(version.of(entries_of.MUTATIONS, L1), buckets, "run")
             .groupBy(*GROUP)
             .agg(F.countDistinct("run").alias("num_files"))
             .where(F.col("num_files") > threshold)
@@ -337,18 +335,17 @@ class ChangeLogStore:
             )
             self._write_clustered(entries_of.FILTER, run, compacted)
 
-        touched = base.entries.join(active.withColumn("_active", F.lit(True)), GROUP, "left")
-        consumed = f"_active AND kind IN ('{NEW_FILTER}', '{ROLLBACK}', '{entries_of.FILTER}')"
-        moved = f"_active AND kind = '{entries_of.MUTATIONS}' AND level = '{L0}'"
-        kept = touched.where(f"NOT coalesce({consumed}, false)").withColumn(
-            "level", F.expr(f"IF({moved}, '{L1}', level)")
+        captured = view.of(entries_of.MUTATIONS, L0)
+        used = (
+            view.of(NEW_FILTER, L0)
+            .unionByName(view.of(ROLLBACK, L0))
+            .unionByName(view.of(entries_of.FILTER, L1))
+            .unionByName(captured)
         )
-        self.manifest.publish(
-            base,
-            kept.select(*entries_of.ENTRY).unionByName(
-                self._entries(active, [entries_of.FILTER], L1, run)
-            ),
+        added = self._entries(active, [entries_of.FILTER], L1, run).unionByName(
+            captured.select(*entries_of.ENTRY).withColumn("level", F.lit(L1))
         )
+        self.manifest.change(used, added)
         return run
 
     def compact_mutations(
@@ -362,7 +359,7 @@ class ChangeLogStore:
         appended in between are not lost, as only the runs read here get replaced.
         """
         base = self.manifest.latest()
-        over = stored(self.groups_over_threshold(buckets, threshold).select(*GROUP))
+        over = stored(self._over(base, buckets, threshold).select(*GROUP))
         if over.isEmpty():
             return None
         view = self._view(base, over)
@@ -372,19 +369,14 @@ class ChangeLogStore:
             # brings the rows of a bucket together, for one file per bucket.
             live = self._live(view).repartition(self.num_buckets, *SEQNO_TUPLE)
             self._write_clustered(entries_of.MUTATIONS, run, live)
-        replaced = view.of(entries_of.MUTATIONS, L1).groupBy(*GROUP).agg(F.array_sort(F.collect_set("run")).alias("replaces"))
+        sources = view.of(entries_of.MUTATIONS, L1).groupBy(*GROUP)
+        replaced = sources.agg(F.array_sort(F.collect_set("run")).alias("replaces"))
         staged = (
             self._entries(over, [entries_of.MUTATIONS], STAGED, run)
             .drop("replaces")
             .join(replaced, GROUP)
         )
-        earlier = base.entries.join(over.withColumn("_over", F.lit(True)), GROUP, "left").where(
-            f"NOT coalesce(_over AND level = '{STAGED}', false)"
-        )
-        self.manifest.publish(
-            base,
-            earlier.select(*entries_of.ENTRY).unionByName(staged.select(*entries_of.ENTRY)),
-        )
+        self.manifest.change(view.of(entries_of.MUTATIONS, STAGED), staged)
         return run
 
     def publish_compacted_mutations(self, buckets: Sequence[Bucket] | None = None) -> bool:
@@ -393,30 +385,24 @@ class ChangeLogStore:
         A staged group whose source runs are no longer all valid is dropped.
         """
         base = self.manifest.latest()
-        staged = self._within(base.of(entries_of.MUTATIONS, STAGED), buckets, "run", "replaces")
-        if staged.isEmpty():
+        view = self._view(base, self._groups(buckets))
+        if (entries_of.MUTATIONS, STAGED) not in view.runs:
             return False
-        current = (
-            base.of(entries_of.MUTATIONS, L1)
-            .groupBy(*GROUP)
-            .agg(F.collect_set("run").alias("_current"))
+        staged, mainline = view.of(entries_of.MUTATIONS, STAGED), view.of(entries_of.MUTATIONS, L1)
+        current = mainline.groupBy(*GROUP).agg(F.collect_set("run").alias("_current"))
+        valid = (
+            staged.join(current, GROUP)
+            .where("size(array_except(replaces, _current)) = 0")
+            .select(*entries_of.ENTRY)
         )
-        plan = staged.join(current, GROUP, "left").select(
-            *GROUP,
-            F.col("run").alias("_staged_run"),
-            F.col("replaces").alias("_replaces"),
-            F.expr("coalesce(size(array_except(replaces, _current)) = 0, false)").alias("_valid"),
-        )
-        is_replaced = f"kind = '{entries_of.MUTATIONS}' AND level = '{L1}' AND _valid AND array_contains(_replaces, run)"
-        is_staged = f"kind = '{entries_of.MUTATIONS}' AND level = '{STAGED}' AND run = _staged_run"
-        after = (
-            base.entries.join(plan, GROUP, "left")
-            .where(f"NOT coalesce({is_replaced}, false)")
-            .where(f"NOT coalesce({is_staged} AND NOT _valid, false)")
-            .withColumn("level", F.expr(f"IF(coalesce({is_staged}, false), '{L1}', level)"))
-            .withColumn("replaces", F.expr(f"IF(level = '{STAGED}', replaces, NULL)"))
+        replaced = valid.select(*GROUP, F.explode("replaces").alias("run"))
+        used = mainline.join(replaced, [*GROUP, "run"], "left_semi")
+        self.manifest.change(
+            staged.select(*entries_of.ENTRY).unionByName(used.select(*entries_of.ENTRY)),
+            valid.withColumn("level", F.lit(L1)).withColumn(
+                "replaces", F.lit(None).cast("array<string>")
+            ),
         )
-        self.manifest.publish(base, after.select(*entries_of.ENTRY))
         return True
 
     def compact(
