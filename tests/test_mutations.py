@@ -67,6 +67,8 @@ def test_mask(make):
     assert texts(mask(data(make)))[0] == "Xxxx nnn, Xxx"
     masked = mask(data(make), [("[0-9]+", "#"), ("Bob", "*")], hash_key=True)
     assert texts(masked)[:2] == ["Call #, *", None]
+    narrowed = mask(data(make), [("[0-9]+, B", "#", ","), ("l+", "L", "absent")])
+    assert texts(narrowed)[:2] == ["Call #ob", None]
     assert all(len(row["key"]) == 64 for row in masked.collect())
 
 

@@ -348,7 +348,7 @@ def mask_documents(spark, sf_dir):
         F.col("doc_id").cast("string").alias("key"), F.col("text").cast("binary").alias("content")
     )
     sized = rows.withColumn("content_len", scalars.content_length(F.col("content")))
-    masked = muts.mask(sized, [(EMAIL, "<email>"), ("[0-9]", "#")])
+    masked = muts.mask(sized, [(EMAIL, "<email>", "@"), ("[0-9]", "#")])
     return masked.withColumn("content", F.col("content").cast("string"))
 
 
