@@ -40,6 +40,8 @@ from tidelog.sources.files import read_filter, read_rollback_log, write_rollback
 # Fixed value: a group is compacted when it has more mutation files than this.
 MUTATION_FILES_THRESHOLD = 10
 
+MAX_BROADCAST_BUCKETS = 100_000
+
 CLUSTERED = {
     entries_of.FILTER: (FILTER, GROUP_KEY),
     entries_of.MUTATIONS: (MUTATIONS, SEQNO_TUPLE),
@@ -100,7 +102,10 @@ def enumerate_groups(spark: SparkSession, buckets: Sequence[Bucket]) -> DataFram
 
 def with_group(rows: DataFrame, buckets: Sequence[Bucket]) -> DataFrame:
     """Add `pgroup`; an unknown bucket or a partition out of range aborts."""
-    sized = rows.join(bucket_table(rows.sparkSession, buckets), "bucket", "left")
+    known_buckets = bucket_table(rows.sparkSession, buckets)
+    if len(buckets) <= MAX_BROADCAST_BUCKETS:
+        known_buckets = F.broadcast(known_buckets)
+    sized = rows.join(known_buckets, "bucket", "left")
     known = "partition_id >= 0 AND partition_id < num_partitions"
     group = F.when(
         F.expr(known),

@@ -11,6 +11,8 @@ from tidelog.operators.state import (
     partition_counters,
     progress_to_state,
 )
+from tidelog.schemas import CHANGE_EVENTS
+from tidelog.session import no_rows
 from tidelog.sources import paths
 from tidelog.streaming.identity import stream_id
 
@@ -70,4 +72,6 @@ def track_state(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 def read_state(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
     """State after the last finished batch of the stream with this checkpoint."""
     folder = _folder(spark, path, checkpoint)
-    return progress_to_state(spark.read.parquet(_epoch_path(folder, _epochs(spark, folder)[-1])))
+    schema = fold_events(no_rows(spark, CHANGE_EVENTS)).schema
+    latest = _epoch_path(folder, _epochs(spark, folder)[-1])
+    return progress_to_state(spark.read.schema(schema).parquet(latest))

@@ -8,12 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.functions.records import mutation_rows
 from tidelog.functions.scalars import content_text
-from tidelog.operators import filters, ranges, state
+from tidelog.operators import filters, ranges
 from tidelog.plans.backup import read_catalog, run_backup
-from tidelog.plans.store import ChangeLogStore, with_group
-from tidelog.schemas import FILTER, MUTATIONS
+from tidelog.plans.store import ChangeLogStore
+from tidelog.schemas import MUTATIONS
 from tidelog.session import scratch_path
 from tidelog.sources import events as event_sources
 from tidelog.sources import files
