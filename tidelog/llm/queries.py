@@ -1,6 +1,14 @@
 """Registered queries of the training-data operators and their SQL."""
 
-from tidelog.llm import language_id, packing, secret_scan, url_rules  # noqa: F401  (register their queries)
+from tidelog.llm import (  # noqa: F401  (register their queries)
+    decontamination,
+    language_id,
+    line_dedup,
+    ngram_join,
+    packing,
+    secret_scan,
+    url_rules,
+)
 from tidelog.llm.common import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
