@@ -42,8 +42,8 @@ UNITS = (
 )
 SEPARATORS = f"[^\\\\p{{L}}\\\\p{{M}}\\\\p{{N}}{NAME}-{UNIT}]+"
 
-# a capital letter inside a sentence begins a name
-MARK_NAMES = r"(?<=[^\\s.!?:;][ \\t])(?=\\p{Lu})"
+# a capital letter before a small one, inside a sentence, begins a name
+MARK_NAMES = r"(?<=[^\\s.!?:;][ \\t])(?=\\p{Lu}\\p{Ll})"
 MARK_NUMBERS = r"\\b\\d+(?:[.,:/]\\d+)*"
 MARK_UNITS = rf"({NUMBER}\\d+)\\s?((?:{UNITS})(?![\\p{{L}}\\p{{N}}]))"
 
