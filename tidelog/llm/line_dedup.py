@@ -2,13 +2,15 @@
 
 A line's shingles are its character 8-grams that begin at a word (at the end of
 the line, what is left), case and punctuation included. Equal lines are one class
-from the start. Each class gets six minima of its hashed shingles under different
+from the start. Each class gets five minima of its hashed shingles under different
 orders; every pair of minima is a band, so two lines at a similarity of 0.8 meet in
-some band with a probability of 0.998. Classes that share a band are compared by
+some band with a probability of 0.993. Classes that share a band are compared by
 the exact Jaccard similarity of their shingle sets; links make components, and of
 each component the line with the smallest (doc_id, line number) stays.
 
-A band may hold a third of all classes. Its members are first compared with its two
+A band may hold a third of all classes. Bands are aggregated to their number of
+members and the least, the greatest and the XOR of these, which names all members of
+bands of two and three; only larger bands look up theirs. Members are first compared with its two
 leaders only; then bands whose members are all in one component are done, and in
 the rest only members of different components are compared, so no pair that could
 still change a component is left out and near copies are not expanded into pairs.
@@ -27,13 +29,14 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import registered, table, written
 from tidelog.llm.components import components
+from tidelog.session import Lookup
 
 SHINGLE = 8
-MINIMA = 6
+MINIMA = 5
 MIN_PERCENT = 80
 
 #: What the hashes are combined with for each order.
-ORDERS = [0, 7640891576956012809, 3141592653589793238, 5772156649015328606, 1618033988749894848, 4142135623730950488]
+ORDERS = [0, 7640891576956012809, 3141592653589793238, 5772156649015328606, 1618033988749894848]
 
 SHINGLES = f"array_distinct(transform(regexp_extract_all(line, '(?<!\\\\S)(?=(\\\\S.{{0,{SHINGLE - 1}}}))', 1), s -> xxhash64(s)))"
 
@@ -48,13 +51,13 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def _classes(lines: DataFrame) -> DataFrame:
-    """One row per class of equal lines, with its minima."""
+    """One row per class of equal lines, with its minima and the least id that has it."""
     minima = [f"array_min(transform(shingles, s -> s ^ {ORDERS[i]}L)) AS m{i}" for i in range(MINIMA)]
     return (
-        lines.selectExpr("k", f"{SHINGLES} AS shingles")
-        .selectExpr("k", *minima)
+        lines.selectExpr("doc_id", "k", f"{SHINGLES} AS shingles")
+        .selectExpr("doc_id", "k", *minima)
         .groupBy("k")
-        .agg(*(F.max(f"m{i}").alias(f"m{i}") for i in range(MINIMA)))
+        .agg(F.min("doc_id").alias("doc_id"), *(F.max(f"m{i}").alias(f"m{i}") for i in range(MINIMA)))
     )
 
 
@@ -62,13 +65,16 @@ def _bands(classes: DataFrame) -> DataFrame:
     """(band, k) of every class, for bands of two classes or more, with two leaders."""
     pairs = [f"xxhash64({i}, {j}, m{i}, m{j})" for i in range(MINIMA) for j in range(i)]
     rows = classes.selectExpr("k", f"explode(array({', '.join(pairs)})) AS band")
-    leaders = (
+    bands = written(
         rows.groupBy("band")
-        .agg(F.count("*").alias("n"), F.min("k").alias("first"), F.max("k").alias("last"))
-        .where("n > 1")
-        .drop("n")
+        .agg(F.count("*").alias("n"), F.min("k").alias("first"), F.max("k").alias("last"), F.expr("bit_xor(k) AS x"))
+        .where("n > 1"),
+        "bands",
     )
-    return rows.join(leaders, "band")
+    members = "IF(n = 2, array(first, last), array(first, x ^ first ^ last, last))"
+    small = bands.where("n < 4").selectExpr("band", "first", "last", f"explode({members}) AS k")
+    large = Lookup(bands.where("n > 3").select("band", "first", "last")).join(rows, ["band"], "inner", spread=["k"])
+    return small.select("band", "k", "first", "last").unionByName(large.select("band", "k", "first", "last"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -84,11 +90,15 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def similar_lines(lines: DataFrame) -> DataFrame:
     """(k, component) of the classes that are linked with another class."""
-    bands = written(_bands(_classes(lines)), "bands")
+    classes = written(_classes(lines), "classes")
+    bands = written(_bands(classes), "members")
+    # one line of each class that shares a band, from the document with the least id
+    needed = Lookup(classes.select("k", "doc_id").join(bands.select("k").distinct(), "k", "left_semi"))
     sets = written(
-        lines.join(bands.select("k").distinct(), "k", "left_semi")
-        .dropDuplicates(["k"])
-        .selectExpr("k", f"{SHINGLES} AS shingles"),
+        needed.join(lines, ["k"], "inner", "l.doc_id <=> r.doc_id", spread=["doc_id"])
+        .selectExpr("k", f"{SHINGLES} AS shingles")
+        .groupBy("k")
+        .agg(F.first("shingles").alias("shingles")),
         "shingles",
     )
     stars = (
@@ -100,15 +110,17 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     links = written(_verified(stars, sets), "line-links")
     found = components(links)
     # bands that still hold several components
-    members = bands.select("band", "k").join(found.withColumnRenamed("node", "k"), "k", "left")
+    members = bands.join(found.withColumnRenamed("node", "k"), "k", "left")
     members = members.withColumn("component", F.coalesce("component", "k"))
     open_bands = (
         members.groupBy("band")
         .agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("z"))
-        .where("n > 2 AND a < z")
+        .where("n > 3 AND a < z")
         .select("band")
     )
-    left = written(members.join(open_bands, "band", "left_semi"), "open-bands")
+    # the leaders have met all others
+    left = members.where("k <> first AND k <> last").join(open_bands, "band", "left_semi")
+    left = written(left.select("band", "k", "component"), "open-bands")
     rest = (
         left.selectExpr("band", "k AS u", "component AS cu")
         .join(left.selectExpr("band", "k AS v", "component AS cv"), "band")
@@ -147,12 +159,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """`docs` with the lines that go taken out of `text`."""
-    gone = removed_lines(docs).selectExpr("doc_id AS gone_id", "removed AS gone_lines")
-    kept = "array_join(filter(split(text, '\n'), (line, i) -> NOT array_contains(gone_lines, i)), '\n')"
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
-    return joined.withColumn(
-        "text", F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(F.expr(kept))
-    ).drop("gone_id", "gone_lines")
+    kept = "array_join(filter(split(d.text, '\n'), (line, i) -> NOT array_contains(g.removed, i)), '\n')"
+    text = F.expr(f"IF(g.removed IS NULL, d.text, {kept})").alias("text")
+    columns = [text if name == "text" else F.col(f"d.{name}") for name in docs.columns]
+    joined = docs.alias("d").join(removed_lines(docs).alias("g"), F.expr("d.doc_id <=> g.doc_id"), "left")
+    return joined.select(*columns)
 
 
 @registered("op10_line_dedup")

@@ -32,8 +32,9 @@ is the component of documents that have no other; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -288,53 +289,82 @@ def _joined_boxes(n, points, left, right):
             yield np.repeat(a, len(b)), np.tile(b, len(a))
 
 
-def _page_pairs(frame: pd.DataFrame):
-    """(u, v) that survive the bounds, of one pair of pages of one tree."""
-    points, n = _points(frame["point"].tolist()), frame["n"].to_numpy()
-    doc, component = frame["doc_id"].to_numpy(), frame["component"].to_numpy()
-    side = (frame["page"] == frame["pb"]).to_numpy()
-    right = np.flatnonzero(side)
-    left = right if frame["pa"].iat[0] == frame["pb"].iat[0] else np.flatnonzero(~side)
-    if not len(left) or not len(right):
-        return
-    for a, b in _joined_boxes(n, points, left, right):
-        keep = (doc[a] != doc[b]) & (component[a] != component[b]) & (100 * np.minimum(n[a], n[b]) >= MIN_PERCENT * np.maximum(n[a], n[b]))
-        if left is right:
-            keep &= a < b
+#: Trees up to this size are compared point by point, larger ones by boxes first.
+SMALL_TREE = 64
+
+
+def _pairs_within(starts, sizes):
+    """Index pairs (a > b) of rows of the same group, a bounded number of groups at a time."""
+    begin = 0
+    costs = np.cumsum(sizes * (sizes - 1) // 2)
+    while begin < len(starts):
+        done = costs[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(costs, done + STEP, side="right")))
+        rows = np.concatenate([np.arange(s, s + m) for s, m in zip(starts[begin:end], sizes[begin:end])])
+        back = np.concatenate([np.arange(m) for m in sizes[begin:end]])
+        a = np.repeat(rows, back)
+        first = np.repeat(np.cumsum(back) - back, back)
+        yield a, np.repeat(rows - back, back) + np.arange(len(a)) - first
+        begin = end
+
+
+def _bounded_pairs(pairs, doc, n, component, points):
+    """(u, v) of the index pairs whose bounds leave room for a link between two components."""
+    for a, b in pairs:
+        keep = (doc[a] != doc[b]) & (component[a] != component[b])
+        keep &= 100 * np.minimum(n[a], n[b]) >= MIN_PERCENT * np.maximum(n[a], n[b])
         a, b = a[keep], b[keep]
         for i in range(0, len(a), STEP):
             x, y = a[i : i + STEP], b[i : i + STEP]
-            room = np.minimum(points[x], points[y]).sum(axis=1, dtype=np.int64)
+            room = np.minimum(points[x], points[y]).sum(axis=1, dtype=np.uint32)
             fits = room >= needed_overlap(n[x], n[y])
             yield np.maximum(doc[x], doc[y])[fits], np.minimum(doc[x], doc[y])[fits]
 
 
+def _joined_groups(s, pa_, pb_, page, doc, n, component, points):
+    """Surviving pairs of whole groups of rows with equal (s, pa, pb)."""
+    cuts = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (pa_[1:] != pa_[:-1]) | (pb_[1:] != pb_[:-1])))
+    sizes = np.diff(np.append(cuts, len(s)))
+    small = (sizes <= SMALL_TREE) & (pa_[cuts] == pb_[cuts])
+    yield from _bounded_pairs(_pairs_within(cuts[small], sizes[small]), doc, n, component, points)
+    for start, size in zip(cuts[~small], sizes[~small]):
+        rows = np.arange(start, start + size)
+        side = page[rows] == pb_[rows]
+        right = rows[side]
+        left = right if pa_[start] == pb_[start] else rows[~side]
+        if len(left) and len(right):
+            pairs = _joined_boxes(n, points, left, right)
+            if left is right:
+                pairs = ((a[a < b], b[a < b]) for a, b in pairs)
+            yield from _bounded_pairs(pairs, doc, n, component, points)
+
+
 def _pages_joined(batches):
     """Surviving pairs of pages, from rows sorted by (s, pa, pb)."""
+    names = ["s", "pa", "pb", "page", "doc_id", "n", "component"]
     rest = None
-    for frame in (*batches, None):
-        if frame is not None:
-            frame = pd.concat([rest, frame], ignore_index=True) if rest is not None else frame
-            if not len(frame):
-                continue
-            keys = frame[["s", "pa", "pb"]].to_numpy()
-            start = len(frame) - 1
-            same = (keys == keys[-1]).all(axis=1)
-            start = len(frame) - int(np.argmin(same[::-1])) if not same.all() else 0
-            rest, frame = frame.iloc[start:], frame.iloc[:start]
+    for batch in itertools.chain(batches, [None]):
+        if batch is None:
+            rows, points = rest if rest is not None else (None, [])
         else:
-            frame = rest if rest is not None else pd.DataFrame(columns=["s"])
-        if not len(frame):
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+            points = batch.column("point").to_pylist()
+            if rest is not None:
+                rows = [np.append(a, b) for a, b in zip(rest[0], rows)]
+                points = rest[1] + points
+        if rows is None or not len(points):
             continue
-        keys = frame[["s", "pa", "pb"]].to_numpy()
-        cuts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
-        found = [
-            pair
-            for a, b in zip(cuts, np.append(cuts[1:], len(frame)))
-            for pair in _page_pairs(frame.iloc[a:b])
-        ]
-        if found:
-            yield pd.DataFrame({"u": np.concatenate([u for u, _ in found]), "v": np.concatenate([v for _, v in found])})
+        end = len(points)
+        if batch is not None:
+            # the last group may go on in the next batch
+            same = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1]) & (rows[2] == rows[2][-1])
+            end = 0 if same.all() else len(same) - int(np.argmin(same[::-1]))
+            rest = ([x[end:] for x in rows], points[end:])
+        if end:
+            s, pa_, pb_, page, doc, n, component = (x[:end] for x in rows)
+            for u, v in _joined_groups(s, pa_, pb_, page, doc, n, component, _points(points[:end])):
+                if len(u):
+                    yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -400,7 +430,7 @@ def _rest(members: DataFrame, points: DataFrame) -> DataFrame:
         .select("s", "pa", "pb", "page", "doc_id", "n", "component", "point")
         .repartition("s", "pa", "pb")
         .sortWithinPartitions("s", "pa", "pb")
-        .mapInPandas(_pages_joined, "u long, v long")
+        .mapInArrow(_pages_joined, "u long, v long")
         .distinct()
     )
 

@@ -1,12 +1,15 @@
 """Registered queries of the training-data operators and their SQL."""
 
 from tidelog.llm import (  # noqa: F401  (register their queries)
+    chat_format,
     decontamination,
+    fingerprints,
     language_id,
     line_dedup,
     ngram_join,
     packing,
     secret_scan,
+    substring_dedup,
     url_rules,
 )
 from tidelog.llm.common import ORACLE, QUERIES
