@@ -163,15 +163,15 @@ WITH messages AS (
   FROM conversations),
 raw AS (
   SELECT id, conv_id, turn, unnest(regexp_split_to_array(text, '\r?\n')) AS line,
-         generate_subscripts(regexp_split_to_array(text, '\r?\n'), 1) AS at
+         generate_subscripts(regexp_split_to_array(text, '\r?\n'), 1) AS pos
   FROM messages),
 lines AS (
-  SELECT id, conv_id, turn, at, line,
+  SELECT id, conv_id, turn, pos, line,
          length(regexp_replace(regexp_extract(line, '^(\s*>)+'), '[^>]', '', 'g')) AS level,
          trim(lower(regexp_replace(regexp_replace(line, '^(\s*>)+', ''), '[^\p{L}\p{N}]+', ' ', 'g'))) AS plain
   FROM raw),
 linked AS (
-  SELECT q.conv_id, q.turn, q.level, q.at, q.id, max(o.turn) AS source
+  SELECT q.conv_id, q.turn, q.level, q.pos, q.id, max(o.turn) AS source
   FROM lines q LEFT JOIN lines o
   ON o.conv_id = q.conv_id AND o.level = 0 AND o.plain = q.plain AND o.turn < q.turn
   WHERE q.level > 0 AND q.plain <> '' GROUP BY ALL),
@@ -181,9 +181,9 @@ quoting AS (
          max_by(source, CASE WHEN source IS NULL THEN NULL ELSE {'l': -level, 'n': n, 's': source} END) AS source
   FROM counted GROUP BY ALL),
 shown AS (
-  SELECT id, trim(string_agg(line, E'\n' ORDER BY at) FILTER (WHERE NOT (line ~ '^\s*>.*'
+  SELECT id, trim(string_agg(line, E'\n' ORDER BY pos) FILTER (WHERE NOT (line ~ '^\s*>.*'
            OR (line ~ '^\s*On .*wrote:\s*$' AND coalesce(follows ~ '^\s*>.*', false)))), E'\n ') AS content
-  FROM (SELECT *, lead(line) OVER (PARTITION BY id ORDER BY at) AS follows FROM lines) GROUP BY id),
+  FROM (SELECT *, lead(line) OVER (PARTITION BY id ORDER BY pos) AS follows FROM lines) GROUP BY id),
 placed AS (
   SELECT m.conv_id, m.turn, m.role, coalesce(s.content, '') AS content,
          row_number() OVER (PARTITION BY m.conv_id ORDER BY m.turn, m.role, m.text) - 1 AS position,
