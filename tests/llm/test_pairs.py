@@ -64,6 +64,8 @@ def test_bound_holds():
         a, b = (np.unique(rng.integers(0, 400, 300, dtype=np.uint64) << np.uint64(55)) for _ in range(2))
         pa, pb = (ngram_join._points([ngram_join._point(x)])[0].astype(int) for x in (a, b))
         assert np.minimum(pa, pb).sum() >= len(np.intersect1d(a, b))
+        assert ngram_join._fine_room(ngram_join._fine(a), ngram_join._fine(b)) >= len(np.intersect1d(a, b))
+        assert (ngram_join._unpacked(ngram_join._packed(a)) == a >> np.uint64(24)).all()
 
 
 def test_needed_overlap():
