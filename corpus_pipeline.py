@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import table, written
+from tidelog.llm.common import joined, table, written
 from tidelog.llm.decontamination import decontaminate
 from tidelog.llm.language_id import fit, held_out, identify
 from tidelog.llm.line_dedup import dedup_lines
 from tidelog.llm.ngram_join import linked_documents
 from tidelog.llm.packing import packed_documents
-from tidelog.session import Lookup
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,8 +28,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked documents."""
     linked = linked_documents(docs)
-    copies = Lookup(linked.where("doc_id <> component_id").select("doc_id").distinct())
-    return copies.join(docs, ["doc_id"], "left_anti", spread=["text"])
+    copies = linked.where("doc_id <> component_id").select("doc_id").distinct()
+    return joined(docs, copies, "doc_id", "left_anti").select(*docs.columns)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import gc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.session import scratch_path
+from tidelog.session import fits_broadcast, scratch_path
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -40,14 +40,23 @@ def ascii_lower(text: Column) -> Column:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Compute `df` once into Parquet below the shared folder and read it back.
 
-    Cuts the lineage: a lost executor costs its running tasks only. Shuffle files
-    of the finished job are given back as soon as the driver sees they are unused.
+    Cuts the lineage: a lost executor costs its running tasks only. Shuffle files of
+    the jobs before are given back first.
     """
+    release(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    again = df.sparkSession.read.schema(df.schema).parquet(path)
-    release(df.sparkSession)
-    return again
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def joined(rows: DataFrame, side: DataFrame, on, how: str = "inner") -> DataFrame:
+    """`rows` joined to a side that is computed once.
+
+    The side is broadcast if its measured size allows. Else both take an exchange, and
+    adaptive execution splits what one key holds too much of.
+    """
+    side = written(side, "side")
+    return rows.join(F.broadcast(side) if fits_broadcast(side) else side, on, how)
 
 
 def release(spark: SparkSession) -> None:

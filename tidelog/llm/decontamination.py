@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import registered, table, written
+from tidelog.llm.common import joined, registered, table, written
 from tidelog.session import Lookup
 
 WINDOW = 8
@@ -136,13 +136,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
         "inner",
         spread=["doc_id"],
     )
-    pairs = Lookup(
+    pairs = (
         found.select("doc_id", F.explode("item_ids").alias("item_id"))
         .distinct()
         .groupBy("doc_id")
         .agg(F.collect_set("item_id").alias("item_ids"))
     )
-    candidates = pairs.join(texts, ["doc_id"], "inner", spread=["text"])
+    candidates = joined(texts, pairs, "doc_id")
     compared = (
         templates(candidates)
         .select("doc_id", "t.*", F.explode("item_ids").alias("item_id"))
@@ -179,8 +179,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """`docs` without the documents that hold a benchmark item."""
-    hit = Lookup(contaminated(docs, benchmark, min_coverage).select("doc_id").distinct())
-    return hit.join(docs, ["doc_id"], "left_anti", spread=["text"])
+    hit = contaminated(docs, benchmark, min_coverage).select("doc_id").distinct()
+    return joined(docs, hit, "doc_id", "left_anti").select(*docs.columns)
 
 
 @registered("op5_decontamination")

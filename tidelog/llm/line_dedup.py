@@ -27,9 +27,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import registered, table, written
+from tidelog.llm.common import joined, registered, table, written
 from tidelog.llm.components import components
-from tidelog.session import Lookup
 
 SHINGLE = 8
 MINIMA = 5
@@ -73,7 +72,7 @@ def _bands(classes: DataFrame) -> DataFrame:
     )
     members = "IF(n = 2, array(first, last), array(first, x ^ first ^ last, last))"
     small = bands.where("n < 4").selectExpr("band", "first", "last", f"explode({members}) AS k")
-    large = Lookup(bands.where("n > 3").select("band", "first", "last")).join(rows, ["band"], "inner", spread=["k"])
+    large = joined(rows, bands.where("n > 3").select("band", "first", "last"), "band")
     return small.select("band", "k", "first", "last").unionByName(large.select("band", "k", "first", "last"))
 
 
@@ -93,12 +92,11 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     classes = written(_classes(lines), "classes")
     bands = written(_bands(classes), "members")
     # one line of each class that shares a band, from the document with the least id
-    needed = Lookup(classes.select("k", "doc_id").join(bands.select("k").distinct(), "k", "left_semi"))
+    needed = classes.join(bands.select("k").distinct(), "k", "left_semi").selectExpr("k AS nk", "doc_id AS nd")
     sets = written(
-        needed.join(lines, ["k"], "inner", "l.doc_id <=> r.doc_id", spread=["doc_id"])
+        joined(lines, needed, F.expr("k = nk AND doc_id <=> nd"))
         .selectExpr("k", f"{SHINGLES} AS shingles")
-        .groupBy("k")
-        .agg(F.first("shingles").alias("shingles")),
+        .dropDuplicates(["k"]),
         "shingles",
     )
     stars = (
@@ -150,7 +148,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         .select("component", "first")
     )
     return (
-        places.join(first, "component")
+        joined(places, first, "component")
         .where("NOT (doc_id <=> first.doc_id AND line_no = first.line_no)")
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
@@ -159,11 +157,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """`docs` with the lines that go taken out of `text`."""
-    kept = "array_join(filter(split(d.text, '\n'), (line, i) -> NOT array_contains(g.removed, i)), '\n')"
-    text = F.expr(f"IF(g.removed IS NULL, d.text, {kept})").alias("text")
-    columns = [text if name == "text" else F.col(f"d.{name}") for name in docs.columns]
-    joined = docs.alias("d").join(removed_lines(docs).alias("g"), F.expr("d.doc_id <=> g.doc_id"), "left")
-    return joined.select(*columns)
+    gone = removed_lines(docs).toDF("_gone_doc", "_gone_lines")
+    kept = "array_join(filter(split(text, '\n'), (line, i) -> NOT array_contains(_gone_lines, i)), '\n')"
+    text = F.expr(f"IF(_gone_lines IS NULL, text, {kept})")
+    marked = joined(docs, gone, F.expr("doc_id <=> _gone_doc"), "left")
+    return marked.withColumn("text", text).select(*docs.columns)
 
 
 @registered("op10_line_dedup")

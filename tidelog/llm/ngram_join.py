@@ -40,9 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import registered, table, written
+from tidelog.llm.common import joined, registered, table, written
 from tidelog.llm.components import components
-from tidelog.session import Lookup
 
 WORDS = 5
 MIN_PERCENT = 80
@@ -425,7 +424,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, finer: bool) -> DataFrame:
     of the bytes that sets take leaves hardly any pair that is not linked.
     """
     pairs = written(pairs, "pairs")
-    needed = Lookup(pairs.selectExpr("explode(array(u, v)) AS doc_id").distinct())
+    needed = pairs.selectExpr("explode(array(u, v)) AS doc_id").distinct()
 
     def sets(batches):
         for batch, texts in _sized(batches, "text"):
@@ -439,7 +438,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, finer: bool) -> DataFrame:
                 names=["doc_id", "found", "fine"],
             )
 
-    texts = needed.join(docs.select("doc_id", "text"), ["doc_id"], "left_semi", spread=["text"])
+    texts = joined(docs.select("doc_id", "text"), needed, "doc_id", "left_semi")
     found = written(texts.mapInArrow(sets, "doc_id long, found binary, fine binary"), "sets")
     if finer:
         pairs = written(_filtered(pairs, found, "fine", _fine_fits), "pairs")
@@ -514,14 +513,12 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     more = written(_verified(_rest(left, points), docs, finer=True), "links")
     if not more.isEmpty():
         found = components(links.unionByName(more))
-    named = Lookup(
+    named = (
         classes.join(found.selectExpr("node AS rep", "component"), "rep", "left")
         .where("copies > 1 OR component IS NOT NULL")
         .selectExpr("k1", "k2", "n", "coalesce(component, rep) AS component_id")
     )
-    return named.join(
-        described.select("doc_id", "n", "k1", "k2"), ["k1", "k2", "n"], "left", spread=["doc_id"]
-    ).selectExpr("doc_id", "n AS n_shingles", "coalesce(component_id, doc_id) AS component_id")
+    return joined(described.select("doc_id", "n", "k1", "k2"), named, ["k1", "k2", "n"], "left").selectExpr("doc_id", "n AS n_shingles", "coalesce(component_id, doc_id) AS component_id")
 
 
 @registered("op1_ngram_join")

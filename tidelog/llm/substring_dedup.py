@@ -28,16 +28,13 @@ places are not earlier than each other; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import registered, table, written
-from tidelog.session import Lookup
+from tidelog.llm.common import joined, registered, table, written
 
 LENGTH = 100
 GRAM = 32
@@ -338,15 +335,13 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         f"shiftright(packed, 16) - (shiftright(packed, 8) & 255) + {LENGTH} AS high",
     )
     firsts = classed.where("NOT done").selectExpr("s", "doc_id", "shiftright(packed, 16) AS place")
-    many = Lookup(firsts.groupBy("s").agg(F.count("*").alias("n")).where(f"n > {BLOCK}"))
-    marked = many.join(firsts, ["s"], "left", spread=["doc_id"])
-    asked = Lookup(
-        marked.groupBy("doc_id").agg(
-            F.expr("array_join(collect_list(concat(place, ':', s, ':', IF(n IS NULL, 0, 1))), ',') AS asked")
-        )
+    many = firsts.groupBy("s").agg(F.count("*").alias("n")).where(f"n > {BLOCK}")
+    marked = joined(firsts, many, "s", "left")
+    asked = marked.groupBy("doc_id").agg(
+        F.expr("array_join(collect_list(concat(place, ':', s, ':', IF(n IS NULL, 0, 1))), ',') AS asked")
     )
     around = written(
-        asked.join(docs, ["doc_id"], "inner", spread=["text"]).mapInArrow(
+        joined(docs, asked, "doc_id").mapInArrow(
             _surroundings, "s long, hot boolean, doc_id long, place long, left long, around binary"
         ),
         "surroundings",
@@ -375,7 +370,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     """doc_id, the bytes kept, and the digest columns of every document."""
     docs = docs.selectExpr(f"coalesce(CAST(doc_id AS BIGINT), {NO_ID}) AS doc_id", "text")
     spans = repeated_spans(docs).groupBy("doc_id", "low").agg(F.max("high").alias("high"))
-    runs = Lookup(
+    runs = (
         written(spans, "spans")
         .groupBy("doc_id")
         .agg(F.expr("array_join(collect_list(concat(low, ':', high)), ',') AS spans"))
@@ -395,7 +390,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
                 rows.append((None if doc == NO_ID else doc, len(data), len(data) - len(kept), len(runs), kept))
             yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
 
-    return runs.join(docs, ["doc_id"], "left", spread=["text"]).mapInPandas(
+    return joined(docs, runs, "doc_id", "left").mapInPandas(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 
