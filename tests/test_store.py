@@ -1,5 +1,9 @@
 """The store: runs, publishing, gates, snapshots, replays, and the plans it gives."""
 
+import os
+import shutil
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -235,15 +239,61 @@ def test_second_compaction_of_the_same_runs_fails(store, make, monkeypatch):
     assert keyed(store.live_mutations(ONE)) == ["a@1"]
 
 
-def test_unfinished_version_blocks_until_discarded(store, make):
+def test_unfinished_version_is_not_seen(store, make):
     store.append_run("r1", pairs(make, (1, "k")))
-    import os
-
-    os.makedirs(f"{store.home}/manifest/version=0000000002")
-    with pytest.raises(ConcurrentPublish):
-        store.manifest.latest()
-    store.manifest.discard_unfinished()
+    before = store.manifest.latest()
+    # a writer that died after its entries, and one that died while naming them
+    before.entries.write.parquet(f"{store.manifest.folder}/entries=dead")
+    with open(f"{store.manifest.folder}/version=0000000002.abc.tmp", "w") as file:
+        file.write("entries=dead")
     assert store.manifest.latest().number == 1
+    store.append_run("r2", pairs(make, (2, "l")))
+    assert store.manifest.latest().number == 2
+    store.vacuum()
+    assert sorted(n.split("=")[0] for n in os.listdir(store.manifest.folder) if not n.startswith(".")) == ["entries", "version"]
+
+
+def test_concurrent_writers_all_end_up_in_the_store(store, make):
+    rows = {f"r{n}": pairs(make, (n, f"k{n}")) for n in range(1, 5)}
+    with ThreadPoolExecutor(4) as pool:
+        assert all(pool.map(lambda item: store.append_run(*item), rows.items()))
+    store.compact_filters(ONE)
+    assert keyed(store.live_mutations(ONE)) == ["k1@1", "k2@2", "k3@3", "k4@4"]
+
+
+def test_a_version_has_one_writer(spark, store):
+    from tidelog.sources import paths
+
+    path = f"{store.home}/named"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda n: paths.create_text(spark, path, str(n)), range(8)))
+    assert sum(won) == 1
+    assert paths.read_text(spark, path) == str(won.index(True))
+
+
+def test_row_captured_twice_is_live_once(store, make):
+    store.append_run("r1", pairs(make, (1, "a"), (2, "b")))
+    store.compact_filters(ONE)
+    store.append_run("r2", pairs(make, (2, "b"), (3, "c")))
+    store.compact_filters(ONE)
+    assert keyed(store.live_mutations(ONE)) == ["a@1", "b@2", "c@3"]
+    assert keyed(store.restore(ONE)) == ["a@1", "b@2", "c@3"]
+    store.compact_mutations(ONE, threshold=1)
+    store.publish_compacted_mutations(ONE)
+    assert keyed(store.mutation_rows(ONE)) == ["a@1", "b@2", "c@3"]
+
+
+def test_store_made_anew_at_a_path(spark, make, tmp_path):
+    rows = pairs(make, *((n, f"k{n}") for n in range(1, 51)))
+    first = ChangeLogStore(spark, str(tmp_path / "it's here"), num_buckets=4)
+    first.append_run("r1", rows)
+    first.compact_filters(ONE)
+    assert first.live_mutations(ONE).count() == 50
+    shutil.rmtree(tmp_path / "it's here")
+    second = ChangeLogStore(spark, str(tmp_path / "it's here"), num_buckets=7)
+    second.append_run("r1", rows)
+    second.compact_filters(ONE)
+    assert second.live_mutations(ONE).count() == 50
 
 
 @pytest.mark.parametrize("name", ["", "a/b", "x'y", "a b"])
@@ -338,3 +388,52 @@ def test_backup_with_a_refused_partition(store, make):
     assert keyed(store.live_mutations(ONE)) == ["k1@1", "k2@2", "k3@3", "new@4"]
     assert mainline(read_catalog(store)).first()["failover_log"][0]["uuid"] == 2
     assert store.filter_rows(ONE).agg(F.count("*")).first()[0] == 4
+
+
+@pytest.mark.parametrize("step", ["_write_clustered", "publish"])
+def test_backup_broken_at_any_step_can_be_repeated(store, make, monkeypatch, step):
+    """Nothing is recorded as captured before it is in the store."""
+    events = make.events([change(1, "a"), change(2, "b")])
+    owner = store if step == "_write_clustered" else store.manifest
+
+    def broken(*args, **kwargs):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(owner, step, broken)
+        with pytest.raises(OSError, match="lost"):
+            run_backup(store, events, "s1", ONE)
+    assert read_catalog(store).isEmpty()
+    assert run_backup(store, events, "s1", ONE)
+    assert not run_backup(store, events, "s1", ONE)
+    store.compact_filters(ONE)
+    assert keyed(store.live_mutations(ONE)) == ["a@1", "b@2"]
+
+
+def without_uuid(events):
+    return events.drop("partition_uuid")
+
+
+def opened(seqno_uuid, partition=0):
+    return {"kind": "opened", "arrival": 0, "partition_id": partition, "failover_log": [{"uuid": u, "seqno": s} for s, u in seqno_uuid]}
+
+
+@pytest.mark.parametrize("buckets", [[Bucket("b", 2, 2)], [Bucket("b", 2, 1)]])
+def test_backup_after_a_rollback(store, make, buckets):
+    """New rows of the new branch live, rolled-back rows are gone."""
+    other = [change(n, f"o{n}", 1) for n in range(1, 3)]
+    first = make.events([change(n, f"k{n}") for n in range(1, 6)] + other)
+    start = make.events([opened([(0, 1)]), opened([(0, 9)], 1)])
+    run_backup(store, without_uuid(first), "s1", buckets, start)
+    store.compact_filters(buckets)
+    later = [change(n, f"k{n}") for n in range(1, 4)] + [change(4, "new"), change(5, "new2"), change(6, "new3")]
+    second = without_uuid(make.events(later + other + [change(3, "o3", 1)]))
+    refused = make.events([{"kind": "rollback", "seqno": 4, "arrival": 100}, opened([(0, 9)], 1)])
+    run_backup(store, second, "s2", buckets, refused)
+    store.compact_filters(buckets)
+    with pytest.raises(Exception, match="rolled back"):
+        run_backup(store, second, "s3", buckets, make.events([opened([(0, 1)])]))
+    run_backup(store, second, "s3", buckets, make.events([opened([(3, 2), (0, 1)])]))
+    store.compact_filters(buckets)
+    expected = ["k1@1", "k2@2", "k3@3", "new2@5", "new3@6", "new@4", "o1@1", "o2@2", "o3@3"]
+    assert keyed(store.live_mutations(buckets)) == expected

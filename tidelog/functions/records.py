@@ -84,8 +84,13 @@ def captured_text(data_events: DataFrame) -> DataFrame:
     )
 
 
-def stamp_uuid(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Set `partition_uuid` from the range each partition was captured under."""
-    branches = Lookup(ranges.select(*PARTITION, F.col("uuid").alias("_uuid")))
-    stamped = branches.join(rows.drop("partition_uuid"), PARTITION, "left")
-    return stamped.withColumn("partition_uuid", _present("_uuid")).drop("_uuid")
+def stamp_uuid(rows: DataFrame, branches: DataFrame, keep: bool = False) -> DataFrame:
+    """Set `partition_uuid` from the branch each partition was captured under.
+
+    With `keep`, only where rows have none.
+    """
+    named = Lookup(branches.select(*PARTITION, F.col("uuid").alias("_uuid")))
+    own = F.col("partition_uuid") if keep and "partition_uuid" in rows.columns else F.lit(None)
+    rows = rows.withColumn("_own", own.cast("long")).drop("partition_uuid")
+    stamped = named.join(rows, PARTITION, "left")
+    return stamped.withColumn("partition_uuid", F.coalesce("_own", _present("_uuid"))).drop("_uuid", "_own")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.records import mutation_rows, stamp_uuid
+from tidelog.functions.scalars import current_uuid
 from tidelog.operators.ranges import (
     capture_ranges,
     data_events,
@@ -22,16 +23,12 @@ from tidelog.operators.state import (
 )
 from tidelog.plans.store import Bucket, ChangeLogStore, checked_name, with_group
 from tidelog.schemas import CATALOG, CHANGE_EVENTS, PARTITION
-from tidelog.session import Lookup, no_rows
-from tidelog.sources import paths
+from tidelog.session import Lookup, stored
 
 
 def read_catalog(store: ChangeLogStore) -> DataFrame:
     """Partition states of all snapshots, none before the first backup."""
-    path = f"{store.home}/catalog"
-    if not paths.child_names(store.spark, path):
-        return no_rows(store.spark, CATALOG)
-    return store.spark.read.schema(CATALOG).parquet(f"{path}/*")
+    return store.catalog()
 
 
 def as_events(rows: DataFrame) -> DataFrame:
@@ -76,6 +73,33 @@ def accepted_answers(ranges: DataFrame, captured: DataFrame) -> DataFrame:
     return as_events(opened).unionByName(as_events(ended))
 
 
+def opened_branches(ranges: DataFrame, answers: DataFrame, known: DataFrame) -> DataFrame:
+    """(bucket, partition, uuid): the branch each partition was opened on.
+
+    The newest entry of the failover log that came with the answer, or the requested
+    branch if none came. A partition that was sent back and is opened on its old
+    branch again would have its new rows cut with the old ones, so that aborts.
+    """
+    opened = (
+        answers.where("kind = 'opened'")
+        .groupBy(*PARTITION)
+        .agg(F.max_by("failover_log", "arrival").alias("_log"))
+        .withColumn("_opened", current_uuid(F.col("_log")))
+    )
+    before = known.where("state = 'Stale'").select(*PARTITION, current_uuid(F.col("failover_log")).alias("_old"))
+    unchanged = F.expr("_old IS NOT NULL AND coalesce(_opened, uuid) = _old")
+    return (
+        ranges.join(opened, PARTITION, "left")
+        .join(before, PARTITION, "left")
+        .select(
+            *PARTITION,
+            F.when(unchanged, F.raise_error(F.lit("partition opened on the branch that was rolled back")).cast("long"))
+            .otherwise(F.coalesce("_opened", "uuid"))
+            .alias("uuid"),
+        )
+    )
+
+
 def catalog_rows(state: DataFrame, known: DataFrame) -> DataFrame:
     """States to record. A stale partition goes back to just below its rollback seqno."""
     before = known.select(*PARTITION, F.col("failover_log").alias("_failover_log"))
@@ -106,6 +130,8 @@ def run_backup(
     when no partition has changed.
     """
     checked_name(snapshot_id)
+    if store.is_applied(snapshot_id):
+        return False
     catalog = read_catalog(store)
     known = mainline(catalog)
     data = data_events(events)
@@ -113,29 +139,25 @@ def run_backup(
     if ranges.side.isEmpty():
         return False
     captured = capture_ranges(data, ranges)
-    if "partition_uuid" not in captured.columns:
-        captured = stamp_uuid(captured, ranges.side)
     if answers is None:
-        answers = accepted_answers(ranges.side, captured)
+        answers = accepted_answers(ranges.side, stamp_uuid(captured, ranges.side, keep=True))
     refused = Lookup(answers.where("kind = 'rollback'").select(*PARTITION).distinct())
     captured = refused.join(captured, PARTITION, "left_anti")
+    accepted = refused.join(ranges.side, PARTITION, "left_anti", spread=["end_seqno"])
+    captured = stamp_uuid(captured, opened_branches(accepted, answers, known), keep=True)
     seen = as_events(captured).unionByName(answers).unionByName(request_events(ranges.side))
     state = partition_state(seen)
 
     number = (catalog.agg(F.max("run_number")).first()[0] or 0) + 1
-    path = f"{store.home}/catalog/run={snapshot_id}"
-    (
+    recorded = stored(
         catalog_rows(state, known)
         .withColumn("snapshot_id", F.lit(snapshot_id))
         .withColumn("run_number", F.lit(number).cast("long"))
         .select(*CATALOG.names)
-        .write.mode("errorifexists")
-        .parquet(path)
     )
-    recorded = store.spark.read.schema(CATALOG).parquet(path)
     stale = partitions_in(recorded, "Stale")
     rollbacks = None
     if not stale.isEmpty():
         rollbacks = with_group(rollback_from_stale(stale, ranges.side), buckets)
     mutations = mutation_rows(with_group(captured, buckets))
-    return store.append_run(snapshot_id, mutations, rollbacks)
+    return store.append_run(snapshot_id, mutations, rollbacks, recorded)

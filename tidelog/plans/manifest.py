@@ -1,19 +1,21 @@
 """Which runs of files hold which groups: the store's small table of contents.
 
 Data is only ever written to new run folders. A manifest version lists, for each
-(kind, level, run), the groups it is valid for. Writing the next version is the
-publish step: it fails if another writer got there first, and readers see either
-the old or the new version.
+(kind, level, run), the groups it is valid for. Its entries are written to a folder
+of their own; publishing is the creation of one small file that names this folder,
+which fails if another writer created the same version first. Readers take the last
+such file, so they see the old or the new version and are never in a writer's way.
 """
 
 from __future__ import annotations
 
+import random
 import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
 from tidelog.schemas import GROUP
 from tidelog.session import no_rows
@@ -27,14 +29,16 @@ IDENTITY = ["kind", "level", "run", *GROUP]
 ENTRY = ["kind", "level", "run", *GROUP, "run_groups", "replaces"]
 
 # Kinds of files and their levels. `applied` remembers finished runs.
-NEW_FILTER, FILTER, MUTATIONS, ROLLBACK, APPLIED = (
+NEW_FILTER, FILTER, MUTATIONS, ROLLBACK, APPLIED, CATALOG = (
     "new_filter",
     "filter",
     "mutations",
     "rblog",
     "applied",
+    "catalog",
 )
-ATTEMPTS, PAUSE_SECONDS = 10, 1.0
+# longest pause after a lost race
+PAUSE_SECONDS = 5.0
 L0, L1, STAGED = "l0", "l1", "staged"
 
 
@@ -61,7 +65,7 @@ class Manifest:
 
     def _numbers(self) -> list[int]:
         names = paths.child_names(self.spark, self.folder)
-        return [int(name.split("=")[1]) for name in names if name.startswith("version=")]
+        return [int(n.split("=")[1]) for n in names if n.startswith("version=") and not n.endswith(".tmp")]
 
     def latest(self) -> Version:
         numbers = self._numbers()
@@ -70,22 +74,21 @@ class Manifest:
         return self.at(numbers[-1])
 
     def at(self, number: int) -> Version:
-        path = self._path(number)
-        if not paths.exists(self.spark, f"{path}/_SUCCESS"):
-            raise ConcurrentPublish(f"version {number} is being written, or was left unfinished")
-        return Version(number, self.spark.read.schema(ENTRY_SCHEMA).parquet(path))
-
-    def discard_unfinished(self) -> None:
-        """Drop a last version whose writer is known to have died."""
-        for number in self._numbers()[-1:]:
-            if not paths.exists(self.spark, f"{self._path(number)}/_SUCCESS"):
-                paths.delete(self.spark, self._path(number))
+        folder = paths.read_text(self.spark, self._path(number))
+        return Version(number, self.spark.read.schema(ENTRY_SCHEMA).parquet(f"{self.folder}/{folder}"))
 
     def keep_only(self, numbers: set[int]) -> None:
-        """Delete finished versions other than these; the latest always stays."""
+        """Delete versions other than these, and entries no version names; the latest always stays.
+
+        No other writer may be at work.
+        """
         for number in self._numbers()[:-1]:
             if number not in numbers:
                 paths.delete(self.spark, self._path(number))
+        named = {paths.read_text(self.spark, self._path(number)) for number in self._numbers()}
+        for name in paths.child_names(self.spark, self.folder):
+            if name.endswith(".tmp") or (name.startswith("entries=") and name not in named):
+                paths.delete(self.spark, f"{self.folder}/{name}")
 
     def change(self, removed: DataFrame | None, added: DataFrame) -> int:
         """Publish the latest version without `removed` and with `added` entries.
@@ -93,28 +96,28 @@ class Manifest:
         When another writer gets in between, the change is put on top of what it
         wrote. That is safe as long as the entries to remove are still there; if
         not, the other writer has used up the same runs, and this one must fail.
+        Each lost race is another writer's success, so there is no limit to them.
         """
-        for _ in range(ATTEMPTS):
+        pause = 0.05
+        while True:
+            base = self.latest()
+            entries = base.entries
+            if removed is not None:
+                gone = removed.select(*IDENTITY).join(entries, IDENTITY, "left_anti")
+                if not gone.isEmpty():
+                    raise ConcurrentPublish("another writer used the same runs")
+                entries = entries.join(removed.select(*IDENTITY), IDENTITY, "left_anti")
             try:
-                base = self.latest()
-                entries = base.entries
-                if removed is not None:
-                    gone = removed.select(*IDENTITY).join(entries, IDENTITY, "left_anti")
-                    if not gone.isEmpty():
-                        break
-                    entries = entries.join(removed.select(*IDENTITY), IDENTITY, "left_anti")
                 return self.publish(base, entries.select(*ENTRY).unionByName(added.select(*ENTRY)))
             except ConcurrentPublish:
-                time.sleep(PAUSE_SECONDS)
-        raise ConcurrentPublish("another writer used the same runs, or is still writing")
+                time.sleep(random.uniform(0, pause))
+                pause = min(2 * pause, PAUSE_SECONDS)
 
     def publish(self, base: Version, entries: DataFrame) -> int:
-        """Write the version after `base`, which must still be the latest."""
-        number = base.number + 1
-        try:
-            entries.select(*ENTRY).coalesce(1).write.mode("errorifexists").parquet(self._path(number))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            raise ConcurrentPublish(f"version {number} exists") from error
+        """Make `entries` the version after `base`, which must still be the latest."""
+        number, folder = base.number + 1, f"entries={uuid.uuid4().hex}"
+        entries.select(*ENTRY).write.parquet(f"{self.folder}/{folder}")
+        if not paths.create_text(self.spark, self._path(number), folder):
+            paths.delete(self.spark, f"{self.folder}/{folder}")
+            raise ConcurrentPublish(f"version {number} exists")
         return number

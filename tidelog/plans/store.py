@@ -32,7 +32,7 @@ from tidelog.operators.mutations import MutationMapper, live_mutations, map_rows
 from tidelog.plans import manifest as entries_of
 from tidelog.plans.compaction import compact_filter
 from tidelog.plans.manifest import APPLIED, L0, L1, NEW_FILTER, ROLLBACK, STAGED, Manifest, Version
-from tidelog.schemas import FILTER, GROUP, GROUP_KEY, MUTATIONS, ROLLBACK_LOG, SEQNO_TUPLE
+from tidelog.schemas import CATALOG, FILTER, GROUP, GROUP_KEY, MUTATIONS, ROLLBACK_LOG, SEQNO_TUPLE
 from tidelog.session import fits_broadcast, no_rows, stored
 from tidelog.sources import paths
 from tidelog.sources.files import read_filter, read_rollback_log, write_rollback_log
@@ -149,7 +149,9 @@ class ChangeLogStore:
         self.home = home.rstrip("/")
         self.num_buckets = self._layout(num_buckets)
         self.manifest = Manifest(spark, self.home)
-        self._prefix = "tidelog_" + hashlib.md5(self.home.encode()).hexdigest()[:12]
+        # another layout at the same path must not meet the tables of this one
+        named = f"{self.home}:{self.num_buckets}"
+        self._prefix = "tidelog_" + hashlib.md5(named.encode()).hexdigest()[:12]
 
     def _layout(self, num_buckets: int | None) -> int:
         """The number of buckets the store was created with, or is created with now."""
@@ -187,10 +189,11 @@ class ChangeLogStore:
         schema, keys = CLUSTERED[kind]
         table = f"{self._prefix}_{kind}"
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+        location = f"{self.home}/{kind}".replace("\\", "\\\\").replace("'", "\\'")
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({columns}, run string) USING parquet"
             f" PARTITIONED BY (run) CLUSTERED BY ({', '.join(keys)})"
-            f" INTO {self.num_buckets} BUCKETS LOCATION '{self.home}/{kind}'"
+            f" INTO {self.num_buckets} BUCKETS LOCATION '{location}'"
         )
         partitions = " ".join(f"PARTITION (run = '{run}')" for run in runs)
         self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partitions}")
@@ -241,32 +244,49 @@ class ChangeLogStore:
         """Manifest entries that make `run` valid for `groups`, for each kind."""
         every_kind = ", ".join(f"'{kind}'" for kind in kinds)
         return groups.selectExpr(
-            f"explode(array({every_kind})) AS kind", f"'{level}' AS level", f"'{run}' AS run", *GROUP
-        ).selectExpr(
-            "*",
-            "count(*) OVER (PARTITION BY kind) AS run_groups",
+            f"explode(array({every_kind})) AS kind",
+            f"'{level}' AS level",
+            f"'{run}' AS run",
+            *GROUP,
+            f"{groups.count()}L AS run_groups",
             "CAST(NULL AS array<string>) AS replaces",
         )
 
     # --- capture ----------------------------------------------------------------
 
+    def is_applied(self, run: str) -> bool:
+        return not self.manifest.latest().of(APPLIED, L0).where(F.col("run") == run).isEmpty()
+
+    def catalog(self) -> DataFrame:
+        """Partition states of all recorded runs."""
+        runs = self.manifest.latest().of(entries_of.CATALOG, L0).select("run").collect()
+        if not runs:
+            return no_rows(self.spark, CATALOG)
+        folders = [self._run_path(entries_of.CATALOG, row["run"]) for row in runs]
+        return self.spark.read.schema(CATALOG).parquet(*folders)
+
     def append_run(
         self,
         run: str,
         mutations: DataFrame | None = None,
         rollback_log: DataFrame | None = None,
+        catalog: DataFrame | None = None,
     ) -> bool:
         """Add the mutations of a capture run, and its rollback entries, at L0.
 
-        The slim filter is written beside the mutations. A run that was already
-        applied is left alone, so a replay after a failure changes nothing;
-        files of an unfinished attempt are replaced.
+        The slim filter is written beside the mutations. All parts, with the
+        partition states in `catalog` if there are any, become valid in one manifest
+        version. A run that was already applied is left alone, so a replay after a
+        failure changes nothing; files of an unfinished attempt are replaced.
         """
         checked_name(run)
-        if not self.manifest.latest().of(APPLIED, L0).where(F.col("run") == run).isEmpty():
+        if self.is_applied(run):
             return False
         no_group = self.spark.range(1).selectExpr("'' AS bucket", "0 AS pgroup")
         added = [self._entries(no_group, [APPLIED], L0, run)]
+        if catalog is not None:
+            catalog.write.mode("overwrite").parquet(self._run_path(entries_of.CATALOG, run))
+            added.append(self._entries(no_group, [entries_of.CATALOG], L0, run))
         if mutations is not None:
             spread = mutations.select(*MUTATIONS.names).repartition(self.num_buckets, *SEQNO_TUPLE)
             self._write_clustered(entries_of.MUTATIONS, run, spread)
@@ -457,7 +477,14 @@ class ChangeLogStore:
         return self._read(view, entries_of.MUTATIONS, L1), self._read(view, entries_of.FILTER, L1)
 
     def _live(self, view: View) -> DataFrame:
-        return live_mutations(*self._both(view))
+        """Live rows; one that several runs captured counts once.
+
+        Mutations are clustered by these columns, so this takes no shuffle.
+        """
+        mutations, filters = self._both(view)
+        if len(view.runs.get((entries_of.MUTATIONS, L1), [])) > 1:
+            mutations = mutations.dropDuplicates(SEQNO_TUPLE)
+        return live_mutations(mutations, filters)
 
     def _check_complete(self, filters: DataFrame, mutations: DataFrame) -> None:
         """A group must have both its filter and its mutations, or neither."""
@@ -501,7 +528,8 @@ class ChangeLogStore:
     ) -> DataFrame:
         """Rows to write back: all live ones, or those above a seqno per partition."""
         view = self._view(self._version(snapshot), self._groups(buckets))
-        return restore(*self._both(view), since, include_deletes)
+        _, filters = self._both(view)
+        return restore(self._live(view), filters, since, include_deletes)
 
     # --- cleaning ---------------------------------------------------------------
 
@@ -524,7 +552,7 @@ class ChangeLogStore:
                 for row in version.entries.select("kind", "run").distinct().collect()
             }
         deleted = 0
-        for kind in (NEW_FILTER, entries_of.FILTER, entries_of.MUTATIONS, ROLLBACK):
+        for kind in (NEW_FILTER, entries_of.FILTER, entries_of.MUTATIONS, ROLLBACK, entries_of.CATALOG):
             for name in paths.child_names(self.spark, f"{self.home}/{kind}"):
                 if name.startswith("run=") and (kind, name.removeprefix("run=")) not in used:
                     paths.delete(self.spark, f"{self.home}/{kind}/{name}")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 MAX_BROADCAST_BYTES = 16 * 1024 * 1024
 FIXED_WIDTH_BYTES = 16
@@ -55,7 +55,9 @@ def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     width = [str(FIXED_WIDTH_BYTES * len(df.columns))]
     for field in df.schema.fields:
         if isinstance(field.dataType, (StringType, BinaryType)):
-            width.append(f"coalesce(octet_length({field.name}), 0)")
+            width.append(f"coalesce(octet_length(`{field.name}`), 0)")
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            width.append(f"coalesce(octet_length(to_json(struct(`{field.name}`))), 0)")
     max_rows = max_bytes // (FIXED_WIDTH_BYTES * len(df.columns))
     seen = (
         df.limit(max_rows + 1)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,50 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(location, True)
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole or not at all; False when it exists already.
+
+    The text is written aside and then given its name, which fails if another
+    writer was first: a hard link on a local file system, elsewhere a rename that
+    does not replace.
+    """
+    files, location = _located(spark, path)
+    jvm = spark.sparkContext._jvm
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = files.create(aside)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    try:
+        if files.getScheme() == "file":
+            local = [jvm.java.io.File(x.toUri().getPath()).toPath() for x in (location, aside)]
+            jvm.java.nio.file.Files.createLink(*local)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                files.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+            )
+            options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            context.rename(aside, location, options)
+    except Py4JJavaError:
+        if files.exists(location):
+            return False
+        raise
+    finally:
+        files.delete(aside, False)
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    files, location = _located(spark, path)
+    stream = files.open(location)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def matches(spark: SparkSession, pattern: str) -> bool:
     """True when at least one file or folder matches the glob."""
     files, location = _located(spark, pattern)

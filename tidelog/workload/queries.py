@@ -238,25 +238,29 @@ def groups_needing_filter_compaction(spark, sf_dir):
     )
 
 
-@query("groups_over_threshold", over_changes(
-    "SELECT bucket, pgroup, count(DISTINCT CAST(ts AS DATE)) AS num_files FROM chg"
-    " WHERE level = 'l1' OR pgroup = 1 GROUP BY ALL HAVING count(DISTINCT CAST(ts AS DATE)) > 15"))
+@query("groups_over_threshold", over_orders(
+    "SELECT bucket, pgroup, count(DISTINCT CAST(ts AS DATE)) AS num_files FROM"
+    " (SELECT bucket, pgroup, ts FROM chg UNION ALL SELECT bucket, pgroup, ts FROM ochg) t"
+    " GROUP BY ALL HAVING count(DISTINCT CAST(ts AS DATE)) > 30"))
 def groups_over_threshold(spark, sf_dir):
-    """One mutation file per day; a group with exactly 15 stays below the threshold."""
-    rows = log.changes(spark, sf_dir)
-    kept = rows.where((F.col("ts") < log.at(log.LEVEL_SPLIT)) | (F.col("pgroup") == 1))
-    files = kept.select("bucket", "pgroup", F.to_date("ts").alias("file"))
-    return muts.groups_over_threshold(files, threshold=15)
+    """One mutation file per day; groups with exactly 30, a month, stay below the threshold."""
+    rows = log.changes(spark, sf_dir).select("bucket", "pgroup", "ts")
+    rows = rows.unionByName(log.order_changes(spark, sf_dir).select("bucket", "pgroup", "ts"))
+    files = rows.select("bucket", "pgroup", F.to_date("ts").alias("file"))
+    return muts.groups_over_threshold(files, threshold=30)
 
 
 @query("group_enumeration", over_orders(
-    "SELECT bucket, pgroup, concat('(', pgroup * 4, '-', pgroup * 4 + 3, ')') AS label,"
-    " count(*) AS n FROM (SELECT bucket, pgroup FROM chg UNION ALL SELECT bucket, pgroup FROM ochg) t"
-    " GROUP BY bucket, pgroup"))
+    "SELECT g.bucket, g.pgroup, concat('(', g.pgroup * g.width, '-', (g.pgroup + 1) * g.width - 1, ')') AS label,"
+    " count(t.bucket) AS n FROM (SELECT 'default' AS bucket, CAST(x AS INT) AS pgroup, 4 AS width FROM range(4) r(x)"
+    " UNION ALL SELECT 'orders', CAST(x AS INT), 4 FROM range(8) r(x)"
+    " UNION ALL SELECT 'empty', CAST(x AS INT), 2 FROM range(3) r(x)) g"
+    " LEFT JOIN (SELECT bucket, pgroup FROM chg UNION ALL SELECT bucket, pgroup FROM ochg) t"
+    " ON g.bucket = t.bucket AND g.pgroup = t.pgroup GROUP BY g.bucket, g.pgroup, g.width"))
 def group_enumeration(spark, sf_dir):
-    """Every group of both buckets with its label and its number of changes."""
+    """Every group of three buckets, one of them unused, with its label and number of changes."""
     orders = Bucket("orders", log.ORDER_PARTITIONS, log.ORDER_GROUPS)
-    groups = enumerate_groups(spark, [*BUCKETS, orders])
+    groups = enumerate_groups(spark, [*BUCKETS, orders, Bucket("empty", 6, 3)])
     counts = (
         log.changes(spark, sf_dir)
         .select("bucket", "pgroup")
@@ -264,7 +268,9 @@ def group_enumeration(spark, sf_dir):
         .groupBy("bucket", "pgroup")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return groups.join(counts, ["bucket", "pgroup"]).select("bucket", "pgroup", "label", "n")
+    return groups.join(counts, ["bucket", "pgroup"], "left").select(
+        "bucket", "pgroup", "label", F.coalesce("n", F.lit(0).cast("long")).alias("n")
+    )
 
 
 # --- live mutations -------------------------------------------------------------
@@ -402,19 +408,76 @@ def map_live_columns(spark, sf_dir):
 @query("record_rendering", over_changes(
     "SELECT bucket, seqno, concat('(partitionId=', partition_id, ', seqNo=', seqno, ', key=', key,"
     " ', recType=', rec_type, ')') AS text, CAST(16 + 64 + 250 + 128 + 192 + strlen(content) AS INT)"
-    " AS size, true AS unchanged FROM live"))
+    " AS size FROM live"))
 def record_rendering(spark, sf_dir):
-    """Text, size estimate and self-equality of each live record."""
-    whole = F.struct("key", "content", "seqno", "lock_time")
+    """Text and size estimate of each live record."""
     return live(spark, sf_dir).select(
         "bucket",
         "seqno",
         scalars.record_text().alias("text"),
         scalars.record_size(F.col("content")).alias("size"),
-        scalars.same_record(whole, whole).alias("unchanged"),
     )
 
 
+SAME_KEY_SQL = (
+    "SELECT bucket, pgroup, key, max_by(partition_uuid, seqno) AS u, max_by(rec_type, seqno) AS t FROM chg"
+    " WHERE level = '{}' GROUP BY bucket, pgroup, key"
+)
+
+
+@query("record_equality", over_changes(
+    "SELECT bucket, pgroup, key, a.u IS NOT DISTINCT FROM b.u AND a.t IS NOT DISTINCT FROM b.t AS unchanged"
+    f" FROM ({SAME_KEY_SQL.format('l1')}) a FULL JOIN ({SAME_KEY_SQL.format('l0')}) b USING (bucket, pgroup, key)"))
+def record_equality(spark, sf_dir):
+    """The latest old record of each key beside its latest new one; one missing side is null."""
+    whole = F.struct("partition_uuid", "rec_type").alias("record")
+    old = filters.latest_per_key(log.old_changes(spark, sf_dir).select(*FILTER.names))
+    new = filters.latest_per_key(log.new_filter(spark, sf_dir))
+    keys = ["bucket", "pgroup", "key"]
+    both = old.select(*keys, whole).alias("a").join(new.select(*keys, whole).alias("b"), keys, "full")
+    return both.select(*keys, scalars.same_record(F.col("a.record"), F.col("b.record")).alias("unchanged"))
+
+
+@query("kind_guards", over_ranges(
+    "SELECT CASE rec_type WHEN 'DELETE' THEN 'remove' WHEN 'INSERT' THEN 'marker' ELSE 'mutation' END AS kind,"
+    " count(*) AS accepted, true AS others_abort FROM chg GROUP BY 1"))
+def kind_guards(spark, sf_dir):
+    """Events accepted by the guard of each kind, and whether it aborts on all events."""
+    events = log.data_stream(spark, sf_dir)
+
+    def aborts(checked: DataFrame) -> bool:
+        try:
+            checked.agg(F.max("kind")).collect()
+        except Exception as error:
+            if "unexpected event kind" not in str(error):
+                raise
+            return True
+        return False
+
+    parts = [
+        ranges.assert_kind(ranges.checked_events(events.where(F.col("kind") == kind)), kind)
+        .groupBy("kind")
+        .agg(F.count("*").alias("accepted"))
+        .withColumn("others_abort", F.lit(aborts(ranges.assert_kind(events, kind))))
+        for kind in ("mutation", "remove", "marker")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+class CountingSink(muts.MutationSink):
+    """Takes records and keeps none."""
+
+    def write(self, batch) -> None:
+        pass
+
+
+@query("delivered", over_changes("SELECT count(*) AS delivered FROM live"))
+def delivered(spark, sf_dir):
+    """Live records handed to a sink from the tasks that hold them."""
+    count = muts.deliver(live(spark, sf_dir), CountingSink())
+    return spark.range(1).select(F.lit(count).cast("long").alias("delivered"))
+
+
 # --- ranges and partition state -------------------------------------------------
 
 
@@ -531,15 +594,16 @@ def partition_counters(spark, sf_dir):
 
 
 @query("requested_counters", over_ranges(
-    f"SELECT r.bucket, r.partition_id, {COUNTERS_SQL} FROM ranges r LEFT JOIN"
-    " (SELECT * FROM captured WHERE kind <> 'marker' AND partition_id % 4 = 1) s"
+    f"SELECT r.bucket, r.partition_id, {COUNTERS_SQL} FROM"
+    " (SELECT 'default' AS bucket, CAST(x AS SMALLINT) AS partition_id FROM range(32) q(x)) r"
+    " LEFT JOIN (SELECT * FROM captured WHERE kind <> 'marker') s"
     " ON r.bucket = s.bucket AND r.partition_id = s.partition_id GROUP BY r.bucket, r.partition_id"))
 def requested_counters(spark, sf_dir):
-    """Counters of every requested partition, also of those that sent nothing."""
+    """Counters of every requested partition; partitions from 16 on have no events."""
+    requested = spark.range(32).selectExpr("'default' AS bucket", "smallint(id) AS partition_id")
     planned = planned_ranges(spark, sf_dir)
     captured = ranges.data_events(ranges.capture_ranges(log.data_stream(spark, sf_dir), planned))
-    arrived = captured.where(F.col("partition_id") % 4 == 1)
-    return state.counters_for(planned, state.partition_counters(arrived))
+    return state.counters_for(requested, state.partition_counters(captured))
 
 
 @query("counters_map", over_ranges(

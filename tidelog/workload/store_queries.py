@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.scalars import content_text
 from tidelog.operators import filters, ranges
-from tidelog.plans.backup import read_catalog, run_backup
+from tidelog.plans.backup import as_events, read_catalog, run_backup
 from tidelog.plans.store import ChangeLogStore
 from tidelog.schemas import MUTATIONS
 from tidelog.session import scratch_path
 from tidelog.sources import events as event_sources
-from tidelog.sources import files
+from tidelog.sources import files, paths
 from tidelog.streaming.capture import capture_stream
 from tidelog.streaming.progress import counter_stream, read_state, track_state
 from tidelog.workload import changelog as log
@@ -64,13 +64,13 @@ def filter_file_formats(spark, sf_dir):
 
 @query("mutation_file_formats", over_changes(
     f"SELECT {LIVE}, seqno AS cas, format FROM chg,"
-    " (VALUES ('parquet'), ('json'), ('csv')) formats(format)"))
+    " (VALUES ('parquet'), ('orc'), ('json'), ('csv')) formats(format)"))
 def mutation_file_formats(spark, sf_dir):
-    """Mutations with their binary content through a columnar and two text formats."""
+    """Mutations with their binary content through columnar and text formats."""
     rows = log.mutations(spark, sf_dir)
     home = scratch_path(spark, "formats")
     result = None
-    for name in ("parquet", "json", "csv"):
+    for name in files.FORMATS:
         files.write_rows(rows, f"{home}/{name}", name)
         part = files.read_mutations_or_empty(spark, f"{home}/{name}", name)
         part = part.select(*readable(part).columns[:-1], content_text(F.col("content")).alias("content"), "cas")
@@ -87,6 +87,22 @@ def rollback_log_file(spark, sf_dir):
     return filters.rollback_cuts(files.read_rollback_log_or_empty(spark, path))
 
 
+@query("listed_files", over_changes("SELECT level, count(*) AS n, true AS is_folder FROM chg GROUP BY level"))
+def listed_files(spark, sf_dir):
+    """Rows in the files that a glob lists below each checked folder."""
+    home = scratch_path(spark, "listed")
+    level = F.when(F.col("ts") < log.at(log.LEVEL_SPLIT), "l1").otherwise("l0").alias("level")
+    log.changes(spark, sf_dir).select(level, "seqno").write.partitionBy("level").parquet(home)
+    parts = []
+    for level in ("l0", "l1"):
+        found = paths.list_files(spark, f"{home}/level={level}/part-*")
+        names = [row["path"] for row in found.where("length > 0").select("path").collect()]
+        rows = spark.read.parquet(*names).agg(F.count("*").alias("n"))
+        folder = paths.is_folder(spark, f"{home}/level={level}") and not paths.is_folder(spark, names[0])
+        parts.append(rows.select(F.lit(level).alias("level"), "n", F.lit(folder).alias("is_folder")))
+    return parts[0].unionByName(parts[1])
+
+
 # --- store ----------------------------------------------------------------------
 
 
@@ -149,6 +165,39 @@ def store_map_mutations(spark, sf_dir):
     )
 
 
+@query("live_after_recapture", over_changes(f"SELECT {LIVE} FROM live"))
+def live_after_recapture(spark, sf_dir):
+    """Live rows where two runs captured the same old changes."""
+    store = ChangeLogStore(spark, scratch_path(spark, "recaptured"))
+    old = log.old_changes(spark, sf_dir).select(*MUTATIONS.names)
+    for run in ("first", "again"):
+        store.append_run(run, old)
+        store.compact_filters(BUCKETS)
+    new = log.new_changes(spark, sf_dir).select(*MUTATIONS.names)
+    store.append_run("second", new, log.rollback_log(spark, sf_dir))
+    store.compact_filters(BUCKETS)
+    return readable(store.live_mutations(BUCKETS))
+
+
+@query("store_open_groups", over_changes(
+    "SELECT DISTINCT pgroup, 'complete' AS outcome FROM chg UNION ALL"
+    " SELECT DISTINCT pgroup, concat('group default/', pgroup, ' lacks filter or mutations') FROM chg"))
+def store_open_groups(spark, sf_dir):
+    """Each group opens with both its parts, and is refused where one is missing."""
+    version = two_run_store(spark, sf_dir).manifest.latest()
+    filter_of, mutations_of = version.of("filter", "l1"), version.of("mutations", "l1")
+    outcomes = []
+    for row in filter_of.select("pgroup").distinct().collect():
+        of_group = F.col("pgroup") == row["pgroup"]
+        for rest in (mutations_of.where(of_group), mutations_of.where("false")):
+            try:
+                two_run_store(spark, sf_dir)._check_complete(filter_of.where(of_group), rest)
+                outcomes.append((row["pgroup"], "complete"))
+            except RuntimeError as error:
+                outcomes.append((row["pgroup"], str(error)))
+    return spark.createDataFrame(outcomes, "pgroup int, outcome string")
+
+
 # --- backups --------------------------------------------------------------------
 
 
@@ -207,6 +256,67 @@ def backup_mainline(spark, sf_dir):
     )
 
 
+LATEST_PUTS = (
+    "SELECT bucket, pgroup, partition_id, {} AS partition_uuid, seqno, key,"
+    " CASE WHEN rec_type = 'DELETE' THEN 'DELETE' ELSE 'UPDATE' END AS rec_type"
+    " FROM (SELECT *, row_number() OVER (PARTITION BY bucket, pgroup, key ORDER BY seqno DESC) AS rn {}) t WHERE rn = 1"
+)
+
+
+@query("backup_after_failure", over_changes(LATEST_PUTS.format("partition_uuid", PUTS)))
+def backup_after_failure(spark, sf_dir):
+    """A backup that broke before it was published, repeated under its name."""
+    store = ChangeLogStore(spark, scratch_path(spark, "broken"))
+    stream = log.data_stream(spark, sf_dir)
+
+    def broken(*args):
+        raise OSError("lost before publishing")
+
+    store.manifest.publish = broken
+    try:
+        run_backup(store, stream, "monday", BUCKETS)
+    except OSError:
+        del store.manifest.publish
+    run_backup(store, stream, "monday", BUCKETS)
+    store.compact_filters(BUCKETS)
+    return store.filter_rows(BUCKETS)
+
+
+@query("backup_after_rollback", over_changes(LATEST_PUTS.format(
+    "CAST(partition_id * 10 + CASE WHEN seqno >= r THEN 2 ELSE 1 END AS BIGINT)",
+    "FROM chg LEFT JOIN (SELECT partition_id AS p, CAST(floor(max(seqno) / 2) AS BIGINT) AS r"
+    " FROM chg WHERE rec_type <> 'INSERT' AND level = 'l1' AND partition_id % 4 = 2 GROUP BY ALL)"
+    " ON partition_id = p WHERE rec_type <> 'INSERT'")))
+def backup_after_rollback(spark, sf_dir):
+    """Partitions sent back to half of what they had, captured again on a new branch.
+
+    Events carry no branch, so each row's branch is the one its range was opened on.
+    """
+    store = ChangeLogStore(spark, scratch_path(spark, "sent-back"))
+    stream = log.data_stream(spark, sf_dir).drop("partition_uuid")
+    early = ranges.data_events(stream).join(
+        log.old_changes(spark, sf_dir).select("bucket", "partition_id", "seqno"),
+        ["bucket", "partition_id", "seqno"],
+        "left_semi",
+    )
+    half = early.groupBy("bucket", "partition_id").agg(F.expr("max(seqno) div 2").alias("r"))
+    opened = "array(named_struct('uuid', partition_id * 10L + {0}, 'seqno', {1}))"
+    columns = ["bucket", "partition_id", "0L AS arrival"]
+    first = as_events(half.selectExpr(*columns, "'opened' AS kind", f"{opened.format(1, '0L')} AS failover_log"))
+    back = half.where("partition_id % 4 = 2")
+    refused = as_events(back.selectExpr(*columns, "'rollback' AS kind", "r AS seqno"))
+    again = as_events(back.selectExpr(*columns, "'opened' AS kind", f"{opened.format(2, 'r - 1')} AS failover_log"))
+    kept = first.where("partition_id % 4 <> 2")
+    for name, events, answers in (
+        ("monday", early, first),
+        ("tuesday", stream, kept.unionByName(refused)),
+        ("wednesday", stream, again),
+    ):
+        run_backup(store, events, name, BUCKETS, answers)
+        store.compact_filters(BUCKETS)
+    return store.filter_rows(BUCKETS)
+
+
 # --- streams --------------------------------------------------------------------
 
 
