@@ -49,14 +49,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def joined(rows: DataFrame, side: DataFrame, on, how: str = "inner") -> DataFrame:
+def joined(rows: DataFrame, side: DataFrame, on, how: str = "inner", measured: bool = True) -> DataFrame:
     """`rows` joined to a side that is computed once.
 
-    The side is broadcast if its measured size allows. Else both take an exchange, and
-    adaptive execution splits what one key holds too much of.
+    The side is broadcast if its measured size allows. Else, and always with `measured`
+    off, for sides that grow like the rows, both take an exchange, and adaptive
+    execution splits what one key holds too much of.
     """
     side = written(side, "side")
-    return rows.join(F.broadcast(side) if fits_broadcast(side) else side, on, how)
+    return rows.join(F.broadcast(side) if measured and fits_broadcast(side) else side, on, how)
 
 
 def release(spark: SparkSession) -> None:

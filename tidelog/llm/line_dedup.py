@@ -94,7 +94,7 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     # one line of each class that shares a band, from the document with the least id
     needed = classes.join(bands.select("k").distinct(), "k", "left_semi").selectExpr("k AS nk", "doc_id AS nd")
     sets = written(
-        joined(lines, needed, F.expr("k = nk AND doc_id <=> nd"))
+        joined(lines, needed, F.expr("k = nk AND doc_id <=> nd"), measured=False)
         .selectExpr("k", f"{SHINGLES} AS shingles")
         .dropDuplicates(["k"]),
         "shingles",
@@ -148,7 +148,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         .select("component", "first")
     )
     return (
-        joined(places, first, "component")
+        joined(places, first, "component", measured=False)
         .where("NOT (doc_id <=> first.doc_id AND line_no = first.line_no)")
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_set("line_no")).alias("removed"))

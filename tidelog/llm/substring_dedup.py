@@ -31,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import joined, registered, table, written
@@ -42,6 +42,8 @@ OFFSETS = LENGTH - GRAM + 1
 REACH = OFFSETS - 1
 #: Kinds of surroundings of one sampled string that one task takes.
 BLOCK = 2048
+#: Tasks that share the windows of a string with more.
+SPREAD = 16
 #: Bytes hashed in one go, and around a piece of a long text.
 PIECE = 1 << 19
 MARGIN = 256
@@ -281,41 +283,50 @@ def _induced(frames):
         yield spans(rest)
 
 
+WINDOWS = "w long, doc_id long, place long, start long, last long"
+
+
 def _exploded(frames):
-    """Every window of every row: hash, doc_id, place and where it starts."""
+    """Windows of rows: hash, doc_id, place and where the window starts.
+
+    Of equal windows among some thousand rows only the first goes on; the others are
+    covered, and for each row the span of these comes without a hash, from `start` to
+    the start of the last one.
+    """
     for frame in frames:
-        for begin in range(0, len(frame), BLOCK):
-            part = frame.iloc[begin : begin + BLOCK]
-            hashes, there = _windows(part)
-            key = _mixed(hashes ^ part["s"].to_numpy().view(U)[:, None])
-            row, offset = np.nonzero(there)
-            place = part["place"].to_numpy()[row]
-            yield pd.DataFrame(
-                {
-                    "w": key[row, offset].view(np.int64),
-                    "doc_id": part["doc_id"].to_numpy()[row],
-                    "place": place,
-                    "start": place - offset,
-                }
-            )
+        frame = frame.sort_values(["doc_id", "place"], kind="stable").drop_duplicates(["s", "doc_id", "place"])
+        hashes, there = _windows(frame)
+        key = _mixed(hashes ^ frame["s"].to_numpy().view(U)[:, None])
+        row, offset = np.nonzero(there)
+        key, doc, place = key[row, offset].view(np.int64), frame["doc_id"].to_numpy()[row], frame["place"].to_numpy()[row]
+        start = place - offset
+        order = np.lexsort((start, doc, key))
+        again = np.append(False, key[order][1:] == key[order][:-1])[: len(order)]
+        # equal windows with the same start are one and the same
+        again &= np.append(False, (start[order][1:] != start[order][:-1]) | (doc[order][1:] != doc[order][:-1]))[: len(order)]
+        first, later = order[~again], order[again]
+        yield pd.DataFrame({"w": key[first], "doc_id": doc[first], "place": place[first], "start": start[first], "last": start[first]})
+        if len(later):
+            covered = pd.DataFrame({"doc_id": doc[later], "place": place[later], "start": start[later]})
+            covered = covered.groupby(["doc_id", "place"], sort=False)["start"].agg(["min", "max"]).reset_index()
+            covered.columns = ["doc_id", "place", "start", "last"]
+            covered.insert(0, "w", pd.array([None] * len(covered), "Int64"))
+            yield covered
 
 
 def _covered_by_aggregate(around: DataFrame) -> DataFrame:
     """Spans of strings with many kinds of surroundings."""
-    windows = written(around.mapInPandas(_exploded, "w long, doc_id long, place long, start long"), "windows")
-    first = (
-        windows.groupBy("w", "doc_id")
-        .agg(F.min("start").alias("start"), F.count("*").alias("n"))
-        .groupBy("w")
-        .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.sum("n").alias("n"))
-        .where("n > 1")
-        .select("w", "first")
+    spread = F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD))
+    windows = written(
+        around.repartition(F.col("s"), spread).mapInPandas(_exploded, WINDOWS), "windows"
     )
+    earlier = Window.partitionBy("w").orderBy("doc_id", "start")
+    later = windows.where("w IS NOT NULL").withColumn("place_of", F.rank().over(earlier)).where("place_of > 1")
     return (
-        windows.join(first, "w")
-        .where("struct(doc_id, start) > first")
+        later.drop("place_of")
+        .unionByName(windows.where("w IS NULL"))
         .groupBy("doc_id", "place")
-        .agg(F.min("start").alias("low"), (F.max("start") + LENGTH).alias("high"))
+        .agg(F.min("start").alias("low"), (F.max("last") + LENGTH).alias("high"))
         .select("doc_id", "low", "high")
     )
 
@@ -336,12 +347,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     firsts = classed.where("NOT done").selectExpr("s", "doc_id", "shiftright(packed, 16) AS place")
     many = firsts.groupBy("s").agg(F.count("*").alias("n")).where(f"n > {BLOCK}")
-    marked = joined(firsts, many, "s", "left")
+    marked = joined(firsts, many, "s", "left", measured=False)
     asked = marked.groupBy("doc_id").agg(
         F.expr("array_join(collect_list(concat(place, ':', s, ':', IF(n IS NULL, 0, 1))), ',') AS asked")
     )
     around = written(
-        joined(docs, asked, "doc_id").mapInArrow(
+        joined(docs, asked, "doc_id", measured=False).mapInArrow(
             _surroundings, "s long, hot boolean, doc_id long, place long, left long, around binary"
         ),
         "surroundings",
@@ -390,7 +401,7 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
                 rows.append((None if doc == NO_ID else doc, len(data), len(data) - len(kept), len(runs), kept))
             yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
 
-    return joined(docs, runs, "doc_id", "left").mapInPandas(
+    return joined(docs, runs, "doc_id", "left", measured=False).mapInPandas(
         cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
 
