@@ -4,8 +4,8 @@ A line's shingles are its character 8-grams that begin at a word (at the end of
 the line, what is left), case and punctuation included. Equal lines are one class
 from the start. Each class gets five minima of its hashed shingles under different
 orders; every pair of minima is a band, so two lines at a similarity of 0.8 meet in
-some band with a probability of 0.993. Classes that share a band are compared by
-the exact Jaccard similarity of their shingle sets; links make components, and of
+some band with a probability of 0.993. Classes that share a band, and whose sizes and
+counts of shingles in eight groups allow it, are compared by the exact Jaccard similarity of their shingle sets; links make components, and of
 each component the line with the smallest (doc_id, line number) stays.
 
 A band may hold a third of all classes. Bands are aggregated to their number of
@@ -33,6 +33,8 @@ from tidelog.llm.components import components
 SHINGLE = 8
 MINIMA = 5
 MIN_PERCENT = 80
+#: Shingles a line may have for its counts in eight groups to fit the bytes of a long.
+COUNTED = 127
 
 #: What the hashes are combined with for each order.
 ORDERS = [0, 7640891576956012809, 3141592653589793238, 5772156649015328606, 1618033988749894848]
@@ -52,11 +54,15 @@ def lines_of(docs: DataFrame) -> DataFrame:
 def _classes(lines: DataFrame) -> DataFrame:
     """One row per class of equal lines, with its minima and the least id that has it."""
     minima = [f"array_min(transform(shingles, s -> s ^ {ORDERS[i]}L)) AS m{i}" for i in range(MINIMA)]
+    counts = f"aggregate(shingles, 0L, (a, s) -> a + shiftleft(1L, INT(s & 7) * 8))"
+    same = [F.max(name).alias(name) for name in ("n", "counts", *(f"m{i}" for i in range(MINIMA)))]
     return (
         lines.selectExpr("doc_id", "k", f"{SHINGLES} AS shingles")
-        .selectExpr("doc_id", "k", *minima)
+        .selectExpr(
+            "doc_id", "k", "size(shingles) AS n", f"IF(size(shingles) > {COUNTED}, NULL, {counts}) AS counts", *minima
+        )
         .groupBy("k")
-        .agg(F.min("doc_id").alias("doc_id"), *(F.max(f"m{i}").alias(f"m{i}") for i in range(MINIMA)))
+        .agg(F.min("doc_id").alias("doc_id"), *same)
     )
 
 
@@ -76,8 +82,38 @@ def _bands(classes: DataFrame) -> DataFrame:
     return small.select("band", "k", "first", "last").unionByName(large.select("band", "k", "first", "last"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose sizes, and counts in eight groups, allow the similarity.
+
+    This loses no similar pair: the shared shingles are at most the sum of the smaller
+    counts, and must be 4/9 of all.
+    """
+    room = " + ".join(
+        f"least(shiftrightunsigned(cu, {b}) & 255, shiftrightunsigned(cv, {b}) & 255)" for b in range(0, 64, 8)
+    )
+    return (
+        pairs.join(classes.selectExpr("k AS u", "n AS nu", "counts AS cu"), "u")
+        .join(classes.selectExpr("k AS v", "n AS nv", "counts AS cv"), "v")
+        .where(f"100 * least(nu, nv) >= {MIN_PERCENT} * greatest(nu, nv)")
+        .where(f"cu IS NULL OR cv IS NULL OR {100 + MIN_PERCENT} * ({room}) >= {MIN_PERCENT} * (nu + nv)")
+        .select("u", "v")
+    )
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (u, v) that are similar enough."""
+    pairs = written(_bounded(pairs, classes), "pairs")
+    used = pairs.selectExpr("explode(array(u, v)) AS k").distinct()
+    # one line of each class, from the document with the least id that has it
+    needed = classes.join(used, "k", "left_semi").selectExpr("k AS nk", "doc_id AS nd")
+    lines = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
+    lines = lines.withColumn("k", F.xxhash64("line"))
+    sets = written(
+        joined(lines, needed, F.expr("k = nk AND doc_id <=> nd"), measured=False).selectExpr(
+            "k", f"{SHINGLES} AS shingles"
+        ),
+        "shingles",
+    )
     return (
         pairs.join(sets.selectExpr("k AS u", "shingles AS us"), "u")
         .join(sets.selectExpr("k AS v", "shingles AS vs"), "v")
@@ -87,25 +123,17 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def similar_lines(lines: DataFrame) -> DataFrame:
+def similar_lines(docs: DataFrame) -> DataFrame:
     """(k, component) of the classes that are linked with another class."""
-    classes = written(_classes(lines), "classes")
+    classes = written(_classes(lines_of(docs)), "classes")
     bands = written(_bands(classes), "members")
-    # one line of each class that shares a band, from the document with the least id
-    needed = classes.join(bands.select("k").distinct(), "k", "left_semi").selectExpr("k AS nk", "doc_id AS nd")
-    sets = written(
-        joined(lines, needed, F.expr("k = nk AND doc_id <=> nd"), measured=False)
-        .selectExpr("k", f"{SHINGLES} AS shingles")
-        .dropDuplicates(["k"]),
-        "shingles",
-    )
     stars = (
         bands.selectExpr("k AS u", "explode(array(first, last)) AS v")
         .where("u <> v")
         .selectExpr("greatest(u, v) AS u", "least(u, v) AS v")
         .distinct()
     )
-    links = written(_verified(stars, sets), "line-links")
+    links = written(_verified(stars, classes, docs), "line-links")
     found = components(links)
     # bands that still hold several components
     members = bands.join(found.withColumnRenamed("node", "k"), "k", "left")
@@ -126,7 +154,7 @@ def similar_lines(lines: DataFrame) -> DataFrame:
         .select("u", "v")
         .distinct()
     )
-    more = written(_verified(rest, sets), "line-links")
+    more = written(_verified(rest, classes, docs), "line-links")
     if more.isEmpty():
         return found.withColumnRenamed("node", "k")
     return components(links.unionByName(more)).withColumnRenamed("node", "k")
@@ -135,7 +163,7 @@ def similar_lines(lines: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, removed) with the numbers, from 0, of the lines that go; only documents that lose any."""
     lines = lines_of(docs)
-    found = similar_lines(lines)
+    found = similar_lines(docs)
     places = lines.select("doc_id", "line_no", "k").join(found, "k", "left")
     places = places.selectExpr("doc_id", "line_no", "coalesce(component, k) AS component")
     places = written(places, "places")
