@@ -377,13 +377,16 @@ class ChangeLogStore:
         self,
         buckets: Sequence[Bucket] | None = None,
         threshold: int = MUTATION_FILES_THRESHOLD,
+        snapshot: str | None = None,
     ) -> str | None:
         """Write the live mutations of the groups over the threshold, unpublished.
 
         The result stays invisible until `publish_compacted_mutations`; runs
         appended in between are not lost, as only the runs read here get replaced.
+        With `snapshot`, the runs and the filter it names are read, while the store
+        goes on: a row that was not live then can't come back to life.
         """
-        base = self.manifest.latest()
+        base = self._version(snapshot)
         over = stored(self._over(base, buckets, threshold).select(*GROUP))
         if over.isEmpty():
             return None
@@ -401,7 +404,8 @@ class ChangeLogStore:
             .drop("replaces")
             .join(replaced, GROUP)
         )
-        self.manifest.change(view.of(entries_of.MUTATIONS, STAGED), staged)
+        outdated = self.manifest.latest().of(entries_of.MUTATIONS, STAGED).join(over, GROUP, "left_semi")
+        self.manifest.change(outdated, staged)
         return run
 
     def publish_compacted_mutations(self, buckets: Sequence[Bucket] | None = None) -> bool:
@@ -501,6 +505,19 @@ class ChangeLogStore:
                 f"group {incomplete['bucket']}/{incomplete['pgroup']} lacks filter or mutations"
             )
 
+    def changes(self, run: str, bucket: str, partition_id: int) -> DataFrame:
+        """What one run captured of one partition, live or not.
+
+        A run that a compaction has replaced can't be read any more.
+        """
+        checked_name(run)
+        known = self.manifest.latest().entries.where(f"kind = '{entries_of.MUTATIONS}' AND run = '{run}'")
+        if known.isEmpty():
+            raise ValueError(f"no mutations of run {run}")
+        rows = self._clustered_table(entries_of.MUTATIONS, [run])
+        of_partition = (F.col("bucket") == bucket) & (F.col("partition_id") == partition_id)
+        return rows.where(of_partition).select(*MUTATIONS.names)
+
     def live_mutations(
         self, buckets: Sequence[Bucket] | None = None, snapshot: str | None = None
     ) -> DataFrame:

@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions import records
 from tidelog.functions.scalars import content_text
 from tidelog.operators import filters, ranges
 from tidelog.plans.backup import as_events, read_catalog, run_backup
-from tidelog.plans.store import ChangeLogStore
+from tidelog.plans.store import Bucket, ChangeLogStore
 from tidelog.schemas import MUTATIONS
 from tidelog.session import scratch_path
 from tidelog.sources import events as event_sources
@@ -20,7 +21,7 @@ from tidelog.streaming.capture import capture_stream
 from tidelog.streaming.progress import counter_stream, read_state, track_state
 from tidelog.workload import changelog as log
 from tidelog.workload.oracle import FILTER as FILTER_SQL
-from tidelog.workload.oracle import LIVE, over_changes, over_ranges
+from tidelog.workload.oracle import LIVE, over_changes, over_orders, over_ranges
 from tidelog.workload.queries import (
     BUCKETS,
     COUNTERS_SQL,
@@ -198,6 +199,36 @@ def store_open_groups(spark, sf_dir):
     return spark.createDataFrame(outcomes, "pgroup int, outcome string")
 
 
+@query("compact_from_snapshot", over_orders(
+    f"SELECT {LIVE} FROM live UNION ALL SELECT {LIVE} FROM ochg WHERE level = 'l1'"))
+def compact_from_snapshot(spark, sf_dir):
+    """Mutations on file after a compaction off a snapshot; the orders came in later."""
+    store = ChangeLogStore(spark, scratch_path(spark, "off-snapshot"))
+    store.append_run("first", log.old_changes(spark, sf_dir).select(*MUTATIONS.names))
+    store.compact_filters(BUCKETS)
+    new = log.new_changes(spark, sf_dir).select(*MUTATIONS.names)
+    store.append_run("second", new, log.rollback_log(spark, sf_dir))
+    store.compact_filters(BUCKETS)
+    store.create_snapshot("second")
+    everything = [*BUCKETS, Bucket("orders", log.ORDER_PARTITIONS, log.ORDER_GROUPS)]
+    orders = records.lift_to_mutations(log.order_changes(spark, sf_dir).where(F.col("level") == "l1"))
+    store.append_run("orders", orders.select(*MUTATIONS.names))
+    store.compact_filters(everything)
+    store.compact_mutations(everything, threshold=1, snapshot="second")
+    store.publish_compacted_mutations(everything)
+    return readable(store.mutation_rows(everything))
+
+
+@query("snapshot_changes", over_changes(
+    f"SELECT {LIVE} FROM chg WHERE level = 'l0' AND partition_id = 3"))
+def snapshot_changes(spark, sf_dir):
+    """What one of two runs captured of one partition."""
+    store = ChangeLogStore(spark, scratch_path(spark, "runs"))
+    store.append_run("first", log.old_changes(spark, sf_dir).select(*MUTATIONS.names))
+    store.append_run("second", log.new_changes(spark, sf_dir).select(*MUTATIONS.names))
+    return readable(store.changes("second", "default", 3))
+
+
 # --- backups --------------------------------------------------------------------
 
 
