@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -45,18 +46,48 @@ REMEMBERED = 400_000
 #: Texts with these go through the tokenizer whole: separators that only Python
 #: takes for white space, and what may begin a special token.
 UNUSUAL = re.compile(r"[\x1c-\x1f]|<\|")
+#: Words of these characters alone, which no normal form changes, need the tokenizer's
+#: model only: letters, single digits and runs of signs are its pieces. The apostrophe
+#: is left out, as it begins pieces of other kinds.
+PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
+PIECES = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+")
+
+
+def _byte_names() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies.
+
+    Printable bytes of Latin-1 stand for themselves, the others for code points from 256 on.
+    """
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    names = {b: chr(b) for b in shown}
+    return names | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in names)}
+
+
+BYTE_NAMES = _byte_names()
 
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    """The tokenizer and what is remembered of words and of their pieces."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), {}
+    return Tokenizer.from_file(path), {}, {}
 
 
 def _packed(ids) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _plain_word(word: str, model, known: dict) -> bytes:
+    found = []
+    for piece in PIECES.findall(word.lower()):
+        ids = known.get(piece)
+        if ids is None:
+            named = piece if piece.isascii() else "".join(BYTE_NAMES[b] for b in piece.encode())
+            ids = known[piece] = _packed([token.id for token in model.tokenize(named)])
+        found.append(ids)
+    return b"".join(found)
 
 
 def encoded(texts, path: str, end_id: int):
@@ -65,22 +96,24 @@ def encoded(texts, path: str, end_id: int):
     No token of this vocabulary spans white space, so words are encoded once and
     remembered.
     """
-    tokenizer, known = _tokenizer(path)
-    split = [None if UNUSUAL.search(text) else text.split() for text in texts]
-    new = list({word for words in split if words for word in words if word not in known})
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = list({word for words in split if words for word in words})
-    for at in range(0, len(new), 10_000):
-        part = new[at : at + 10_000]
-        for word, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            known[word] = _packed(found.ids)
-    end = _packed([end_id])
-    for text, words in zip(texts, split):
-        if words is None:
+    tokenizer, words_known, pieces_known = _tokenizer(path)
+    model, end = tokenizer.model, _packed([end_id])
+    for text in texts:
+        if UNUSUAL.search(text):
             yield _packed(tokenizer.encode(text, add_special_tokens=False).ids) + end
-        else:
-            yield b"".join(map(known.__getitem__, words)) + end
+            continue
+        words = text.split()
+        if len(words_known) > REMEMBERED or len(pieces_known) > REMEMBERED:
+            words_known.clear()
+            pieces_known.clear()
+        for word in words:
+            if word not in words_known:
+                words_known[word] = (
+                    _plain_word(word, model, pieces_known)
+                    if PLAIN.fullmatch(word)
+                    else _packed(tokenizer.encode(word, add_special_tokens=False).ids)
+                )
+        yield b"".join(map(words_known.__getitem__, words)) + end
 
 
 def pieces(
