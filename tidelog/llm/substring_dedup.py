@@ -40,8 +40,10 @@ LENGTH = 100
 GRAM = 32
 OFFSETS = LENGTH - GRAM + 1
 REACH = OFFSETS - 1
-#: Kinds of surroundings of one sampled string that one task takes.
-BLOCK = 2048
+#: Kinds of surroundings of one sampled string that one task takes: 3 MB of them.
+BLOCK = 16_384
+#: Rows that are compared at once, beyond which a string is not begun.
+ROWS = 4096
 #: Tasks that share the windows of a string with more.
 SPREAD = 16
 #: Bytes hashed in one go, and around a piece of a long text.
@@ -276,7 +278,7 @@ def _induced(frames):
         # whole strings, some thousand rows at a time
         begin = 0
         while begin < end:
-            far = cuts[np.searchsorted(cuts, min(begin + BLOCK, end), side="left")]
+            far = cuts[np.searchsorted(cuts, min(begin + ROWS, end), side="left")]
             yield spans(frame.iloc[begin:far])
             begin = far
     if rest is not None and len(rest):
