@@ -82,8 +82,8 @@ def _bands(classes: DataFrame) -> DataFrame:
     return small.select("band", "k", "first", "last").unionByName(large.select("band", "k", "first", "last"))
 
 
-def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose sizes, and counts in eight groups, allow the similarity.
+def _fits() -> str:
+    """SQL for sizes, and counts in eight groups, of u and v that allow the similarity.
 
     This loses no similar pair: the shared shingles are at most the sum of the smaller
     counts, and must be 4/9 of all.
@@ -91,11 +91,18 @@ def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     room = " + ".join(
         f"least(shiftrightunsigned(cu, {b}) & 255, shiftrightunsigned(cv, {b}) & 255)" for b in range(0, 64, 8)
     )
+    return (
+        f"100 * least(nu, nv) >= {MIN_PERCENT} * greatest(nu, nv) AND (cu IS NULL OR cv IS NULL"
+        f" OR {100 + MIN_PERCENT} * ({room}) >= {MIN_PERCENT} * (nu + nv))"
+    )
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose bounds allow the similarity."""
     return (
         pairs.join(classes.selectExpr("k AS u", "n AS nu", "counts AS cu"), "u")
         .join(classes.selectExpr("k AS v", "n AS nv", "counts AS cv"), "v")
-        .where(f"100 * least(nu, nv) >= {MIN_PERCENT} * greatest(nu, nv)")
-        .where(f"cu IS NULL OR cv IS NULL OR {100 + MIN_PERCENT} * ({room}) >= {MIN_PERCENT} * (nu + nv)")
+        .where(_fits())
         .select("u", "v")
     )
 
@@ -146,11 +153,12 @@ def similar_lines(docs: DataFrame) -> DataFrame:
     )
     # the leaders have met all others
     left = members.where("k <> first AND k <> last").join(open_bands, "band", "left_semi")
-    left = written(left.select("band", "k", "component"), "open-bands")
+    left = left.join(classes.select("k", "n", "counts"), "k")
+    left = written(left.select("band", "k", "component", "n", "counts"), "open-bands")
     rest = (
-        left.selectExpr("band", "k AS u", "component AS cu")
-        .join(left.selectExpr("band", "k AS v", "component AS cv"), "band")
-        .where("u > v AND cu <> cv")
+        left.selectExpr("band", "k AS u", "component AS a", "n AS nu", "counts AS cu")
+        .join(left.selectExpr("band", "k AS v", "component AS b", "n AS nv", "counts AS cv"), "band")
+        .where(f"u > v AND a <> b AND {_fits()}")
         .select("u", "v")
         .distinct()
     )
