@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import heapq
 import random
 import re
 import urllib.parse
@@ -64,6 +65,22 @@ def test_pack_plan(seed):
     assert least / sum(c for _, c in patterns) > 0.9
 
 
+@pytest.mark.parametrize(
+    "histogram", [{150: 10_000}, {64: 3, 1: 1000}, {2000: 7, 300: 5, 150: 10_000, 30: 9000, 7: 2}, {4096: 2, 2048: 5}, {}]
+)
+def test_pack_plan_hot_length(histogram):
+    packs = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            if packs and packs[0] + length <= 4096:
+                heapq.heapreplace(packs, packs[0] + length)
+            else:
+                heapq.heappush(packs, length)
+    patterns = packing.shortest_pack_first(histogram, 4096)
+    assert {n: sum(p.count(n) * c for p, c in patterns) for n in histogram} == histogram
+    assert sorted(f for p, c in patterns for f in [sum(p)] * c) == sorted(packs)
+
+
 def check_sequences(rows, max_len):
     by_sequence = {}
     for r in rows:

@@ -10,7 +10,7 @@ numbered within their length and meet the plan by rank.
 
 A length may be as frequent as a third of all pieces, so pieces are numbered in
 parts of a length: counted, the counts summed up in order, and numbered within
-the part. The plan has at most two new patterns for each length, so its size is
+the part. The plan has at most three new patterns for each length, so its size is
 bounded and it may go to every task.
 
 Defined results: a null text is empty and has the end id alone; equal lengths are
@@ -167,9 +167,11 @@ def shortest_pack_first(histogram: dict[int, int], max_len: int):
                 del open_packs[fill]
             place = added if fill + 2 * length > max_len else open_packs
             place[fill + length].append(((*pattern, length), taken))
-        if left:
-            # new packs take several pieces of the length as long as packs stay emptier than half
-            added[length].append(((length,), left))
+        # no open pack has room: each new pack is the emptiest until the length no longer fits it
+        most = max_len // length
+        for each, count in ((most, left // most), (left % most, 1)):
+            if each and count:
+                added[each * length].append(((length,) * each, count))
         for fill, packs in added.items():
             if fill == max_len:
                 full += packs
