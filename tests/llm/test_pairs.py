@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidelog.llm import line_dedup, ngram_join, substring_dedup
@@ -107,6 +108,54 @@ def test_line_dedup(frame, seed):
             assert kept[doc] == "\n".join(x for i, x in enumerate(lines) if i not in found.get(doc, set()))
 
 
+def grams(line):
+    return {line[i : i + 8] for i in range(max(1, len(line) - 7))}
+
+
+def test_line_dedup_reads_whole_lines(frame):
+    han = [chr(0x4E00 + i) for i in range(400)]
+    lines = [
+        # equal in the first eight characters of each word, different behind
+        "".join(han[:60]), "".join(han[:8] + han[100:150]), "".join(han[:8] + han[200:250]),
+        "https://a.example/one/page", "https://b.sample/another", "https://c.test/third-one",
+        "from 2021-01-01 to 2021-01-02", "from 2021-01-17 to 2021-01-29",
+        "internationalisation", "internationalists", "short", "shorter", "shorn", "x", "\U0001f600" * 5,
+        "\U0001f600" * 20 + "\U0001f601" * 20 + "\U0001f602" * 20, "\U0001f602" * 20 + "\U0001f600" * 20 + "\U0001f601" * 20,
+        # near copies without spaces, and equal lines
+        "".join(han[300:400]), "".join(han[300:399]) + "x", "x", "short", "internationalists",
+    ]
+    first, gone = brute.Sets(), set()
+    for a in lines:
+        for b in lines:
+            if brute.similar(grams(a), grams(b)):
+                first.join(lines.index(a), lines.index(b))
+    for i, line in enumerate(lines):
+        if first.root(lines.index(line)) != i:
+            gone.add(i)
+    found = line_dedup.removed_lines(frame([(1, "\n".join(lines))])).collect()
+    assert gone == set(found[0]["removed"]) and gone >= {18, 19, 20, 21}
+    # documents whose one line begins alike all stay
+    docs = frame([(i, "".join(han[:8] + han[20 * i : 20 * i + 40])) for i in range(1, 12)])
+    assert line_dedup.removed_lines(docs).collect() == []
+
+
+def test_line_dedup_all_grams(frame, monkeypatch):
+    rows = corpus(4, 40)
+    monkeypatch.setattr(brute, "line_shingles", grams)
+    gone = brute.removed_lines(rows)
+    found = {r["doc_id"]: set(r["removed"]) for r in line_dedup.removed_lines(frame(rows)).collect()}
+    assert sum(len(gone[d] ^ found.get(d, set())) for d in gone) <= 0.02 * sum(map(len, gone.values()))
+
+
+def test_line_dedup_shingles(spark):
+    lines = ["", "abc", "12345678", "123456789", "a b\r\u2028 c d e f g", "x\U0001f600\U0001f601yz\U00020000abc\U0001f600\U0001f600d"]
+    rows = spark.createDataFrame([(x,) for x in lines], "line string")
+    made = {r[0]: set(r[1]) for r in rows.selectExpr("line", line_dedup._shingles("line")).collect()}
+    wanted = spark.createDataFrame([(x, g) for x in lines for g in grams(x)], "line string, g string")
+    wanted = {r[0]: set(r[1]) for r in wanted.groupBy("line").agg(F.collect_set(F.xxhash64("g"))).collect()}
+    assert made == wanted
+
+
 def test_line_dedup_odd_rows(frame):
     assert line_dedup.removed_lines(frame([])).collect() == []
     rows = [(1, "one line here\n\none line here"), (1, "one line here"), (2, None), (3, "")]

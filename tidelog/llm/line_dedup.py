@@ -1,11 +1,12 @@
 """Line dedup: fuzzy lines by MinHash, verified, one line kept per component.
 
-A line's shingles are its character 8-grams that begin at a word (at the end of
-the line, what is left), case and punctuation included. Equal lines are one class
+A line's shingles are all its character 8-grams, white space, case and punctuation
+included; a shorter line is its only shingle. Equal lines are one class
 from the start. Each class gets five minima of its hashed shingles under different
 orders; every pair of minima is a band, so two lines at a similarity of 0.8 meet in
 some band with a probability of 0.993. Classes that share a band, and whose sizes and
-counts of shingles in eight groups allow it, are compared by the exact Jaccard similarity of their shingle sets; links make components, and of
+counts of shingles in eight groups allow it, are compared by the exact Jaccard similarity of their shingle sets,
+for which the lines themselves are joined, as sets are eight times as large; links make components, and of
 each component the line with the smallest (doc_id, line number) stays.
 
 A band may hold a third of all classes. Bands are aggregated to their number of
@@ -39,7 +40,18 @@ COUNTED = 127
 #: What the hashes are combined with for each order.
 ORDERS = [0, 7640891576956012809, 3141592653589793238, 5772156649015328606, 1618033988749894848]
 
-SHINGLES = f"array_distinct(transform(regexp_extract_all(line, '(?<!\\\\S)(?=(\\\\S.{{0,{SHINGLE - 1}}}))', 1), s -> xxhash64(s)))"
+
+def _shingles(line: str) -> str:
+    """SQL for the hashed shingles of a line."""
+    # a match may begin at any UTF-16 unit: not at the second half of a character
+    grams = f"regexp_extract_all({line}, '(?s)(?=([^\\\\x{{DC00}}-\\\\x{{DFFF}}].{{{SHINGLE - 1}}}))', 1)"
+    grams = f"IF(char_length({line}) < {SHINGLE}, array({line}), {grams})"
+    return f"array_distinct(transform({grams}, s -> xxhash64(s)))"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for `body` with `name` standing for `value`, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -57,7 +69,7 @@ def _classes(lines: DataFrame) -> DataFrame:
     counts = f"aggregate(shingles, 0L, (a, s) -> a + shiftleft(1L, INT(s & 7) * 8))"
     same = [F.max(name).alias(name) for name in ("n", "counts", *(f"m{i}" for i in range(MINIMA)))]
     return (
-        lines.selectExpr("doc_id", "k", f"{SHINGLES} AS shingles")
+        lines.selectExpr("doc_id", "k", f"{_shingles('line')} AS shingles")
         .selectExpr(
             "doc_id", "k", "size(shingles) AS n", f"IF(size(shingles) > {COUNTED}, NULL, {counts}) AS counts", *minima
         )
@@ -115,17 +127,16 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
     needed = classes.join(used, "k", "left_semi").selectExpr("k AS nk", "doc_id AS nd")
     lines = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
     lines = lines.withColumn("k", F.xxhash64("line"))
-    sets = written(
-        joined(lines, needed, F.expr("k = nk AND doc_id <=> nd"), measured=False).selectExpr(
-            "k", f"{SHINGLES} AS shingles"
-        ),
-        "shingles",
+    texts = written(
+        joined(lines, needed, F.expr("k = nk AND doc_id <=> nd"), measured=False).select("k", "line"), "lines"
     )
+    enough = f"100 * shared >= {MIN_PERCENT} * (size(us) + size(vs) - shared)"
+    enough = _let("shared", "size(array_intersect(us, vs))", enough)
+    enough = _let("us", _shingles("ul"), _let("vs", _shingles("vl"), enough))
     return (
-        pairs.join(sets.selectExpr("k AS u", "shingles AS us"), "u")
-        .join(sets.selectExpr("k AS v", "shingles AS vs"), "v")
-        .selectExpr("u", "v", "size(us) + size(vs) AS total", "size(array_intersect(us, vs)) AS shared")
-        .where(f"100 * shared >= {MIN_PERCENT} * (total - shared)")
+        pairs.join(texts.selectExpr("k AS u", "line AS ul"), "u")
+        .join(texts.selectExpr("k AS v", "line AS vl"), "v")
+        .where(enough)
         .select("u", "v")
     )
 
