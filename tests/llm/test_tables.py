@@ -110,6 +110,23 @@ def test_decontamination(spark):
     assert leaks(spark, docs) == [(1, 1, True), (2, 1, False), (6, 1, True), (10, 1, True)]
 
 
+def test_decontamination_finds_edited_and_embedded(spark):
+    words = "Which of these seven rivers runs longest through flat green meadows before reaching northern seas somewhere".split()
+    items = [(1, " ".join(words[:15])), (2, " ".join(words)), (3, " ".join(words[:8])), (4, "Why is grass green")]
+    edited = [
+        "so they say " + " ".join(words[:12]) + " until it stops",
+        "so they say " + " ".join(words[:13]) + " until it stops",
+        "so they ask Which of these seven rivers runs longest through all that",
+        "so they ask Why is grass green or not",
+        "so they ask. Why is grass green or not",
+        "so they say " + " ".join(words[:11]) + " until it stops",
+    ]
+    # windows found, by hand: coverage of 15 words has 8 windows, of 16 nine, of 8 and of 4 one;
+    # the first word is a name, so is the second reading's
+    assert [x[:2] for x in leaks(spark, list(enumerate(edited)), items)] == [
+        (0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3), (2, 3), (3, 4), (4, 4), (5, 1), (5, 3)]
+
+
 def test_decontamination_odd_rows(spark):
     assert leaks(spark, []) == []
     assert leaks(spark, [(1, ITEM)], []) == []

@@ -2,12 +2,15 @@
 
 Numbers, names and units become typed placeholders, so a question that was asked
 again with other values has the same template. Items are cut into windows of eight
-template words (items of four to seven words: windows of four). Windows with enough
-literal words, taken side by side, are indexed; every window of every document is
-looked up, which gives candidate pairs of a document and an item. For these the
-windows of both are compared in full, and the slots are aligned: each value of the
-item must have become the same value everywhere in the document. A pair is reported
-when at least half of the item's windows are found and the slots are consistent.
+template words (items of four to seven words: windows of four). All windows with
+enough literal words are indexed; every window of every document is looked up, and
+each pair of a document and an item with the coverage asked for is a candidate. For
+these the windows of both are compared in full, and the slots are aligned: each value
+of the item must have become the same value everywhere in the document. A pair is
+reported when at least half of the item's windows are found and the slots are consistent.
+
+A capitalised first word is literal in an item, but a name behind a word of a
+document; such items are looked for in both readings.
 
 All of it is DataFrame functions. The documents are not shuffled for the lookup: the
 index is broadcast when its measured size allows, else the join is salted. A passage
@@ -86,34 +89,32 @@ def templates(rows: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
-    """Items that can be found: words, hashes, windows and the windows to index."""
+    """Readings of items that can be found: words, hashes and windows, by `key`."""
     literal = f"filter(slice(words, i, {{0}}), w -> NOT (left(w, 1) BETWEEN '{NAME}' AND '{UNIT}'))"
     usable = f"filter(sequence(1, size(windows)), i -> size({literal}) >= {MIN_LITERALS})"
+    readings = f"IF(text RLIKE '^\\\\s*\\\\p{{Lu}}\\\\p{{Ll}}', array(text, concat('{NAME}', regexp_replace(text, '^\\\\s+', ''))), array(text))"
     return (
-        templates(benchmark.select("item_id", "text"))
-        .select("item_id", "t.*")
+        templates(benchmark.select("item_id", F.posexplode(F.expr(readings)).alias("reading", "text")))
+        .select(F.struct("item_id", "reading").alias("key"), "t.*")
         .where(f"size(h) >= {SHORT_WINDOW}")
         .withColumn("width", F.expr(f"IF(size(h) >= {WINDOW}, {WINDOW}, {SHORT_WINDOW})"))
         .withColumn("windows", F.expr("IF(width = 8, w8, w4)"))
         .withColumn("usable", F.expr(usable.format("width")))
         .selectExpr(
-            "item_id",
+            "key",
             "words AS item_words",
             "h AS item_h",
             "width",
             "windows AS item_places",
             "array_distinct(transform(usable, i -> windows[i - 1])) AS item_windows",
-            # side by side: one in `width`, and the last
-            "array_distinct(transform(filter(usable, (i, n) -> n % width = 0 OR n = size(usable) - 1),"
-            " i -> windows[i - 1])) AS anchors",
         )
         .where("size(item_windows) > 0")
     )
 
 
-def _sieve(anchors: DataFrame) -> bytes:
+def _sieve(windows: DataFrame) -> bytes:
     """Which remainders the windows of the index have: most others need no join."""
-    rows = anchors.selectExpr(f"INT(pmod(window, {SIEVE})) AS r").distinct().collect()
+    rows = windows.selectExpr(f"INT(pmod(window, {SIEVE})) AS r").distinct().collect()
     marks = bytearray(SIEVE)
     for row in rows:
         marks[row["r"]] = 1
@@ -123,30 +124,33 @@ def _sieve(anchors: DataFrame) -> bytes:
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """doc_id, item_id, coverage, slots, verbatim of every document that holds an item."""
     items = written(_items(benchmark), "items")
-    anchors = items.selectExpr("item_id", "explode(anchors) AS window")
-    index = Lookup(anchors.groupBy("window").agg(F.collect_set("item_id").alias("item_ids")))
+    windows = items.selectExpr("key", "size(item_windows) AS total", "explode(item_windows) AS window")
+    index = Lookup(windows.groupBy("window").agg(F.collect_list(F.struct("key", "total")).alias("holders")))
     texts = docs.select("doc_id", "text")
     widths = [f"t.w{row['width']}" for row in items.select("width").distinct().collect()] or ["t.w8"]
-    sieved = F.expr(f"filter(concat({', '.join(widths)}), w -> substring(sieve, INT(pmod(w, {SIEVE}) + 1), 1) = X'01')")
+    sieved = f"filter(concat({', '.join(widths)}), w -> substring(sieve, INT(pmod(w, {SIEVE}) + 1), 1) = X'01')"
     found = index.join(
         templates(texts)
-        .withColumn("sieve", F.lit(_sieve(anchors)))
-        .select("doc_id", F.explode(sieved).alias("window")),
+        .withColumn("sieve", F.lit(_sieve(windows)))
+        .select("doc_id", F.explode(F.expr(f"array_distinct({sieved})")).alias("window")),
         ["window"],
         "inner",
         spread=["doc_id"],
     )
+    # repeated rows add up, so none that reaches the coverage alone is missed
     pairs = (
-        found.select("doc_id", F.explode("item_ids").alias("item_id"))
-        .distinct()
+        found.select("doc_id", F.explode("holders").alias("holder"))
+        .groupBy("doc_id", "holder")
+        .count()
+        .where(f"count / holder.total >= {min_coverage}")
         .groupBy("doc_id")
-        .agg(F.collect_set("item_id").alias("item_ids"))
+        .agg(F.collect_list("holder.key").alias("keys"))
     )
     candidates = joined(texts, pairs, "doc_id")
     compared = (
         templates(candidates)
-        .select("doc_id", "t.*", F.explode("item_ids").alias("item_id"))
-        .join(items, "item_id")
+        .select("doc_id", "t.*", F.explode("keys").alias("key"))
+        .join(items, "key")
         .withColumn("windows", F.expr("IF(width = 8, w8, w4)"))
         .withColumn("shared", F.expr("array_intersect(item_windows, windows)"))
     )
@@ -168,7 +172,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
             F.expr("size(array_distinct(slots)) = size(array_distinct(transform(slots, s -> s.asked)))"),
         )
         .where(f"coverage >= {min_coverage} AND consistent")
-        .groupBy("doc_id", "item_id")
+        .groupBy("doc_id", F.col("key.item_id").alias("item_id"))
         .agg(
             F.max("coverage").alias("coverage"),
             F.max(F.expr("CAST(size(slots) AS BIGINT)")).alias("n_slots"),
