@@ -127,6 +127,24 @@ def test_decontamination_finds_edited_and_embedded(spark):
         (0, 1), (0, 2), (0, 3), (1, 1), (1, 2), (1, 3), (2, 3), (3, 4), (4, 4), (5, 1), (5, 3)]
 
 
+def test_decontamination_tries_every_place(spark):
+    mixed = ITEM.replace("12 wagons", "30 wagons").replace("5 km", "8 miles")
+    start = " ".join(ITEM.split()[:9])
+    docs = [(1, f"{mixed}. {ITEM}."), (2, f"{mixed}. {mixed}."), (3, f"{start}. Some more words. {ITEM}.")]
+    assert leaks(spark, docs) == [(1, 1, True), (3, 1, True)]
+
+
+def test_decontamination_without_literals(spark):
+    items = [(1, "3, 1, 4, 1, 5, 9, 2, 6, 5"), (2, "12 + 13 + 14 + 15"), (3, "What is 5 + 7 + 9"), (4, "7 7 7 7 7 7 7 7 7 7")]
+    docs = [
+        (1, "the digits 3, 1, 4, 1, 5, 9, 2, 6, 5 are known"), (2, "the digits 3, 1, 4, 1, 5, 9, 2, 6, 3 aren't"),
+        (3, "so 12 + 13 + 14 + 15 it is"), (4, "so 12 + 13 + 14 + 16 and 1 + 12 + 13 + 14"), (5, "he asked What is 5 + 7 + 9 now"),
+        (6, "he asked what is 5 + 7 + 8 now"), (7, "7 7 7 7 7 7 7 7 7"), (8, "7 7 7 7 7 7 7 7 7 7 7"),
+        (9, "4, 1, 5, 9, 2, 6, 5 and 3, 1, 4, 1, 5, 9, 2, 6"),
+    ]
+    assert [x[:2] for x in leaks(spark, docs, items)] == [(1, 1), (3, 2), (5, 3), (8, 4)]
+
+
 def test_decontamination_odd_rows(spark):
     assert leaks(spark, []) == []
     assert leaks(spark, [(1, ITEM)], []) == []

@@ -5,9 +5,12 @@ again with other values has the same template. Items are cut into windows of eig
 template words (items of four to seven words: windows of four). All windows with
 enough literal words are indexed; every window of every document is looked up, and
 each pair of a document and an item with the coverage asked for is a candidate. For
-these the windows of both are compared in full, and the slots are aligned: each value
-of the item must have become the same value everywhere in the document. A pair is
-reported when at least half of the item's windows are found and the slots are consistent.
+these the windows of both are compared in full, and the slots are aligned in every
+place where shared windows put the item: there each value of the item must have become
+the same value everywhere. A pair is reported when at least half of the item's windows
+are found and the slots of some place are consistent. Items without windows of enough
+literal words, such as lists of numbers, are found verbatim only, by windows of their
+own words instead of placeholders, all of them in one place.
 
 A capitalised first word is literal in an item, but a name behind a word of a
 document; such items are looked for in both readings.
@@ -76,16 +79,23 @@ def _let(name: str, value: str, body: str) -> str:
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def templates(rows: DataFrame, text: str = "text") -> DataFrame:
-    """`rows` with `t`: words, their hashes h, and window hashes w4 and w8."""
+def _windows(hashes: str) -> str:
+    """SQL for the hashes of words, h, and of windows, w4 and w8."""
     made = (
-        "named_struct('words', words, 'h', h, 'w4', slice(w4, 1, greatest(size(h) - 3, 0)),"
+        "named_struct('h', h, 'w4', slice(w4, 1, greatest(size(h) - 3, 0)),"
         f" 'w8', slice({_doubled('w4', 4)}, 1, greatest(size(h) - 7, 0)))"
     )
     made = _let("w4", _doubled("w2", 2), made)
     made = _let("w2", _doubled("h", 1), made)
-    made = _let("h", _hashes("words"), made)
-    return rows.withColumn("t", F.expr(_let("words", _words(f"coalesce({text}, '')"), made)))
+    return _let("h", hashes, made)
+
+
+def templates(rows: DataFrame, text: str = "text", own: bool = True) -> DataFrame:
+    """`rows` with `t`: words, hashes of template words and, if asked for, of the words themselves."""
+    made = f"'words', words, 'template', {_windows(_hashes('words'))}"
+    if own:
+        made += f", 'own', {_windows('transform(words, w -> xxhash64(w))')}"
+    return rows.withColumn("t", F.expr(_let("words", _words(f"coalesce({text}, '')"), f"named_struct({made})")))
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -96,19 +106,22 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return (
         templates(benchmark.select("item_id", F.posexplode(F.expr(readings)).alias("reading", "text")))
         .select(F.struct("item_id", "reading").alias("key"), "t.*")
-        .where(f"size(h) >= {SHORT_WINDOW}")
-        .withColumn("width", F.expr(f"IF(size(h) >= {WINDOW}, {WINDOW}, {SHORT_WINDOW})"))
-        .withColumn("windows", F.expr("IF(width = 8, w8, w4)"))
+        .where(f"size(words) >= {SHORT_WINDOW}")
+        .withColumn("width", F.expr(f"IF(size(words) >= {WINDOW}, {WINDOW}, {SHORT_WINDOW})"))
+        .withColumn("windows", F.expr("IF(width = 8, template.w8, template.w4)"))
         .withColumn("usable", F.expr(usable.format("width")))
+        .withColumn("exact", F.expr("size(usable) = 0"))
+        .withColumn("windows", F.expr("IF(NOT exact, windows, IF(width = 8, own.w8, own.w4))"))
+        .withColumn("usable", F.expr("IF(NOT exact, usable, sequence(1, size(windows)))"))
         .selectExpr(
             "key",
             "words AS item_words",
-            "h AS item_h",
+            "IF(exact, own.h, template.h) AS item_h",
             "width",
+            "exact",
             "windows AS item_places",
             "array_distinct(transform(usable, i -> windows[i - 1])) AS item_windows",
         )
-        .where("size(item_windows) > 0")
     )
 
 
@@ -127,10 +140,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
     windows = items.selectExpr("key", "size(item_windows) AS total", "explode(item_windows) AS window")
     index = Lookup(windows.groupBy("window").agg(F.collect_list(F.struct("key", "total")).alias("holders")))
     texts = docs.select("doc_id", "text")
-    widths = [f"t.w{row['width']}" for row in items.select("width").distinct().collect()] or ["t.w8"]
+    kinds = items.select("exact", "width").distinct().collect()
+    widths = [f"t.{'own' if row['exact'] else 'template'}.w{row['width']}" for row in kinds] or ["t.template.w8"]
+    own = any(row["exact"] for row in kinds)
     sieved = f"filter(concat({', '.join(widths)}), w -> substring(sieve, INT(pmod(w, {SIEVE}) + 1), 1) = X'01')"
     found = index.join(
-        templates(texts)
+        templates(texts, own=own)
         .withColumn("sieve", F.lit(_sieve(windows)))
         .select("doc_id", F.explode(F.expr(f"array_distinct({sieved})")).alias("window")),
         ["window"],
@@ -151,12 +166,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
         templates(candidates)
         .select("doc_id", "t.*", F.explode("keys").alias("key"))
         .join(items, "key")
-        .withColumn("windows", F.expr("IF(width = 8, w8, w4)"))
+        .withColumn("seen", F.expr("IF(exact, own, template)"))
+        .withColumn("h", F.col("seen.h"))
+        .withColumn("windows", F.expr("IF(width = 8, seen.w8, seen.w4)"))
         .withColumn("shared", F.expr("array_intersect(item_windows, windows)"))
     )
-    # the first shared window puts the words of both side by side
-    shift = F.expr("array_position(windows, shared[0]) - array_position(item_places, shared[0])")
-    aligned = compared.where("size(shared) > 0").withColumn("shift", shift).withColumn(
+    # each shared window puts the words of both side by side
+    shifts = (
+        "array_distinct(flatten(transform(filter(sequence(1, size(windows)), p -> array_contains(shared, windows[p - 1])),"
+        " p -> transform(filter(sequence(1, size(item_places)), q -> item_places[q - 1] = windows[p - 1]), q -> p - q))))"
+    )
+    covered = compared.withColumn("coverage", F.expr("size(shared) / size(item_windows)"))
+    covered = covered.where(f"size(shared) > 0 AND coverage >= IF(exact, 1, {min_coverage})")
+    aligned = covered.withColumn("shift", F.explode(F.expr(shifts))).withColumn(
         "slots",
         F.expr(
             "transform(filter(sequence(1, size(item_h)), i ->"
@@ -166,12 +188,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = MI
         ),
     )
     return (
-        aligned.withColumn("coverage", F.expr("size(shared) / size(item_windows)"))
-        .withColumn(
+        aligned.withColumn(
             "consistent",
-            F.expr("size(array_distinct(slots)) = size(array_distinct(transform(slots, s -> s.asked)))"),
+            F.expr(
+                "IF(exact, shift >= 0 AND slice(h, shift + 1, size(item_h)) = item_h,"
+                " size(array_distinct(slots)) = size(array_distinct(transform(slots, s -> s.asked))))"
+            ),
         )
-        .where(f"coverage >= {min_coverage} AND consistent")
+        .where("consistent")
         .groupBy("doc_id", F.col("key.item_id").alias("item_id"))
         .agg(
             F.max("coverage").alias("coverage"),
