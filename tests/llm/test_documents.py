@@ -147,6 +147,30 @@ def test_secret_layers():
     assert spans(mixed.replace("A", "%41"))[0][1] == "assign"
 
 
+def test_secret_base64_runs():
+    rng = random.Random(5)
+    # the shortest secret; behind signs of the other alphabet
+    short = base64.b64encode(b"token=aaaaaa").decode()
+    assert spans("see " + short) == [(4, "assign", 20, 1)]
+    for before in ("x_", "https://a.b/", "a/b-"):
+        assert (len(before), "assign", len(before) + 16, 1) in spans(before + short)
+    # URL-safe and wrapped, compressed or not
+    for i in range(30):
+        filler = bytes(rng.randrange(256) for _ in range(150))
+        packed = zlib.compress(filler + b" password=abc123def " + filler)
+        text = base64.urlsafe_b64encode(packed).decode()
+        assert spans("x " + text) == [(2, "assign", 2 + len(text), 1)]
+        text = base64.encodebytes(packed).decode()
+        assert (0, "assign", len(text.rstrip("=\n")), 1) in [(a, k, e - text[a:e].count("="), d) for a, k, e, d in spans(text)]
+    plain = base64.encodebytes(b"-" * 50 + b" password=abc123def " + b"-" * 50).decode()
+    found = spans("so:\n" + plain + "\nend")
+    assert [x[1::2] for x in found if 70 < x[2] - x[0] or x[2] > 80] == [("assign", 1)]
+    # bytes that are not UTF-8, control characters, UTF-16
+    for data in (b"\xff\x00 password=abc123def", b"\x01password=abc123def", "password=abc123def".encode("utf-16-le"), "é password=abc123def".encode("utf-16")):
+        text = base64.b64encode(data).decode()
+        assert [x[1::2] for x in spans(text)] == [("assign", 1)]
+
+
 def test_secret_base_rules():
     assert spans('Token = "abcdef" secret:abcde') == [(0, "assign", 15, 0)]
     assert spans("API-KEY=abcdef apikey=abcdef") == [(15, "assign", 28, 0)]

@@ -45,7 +45,14 @@ MIN_ASSIGNED = 6
 ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#(?:x[0-9A-Fa-f]{1,6}|[0-9]{1,7});")
 SPACE_BEFORE = re.compile(r"\S*\Z")
 RUN = re.compile(r"\S*")
-BASE64 = re.compile(r"[A-Za-z0-9+/]{20,}={0,2}|[A-Za-z0-9_-]{20,}={0,2}")
+#: The shortest secret, `token=` and six characters, takes sixteen letters.
+LEAST_RUN = 16
+#: Runs of both alphabets, and of each for what lies behind a sign of the other.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+ONE_ALPHABET = [re.compile(r"[A-Za-z0-9+/]{16,}={0,2}"), re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")]
+#: Runs that go on in the next lines, and their parts.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+PART = re.compile(r"[A-Za-z0-9+/_-]+")
 CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 UPPER_OR_DIGIT = re.compile(r"[A-Z0-9]")
 
@@ -77,12 +84,44 @@ def unpack(data: bytes, limit: int):
     return out if len(out) <= limit else False
 
 
-def readable(data: bytes) -> str | None:
+def readings(data: bytes):
+    """(text, bytes of each character) of each way to read `data`, and whether it is clean UTF-8.
+
+    What is not UTF-8 is read as Latin-1; with many zero bytes it may be UTF-16 as well.
+    """
     try:
         text = data.decode("utf-8")
+        found = [(text, [len(char.encode("utf-8")) for char in text])]
+        clean = not CONTROL.search(text)
     except UnicodeDecodeError:
-        return None
-    return None if CONTROL.search(text) else text
+        found, clean = [(data.decode("latin-1"), [1] * len(data))], False
+    if not clean and 3 * data.count(0) >= len(data):
+        for code in ("utf-16-le", "utf-16-be"):
+            text = data[: len(data) // 2 * 2].decode(code, "replace")
+            sizes = [4 if ord(char) > 0xFFFF else 2 for char in text]
+            if sum(sizes) <= len(data):
+                found.append((text, sizes))
+    return found, clean
+
+
+def _wrapped(text: str):
+    """Offsets of the letters of runs that may be wrapped over lines."""
+    for match in WRAPPED.finditer(text):
+        parts = [range(m.start() + match.start(), m.end() + match.start()) for m in PART.finditer(match[0])]
+        chains, i = [parts], 0
+        while i < len(parts):
+            # lines of one width, and a last one that may be shorter
+            j = i + 1
+            while j < len(parts) and len(parts[j]) == len(parts[i]):
+                j += 1
+            chains.append(parts[i:j])
+            if j < len(parts) and len(parts[j]) < len(parts[i]):
+                chains.append(parts[i : j + 1])
+            i = j
+        for chain in {(c[0].start, c[-1].stop): c for c in chains if len(c) > 1}.values():
+            places = [k for part in chain for k in part]
+            if len(places) >= LEAST_RUN:
+                yield places
 
 
 def _escaped_runs(text: str):
@@ -180,19 +219,31 @@ def layers_of(text: str, limit: int):
             found.append((layer, [(start + a, start + b) for a, b in spans]))
             for data, a, b in groups:
                 compressed(data, start + a, start + b)
-    for match in BASE64.finditer(text):
-        data = _base64(match[0])
-        if data is None or compressed(data, match.start(), match.end()):
-            continue
-        layer = readable(data)
-        if layer is not None:
+    def decoded(places) -> bool:
+        """Takes up what the letters at `places` stand for; whether that is clean."""
+        data = _base64("".join(map(text.__getitem__, places)) if isinstance(places, list) else text[places.start : places.stop])
+        if data is None:
+            return False
+        if compressed(data, places[0], places[-1] + 1):
+            return True
+        ways, clean = readings(data)
+        for layer, sizes in ways:
             # three bytes come from four letters; characters take whole bytes
             spans, at = [], 0
-            for char in layer:
-                size = len(char.encode("utf-8"))
-                spans.append((match.start() + at * 4 // 3, match.start() + -(-(at + size) * 4 // 3)))
+            for size in sizes:
+                spans.append((places[at * 4 // 3], places[-(-(at + size) * 4 // 3) - 1] + 1))
                 at += size
             found.append((layer, spans))
+        return clean
+
+    for match in BASE64.finditer(text):
+        if not decoded(range(*match.span())):
+            inner = {m.span() for run in ONE_ALPHABET for m in run.finditer(text, *match.span())} - {match.span()}
+            for span in sorted(inner):
+                decoded(range(*span))
+    if "\n" in text:
+        for places in _wrapped(text):
+            decoded(places)
     return found, packed
 
 
