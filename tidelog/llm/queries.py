@@ -2,6 +2,7 @@
 
 from tidelog.llm import (  # noqa: F401  (register their queries)
     chat_format,
+    conversation_repair,
     decontamination,
     fingerprints,
     language_id,
