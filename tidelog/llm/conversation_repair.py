@@ -89,6 +89,7 @@ class Survivors:
             self._offer(found, after, stays + REROLE, node, b"R")
         self._take(found)
         self._insert()
+        self._give_up()
 
     def finish(self) -> tuple[int, str]:
         """Cost and edits of the best well-formed conversation."""
@@ -155,6 +156,23 @@ class Survivors:
             if state in found and found[state][2]:
                 self._take(found)
 
+    def _give_up(self) -> None:
+        """Drop survivors that can't win any more.
+
+        Whatever may follow the empty state can follow the assistant's, but for a
+        system message, which is deleted then; nothing but this is lost after it.
+        """
+        if ASSISTANT not in self.best:
+            return
+        cost = self.best[ASSISTANT][0]
+        found = {
+            state: (own, node, b"")
+            for state, (own, node) in self.best.items()
+            if own <= cost + {EMPTY: DELETE, SYSTEM: 0}.get(state, own)
+        }
+        if len(found) < len(self.best):
+            self._take(found)
+
     def _take(self, found: dict) -> None:
         """Let these be the survivors, and drop branches that none of them ends in."""
         before, self.best = self.best, {}

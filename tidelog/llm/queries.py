@@ -7,6 +7,7 @@ from tidelog.llm import (  # noqa: F401  (register their queries)
     fingerprints,
     language_id,
     line_dedup,
+    merkle,
     ngram_join,
     packing,
     secret_scan,
