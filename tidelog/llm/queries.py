@@ -12,6 +12,7 @@ from tidelog.llm import (  # noqa: F401  (register their queries)
     packing,
     secret_scan,
     substring_dedup,
+    token_files,
     url_rules,
 )
 from tidelog.llm.common import ORACLE, QUERIES
