@@ -161,8 +161,8 @@ def test_compacted_mutations_have_one_file_per_bucket(store, make, spark, thresh
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     for kind in ("mutations", "filter"):
-        name = run if kind == "mutations" else store._view(store.manifest.latest(), None).runs["filter", "l1"][0][0]
-        files = paths.list_files(spark, f"{store.home}/{kind}/run={name}/*.parquet")
+        name = run if kind == "mutations" else store._view(store.manifest.latest(), None).runs["filter", "l1"][0].folder
+        files = paths.list_files(spark, f"{store.home}/{kind}/run={name}/*/*.parquet")
         assert 1 < files.count() <= store.num_buckets
 
 
@@ -390,11 +390,11 @@ def test_backup_with_a_refused_partition(store, make):
     assert store.filter_rows(ONE).agg(F.count("*")).first()[0] == 4
 
 
-@pytest.mark.parametrize("step", ["_write_clustered", "publish"])
+@pytest.mark.parametrize("step", ["write_clustered", "publish"])
 def test_backup_broken_at_any_step_can_be_repeated(store, make, monkeypatch, step):
     """Nothing is recorded as captured before it is in the store."""
     events = make.events([change(1, "a"), change(2, "b")])
-    owner = store if step == "_write_clustered" else store.manifest
+    owner = store.files if step == "write_clustered" else store.manifest
 
     def broken(*args, **kwargs):
         raise OSError("lost")

@@ -27,6 +27,15 @@ def live_mutations(mutations: DataFrame, filter_rows: DataFrame) -> DataFrame:
     ).select(*mutations.columns)
 
 
+def as_of(rows: DataFrame, positions: DataFrame) -> DataFrame:
+    """Rows that their partition had reached at its position.
+
+    `positions` are (bucket, partition_id, seqno); a partition not listed has no rows.
+    """
+    reached = positions.select(*PARTITION, F.col("seqno").alias("reached_seqno"))
+    return Lookup(reached).join(rows, PARTITION, "left_semi", "l.seqno <= r.reached_seqno")
+
+
 def count_by_type(rows: DataFrame) -> DataFrame:
     return rows.groupBy("bucket", "rec_type").agg(F.count(F.lit(1)).alias("n"))
 
@@ -49,18 +58,23 @@ def restore(
     since: DataFrame | None = None,
     include_deletes: bool = True,
 ) -> DataFrame:
-    """Live rows to write back to a target.
+    """Live rows to write back to a target; see `to_restore`."""
+    return live_mutations(to_restore(mutations, since, include_deletes), filter_rows)
+
+
+def to_restore(
+    rows: DataFrame, since: DataFrame | None = None, include_deletes: bool = True
+) -> DataFrame:
+    """Rows that a restore writes back, of live ones or of all.
 
     With `since` (bucket, partition_id, since_seqno) only rows above that seqno
     of their partition are restored; a partition not listed is restored whole.
     """
     if since is not None:
-        mutations = Lookup(since.select(*PARTITION, "since_seqno")).join(
-            mutations, PARTITION, "left_anti", "l.seqno <= r.since_seqno"
+        rows = Lookup(since.select(*PARTITION, "since_seqno")).join(
+            rows, PARTITION, "left_anti", "l.seqno <= r.since_seqno"
         )
-    if not include_deletes:
-        mutations = mutations.where(~F.col("rec_type").eqNullSafe("DELETE"))
-    return live_mutations(mutations, filter_rows)
+    return rows if include_deletes else rows.where(~F.col("rec_type").eqNullSafe("DELETE"))
 
 
 def mask(

@@ -18,7 +18,7 @@ from tidelog.operators.filters import (
     rollback_cuts,
 )
 from tidelog.operators.mutations import live_mutations
-from tidelog.schemas import GROUP, GROUP_KEY
+from tidelog.schemas import GROUP, GROUP_KEY, SEQNO_TUPLE
 from tidelog.session import Lookup
 
 
@@ -46,6 +46,61 @@ def compact_filter(
     return merge_newer(mainline, latest_per_key(new))
 
 
+def compact_tiers(
+    new: DataFrame,
+    tier: DataFrame | None,
+    mainline: DataFrame | None,
+    rollback_log: DataFrame | None,
+    pending: DataFrame | None,
+    groups: DataFrame,
+) -> DataFrame:
+    """New rows merged over the tier, and over the mainline where it is given.
+
+    The tier has already met the `pending` rollback entries of the runs in it, the
+    mainline has not. Both are clustered by key, so only the new rows are shuffled.
+    """
+    cuts = None if rollback_log is None else effective_cuts(rollback_log, groups)
+    merged = latest_per_key(new if cuts is None else drop_rolled_back(new, cuts))
+    if tier is not None:
+        merged = merge_newer(tier if cuts is None else drop_rolled_back(tier, cuts), merged)
+    if mainline is not None:
+        if pending is not None:
+            every = pending if rollback_log is None else pending.unionByName(rollback_log)
+            cuts = effective_cuts(every, groups)
+        merged = merge_newer(mainline if cuts is None else drop_rolled_back(mainline, cuts), merged)
+    return merged
+
+
+def displaced(
+    new: DataFrame,
+    tier: DataFrame | None,
+    mainline: DataFrame | None,
+    rollback_log: DataFrame | None,
+    pending: DataFrame | None,
+    groups: DataFrame,
+) -> DataFrame:
+    """Rows that `compact_tiers` of the same levels leaves out for a newer row of their key.
+
+    Rows that a rollback cut are not among them: they never were.
+    """
+    cuts = None if rollback_log is None else effective_cuts(rollback_log, groups)
+    if cuts is not None:
+        new = drop_rolled_back(new, cuts)
+        tier = None if tier is None else drop_rolled_back(tier, cuts)
+    newest = latest_per_key(new)
+    found = new.join(newest.select(*SEQNO_TUPLE), SEQNO_TUPLE, "left_anti").select(*FILTER_COLUMNS)
+    if tier is not None:
+        found = found.unionByName(tier.join(newest.select(*GROUP_KEY), GROUP_KEY, "left_semi").select(*FILTER_COLUMNS))
+        newest = merge_newer(tier, newest)
+    if mainline is not None:
+        if pending is not None:
+            every = pending if rollback_log is None else pending.unionByName(rollback_log)
+            cuts = effective_cuts(every, groups)
+        mainline = mainline if cuts is None else drop_rolled_back(mainline, cuts)
+        found = found.unionByName(mainline.join(newest.select(*GROUP_KEY), GROUP_KEY, "left_semi").select(*FILTER_COLUMNS))
+    return found
+
+
 def compact_levels(levels: Sequence[DataFrame], rollback_log: DataFrame | None = None) -> DataFrame:
     """Compact any number of levels, newest first; each level hides those below.
 

@@ -1,7 +1,7 @@
 """Which runs of files hold which groups: the store's small table of contents.
 
-Data is only ever written to new run folders. A manifest version lists, for each
-(kind, level, run), the groups it is valid for. Its entries are written to a folder
+Data is only ever written to new folders, one for each attempt at a run. A manifest
+version names, for each (kind, level, run), its folder and the groups it is valid for. Its entries are written to a folder
 of their own; publishing is the creation of one small file that names this folder,
 which fails if another writer created the same version first. Readers take the last
 such file, so they see the old or the new version and are never in a writer's way.
@@ -15,6 +15,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidelog.schemas import GROUP
@@ -22,30 +23,40 @@ from tidelog.session import no_rows
 from tidelog.sources import paths
 
 ENTRY_SCHEMA = (
-    "kind string, level string, run string, bucket string, pgroup int,"
-    " run_groups bigint, replaces array<string>"
+    "kind string, level string, run string, bucket string, pgroup int, folder string,"
+    " file_format string, run_groups bigint, num_rows bigint, num_files bigint, replaces array<string>"
 )
 IDENTITY = ["kind", "level", "run", *GROUP]
-ENTRY = ["kind", "level", "run", *GROUP, "run_groups", "replaces"]
+ENTRY = [
+    "kind", "level", "run", *GROUP,
+    "folder", "file_format", "run_groups", "num_rows", "num_files", "replaces",
+]
 
 # Kinds of files and their levels. `applied` remembers finished runs.
-NEW_FILTER, FILTER, MUTATIONS, ROLLBACK, APPLIED, CATALOG = (
+NEW_FILTER, FILTER, MUTATIONS, ROLLBACK, APPLIED, CATALOG, HISTORY = (
     "new_filter",
     "filter",
     "mutations",
     "rblog",
     "applied",
     "catalog",
+    "history",
 )
 # longest pause after a lost race
 PAUSE_SECONDS = 5.0
-L0, L1, STAGED = "l0", "l1", "staged"
+# `tier` holds runs that are merged with each other, but not yet into the mainline (l1).
+# Rollback entries that all levels have met are kept as `met` where history is kept.
+L0, TIER, L1, STAGED, MET = "l0", "tier", "l1", "staged", "met"
 
 
 class ConcurrentPublish(RuntimeError):
     """Another writer published first; plan the operation again."""
 
 
+class AlreadyApplied(RuntimeError):
+    """Another attempt at this run was published before."""
+
+
 @dataclass(frozen=True)
 class Version:
     number: int
@@ -54,6 +65,9 @@ class Version:
     def of(self, kind: str, level: str) -> DataFrame:
         return self.entries.where(f"kind = '{kind}' AND level = '{level}'")
 
+    def has_applied(self, run: str) -> bool:
+        return not self.of(APPLIED, L0).where(F.col("run") == run).isEmpty()
+
 
 class Manifest:
     def __init__(self, spark: SparkSession, home: str):
@@ -90,9 +104,11 @@ class Manifest:
             if name.endswith(".tmp") or (name.startswith("entries=") and name not in named):
                 paths.delete(self.spark, f"{self.folder}/{name}")
 
-    def change(self, removed: DataFrame | None, added: DataFrame) -> int:
+    def change(self, removed: DataFrame | None, added: DataFrame, run: str | None = None) -> int:
         """Publish the latest version without `removed` and with `added` entries.
 
+        With `run`, a run that some version before has already applied is refused.
+
         When another writer gets in between, the change is put on top of what it
         wrote. That is safe as long as the entries to remove are still there; if
         not, the other writer has used up the same runs, and this one must fail.
@@ -102,6 +118,8 @@ class Manifest:
         while True:
             base = self.latest()
             entries = base.entries
+            if run is not None and base.has_applied(run):
+                raise AlreadyApplied(run)
             if removed is not None:
                 gone = removed.select(*IDENTITY).join(entries, IDENTITY, "left_anti")
                 if not gone.isEmpty():

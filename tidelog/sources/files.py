@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -72,13 +74,20 @@ def write_rows(rows: DataFrame, path: str, file_format: str = "parquet") -> None
     _storable(rows, file_format).write.mode("errorifexists").format(file_format).save(path)
 
 
-def read_rollback_log(spark: SparkSession, path: str) -> DataFrame:
+def read_rollback_log(
+    spark: SparkSession, path: str | Sequence[str], run_base: str | None = None
+) -> DataFrame:
     """Rollback entries from text files below `bucket=…/pgroup=…` folders.
 
     Each line is `partition,uuid,seqno`; further fields are ignored, and a bad
-    number aborts the query.
+    number aborts the query. With `run_base` the paths are `run=…` folders below it,
+    and a column `run` says which.
     """
-    lines = spark.read.schema("value string, bucket string, pgroup int").text(path)
+    reader, more = spark.read, []
+    if run_base:
+        reader, more = reader.option("basePath", run_base), ["run"]
+    columns = ["value", *more, "bucket"]
+    lines = reader.schema(f"{' string, '.join(columns)} string, pgroup int").text(path)
     partition_id, uuid, seqno = rollback_fields(F.col("value"))
     return lines.select(
         "bucket",
@@ -86,6 +95,7 @@ def read_rollback_log(spark: SparkSession, path: str) -> DataFrame:
         partition_id.alias("partition_id"),
         uuid.alias("partition_uuid"),
         seqno.alias("seqno"),
+        *more,
     )
 
 

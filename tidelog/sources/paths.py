@@ -33,6 +33,17 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(location))
 
 
+def count_data_files(spark: SparkSession, path: str) -> int:
+    """Files below a folder that hold rows; none when it does not exist."""
+    files, location = _located(spark, path)
+    if not files.exists(location):
+        return 0
+    found, number = files.listFiles(location, True), 0
+    while found.hasNext():
+        number += found.next().getPath().getName().startswith("part-")
+    return number
+
+
 def delete(spark: SparkSession, path: str) -> None:
     files, location = _located(spark, path)
     files.delete(location, True)

@@ -36,8 +36,10 @@ def capture_stream(
         data = data_events(checked_events(batch))
         if lookup is not None:
             data = capture_ranges(data, lookup)
-        run = f"{name}-{stream_id(store.spark, checkpoint)}-{batch_id}"
-        store.append_run(run, mutation_rows(with_group(data, buckets)))
+        stream = f"{name}-{stream_id(store.spark, checkpoint)}"
+        # the batch before was committed, so it does not come again
+        before = f"{stream}-{batch_id - 1}" if batch_id else None
+        store.append_run(f"{stream}-{batch_id}", mutation_rows(with_group(data, buckets)), follows=before)
         if compact:
             store.compact_filters(buckets)
 

@@ -12,7 +12,7 @@ from tidelog.functions import records
 from tidelog.functions.scalars import content_text
 from tidelog.operators import filters, ranges
 from tidelog.plans.backup import as_events, read_catalog, run_backup
-from tidelog.plans.store import Bucket, ChangeLogStore
+from tidelog.plans.store import Bucket, ChangeLogStore, group_outcomes
 from tidelog.schemas import MUTATIONS
 from tidelog.session import scratch_path
 from tidelog.sources import events as event_sources
@@ -25,6 +25,7 @@ from tidelog.workload.oracle import LIVE, over_changes, over_orders, over_ranges
 from tidelog.workload.queries import (
     BUCKETS,
     COUNTERS_SQL,
+    ORACLE,
     STATE_SQL,
     LengthMapper,
     query,
@@ -181,22 +182,146 @@ def live_after_recapture(spark, sf_dir):
 
 
 @query("store_open_groups", over_changes(
-    "SELECT DISTINCT pgroup, 'complete' AS outcome FROM chg UNION ALL"
-    " SELECT DISTINCT pgroup, concat('group default/', pgroup, ' lacks filter or mutations') FROM chg"))
+    "SELECT DISTINCT pgroup, 'all' AS seen, 'complete' AS outcome FROM chg UNION ALL"
+    " SELECT DISTINCT pgroup, 'even', CASE WHEN pgroup % 2 = 0 THEN 'complete'"
+    " ELSE concat('group default/', pgroup, ' lacks filter or mutations') END FROM chg"))
 def store_open_groups(spark, sf_dir):
-    """Each group opens with both its parts, and is refused where one is missing."""
+    """Groups of the store with both their parts, and with mutations of even groups only."""
     version = two_run_store(spark, sf_dir).manifest.latest()
     filter_of, mutations_of = version.of("filter", "l1"), version.of("mutations", "l1")
-    outcomes = []
-    for row in filter_of.select("pgroup").distinct().collect():
-        of_group = F.col("pgroup") == row["pgroup"]
-        for rest in (mutations_of.where(of_group), mutations_of.where("false")):
-            try:
-                two_run_store(spark, sf_dir)._check_complete(filter_of.where(of_group), rest)
-                outcomes.append((row["pgroup"], "complete"))
-            except RuntimeError as error:
-                outcomes.append((row["pgroup"], str(error)))
-    return spark.createDataFrame(outcomes, "pgroup int, outcome string")
+    every = group_outcomes(filter_of, mutations_of).withColumn("seen", F.lit("all"))
+    even = group_outcomes(filter_of, mutations_of.where("pgroup % 2 = 0")).withColumn("seen", F.lit("even"))
+    return every.unionByName(even).select("pgroup", "seen", "outcome")
+
+
+ORDERS_BUCKET = Bucket("orders", log.ORDER_PARTITIONS, log.ORDER_GROUPS)
+
+
+def both_logs(spark, sf_dir, level: str) -> DataFrame:
+    """Mutations of both buckets at a level."""
+    own = {"l1": log.old_changes, "l0": log.new_changes}[level](spark, sf_dir)
+    orders = records.lift_to_mutations(log.order_changes(spark, sf_dir).where(F.col("level") == level))
+    return own.select(*MUTATIONS.names).unionByName(orders.select(*MUTATIONS.names))
+
+
+@query("store_restore_one_bucket", over_orders(
+    f"SELECT {LIVE} FROM ochg m WHERE pgroup = 2 AND rec_type <> 'DELETE' AND EXISTS (SELECT 1 FROM ocompacted f"
+    " WHERE f.bucket = m.bucket AND f.partition_id = m.partition_id"
+    " AND f.partition_uuid = m.partition_uuid AND f.seqno = m.seqno)"))
+def store_restore_one_bucket(spark, sf_dir):
+    """One group of one of two buckets, for which the other files are left alone."""
+    store = ChangeLogStore(spark, scratch_path(spark, "pruned"))
+    everything = [*BUCKETS, ORDERS_BUCKET]
+    store.append_run("first", both_logs(spark, sf_dir, "l1"))
+    store.compact_filters(everything)
+    cuts = log.rollback_log(spark, sf_dir).unionByName(log.order_rollback_log(spark, sf_dir))
+    store.append_run("second", both_logs(spark, sf_dir, "l0"), cuts)
+    store.compact_filters(everything)
+    group = Bucket("orders", log.ORDER_PARTITIONS, log.ORDER_GROUPS, pgroups=(2,))
+    return readable(store.restore([group], include_deletes=False))
+
+
+def three_runs(spark, sf_dir, name: str, last_share: float) -> ChangeLogStore:
+    """An old run in the mainline, one in the tier above, and a new one with rollbacks."""
+    store = ChangeLogStore(spark, scratch_path(spark, name))
+    old = log.old_changes(spark, sf_dir)
+    early = F.col("ts") < log.at("2024-01-08 00:00:00")
+    store.append_run("early", old.where(early).select(*MUTATIONS.names))
+    store.compact_filters(BUCKETS, tier_share=10)
+    store.append_run("middle", old.where(~early).select(*MUTATIONS.names))
+    store.compact_filters(BUCKETS, tier_share=10)
+    new = log.new_changes(spark, sf_dir).select(*MUTATIONS.names)
+    store.append_run("late", new, log.rollback_log(spark, sf_dir))
+    store.compact_filters(BUCKETS, tier_share=last_share)
+    return store
+
+
+@query("store_three_levels", ORACLE["three_level_compact"])
+def store_three_levels(spark, sf_dir):
+    """New rows, tier and mainline merged at once, as the tier has grown large enough."""
+    return three_runs(spark, sf_dir, "three-levels", 0).filter_rows(BUCKETS)
+
+
+@query("store_tier_over_mainline", ORACLE["three_level_compact"])
+def store_tier_over_mainline(spark, sf_dir):
+    """New rows merged into the tier only, which reads lay over the mainline."""
+    return three_runs(spark, sf_dir, "tier", 10).filter_rows(BUCKETS)
+
+
+@query("store_mixed_formats", over_changes(f"SELECT {LIVE} FROM live"))
+def store_mixed_formats(spark, sf_dir):
+    """Live rows of a Parquet run and an ORC run, under a filter merged from both."""
+    home = scratch_path(spark, "mixed")
+    first = ChangeLogStore(spark, home)
+    first.append_run("first", log.old_changes(spark, sf_dir).select(*MUTATIONS.names))
+    first.compact_filters(BUCKETS)
+    second = ChangeLogStore(spark, home, file_format="orc")
+    new = log.new_changes(spark, sf_dir).select(*MUTATIONS.names)
+    second.append_run("second", new, log.rollback_log(spark, sf_dir))
+    second.compact_filters(BUCKETS)
+    return readable(first.live_mutations(BUCKETS))
+
+
+@query("restore_as_of", over_changes(
+    ", pos AS (SELECT partition_id, CAST(floor(max(seqno) * 3 / 4) AS BIGINT) AS p FROM chg GROUP BY ALL),"
+    " been AS (SELECT c.*, row_number() OVER (PARTITION BY c.bucket, c.pgroup, c.key ORDER BY c.seqno DESC) AS rn"
+    " FROM chg c JOIN pos ON c.partition_id = pos.partition_id AND c.seqno <= pos.p LEFT JOIN rblog r"
+    " ON c.bucket = r.bucket AND c.partition_id = r.partition_id AND c.partition_uuid = r.partition_uuid"
+    f" WHERE r.cut IS NULL OR c.seqno < r.cut) SELECT {LIVE} FROM been WHERE rn = 1"))
+def restore_as_of(spark, sf_dir):
+    """The state at three quarters of each partition's log, after compactions and clean-up."""
+    store = ChangeLogStore(spark, scratch_path(spark, "history"), keep_history=True)
+    store.append_run("first", log.old_changes(spark, sf_dir).select(*MUTATIONS.names))
+    store.compact_filters(BUCKETS)
+    new = log.new_changes(spark, sf_dir).select(*MUTATIONS.names)
+    store.append_run("second", new, log.rollback_log(spark, sf_dir))
+    store.compact(BUCKETS, threshold=1)
+    store.vacuum()
+    ends = log.changes(spark, sf_dir).groupBy("bucket", "partition_id").agg(F.max("seqno").alias("end"))
+    positions = ends.selectExpr("bucket", "partition_id", "`end` * 3 DIV 4 AS seqno")
+    return readable(store.restore_as_of(positions, BUCKETS))
+
+
+@query("compact_both_from_snapshot", over_changes(f"SELECT {LIVE} FROM live"))
+def compact_both_from_snapshot(spark, sf_dir):
+    """Filters and mutations compacted off a snapshot; a run that came later stays new."""
+    store = ChangeLogStore(spark, scratch_path(spark, "both-off-snapshot"))
+    store.append_run("first", log.old_changes(spark, sf_dir).select(*MUTATIONS.names))
+    store.compact_filters(BUCKETS)
+    new = log.new_changes(spark, sf_dir).select(*MUTATIONS.names)
+    store.append_run("second", new, log.rollback_log(spark, sf_dir))
+    store.create_snapshot("second")
+    store.append_run("again", log.old_changes(spark, sf_dir).select(*MUTATIONS.names))
+    store.compact(BUCKETS, threshold=1, snapshot="second")
+    return readable(store.mutation_rows(BUCKETS))
+
+
+@query("backup_two_attempts", over_changes(f"SELECT {LIVE} FROM live"))
+def backup_two_attempts(spark, sf_dir):
+    """Live rows after a second attempt at a published run, which dies, and a third, which ends."""
+    store = ChangeLogStore(spark, scratch_path(spark, "attempts"))
+    old = log.old_changes(spark, sf_dir).select(*MUTATIONS.names)
+    store.append_run("first", old)
+    late = ChangeLogStore(spark, store.home)
+    # both had asked before the first one was published
+    late.is_applied = lambda run: False
+    publish = late.manifest.change
+
+    def dies(*args, **kwargs):
+        raise OSError("lost after writing")
+
+    late.manifest.change = dies
+    try:
+        late.append_run("first", old)
+    except OSError:
+        late.manifest.change = publish
+    if late.append_run("first", old):
+        raise RuntimeError("a run was published twice")
+    store.compact_filters(BUCKETS)
+    new = log.new_changes(spark, sf_dir).select(*MUTATIONS.names)
+    store.append_run("second", new, log.rollback_log(spark, sf_dir))
+    store.compact_filters(BUCKETS)
+    return readable(store.live_mutations(BUCKETS))
 
 
 @query("compact_from_snapshot", over_orders(
@@ -210,7 +335,7 @@ def compact_from_snapshot(spark, sf_dir):
     store.append_run("second", new, log.rollback_log(spark, sf_dir))
     store.compact_filters(BUCKETS)
     store.create_snapshot("second")
-    everything = [*BUCKETS, Bucket("orders", log.ORDER_PARTITIONS, log.ORDER_GROUPS)]
+    everything = [*BUCKETS, ORDERS_BUCKET]
     orders = records.lift_to_mutations(log.order_changes(spark, sf_dir).where(F.col("level") == "l1"))
     store.append_run("orders", orders.select(*MUTATIONS.names))
     store.compact_filters(everything)
@@ -220,13 +345,18 @@ def compact_from_snapshot(spark, sf_dir):
 
 
 @query("snapshot_changes", over_changes(
-    f"SELECT {LIVE} FROM chg WHERE level = 'l0' AND partition_id = 3"))
+    f"SELECT {LIVE}, 'before' AS compaction FROM chg WHERE level = 'l0' UNION ALL SELECT {LIVE}, 'after' FROM"
+    " (SELECT *, row_number() OVER (PARTITION BY bucket, pgroup, key ORDER BY seqno DESC) AS rn"
+    " FROM chg WHERE level = 'l0') t WHERE rn = 1"))
 def snapshot_changes(spark, sf_dir):
-    """What one of two runs captured of one partition."""
+    """What one of two runs captured, and what a compaction has left of it on file."""
     store = ChangeLogStore(spark, scratch_path(spark, "runs"))
     store.append_run("first", log.old_changes(spark, sf_dir).select(*MUTATIONS.names))
     store.append_run("second", log.new_changes(spark, sf_dir).select(*MUTATIONS.names))
-    return readable(store.changes("second", "default", 3))
+    before = readable(store.changes("second")).withColumn("compaction", F.lit("before"))
+    store.compact(BUCKETS, threshold=1)
+    after = readable(store.changes("second", BUCKETS)).withColumn("compaction", F.lit("after"))
+    return before.unionByName(after)
 
 
 # --- backups --------------------------------------------------------------------
