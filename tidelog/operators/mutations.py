@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidelog.functions.scalars import content_text
 from tidelog.schemas import PARTITION, SEQNO_TUPLE
-from tidelog.session import Lookup
+from tidelog.session import Lookup, stored
 
 HASH_RANGE = 2**32
 
@@ -77,6 +79,23 @@ def to_restore(
     return rows if include_deletes else rows.where(~F.col("rec_type").eqNullSafe("DELETE"))
 
 
+def stands_in_every_match(pattern: str, text: str) -> bool:
+    """Whether a pattern has `text` as a plain part of its own, outside groups and classes.
+
+    Says no where this can't be told from the pattern's outermost level alone.
+    """
+    if not re.fullmatch(r"[\w@:/#%&=~ -]+", text) or "(?" in pattern:
+        return False
+    # what is left of classes, groups and escapes can't be part of the text
+    level = re.sub(r"\\.", "\0", pattern, flags=re.DOTALL)
+    level = re.sub(r"\[\^?\]?[^\]]*\]", "\0", level)
+    while level != (inner := re.sub(r"\([^()]*\)", "\0", level)):
+        level = inner
+    if re.search(r"[\[\]()|]", level):
+        return False
+    return any(level[found.end() :][:1] not in ("?", "*", "{") for found in re.finditer(re.escape(text), level))
+
+
 def mask(
     rows: DataFrame,
     content_rules: list[tuple[str, ...]] | None = None,
@@ -86,7 +105,7 @@ def mask(
 
     A rule may name, as a third part, a text that stands in every match, such as
     the `@` of a mail address: a plain search for it then spares the pattern most
-    rows. Without rules, letters and digits are blotted out by class. A hashed
+    rows. A text of which the pattern does not show that is refused. Without rules, letters and digits are blotted out by class. A hashed
     key still joins to equal keys.
     """
     text = content_text(F.col("content"))
@@ -96,6 +115,8 @@ def mask(
         for pattern, replacement, *needed in content_rules:
             replaced = F.regexp_replace(text, pattern, replacement)
             if needed:
+                if not stands_in_every_match(pattern, needed[0]):
+                    raise ValueError(f"{needed[0]!r} need not stand in a match of {pattern!r}")
                 replaced = F.when(F.contains(text, F.lit(needed[0])), replaced).otherwise(text)
             text = replaced
     masked = rows.withColumn("content", text.cast("binary"))
@@ -120,6 +141,33 @@ def sample_by(rows: DataFrame, stratum: str, fractions: dict[str, float], by: st
     return rows.where(_hash_position(F.col(by)) < limit)
 
 
+def sample_exact(rows: DataFrame, stratum: str, size: int, by: str = "key") -> DataFrame:
+    """Rows of exactly `size` keys per value of `stratum`, or of all where it has fewer.
+
+    They are the keys with the lowest hash positions. Where these end is found from
+    histograms, of the leading bits of all positions first and then, within the bin
+    that holds the last key, of the next bits, so nothing is sorted as a whole and no
+    stratum is one task's work. Rows without a stratum are left out.
+    """
+    keys = rows.where(F.col(stratum).isNotNull()).select(F.col(stratum).alias("_stratum"), F.col(by).alias("_key"))
+    keys = stored(keys.distinct().withColumn("_position", _hash_position(F.col("_key"))))
+    keys, chosen = keys.withColumn("_need", F.lit(size).cast("long")), []
+    names = ["_stratum", "_key"]
+    for shift in (20, 8):
+        keys = keys.withColumn("_bin", F.shiftright("_position", shift))
+        bins = keys.groupBy("_stratum", "_bin").agg(F.count("*").alias("_n"), F.first("_need").alias("_needed"))
+        upto = F.sum("_n").over(Window.partitionBy("_stratum").orderBy("_bin"))
+        bins = bins.withColumn("_upto", upto).where("_upto - _n < _needed")
+        bins = bins.selectExpr("_stratum", "_bin", "_upto <= _needed AS _whole", "_needed - (_upto - _n) AS _rest")
+        found = Lookup(bins).join(keys, ["_stratum", "_bin"], "inner", spread=["_key"])
+        chosen.append(found.where("_whole").select(*names))
+        keys = found.where("NOT _whole").withColumn("_need", F.col("_rest")).select(*names, "_position", "_need")
+    order = Window.partitionBy("_stratum").orderBy("_position", "_key")
+    last = keys.withColumn("_rank", F.row_number().over(order)).where("_rank <= _need").select(*names)
+    picked = Lookup(chosen[0].unionByName(chosen[1]).unionByName(last).toDF(stratum, by))
+    return picked.join(rows, [stratum, by], "left_semi")
+
+
 class MutationMapper:
     """A user callback over live mutations.
 

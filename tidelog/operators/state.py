@@ -60,6 +60,23 @@ def _counters() -> list[Column]:
     return [F.expr(f"count_if(kind = '{kind}') AS {name}") for name, kind in COUNTED_KINDS.items()]
 
 
+def _latest_numbers() -> list[Column]:
+    snapshot = ["last_snapshot_start_seqno", "last_snapshot_end_seqno"]
+    return [
+        *_latest({"state_code": STATE_OF_KIND}, "arrival", "state_at"),
+        *_latest({"last_seen_seqno": "seqno"}, _at(*POSITION_KINDS), "seen_at"),
+        *_latest({name: name.removeprefix("last_") for name in snapshot}, _at("marker"), "snapshot_at"),
+        *_latest({"rollback_seqno": "seqno"}, _at("rollback"), "rollback_at"),
+    ]
+
+
+def _latest_texts() -> list[Column]:
+    return [
+        *_latest({"failover_log": "failover_log"}, _at("opened"), "failover_at"),
+        *_latest({"reason": "reason"}, _at("end"), "reason_at"),
+    ]
+
+
 def partition_counters(events: DataFrame) -> DataFrame:
     """Snapshots, mutations, deletions and retries of each partition."""
     return events.groupBy(*PARTITION).agg(*_counters())
@@ -89,25 +106,20 @@ def fold_events(events: DataFrame) -> DataFrame:
     hash-based and a hot partition shrinks to one row per map task. Reason and
     failover log come from the rare control events only.
     """
-    snapshot = ["last_snapshot_start_seqno", "last_snapshot_end_seqno"]
-    numbers = checked_events(events).groupBy(*PARTITION).agg(
-        *_latest({"state_code": STATE_OF_KIND}, "arrival", "state_at"),
-        *_latest({"last_seen_seqno": "seqno"}, _at(*POSITION_KINDS), "seen_at"),
-        *_latest({name: name.removeprefix("last_") for name in snapshot}, _at("marker"), "snapshot_at"),
-        *_latest({"rollback_seqno": "seqno"}, _at("rollback"), "rollback_at"),
-        *_counters(),
-    )
-    texts = (
-        events.where(F.col("kind").isin("opened", "end"))
-        .groupBy(*PARTITION)
-        .agg(
-            *_latest({"failover_log": "failover_log"}, _at("opened"), "failover_at"),
-            *_latest({"reason": "reason"}, _at("end"), "reason_at"),
-        )
-    )
+    numbers = checked_events(events).groupBy(*PARTITION).agg(*_latest_numbers(), *_counters())
+    texts = events.where(F.col("kind").isin("opened", "end")).groupBy(*PARTITION).agg(*_latest_texts())
     return numbers.join(texts, PARTITION, "left")
 
 
+def fold_stream(events: DataFrame) -> DataFrame:
+    """`fold_events` as one aggregate, as a stream keeps it: a row of state per partition.
+
+    Each event is read once. A batch of a stream is small, so the sort that the
+    variable-width values ask for does not matter here.
+    """
+    return checked_events(events).groupBy(*PARTITION).agg(*_latest_numbers(), *_counters(), *_latest_texts())
+
+
 def combine_progress(progress: DataFrame) -> DataFrame:
     """Merge progress rows of the same partition; latest values win, counters add."""
     latest = {**LATEST, **LATEST_TEXT}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,14 +17,20 @@ from tidelog.operators.ranges import (
     high_seqnos,
     mainline,
     plan_ranges,
+    retry_open_ranges,
+    retry_stale_ranges,
+    stale_restart_ranges,
 )
 from tidelog.operators.state import (
+    combine_progress,
+    fold_events,
     partition_state,
     partitions_in,
+    progress_to_state,
     rollback_from_stale,
 )
 from tidelog.plans.store import Bucket, ChangeLogStore, checked_name, with_group
-from tidelog.schemas import CATALOG, CHANGE_EVENTS, PARTITION
+from tidelog.schemas import CATALOG, CHANGE_EVENTS, DATA_KINDS, PARTITION, RANGES
 from tidelog.session import Lookup, stored
 
 
@@ -114,12 +122,99 @@ def catalog_rows(state: DataFrame, known: DataFrame) -> DataFrame:
     )
 
 
+#: Gives the data and control events that the source sends for some ranges, in a round.
+Source = Callable[[DataFrame, int], DataFrame]
+#: Arrival numbers of one round; those that a source gives must stay below half of it.
+ROUND = 1 << 48
+
+
+@dataclass(frozen=True)
+class Streamed:
+    """What all rounds of a run have brought."""
+
+    captured: DataFrame
+    state: DataFrame
+    rollbacks: DataFrame
+
+
+def _round_requests(todo: DataFrame, attempt: int) -> DataFrame:
+    """One event per range asked for, before all answers of its round."""
+    return as_events(
+        todo.selectExpr(
+            *PARTITION, f"{attempt * ROUND - ROUND // 2}L AS arrival", "reason AS kind", "start_seqno AS seqno"
+        )
+    )
+
+
+def stream_rounds(source: Source, ranges: DataFrame, known: DataFrame, max_retries: int) -> Streamed:
+    """Ask for ranges, and again for what is still open or was sent back, until nothing is.
+
+    A partition that is still open resumes from what it last saw. One that was sent
+    back restarts below its rollback seqno, and what it had on the branch it asked for
+    goes to the rollback log, rows of earlier rounds included. Each request counts as
+    an event, so retries show in the partition's counters. After `max_retries` rounds
+    what is left keeps its state. What a source sends is stored before it is used, so
+    it is asked once for each range and round.
+    """
+    todo = stored(ranges.withColumn("reason", F.lit("requested")))
+    # the range of every partition, on the branch that it was last opened on
+    spec, before = todo.drop("reason"), known
+    captured, rollbacks, progress = [], [], None
+    for attempt in range(max_retries + 1):
+        sent = stored(as_events(source(todo.drop("reason"), attempt)))
+        data = capture_ranges(data_events(sent), todo.drop("reason"))
+        control = sent.where(~F.col("kind").isin(*DATA_KINDS))
+        refused = Lookup(control.where("kind = 'rollback'").select(*PARTITION).distinct())
+        data = refused.join(data, PARTITION, "left_anti")
+        accepted = refused.join(todo, PARTITION, "left_anti", spread=["end_seqno"])
+        branches = stored(opened_branches(accepted, control, before))
+        data = stamp_uuid(data, branches, keep=True)
+        captured.append(data)
+        events = as_events(data).unionByName(control).withColumn("arrival", F.col("arrival") + attempt * ROUND)
+        found = fold_events(events.unionByName(_round_requests(todo, attempt)))
+        progress = stored(found if progress is None else combine_progress(progress.unionByName(found)))
+        state = progress_to_state(progress)
+        # branches as they were asked for, which is what a rollback is about
+        asked = spec
+        spec = spec.join(branches.withColumnRenamed("uuid", "_opened"), PARTITION, "left")
+        spec = stored(spec.withColumn("uuid", F.coalesce("_opened", "uuid")).select(*RANGES.names))
+        sent_back = Lookup(state.where("state = 'Stale'").select(*PARTITION))
+        stale_now = sent_back.join(asked, PARTITION, "left_semi", spread=["end_seqno"])
+        rollbacks.append(stored(rollback_from_stale(state, stale_now)))
+        retries = retry_open_ranges(state, spec).withColumn("reason", F.lit("retry_open")).unionByName(
+            retry_stale_ranges(state, stale_restart_ranges(state, spec)).withColumn("reason", F.lit("retry_stale"))
+        )
+        todo, before = stored(retries), catalog_rows(state, known)
+        if todo.isEmpty():
+            break
+    # a partition that stays stale has its entry from the last round only
+    return Streamed(
+        reduce(DataFrame.unionByName, captured), state, reduce(DataFrame.unionByName, rollbacks).distinct()
+    )
+
+
+def _streamed_once(
+    data: DataFrame, ranges: Lookup, known: DataFrame, answers: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
+    """Captured rows and partition states after one round of requests."""
+    captured = capture_ranges(data, ranges)
+    if answers is None:
+        answers = accepted_answers(ranges.side, stamp_uuid(captured, ranges.side, keep=True))
+    refused = Lookup(answers.where("kind = 'rollback'").select(*PARTITION).distinct())
+    captured = refused.join(captured, PARTITION, "left_anti")
+    accepted = refused.join(ranges.side, PARTITION, "left_anti", spread=["end_seqno"])
+    captured = stamp_uuid(captured, opened_branches(accepted, answers, known), keep=True)
+    seen = as_events(captured).unionByName(answers).unionByName(request_events(ranges.side))
+    return captured, partition_state(seen)
+
+
 def run_backup(
     store: ChangeLogStore,
     events: DataFrame,
     snapshot_id: str,
     buckets: Sequence[Bucket],
-    answers: DataFrame | None = None,
+    answers: DataFrame | Source | None = None,
+    max_retries: int = 3,
 ) -> bool:
     """Capture what is new in `events` into the store, under a snapshot name.
 
@@ -128,6 +223,10 @@ def run_backup(
     Partitions answered with a rollback are not captured: their rollback seqno
     goes to the rollback log, and the next run restarts below it. Returns False
     when no partition has changed.
+
+    With a function in place of `answers`, which gives all that the source sends for
+    some ranges, partitions still open or sent back are asked for again within the
+    run, up to `max_retries` times.
     """
     checked_name(snapshot_id)
     if store.is_applied(snapshot_id):
@@ -138,15 +237,11 @@ def run_backup(
     ranges = Lookup(plan_ranges(high_seqnos(data), known))
     if ranges.side.isEmpty():
         return False
-    captured = capture_ranges(data, ranges)
-    if answers is None:
-        answers = accepted_answers(ranges.side, stamp_uuid(captured, ranges.side, keep=True))
-    refused = Lookup(answers.where("kind = 'rollback'").select(*PARTITION).distinct())
-    captured = refused.join(captured, PARTITION, "left_anti")
-    accepted = refused.join(ranges.side, PARTITION, "left_anti", spread=["end_seqno"])
-    captured = stamp_uuid(captured, opened_branches(accepted, answers, known), keep=True)
-    seen = as_events(captured).unionByName(answers).unionByName(request_events(ranges.side))
-    state = partition_state(seen)
+    if callable(answers):
+        streamed = stream_rounds(answers, ranges.side, known, max_retries)
+        captured, state = streamed.captured, streamed.state
+    else:
+        captured, state = _streamed_once(data, ranges, known, answers)
 
     number = (catalog.agg(F.max("run_number")).first()[0] or 0) + 1
     recorded = stored(
@@ -155,9 +250,10 @@ def run_backup(
         .withColumn("run_number", F.lit(number).cast("long"))
         .select(*CATALOG.names)
     )
-    stale = partitions_in(recorded, "Stale")
-    rollbacks = None
-    if not stale.isEmpty():
-        rollbacks = with_group(rollback_from_stale(stale, ranges.side), buckets)
+    if callable(answers):
+        sent_back = streamed.rollbacks
+    else:
+        sent_back = rollback_from_stale(partitions_in(recorded, "Stale"), ranges.side)
+    rollbacks = None if sent_back.isEmpty() else with_group(sent_back, buckets)
     mutations = mutation_rows(with_group(captured, buckets))
     return store.append_run(snapshot_id, mutations, rollbacks, recorded)

@@ -58,6 +58,8 @@ from tidelog.sources import paths
 MUTATION_FILES_THRESHOLD = 10
 
 MAX_BROADCAST_BUCKETS = 100_000
+#: Level of entries that a merge uses up.
+GONE = "gone"
 
 
 @dataclass(frozen=True)
@@ -468,22 +470,27 @@ class ChangeLogStore:
         if self.keep_history:
             self.files.write(HISTORY, run, displaced(*levels, groups))
             added.append(self._written([HISTORY], L0, run, run))
-        captured = view.of(entries_of.MUTATIONS, L0)
-        used = [view.of(NEW_FILTER, L0), view.of(ROLLBACK, L0), view.of(entries_of.FILTER, TIER), captured]
+        used = {
+            NEW_FILTER: {L0: None},
+            entries_of.FILTER: {TIER: None},
+            # mutations become part of the mainline as they are
+            entries_of.MUTATIONS: {L0: L1},
+            # below a tier, the mainline still has to meet the cuts
+            ROLLBACK: {L0: TIER},
+        }
         if onto_mainline:
-            used += [view.of(entries_of.FILTER, L1), view.of(ROLLBACK, TIER)]
-        else:
-            # the mainline still has to meet them
-            added.append(view.of(ROLLBACK, L0).select(*entries_of.ENTRY).withColumn("level", F.lit(TIER)))
-        if onto_mainline and self.keep_history:
+            used[entries_of.FILTER] |= {L1: None}
             # what history holds has to meet the cuts of later merges
-            met = view.of(ROLLBACK, L0).unionByName(view.of(ROLLBACK, TIER))
-            added.append(met.select(*entries_of.ENTRY).withColumn("level", F.lit(MET)))
-        added.append(captured.select(*entries_of.ENTRY).withColumn("level", F.lit(L1)))
-        return (
-            reduce(DataFrame.unionByName, [each.select(*entries_of.ENTRY) for each in used]),
-            reduce(DataFrame.unionByName, added),
+            used[ROLLBACK] = dict.fromkeys([L0, TIER], MET if self.keep_history else None)
+        to = " ".join(
+            f"WHEN kind = '{kind}' AND level = '{at}' THEN '{then or GONE}'"
+            for kind, moves in used.items()
+            for at, then in moves.items()
         )
+        moved = view.entries.withColumn("_to", F.expr(f"CASE {to} END")).where("_to IS NOT NULL")
+        kept = moved.where(F.col("_to") != GONE).withColumn("level", F.col("_to"))
+        added.append(kept.select(*entries_of.ENTRY))
+        return moved.select(*entries_of.ENTRY), reduce(DataFrame.unionByName, added)
 
     def _grown(self, version: Version, groups: DataFrame, share: float) -> DataFrame:
         """Groups whose new rows and tier have this share of their mainline's rows."""

@@ -11,6 +11,7 @@ from tidelog.functions.records import mutation_rows
 from tidelog.operators.ranges import capture_ranges, checked_events, data_events
 from tidelog.plans.store import Bucket, ChangeLogStore, with_group
 from tidelog.session import Lookup
+from tidelog.sources.events import accepted_events, rejected_records
 from tidelog.streaming.identity import stream_id
 
 
@@ -22,6 +23,7 @@ def capture_stream(
     checkpoint: str,
     ranges: DataFrame | None = None,
     compact: bool = False,
+    rejected_to: str | None = None,
 ) -> StreamingQuery:
     """Start a run that captures all available events and then stops.
 
@@ -29,10 +31,23 @@ def capture_stream(
     checkpoint and the batch. The store ignores a run it already has, so a batch
     replayed after a failure is stored once. With `ranges` only events inside them are kept. With
     `compact` each batch is merged into the mainline filter at once.
+
+    Of decoded records only events are captured. The others go to a folder per batch
+    below `rejected_to`; without it, they abort the stream.
     """
     lookup = None if ranges is None else Lookup(ranges)
 
+    def set_aside(batch: DataFrame, batch_id: int) -> DataFrame:
+        rejected = rejected_records(batch)
+        if rejected_to is not None:
+            rejected.write.mode("overwrite").parquet(f"{rejected_to}/batch={batch_id}")
+        elif not rejected.isEmpty():
+            raise ValueError(f"{rejected.count()} records are no events: {rejected.first()['reject_reason']}")
+        return accepted_events(batch)
+
     def store_batch(batch: DataFrame, batch_id: int) -> None:
+        if "reject_reason" in batch.columns:
+            batch = set_aside(batch, batch_id)
         data = data_events(checked_events(batch))
         if lookup is not None:
             data = capture_ranges(data, lookup)

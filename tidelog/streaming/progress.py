@@ -3,15 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.operators.state import (
-    combine_progress,
-    fold_events,
-    partition_counters,
-    progress_to_state,
-)
-from tidelog.schemas import CHANGE_EVENTS
+from tidelog.operators.state import fold_stream, partition_counters, progress_to_state
+from tidelog.schemas import CHANGE_EVENTS, PARTITION
 from tidelog.session import no_rows
 from tidelog.sources import paths
 from tidelog.streaming.identity import stream_id
@@ -22,47 +18,67 @@ def counter_stream(events: DataFrame) -> DataFrame:
     return partition_counters(events)
 
 
-def _epochs(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the finished epochs."""
-    names = [name for name in paths.child_names(spark, path) if name.startswith("epoch=")]
-    return [
-        int(name.removeprefix("epoch="))
-        for name in names
-        if paths.exists(spark, f"{path}/{name}/_SUCCESS")
-    ]
+#: Epochs that are read beside the last base before they are merged into a new one.
+MAX_EPOCHS = 50
 
 
-def _epoch_path(folder: str, number: int) -> str:
-    return f"{folder}/epoch={number:010d}"
+def _finished(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the finished folders of a kind."""
+    names = [name for name in paths.child_names(spark, path) if name.startswith(f"{kind}=")]
+    return [int(name.split("=")[1]) for name in names if paths.exists(spark, f"{path}/{name}/_SUCCESS")]
+
+
+def _numbered(folder: str, kind: str, number: int) -> str:
+    return f"{folder}/{kind}={number:010d}"
 
 
 def _folder(spark: SparkSession, path: str, checkpoint: str) -> str:
     return f"{path}/stream={stream_id(spark, checkpoint)}"
 
 
+def _latest(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
+    """The newest row of each partition in the last base and the epochs after it."""
+    schema = fold_stream(no_rows(spark, CHANGE_EVENTS)).schema
+    bases = [number for number in _finished(spark, folder, "base") if upto is None or number <= upto]
+    after = bases[-1] if bases else -1
+    epochs = [n for n in _finished(spark, folder, "epoch") if n > after and (upto is None or n <= upto)]
+    folders = [_numbered(folder, "base", after)] * bool(bases) + [_numbered(folder, "epoch", n) for n in epochs]
+    rows = spark.read.schema(f"{_ddl(schema)}, kept_at bigint").parquet(*folders)
+    values = [name for name in schema.names if name not in PARTITION]
+    newest = rows.groupBy(*PARTITION).agg(F.max_by(F.struct(*values), "kept_at").alias("_row"), F.max("kept_at").alias("kept_at"))
+    return newest.select(*PARTITION, "_row.*", "kept_at")
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in schema.fields)
+
+
 def track_state(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Start a run that folds all available events into the state at `path`.
 
-    Each micro-batch shrinks to one row per partition before it meets the state
-    of the batch before it. Every batch writes its own epoch folder from the one
-    before, so a replayed batch gives the same result.
+    The state of a partition lies in the stream's state store, and a micro-batch
+    reads its events once and writes an epoch with the partitions it has touched,
+    no others. A replayed batch gives the same epoch. After `MAX_EPOCHS` epochs their
+    newest rows become a base, so reading stays bounded.
     """
 
-    def fold_batch(batch: DataFrame, batch_id: int) -> None:
+    def keep(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         folder = _folder(spark, path, checkpoint)
-        progress = fold_events(batch)
-        before = [number for number in _epochs(spark, folder) if number < batch_id]
-        if before:
-            earlier = spark.read.schema(progress.schema).parquet(_epoch_path(folder, before[-1]))
-            progress = progress.unionByName(earlier)
-        target = _epoch_path(folder, batch_id)
-        combine_progress(progress).write.mode("overwrite").parquet(target)
-        for number in before[:-1]:
-            paths.delete(spark, _epoch_path(folder, number))
+        kept = batch.withColumn("kept_at", F.lit(batch_id).cast("long"))
+        kept.write.mode("overwrite").parquet(_numbered(folder, "epoch", batch_id))
+        bases = [number for number in _finished(spark, folder, "base") if number < batch_id]
+        if batch_id - (bases[-1] if bases else -1) >= MAX_EPOCHS:
+            _latest(spark, folder, batch_id).write.mode("overwrite").parquet(_numbered(folder, "base", batch_id))
+            for number in _finished(spark, folder, "epoch"):
+                # those of the last base stay for readers that have begun with it
+                if bases and number <= bases[-1]:
+                    paths.delete(spark, _numbered(folder, "epoch", number))
 
     return (
-        events.writeStream.foreachBatch(fold_batch)
+        fold_stream(events)
+        .writeStream.outputMode("update")
+        .foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -71,7 +87,4 @@ def track_state(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 
 def read_state(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
     """State after the last finished batch of the stream with this checkpoint."""
-    folder = _folder(spark, path, checkpoint)
-    schema = fold_events(no_rows(spark, CHANGE_EVENTS)).schema
-    latest = _epoch_path(folder, _epochs(spark, folder)[-1])
-    return progress_to_state(spark.read.schema(schema).parquet(latest))
+    return progress_to_state(_latest(spark, _folder(spark, path, checkpoint)))

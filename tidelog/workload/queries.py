@@ -370,6 +370,16 @@ def sample_live_by_type(spark, sf_dir):
     return readable(muts.sample_by(live(spark, sf_dir), "rec_type", {"UPDATE": 0.5, "DELETE": 0.1}))
 
 
+@query("sample_exact", over_changes(
+    ", keys AS (SELECT DISTINCT rec_type, key FROM live),"
+    " picked AS (SELECT *, row_number() OVER (PARTITION BY rec_type"
+    " ORDER BY CAST('0x' || substr(md5(key), 1, 8) AS BIGINT), key) AS rn FROM keys)"
+    f" SELECT {LIVE} FROM live SEMI JOIN (SELECT rec_type, key FROM picked WHERE rn <= 50) USING (rec_type, key)"))
+def sample_exact(spark, sf_dir):
+    """Fifty keys of each record type."""
+    return readable(muts.sample_exact(live(spark, sf_dir), "rec_type", 50))
+
+
 class LengthMapper(muts.MutationMapper):
     """Key, doubled seqno and content length of each record."""
 

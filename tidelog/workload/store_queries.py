@@ -13,7 +13,7 @@ from tidelog.functions.scalars import content_text
 from tidelog.operators import filters, ranges
 from tidelog.plans.backup import as_events, read_catalog, run_backup
 from tidelog.plans.store import Bucket, ChangeLogStore, group_outcomes
-from tidelog.schemas import MUTATIONS
+from tidelog.schemas import CHANGE_EVENTS, MUTATIONS
 from tidelog.session import scratch_path
 from tidelog.sources import events as event_sources
 from tidelog.sources import files, paths
@@ -478,6 +478,81 @@ def backup_after_rollback(spark, sf_dir):
     return store.filter_rows(BUCKETS)
 
 
+def retried_backup(spark, sf_dir) -> ChangeLogStore:
+    """A second backup in which partitions stay open or are sent back, and are asked for again."""
+
+    def build() -> ChangeLogStore:
+        store = ChangeLogStore(spark, scratch_path(spark, "retried"))
+        stream = ranges.data_events(log.data_stream(spark, sf_dir).drop("partition_uuid"))
+        early = stream.join(
+            log.old_changes(spark, sf_dir).select("bucket", "partition_id", "seqno"),
+            ["bucket", "partition_id", "seqno"],
+            "left_semi",
+        )
+        half = early.groupBy("bucket", "partition_id").agg(F.expr("max(seqno) div 2").alias("r"))
+        opened = "array(named_struct('uuid', partition_id * 10L + {0}, 'seqno', {1}))"
+        columns = ["bucket", "partition_id", "0L AS arrival"]
+        first = as_events(half.selectExpr(*columns, "'opened' AS kind", f"{opened.format(1, '0L')} AS failover_log"))
+        run_backup(store, early, "monday", BUCKETS, first)
+        store.compact_filters(BUCKETS)
+
+        def source(asked: DataFrame, attempt: int) -> DataFrame:
+            """The first time, partitions 4n+1 break off half way and 4n+2 are sent back."""
+            asked = asked.select("bucket", "partition_id", "start_seqno", "end_seqno").join(half, ["bucket", "partition_id"])
+            back = f"(partition_id % 4 = 2 AND {attempt} = 0)"
+            part = f"(partition_id % 4 = 1 AND {attempt} = 0)"
+            upto = f"CASE WHEN {back} THEN start_seqno WHEN {part} THEN (start_seqno + end_seqno) DIV 2 ELSE end_seqno END"
+            asked = asked.selectExpr("*", f"{upto} AS upto")
+            answers = as_events(asked.where(f"NOT {back}").selectExpr(
+                *columns, "'opened' AS kind",
+                f"IF(partition_id % 4 = 2, {opened.format(2, 'r - 1')}, {opened.format(1, '0L')}) AS failover_log",
+            ))
+            ended = asked.where(f"NOT {back} AND NOT {part}").selectExpr(
+                "bucket", "partition_id", "end_seqno + 1 AS arrival", "'end' AS kind", "'OK' AS reason"
+            )
+            refused = asked.where(back).selectExpr(*columns, "'rollback' AS kind", "r AS seqno")
+            sent = stream.join(asked.select("bucket", "partition_id", "start_seqno", "upto"), ["bucket", "partition_id"])
+            sent = as_events(sent.where("seqno > start_seqno AND seqno <= upto").select(*stream.columns))
+            return answers.unionByName(as_events(ended)).unionByName(as_events(refused)).unionByName(sent)
+
+        run_backup(store, stream, "tuesday", BUCKETS, source)
+        store.compact_filters(BUCKETS)
+        return store
+
+    return built_once(spark, sf_dir, "retried", build)
+
+
+#: Rows of the second backup: what came after the first, and all from half way on where sent back.
+SECOND = (
+    "FROM chg JOIN (SELECT partition_id AS p, CAST(floor(max(seqno) / 2) AS BIGINT) AS r, max(seqno) AS seen"
+    " FROM chg WHERE rec_type <> 'INSERT' AND level = 'l1' GROUP BY ALL) ON partition_id = p"
+    " WHERE rec_type <> 'INSERT' AND seqno > CASE WHEN partition_id % 4 = 2 THEN r - 1 ELSE seen END"
+)
+
+
+@query("backup_with_retries", over_changes(
+    "SELECT bucket, partition_id, 'Closed' AS state, max(seqno) AS last_seen_seqno,"
+    " CAST(partition_id * 10 + CASE WHEN partition_id % 4 = 2 THEN 2 ELSE 1 END AS BIGINT) AS uuid,"
+    " count(CASE WHEN rec_type = 'UPDATE' THEN 1 END) AS num_mutations,"
+    " count(CASE WHEN rec_type = 'DELETE' THEN 1 END) AS num_deletions,"
+    " CAST(CASE WHEN partition_id % 4 = 1 THEN 1 ELSE 0 END AS BIGINT) AS num_retries_reason_open,"
+    " CAST(CASE WHEN partition_id % 4 = 2 THEN 1 ELSE 0 END AS BIGINT) AS num_retries_reason_stale"
+    f" {SECOND} GROUP BY bucket, partition_id"))
+def backup_with_retries(spark, sf_dir):
+    """State and counters of each partition after a backup that had to ask twice."""
+    latest = ranges.mainline(read_catalog(retried_backup(spark, sf_dir)))
+    return latest.select(
+        "bucket", "partition_id", "state", "last_seen_seqno", F.col("failover_log")[0]["uuid"].alias("uuid"),
+        "num_mutations", "num_deletions", "num_retries_reason_open", "num_retries_reason_stale",
+    )
+
+
+@query("backup_with_retries_filter", ORACLE["backup_after_rollback"])
+def backup_with_retries_filter(spark, sf_dir):
+    """The filter after it: rows of the branch that was left are gone, resumed ones are there once."""
+    return retried_backup(spark, sf_dir).filter_rows(BUCKETS)
+
+
 # --- streams --------------------------------------------------------------------
 
 
@@ -492,6 +567,60 @@ def event_files(spark, sf_dir) -> str:
     return built_once(spark, sf_dir, "events", build)
 
 
+def raw_records(spark, sf_dir) -> DataFrame:
+    """The change stream as a topic's records: whole, cut off, of unknown kind, empty, without key."""
+    value = "to_json(struct({}))".format(", ".join(c for c in CHANGE_EVENTS.names if c not in ("bucket", "partition_id", "arrival", "key")))
+    return log.data_stream(spark, sf_dir).where("kind <> 'marker'").withColumn(
+        "kind", F.expr("IF(seqno % 17 = 0, 'strange', kind)")
+    ).selectExpr(
+        "CASE WHEN seqno % 23 <> 0 THEN binary(key) END AS key",
+        f"binary(CASE WHEN seqno % 19 = 0 THEN NULL WHEN seqno % 13 = 0 THEN left({value}, 20) ELSE {value} END) AS value",
+        "bucket AS topic",
+        "int(partition_id) AS partition",
+        "seqno AS offset",
+    )
+
+
+@query("decoded_records", over_changes(
+    ", raw AS (SELECT *, CASE WHEN seqno % 19 <> 0 AND seqno % 13 = 0 THEN 'not an event'"
+    " WHEN seqno % 19 <> 0 AND seqno % 17 = 0 THEN 'unknown kind'"
+    " WHEN seqno % 23 = 0 THEN 'no key or seqno' END AS reason"
+    " FROM chg WHERE rec_type <> 'INSERT')"
+    " SELECT bucket, partition_id, seqno, CASE WHEN seqno % 23 <> 0 THEN key END AS key, reason,"
+    " CASE WHEN reason IS NULL THEN CASE WHEN rec_type = 'DELETE' OR seqno % 19 = 0 THEN 'remove' ELSE 'mutation' END END AS kind,"
+    " CASE WHEN reason IS NULL AND seqno % 19 <> 0 THEN content END AS content FROM raw"))
+def decoded_records(spark, sf_dir):
+    """Events of raw records, and the records that are none, set aside with the reason."""
+    decoded = event_sources.decode_records(raw_records(spark, sf_dir))
+    events = event_sources.accepted_events(decoded).selectExpr(
+        "bucket", "partition_id", "seqno", "key", "CAST(NULL AS STRING) AS reason", "kind", "string(content) AS content"
+    )
+    rejected = event_sources.rejected_records(decoded).selectExpr(
+        "topic AS bucket", "smallint(partition) AS partition_id", "offset AS seqno", "string(key) AS key",
+        "reject_reason AS reason", "CAST(NULL AS STRING) AS kind", "CAST(NULL AS STRING) AS content",
+    )
+    return events.unionByName(rejected)
+
+
+@query("streaming_records", over_changes(
+    f"SELECT {FILTER_SQL} FROM (SELECT bucket, pgroup, partition_id, partition_uuid, seqno, key,"
+    " CASE WHEN rec_type = 'DELETE' THEN 'DELETE' ELSE 'UPDATE' END AS rec_type,"
+    " row_number() OVER (PARTITION BY bucket, pgroup, key ORDER BY seqno DESC) AS rn FROM chg"
+    " WHERE rec_type <> 'INSERT' AND seqno % 13 <> 0 AND seqno % 17 <> 0 AND seqno % 19 <> 0 AND seqno % 23 <> 0) t WHERE rn = 1"))
+def streaming_records(spark, sf_dir):
+    """The filter after raw records were captured as a stream, the bad ones set aside."""
+    store, home = ChangeLogStore(spark, scratch_path(spark, "records")), scratch_path(spark, "topic")
+    records = raw_records(spark, sf_dir).where("offset % 19 <> 0")
+    records.repartition(3, "partition").write.parquet(home)
+    raw = spark.readStream.schema(event_sources.RECORD).option("maxFilesPerTrigger", 2).parquet(home)
+    capture_stream(
+        store, event_sources.decode_records(raw), BUCKETS, "records", scratch_path(spark, "offsets"),
+        rejected_to=scratch_path(spark, "rejected"),
+    ).awaitTermination()
+    store.compact_filters(BUCKETS)
+    return store.filter_rows(BUCKETS)
+
+
 @query("streaming_capture", over_ranges(
     "SELECT bucket, pgroup, partition_id, partition_uuid, seqno, key,"
     " CASE WHEN kind = 'remove' THEN 'DELETE' ELSE 'UPDATE' END AS rec_type FROM"
