@@ -91,6 +91,7 @@ def stands_in_every_match(pattern: str, text: str) -> bool:
     level = re.sub(r"\[\^?\]?[^\]]*\]", "\0", level)
     while level != (inner := re.sub(r"\([^()]*\)", "\0", level)):
         level = inner
+    level = re.sub(r"\{[^}]*\}", "{", level)
     if re.search(r"[\[\]()|]", level):
         return False
     return any(level[found.end() :][:1] not in ("?", "*", "{") for found in re.finditer(re.escape(text), level))
