@@ -47,7 +47,7 @@ def linked(docs):
 
 
 def line_shingles(line):
-    return frozenset(re.findall(r"(?<!\S)(?=(\S.{0,7}))", line))
+    return frozenset(line[i : i + 8] for i in range(max(1, len(line) - 7)))
 
 
 def removed_lines(docs):

@@ -19,13 +19,15 @@ still change a component is left out and near copies are not expanded into pairs
 All of it is DataFrame functions. Hashes of lines are 64 bits wide.
 
 Defined results: blank lines have no shingles and always stay; a null text has no
-lines; in repeated rows (same doc_id) lines beyond the first occurrence go like any
-other; a document keeps its row even if no line stays, with an empty text.
+lines; a missing id comes before all others; rows of one id with different texts are
+different documents, the one with the smaller MD5 of its text first; rows equal in id
+and text are one document given several times and come out alike; a document keeps
+its row even if no line stays, with an empty text.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import joined, registered, table, written
@@ -34,6 +36,8 @@ from tidelog.llm.components import components
 SHINGLE = 8
 MINIMA = 5
 MIN_PERCENT = 80
+#: What a line is known by, in the order in which lines come first.
+PLACE = ["doc_id", "text_md5", "line_no"]
 #: Shingles a line may have for its counts in eight groups to fit the bytes of a long.
 COUNTED = 127
 
@@ -55,14 +59,19 @@ def _let(name: str, value: str, body: str) -> str:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, line and its class `k` for lines that are not blank."""
+    """doc_id, text_md5, line_no, line and its class `k` for lines that are not blank."""
     return (
-        docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        docs.select("doc_id", _text_md5(), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .where("line RLIKE '\\\\S'")
         .withColumn("k", F.xxhash64("line"))
     )
 
 
+def _text_md5() -> Column:
+    """What tells rows of one id apart."""
+    return F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_md5")
+
+
 def _classes(lines: DataFrame) -> DataFrame:
     """One row per class of equal lines, with its minima and the least id that has it."""
     minima = [f"array_min(transform(shingles, s -> s ^ {ORDERS[i]}L)) AS m{i}" for i in range(MINIMA)]
@@ -180,44 +189,53 @@ def similar_lines(docs: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, removed) with the numbers, from 0, of the lines that go; only documents that lose any."""
+    """(doc_id, text_md5, removed): numbers, from 0, of the lines that go, where any do."""
     lines = lines_of(docs)
     found = similar_lines(docs)
-    places = lines.select("doc_id", "line_no", "k").join(found, "k", "left")
-    places = places.selectExpr("doc_id", "line_no", "coalesce(component, k) AS component")
+    places = lines.select(*PLACE, "k").join(found, "k", "left")
+    places = places.selectExpr(*PLACE, "coalesce(component, k) AS component")
     places = written(places, "places")
     first = (
-        places.groupBy("component", "doc_id")
+        places.groupBy("component", "doc_id", "text_md5")
         .agg(F.min("line_no").alias("line_no"), F.count("*").alias("n"))
         .groupBy("component")
-        .agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.sum("n").alias("n"))
+        .agg(F.min(F.struct(*PLACE)).alias("first"), F.sum("n").alias("n"))
         .where("n > 1")
         .select("component", "first")
     )
     return (
         joined(places, first, "component", measured=False)
-        .where("NOT (doc_id <=> first.doc_id AND line_no = first.line_no)")
-        .groupBy("doc_id")
+        .where("NOT (doc_id <=> first.doc_id AND text_md5 = first.text_md5 AND line_no = first.line_no)")
+        .groupBy("doc_id", "text_md5")
         .agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
     )
 
 
+def with_removed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """`docs` with the numbers of the lines that go, null where none does, and that column's name."""
+    # names that none of the input's begins with
+    own = "_"
+    while any(name.startswith(own) for name in docs.columns):
+        own += "_"
+    gone = removed_lines(docs.select("doc_id", "text")).toDF(f"{own}doc", f"{own}md5", f"{own}lines")
+    rows = docs.withColumn(f"{own}text", _text_md5())
+    same = F.expr(f"doc_id <=> {own}doc AND {own}text = {own}md5")
+    return joined(rows, gone, same, "left").drop(f"{own}doc", f"{own}md5", f"{own}text"), f"{own}lines"
+
+
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """`docs` with the lines that go taken out of `text`."""
-    gone = removed_lines(docs).toDF("_gone_doc", "_gone_lines")
-    kept = "array_join(filter(split(text, '\n'), (line, i) -> NOT array_contains(_gone_lines, i)), '\n')"
-    text = F.expr(f"IF(_gone_lines IS NULL, text, {kept})")
-    marked = joined(docs, gone, F.expr("doc_id <=> _gone_doc"), "left")
-    return marked.withColumn("text", text).select(*docs.columns)
+    marked, gone = with_removed(docs)
+    kept = f"array_join(filter(split(text, '\n'), (line, i) -> NOT array_contains({gone}, i)), '\n')"
+    return marked.withColumn("text", F.expr(f"IF({gone} IS NULL, text, {kept})")).select(*docs.columns)
 
 
 @registered("op10_line_dedup")
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counts = docs.selectExpr("doc_id", "CAST(size(split(coalesce(text, ''), '\n')) AS BIGINT) AS n_lines")
-    return counts.join(removed_lines(docs), "doc_id", "left").selectExpr(
+    marked, gone = with_removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return marked.selectExpr(
         "doc_id",
-        "n_lines",
-        "CAST(coalesce(size(removed), 0) AS BIGINT) AS n_removed",
-        "coalesce(array_join(removed, ','), '') AS removed_lines",
+        "CAST(size(split(coalesce(text, ''), '\n')) AS BIGINT) AS n_lines",
+        f"CAST(coalesce(size({gone}), 0) AS BIGINT) AS n_removed",
+        f"coalesce(array_join({gone}, ','), '') AS removed_lines",
     )
