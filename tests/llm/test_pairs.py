@@ -147,23 +147,77 @@ def test_line_dedup_all_grams(frame, monkeypatch):
     assert sum(len(gone[d] ^ found.get(d, set())) for d in gone) <= 0.02 * sum(map(len, gone.values()))
 
 
-def test_line_dedup_shingles(spark):
-    lines = ["", "abc", "12345678", "123456789", "a b\r\u2028 c d e f g", "x\U0001f600\U0001f601yz\U00020000abc\U0001f600\U0001f600d"]
-    rows = spark.createDataFrame([(x,) for x in lines], "line string")
-    made = {r[0]: set(r[1]) for r in rows.selectExpr("line", line_dedup._shingles("line")).collect()}
-    wanted = spark.createDataFrame([(x, g) for x in lines for g in grams(x)], "line string, g string")
-    wanted = {r[0]: set(r[1]) for r in wanted.groupBy("line").agg(F.collect_set(F.xxhash64("g"))).collect()}
-    assert made == wanted
-
-
-def test_line_dedup_odd_rows(frame):
+def test_line_signatures():
+    """A line's bands don't depend on the lines beside it, and near copies meet as often as they should."""
+    lines = ["abc", "12345678", "123456789", "a b\r\u2028 c d e f g", "x\U0001f600\U0001f601yz\U00020000abc\U0001f600\U0001f600d", "q" * 50_000]
+    for line in lines:
+        assert line_dedup.line_shingles(line) == frozenset(grams(line))
+    together = line_dedup.signatures(lines)
+    assert all((line_dedup.signatures([line])[0] == row).all() for line, row in zip(lines, together))
+    rng = random.Random(6)
+    met = {True: [], False: []}
+    for _ in range(400):
+        line = "".join(rng.choice("abcdefgh ") for _ in range(rng.choice([60, 200, 900])))
+        for edits, near in ((1, True), (len(line) // 12, False)):
+            other = list(line)
+            for place in rng.sample(range(len(line)), edits):
+                other[place] = "#"
+            a, b = grams(line), grams("".join(other))
+            if (len(a & b) / len(a | b) >= 0.8) is near:
+                x, y = line_dedup.signatures([line, "".join(other)])
+                met[near].append(bool((x == y).any()))
+    assert sum(met[True]) >= 0.98 * len(met[True]) > 100
+    assert sum(met[False]) <= 0.1 * len(met[False])
+
+
+def test_line_dedup_odd_rows(spark, frame):
     assert line_dedup.removed_lines(frame([])).collect() == []
     rows = [(1, "one line here\n\none line here"), (1, "one line here"), (2, None), (3, "")]
-    found = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(frame(rows)).collect()}
+    found = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(frame(rows[:1] + rows[2:])).collect()}
     assert found == {1: [2]}
     assert line_dedup.dedup_lines(frame(rows)).columns == frame(rows).columns
 
 
+def kept_texts(docs):
+    return sorted(line_dedup.dedup_lines(docs).select("doc_id", "text").collect(), key=str)
+
+
+def test_line_dedup_repeated_and_null_ids(spark, frame):
+    """Rows of one id keep what only they have; a missing id comes first."""
+    rows = [(1, "shared line of both\nonly in the first row"), (1, "only in the second row\nshared line of both")]
+    kept = [r["text"] for r in kept_texts(frame(rows))]
+    assert sorted("\n".join(kept).split("\n")) == ["only in the first row", "only in the second row", "shared line of both"]
+    rows = [(None, "a line to be found twice"), (4, "a line to be found twice\nand one more")]
+    assert [tuple(r) for r in kept_texts(frame(rows))] == [(4, "and one more"), (None, "a line to be found twice")]
+    same = [(7, "equal rows\nequal in all")] * 3 + [(8, "equal rows\nnot here")]
+    assert [tuple(r) for r in kept_texts(frame(same))] == [(7, "equal rows\nequal in all")] * 3 + [(8, "not here")]
+
+
+def test_line_dedup_clashing_names(spark):
+    names = ["_gone_doc", "_doc", "__lines", "k", "component", "removed", "text_md5", "line_no"]
+    docs = spark.createDataFrame([(i, "the same line of text", *names) for i in (1, 2)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    found = line_dedup.dedup_lines(docs).orderBy("doc_id").collect()
+    assert [r["text"] for r in found] == ["the same line of text", ""]
+    assert all(r[n] == n for r in found for n in names)
+
+
+def test_line_dedup_far_lines_do_not_meet(spark, frame, monkeypatch):
+    """Lines that share a part only are hardly ever compared: pairs grow like the lines."""
+    rng = random.Random(3)
+    centre = "".join(rng.choice("abcdefghijkl ") for _ in range(120))
+    lines = []
+    for _ in range(400):
+        other = list(centre)
+        for place in rng.sample(range(120), 9):
+            other[place] = rng.choice("0123456789")
+        lines.append("".join(other))
+    pairs = []
+    verified = line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda p, c: pairs.append(p.count()) or verified(p, c))
+    line_dedup.removed_lines(frame([(i, line) for i, line in enumerate(lines)])).collect()
+    assert sum(pairs) < 0.1 * 400 * 399 / 2
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_substring_dedup(frame, seed):
     rows = corpus(seed)

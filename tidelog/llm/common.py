@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import gc
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.session import fits_broadcast, scratch_path
+from tidelog.sources import paths
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -45,8 +48,47 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     release(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._scratch = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables of `written` frames that nothing will read any more."""
+    for frame in frames:
+        paths.delete(frame.sparkSession, frame._scratch)
+
+
+#: Folders written by the stage at work, and by the last one of each application.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+_last: dict[str, list[str]] = {}
+
+
+def stage(function):
+    """A stage of a pipeline, whose result is written before the next stage is called.
+
+    So each stage deletes what the one before has left in the shared folder. The
+    result of the last one stays readable.
+    """
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        application = spark.sparkContext.applicationId
+        for path in _last.pop(application, []):
+            paths.delete(spark, path)
+        token = _made.set([])
+        try:
+            result = function(spark, docs, sf_dir)
+            _last[application] = _made.get()
+            return result
+        finally:
+            _made.reset(token)
+
+    return run
 
 
 def joined(rows: DataFrame, side: DataFrame, on, how: str = "inner", measured: bool = True) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import written
+from tidelog.llm.common import discard, written
 
 
 def _nearest(pairs: DataFrame) -> DataFrame:
@@ -52,7 +52,8 @@ def components(links: DataFrame) -> DataFrame:
         state = links.selectExpr("count(*)", "bit_xor(xxhash64(u, v))").first()
         if tuple(state) == before or not state[0]:
             break
-        before = tuple(state)
+        before, last = tuple(state), links
         links = written(_round(links), "links")
+        discard(last)
     roots = links.selectExpr("v AS node", "v AS component").distinct()
     return links.selectExpr("u AS node", "v AS component").unionByName(roots)

@@ -1,22 +1,22 @@
 """Line dedup: fuzzy lines by MinHash, verified, one line kept per component.
 
-A line's shingles are all its character 8-grams, white space, case and punctuation
-included; a shorter line is its only shingle. Equal lines are one class
-from the start. Each class gets five minima of its hashed shingles under different
-orders; every pair of minima is a band, so two lines at a similarity of 0.8 meet in
-some band with a probability of 0.993. Classes that share a band, and whose sizes and
-counts of shingles in eight groups allow it, are compared by the exact Jaccard similarity of their shingle sets,
-for which the lines themselves are joined, as sets are eight times as large; links make components, and of
-each component the line with the smallest (doc_id, line number) stays.
-
-A band may hold a third of all classes. Bands are aggregated to their number of
-members and the least, the greatest and the XOR of these, which names all members of
-bands of two and three; only larger bands look up theirs. Members are first compared with its two
-leaders only; then bands whose members are all in one component are done, and in
-the rest only members of different components are compared, so no pair that could
-still change a component is left out and near copies are not expanded into pairs.
-
-All of it is DataFrame functions. Hashes of lines are 64 bits wide.
+A line's shingles are all its runs of eight characters, white space, case and
+punctuation included; a shorter line is its only shingle. Equal lines are one class
+from the start. Each class gets 60 minima of its hashed shingles under as many orders;
+five minima make a band, so of two lines at a similarity of 0.8 all but 0.9 % meet in
+one of twelve bands, and at 0.3 only 3 % do. Classes that share a band are compared by
+the exact Jaccard similarity of their shingle sets; links make components, and of each
+component the line that comes first stays.
+
+The rows of the bands are dealt by band and sorted; a stream over them names for each
+band of several classes its first one as leader. Members are compared with their
+leader. Then bands whose members are all in one component are done, and in the rest
+only members of different components are compared, so no pair that could still change
+a component is left out and near copies are not expanded into pairs.
+
+Signatures and sets are made by numpy and Python within tasks: as functions of Spark
+they took 3,900 CPU seconds a GB, where the limit is 400 (see the README). Equal lines
+are told by MD5, sets are compared by the shingles themselves.
 
 Defined results: blank lines have no shingles and always stay; a null text has no
 lines; a missing id comes before all others; rows of one id with different texts are
@@ -27,35 +27,36 @@ its row even if no line stays, with an empty text.
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import joined, registered, table, written
+from tidelog.llm.common import discard, joined, registered, table, written
 from tidelog.llm.components import components
 
 SHINGLE = 8
-MINIMA = 5
+BANDS, PER_BAND = 12, 5
 MIN_PERCENT = 80
 #: What a line is known by, in the order in which lines come first.
 PLACE = ["doc_id", "text_md5", "line_no"]
-#: Shingles a line may have for its counts in eight groups to fit the bytes of a long.
-COUNTED = 127
-
-#: What the hashes are combined with for each order.
-ORDERS = [0, 7640891576956012809, 3141592653589793238, 5772156649015328606, 1618033988749894848]
-
-
-def _shingles(line: str) -> str:
-    """SQL for the hashed shingles of a line."""
-    # a match may begin at any UTF-16 unit: not at the second half of a character
-    grams = f"regexp_extract_all({line}, '(?s)(?=([^\\\\x{{DC00}}-\\\\x{{DFFF}}].{{{SHINGLE - 1}}}))', 1)"
-    grams = f"IF(char_length({line}) < {SHINGLE}, array({line}), {grams})"
-    return f"array_distinct(transform({grams}, s -> xxhash64(s)))"
-
-
-def _let(name: str, value: str, body: str) -> str:
-    """SQL for `body` with `name` standing for `value`, which is computed once."""
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
+#: Characters whose lines are signed at once.
+CHUNK = 1 << 18
+#: Digests of lines that a task remembers to have signed; beyond, it forgets all.
+REMEMBERED = 1_000_000
+#: What a blank line may hold.
+BLANK = " \t\n\x0b\f\r"
+#: Fills short lines up to one shingle; no character of a text.
+FILL = "\U0010ffff"
+
+_random = np.random.default_rng(10)
+#: Orders: odd factors and shifts of 32-bit hashes.
+FACTORS = _random.integers(0, 1 << 32, BANDS * PER_BAND, dtype=np.uint32) | np.uint32(1)
+SHIFTS = _random.integers(0, 1 << 32, BANDS * PER_BAND, dtype=np.uint32)
+#: Odd factors of the 64-bit hashes of shingles and bands.
+BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return (
         docs.select("doc_id", _text_md5(), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .where("line RLIKE '\\\\S'")
-        .withColumn("k", F.xxhash64("line"))
+        .withColumn("k", F.unhex(F.md5(F.col("line").cast("binary"))))
     )
 
 
@@ -72,120 +73,179 @@ def _text_md5() -> Column:
     return F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_md5")
 
 
-def _classes(lines: DataFrame) -> DataFrame:
-    """One row per class of equal lines, with its minima and the least id that has it."""
-    minima = [f"array_min(transform(shingles, s -> s ^ {ORDERS[i]}L)) AS m{i}" for i in range(MINIMA)]
-    counts = f"aggregate(shingles, 0L, (a, s) -> a + shiftleft(1L, INT(s & 7) * 8))"
-    same = [F.max(name).alias(name) for name in ("n", "counts", *(f"m{i}" for i in range(MINIMA)))]
-    return (
-        lines.selectExpr("doc_id", "k", f"{_shingles('line')} AS shingles")
-        .selectExpr(
-            "doc_id", "k", "size(shingles) AS n", f"IF(size(shingles) > {COUNTED}, NULL, {counts}) AS counts", *minima
-        )
-        .groupBy("k")
-        .agg(F.min("doc_id").alias("doc_id"), *same)
-    )
+def signatures(lines: list[str]) -> np.ndarray:
+    """The bands of each line, as 64-bit hashes in rows."""
+    lines = [line if len(line) >= SHINGLE else line.ljust(SHINGLE, FILL) for line in lines]
+    codes = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    ends = np.cumsum([len(line) for line in lines])
+    hashes = np.zeros(len(codes) - SHINGLE + 1, np.uint64)
+    for i in range(SHINGLE):
+        hashes = hashes * BASE + codes[i : i + len(hashes)]
+    inside = np.ones(len(codes), bool)
+    inside[(ends[:, None] - np.arange(1, SHINGLE)).ravel()] = False
+    hashes = hashes[inside[: len(hashes)]]
+    hashes = (hashes ^ hashes >> np.uint64(32)) * MIX
+    small = (hashes >> np.uint64(32)).astype(np.uint32)
+    starts = np.concatenate([[0], ends[:-1]]) - (SHINGLE - 1) * np.arange(len(lines))
+    found = np.empty((len(lines), BANDS), np.uint64)
+    for band in range(BANDS):
+        value = np.full(len(lines), band + 1, np.uint64)
+        for order in range(band * PER_BAND, (band + 1) * PER_BAND):
+            least = np.minimum.reduceat(small * FACTORS[order] + SHIFTS[order], starts)
+            value = (value ^ least) * MIX
+            value ^= value >> np.uint64(29)
+        found[:, band] = value
+    return found.view(np.int64)
+
+
+def _signed(batches):
+    """k, doc_id, text_md5, line, bands of the lines; line and bands where a task first meets them."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        docs, digests = batch.column(0), batch.column(1)
+        rows, new, held = [], [], 0
+
+        def flush():
+            bands = iter(signatures([line for line in new if line is not None])) if any(new) else iter(())
+            flat = [None if line is None else next(bands) for line in new]
+            at = pa.array([row for row, _ in rows], pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k for _, k in rows], pa.binary()),
+                    docs.take(at),
+                    digests.take(at),
+                    pa.array(new, pa.string()),
+                    pa.array(flat, pa.list_(pa.int64())),
+                ],
+                names=["k", "doc_id", "text_md5", "line", "bands"],
+            )
+
+        for row, text in enumerate(batch.column(2)):
+            for line in (text.as_py() or "").split("\n"):
+                if not line.strip(BLANK):
+                    continue
+                k = hashlib.md5(line.encode()).digest()
+                rows.append((row, k))
+                if k in seen:
+                    new.append(None)
+                else:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(k)
+                    new.append(line)
+                    held += len(line)
+                if held >= CHUNK or len(rows) >= CHUNK // 16:
+                    yield flush()
+                    rows, new, held = [], [], 0
+        if rows:
+            yield flush()
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """One row per class of equal lines: its number c, k, line and bands."""
+    doc_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", _text_md5(), "text").where("text IS NOT NULL")
+    signed = rows.mapInArrow(
+        _signed, f"k binary, doc_id {doc_type}, text_md5 binary, line string, bands array<bigint>"
+    ).where("bands IS NOT NULL")
+    one = signed.groupBy("k").agg(F.max(F.struct("line", "bands")).alias("own")).select("k", "own.*")
+    return one.withColumn("c", F.monotonically_increasing_id())
+
+
+def _led(batches):
+    """(band, leader, c, n) for the members of bands with several classes, of rows sorted by band and c."""
+    schema = pa.schema([(name, pa.int64()) for name in ("band", "leader", "c")])
+    last_band = last_leader = None
+    for batch in batches:
+        bands, members = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if not len(bands):
+            continue
+        first = np.concatenate([[True], bands[1:] != bands[:-1]])
+        leaders = members[np.flatnonzero(first)][np.cumsum(first) - 1]
+        if last_band is not None and bands[0] == last_band:
+            own = np.flatnonzero(first)[1] if first.sum() > 1 else len(bands)
+            leaders[:own] = last_leader
+        last_band, last_leader = bands[-1], leaders[-1]
+        follows = members != leaders
+        yield pa.RecordBatch.from_arrays([pa.array(x[follows]) for x in (bands, leaders, members)], schema=schema)
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """(band, k) of every class, for bands of two classes or more, with two leaders."""
-    pairs = [f"xxhash64({i}, {j}, m{i}, m{j})" for i in range(MINIMA) for j in range(i)]
-    rows = classes.selectExpr("k", f"explode(array({', '.join(pairs)})) AS band")
-    bands = written(
-        rows.groupBy("band")
-        .agg(F.count("*").alias("n"), F.min("k").alias("first"), F.max("k").alias("last"), F.expr("bit_xor(k) AS x"))
-        .where("n > 1"),
-        "bands",
-    )
-    members = "IF(n = 2, array(first, last), array(first, x ^ first ^ last, last))"
-    small = bands.where("n < 4").selectExpr("band", "first", "last", f"explode({members}) AS k")
-    large = joined(rows, bands.where("n > 3").select("band", "first", "last"), "band")
-    return small.select("band", "k", "first", "last").unionByName(large.select("band", "k", "first", "last"))
+    """(band, leader, c) of every class that is not the first of its band."""
+    rows = classes.select(F.explode("bands").alias("band"), "c")
+    ordered = rows.repartition("band").sortWithinPartitions("band", "c")
+    return ordered.mapInArrow(_led, "band bigint, leader bigint, c bigint")
 
 
-def _fits() -> str:
-    """SQL for sizes, and counts in eight groups, of u and v that allow the similarity.
-
-    This loses no similar pair: the shared shingles are at most the sum of the smaller
-    counts, and must be 4/9 of all.
-    """
-    room = " + ".join(
-        f"least(shiftrightunsigned(cu, {b}) & 255, shiftrightunsigned(cv, {b}) & 255)" for b in range(0, 64, 8)
-    )
-    return (
-        f"100 * least(nu, nv) >= {MIN_PERCENT} * greatest(nu, nv) AND (cu IS NULL OR cv IS NULL"
-        f" OR {100 + MIN_PERCENT} * ({room}) >= {MIN_PERCENT} * (nu + nv))"
-    )
+def line_shingles(line: str) -> frozenset[str]:
+    return frozenset(line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
 
 
-def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose bounds allow the similarity."""
-    return (
-        pairs.join(classes.selectExpr("k AS u", "n AS nu", "counts AS cu"), "u")
-        .join(classes.selectExpr("k AS v", "n AS nv", "counts AS cv"), "v")
-        .where(_fits())
-        .select("u", "v")
-    )
+def _similar(batches):
+    """The pairs (u, v) whose lines are similar enough; rows of one u come together."""
+    last, own = None, frozenset()
+    for batch in batches:
+        found = []
+        for u, v, a, b in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if u != last:
+                last, own = u, line_shingles(a)
+            other = line_shingles(b)
+            shared = len(own & other)
+            if 100 * shared >= MIN_PERCENT * (len(own) + len(other) - shared):
+                found.append((u, v))
+        us, vs = zip(*found) if found else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (u, v) that are similar enough."""
-    pairs = written(_bounded(pairs, classes), "pairs")
-    used = pairs.selectExpr("explode(array(u, v)) AS k").distinct()
-    # one line of each class, from the document with the least id that has it
-    needed = classes.join(used, "k", "left_semi").selectExpr("k AS nk", "doc_id AS nd")
-    lines = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
-    lines = lines.withColumn("k", F.xxhash64("line"))
-    texts = written(
-        joined(lines, needed, F.expr("k = nk AND doc_id <=> nd"), measured=False).select("k", "line"), "lines"
-    )
-    enough = f"100 * shared >= {MIN_PERCENT} * (size(us) + size(vs) - shared)"
-    enough = _let("shared", "size(array_intersect(us, vs))", enough)
-    enough = _let("us", _shingles("ul"), _let("vs", _shingles("vl"), enough))
-    return (
-        pairs.join(texts.selectExpr("k AS u", "line AS ul"), "u")
-        .join(texts.selectExpr("k AS v", "line AS vl"), "v")
-        .where(enough)
-        .select("u", "v")
+    pairs = written(pairs, "pairs")
+    used = pairs.selectExpr("explode(array(u, v)) AS c").distinct()
+    texts = written(classes.select("c", "line").join(used, "c", "left_semi"), "lines")
+    rows = (
+        pairs.join(texts.selectExpr("c AS v", "line AS b"), "v")
+        .join(texts.selectExpr("c AS u", "line AS a"), "u")
+        .select("u", "v", "a", "b")
     )
+    links = written(rows.mapInArrow(_similar, "u bigint, v bigint"), "line-links")
+    discard(pairs, texts)
+    return links
 
 
 def similar_lines(docs: DataFrame) -> DataFrame:
-    """(k, component) of the classes that are linked with another class."""
-    classes = written(_classes(lines_of(docs)), "classes")
-    bands = written(_bands(classes), "members")
-    stars = (
-        bands.selectExpr("k AS u", "explode(array(first, last)) AS v")
-        .where("u <> v")
-        .selectExpr("greatest(u, v) AS u", "least(u, v) AS v")
-        .distinct()
-    )
-    links = written(_verified(stars, classes, docs), "line-links")
-    found = components(links)
-    # bands that still hold several components
-    members = bands.join(found.withColumnRenamed("node", "k"), "k", "left")
-    members = members.withColumn("component", F.coalesce("component", "k"))
+    """(k, component) of the classes that are linked with another class; both are digests."""
+    classes = written(_classes(docs), "classes")
+    bands = written(_bands(classes.select("bands", "c")), "members")
+    stars = bands.selectExpr("c AS u", "leader AS v").distinct()
+    links = _verified(stars, classes)
+    found = written(components(links), "line-components")
+    # bands whose members, with their leader, still are in several components
+    members = bands.join(found.withColumnRenamed("node", "c"), "c", "left")
+    members = members.withColumn("component", F.coalesce("component", "c")).select("band", "c", "component")
     open_bands = (
         members.groupBy("band")
-        .agg(F.count("*").alias("n"), F.min("component").alias("a"), F.max("component").alias("z"))
-        .where("n > 3 AND a < z")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .where("low < high")
         .select("band")
     )
     # the leaders have met all others
-    left = members.where("k <> first AND k <> last").join(open_bands, "band", "left_semi")
-    left = left.join(classes.select("k", "n", "counts"), "k")
-    left = written(left.select("band", "k", "component", "n", "counts"), "open-bands")
+    left = written(members.join(open_bands, "band", "left_semi"), "open-bands")
     rest = (
-        left.selectExpr("band", "k AS u", "component AS a", "n AS nu", "counts AS cu")
-        .join(left.selectExpr("band", "k AS v", "component AS b", "n AS nv", "counts AS cv"), "band")
-        .where(f"u > v AND a <> b AND {_fits()}")
+        left.selectExpr("band", "c AS u", "component AS p")
+        .join(left.selectExpr("band", "c AS v", "component AS q"), "band")
+        .where("u > v AND p <> q")
         .select("u", "v")
         .distinct()
     )
-    more = written(_verified(rest, classes, docs), "line-links")
-    if more.isEmpty():
-        return found.withColumnRenamed("node", "k")
-    return components(links.unionByName(more)).withColumnRenamed("node", "k")
+    more = _verified(rest, classes)
+    if not more.isEmpty():
+        found = written(components(links.unionByName(more)), "line-components")
+    named = classes.select("c", "k")
+    roots = found.join(named.selectExpr("c AS component", "k AS root"), "component")
+    roots = roots.join(named.selectExpr("c AS node", "k"), "node").selectExpr("k", "root AS component")
+    roots = written(roots, "line-components")
+    discard(classes, bands, left, links, more)
+    return roots
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
