@@ -6,11 +6,10 @@ of sixteen on average, and in a block to one cell in each of three rows of eight
 cell keeps the XOR of its digests, their number and the XOR of short checks. Two
 fingerprints are brought to the smaller number of blocks (blocks add up) and
 subtracted cell by cell: common paragraphs vanish, and peeling cells with a single
-digest recovers the others. A block that can't be peeled is tried again with sketches of
-four and sixteen times the size; digests of a block that fails even there count as
-different. If the empty cells show that most paragraphs differ, their number is
-estimated from these instead of peeled. Likeness is the Jaccard similarity that
-follows: common paragraphs over all.
+digest recovers the others. Every pair is peeled. A block that can't be is tried again
+with a sketch of twice the size, and at last its digests, which are at hand, are
+compared one by one. Likeness is the Jaccard similarity that follows: common
+paragraphs over all, exact but for equal hashes.
 
 All of it is DataFrame functions. The next document is found by one exchange of the
 texts, by ranges of ids: quantiles, and equal widths within a quantile, so that a
@@ -32,14 +31,11 @@ from tidelog.llm.common import joined, partitions, registered, table, written
 ROWS = 3
 #: Where the bits of a digest begin that choose its cell in each row, by the cells of a row;
 #: blocks go by the low bits.
-SHIFTS = {8: (40, 46, 52), 32: (25, 31, 37), 128: (18, 32, 46)}
+SHIFTS = {8: (40, 46, 52), 16: (30, 44, 54)}
 WIDTH = 8
-WIDER = (32, 128)
+WIDER = (16,)
 BLOCK = 16
 PEELS = 10
-#: Texts that seem to differ in more than this share of all paragraphs are not peeled; the
-#: second is for those of less than four blocks, whose empty cells say less.
-PEELED_SHARE, SMALL_PEELED_SHARE = 0.7, 0.9
 RANGE_ROWS = 10_000
 MAX_QUANTILES = 256
 
@@ -118,8 +114,10 @@ def _peeled(cells: str, width: int) -> str:
     )
     taken = f"IF(size(hits) = 0, x, {taken})"
     after = f"transform(s.cells, (x, i) -> {_let('hits', hits, taken)})"
-    step = _let("pure", pure, f"IF(size(pure) = 0, s, named_struct('cells', {after}, 'found', s.found + size(pure)))")
-    start = f"named_struct('cells', {cells}, 'found', 0)"
+    stuck = "named_struct('cells', s.cells, 'found', s.found, 'stuck', true)"
+    on = f"named_struct('cells', {after}, 'found', s.found + size(pure), 'stuck', false)"
+    step = f"IF(s.stuck, s, {_let('pure', pure, f'IF(size(pure) = 0, {stuck}, {on})')})"
+    start = f"named_struct('cells', {cells}, 'found', 0, 'stuck', false)"
     done = "forall(s.cells, x -> x.c = 0 AND x.k = 0 AND x.h = 0)"
     return f"aggregate(sequence(1, {PEELS}), {start}, (s, r) -> {step}, s -> IF({done}, s.found, NULL))"
 
@@ -131,19 +129,13 @@ def _compared(a: str, b: str) -> str:
     return _let("blocks", f"least({a}.b, {b}.b)", body)
 
 
-def _guessed(of: str) -> str:
-    """SQL for the number of different paragraphs that the empty cells of `of` suggest."""
-    empty = f"size(filter({of}.d, x -> x.c = 0 AND x.k = 0 AND x.h = 0))"
-    guess = f"IF(empty = 0, {of}.total, least({of}.total, -({of}.blocks * {WIDTH}) * ln(empty / ({of}.blocks * {ROWS * WIDTH}))))"
-    return _let("empty", empty, guess)
-
-
 def _recovered(of: str, a: str, b: str) -> str:
     """SQL for the number of different paragraphs by peeling each block."""
     width = ROWS * WIDTH
     own = "filter({of}.keys, x -> pmod(x, {by}.blocks) = j)"
     larger = [_peeled(_minus(_cells("ka", w), _cells("kb", w)), w) for w in WIDER]
-    again = f"coalesce({', '.join(larger)}, size(ka) + size(kb))"
+    exact = "size(array_except(ka, kb)) + size(array_except(kb, ka))"
+    again = f"coalesce({', '.join(larger)}, {exact})"
     again = _let("ka", own.format(of=a, by=of), _let("kb", own.format(of=b, by=of), again))
     each = f"coalesce({_peeled(f'slice({of}.d, j * {width} + 1, {width})', WIDTH)}, {again})"
     return f"aggregate(sequence(0, {of}.blocks - 1), 0, (t, j) -> t + {each})"
@@ -185,9 +177,11 @@ def with_next(docs: DataFrame) -> DataFrame:
         "heads",
     )
     order = Window.orderBy("place")
+    # places alone are put in order, the texts meet them afterwards
     before = heads.select(
-        F.coalesce(F.lag("place").over(order), F.max("place").over(Window.partitionBy())).alias("place"), "text"
+        F.coalesce(F.lag("place").over(order), F.max("place").over(Window.partitionBy())).alias("to"), "place"
     )
+    before = joined(heads, before, "place").selectExpr("to AS place", "text")
     rows = placed.withColumn("last", F.lit(0)).unionByName(
         before.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "place", "1 AS last")
     )
@@ -214,9 +208,8 @@ def compared(docs: DataFrame) -> DataFrame:
     # one expression a step: each is computed once, and none nests too deep for the analyzer
     kept = ["doc_id", "n_chars", "edited_sha256", "s", "e", "f"]
     rows = rows.select(*kept, _columns(p=_compared("s", "e"), q=_compared("s", "f")))
-    rows = rows.select(*kept, "p", "q", _columns(gp=_guessed("p"), gq=_guessed("q")))
-    rows = rows.select(*kept, "p", "q", "gq", _columns(dp=_differing("p", "gp", "s", "e")))
-    rows = rows.select(*kept, "p", "q", "dp", _columns(dq=_differing("q", "gq", "s", "f")))
+    rows = rows.select(*kept, "p", "q", _columns(dp=f"DOUBLE({_recovered('p', 's', 'e')})"))
+    rows = rows.select(*kept, "p", "q", "dp", _columns(dq=f"DOUBLE({_recovered('q', 's', 'f')})"))
     return rows.selectExpr(
         "doc_id",
         "n_chars",
@@ -234,11 +227,6 @@ def _columns(**made: str):
     return F.expr(f"inline(array(named_struct({fields})))")
 
 
-def _differing(of: str, guess: str, a: str, b: str) -> str:
-    share = f"IF({of}.blocks < 4, {SMALL_PEELED_SHARE}, {PEELED_SHARE})"
-    return f"IF({guess} > {share} * {of}.total, {guess}, DOUBLE({_recovered(of, a, b)}))"
-
-
 @registered("op8_fingerprints")
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared(table(spark, sf_dir, "documents"))

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections import defaultdict
 
 import zstandard
@@ -43,7 +44,9 @@ CHUNK = 2048
 LEVEL = 6
 MIN_MARGIN = 0.003
 
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Numbers of all kinds, which `\\w` counts as parts of words: they are no letters.
+NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
+NOT_LETTERS = re.compile(rf"[\W_{NUMBERS}]+")
 RESULTS = ["lang_pred", "score", "accepted"]
 
 
