@@ -67,9 +67,12 @@ def test_mask(make):
     assert texts(mask(data(make)))[0] == "Xxxx nnn, Xxx"
     masked = mask(data(make), [("[0-9]+", "#"), ("Bob", "*")], hash_key=True)
     assert texts(masked)[:2] == ["Call #, *", None]
-    narrowed = mask(data(make), [("[0-9]+, B", "#", ","), ("l+", "L", "absent")])
-    assert texts(narrowed)[:2] == ["Call #ob", None]
+    narrowed = mask(data(make), [("[0-9]+, B", "#", ","), ("l+", "L")])
+    assert texts(narrowed)[:2] == ["CaL #ob", None]
     assert all(len(row["key"]) == 64 for row in masked.collect())
+    # a text that need not stand in a match would leave rows unmasked
+    with pytest.raises(ValueError, match="need not stand"):
+        mask(data(make), [("l+", "L", "absent")])
 
 
 def test_sample_is_stable_and_nested(make):

@@ -84,7 +84,7 @@ def stands_in_every_match(pattern: str, text: str) -> bool:
 
     Says no where this can't be told from the pattern's outermost level alone.
     """
-    if not re.fullmatch(r"[\w@:/#%&=~ -]+", text) or "(?" in pattern:
+    if not re.fullmatch(r"[^\\^$.|?*+()\[\]{}]+", text) or "(?" in pattern:
         return False
     # what is left of classes, groups and escapes can't be part of the text
     level = re.sub(r"\\.", "\0", pattern, flags=re.DOTALL)
