@@ -1,37 +0,0 @@
-from tidelog.functions.records import (
-    captured_text,
-    filter_rows,
-    lift_to_mutations,
-    mutation_rows,
-    stamp_uuid,
-)
-from tidelog.functions.scalars import (
-    content_length,
-    content_text,
-    failover_log_text,
-    group_label,
-    record_code,
-    record_name,
-    record_size,
-    record_text,
-    rollback_fields,
-    same_record,
-)
-
-__all__ = [
-    "captured_text",
-    "content_length",
-    "content_text",
-    "failover_log_text",
-    "filter_rows",
-    "group_label",
-    "lift_to_mutations",
-    "mutation_rows",
-    "record_code",
-    "record_name",
-    "record_size",
-    "record_text",
-    "rollback_fields",
-    "same_record",
-    "stamp_uuid",
-]
