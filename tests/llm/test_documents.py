@@ -180,11 +180,70 @@ def test_secret_base_rules():
     assert spans("0" * 23 + "g" + "1" * 24) == [(24, "hex", 48, 0)]
 
 
+def test_secret_layers_are_bytes():
+    secret = b"see password=abcdef123 here"
+    packers = [gzip.compress, zlib.compress, zstandard.compress]
+    # compressed in compressed, and with base64 in between
+    for outer in packers:
+        for inner in packers:
+            text = base64.b64encode(outer(inner(secret))).decode()
+            assert [x[1::2] for x in spans(text)] == [("assign", 1)]
+            text = base64.b64encode(outer(base64.b64encode(inner(secret)))).decode()
+            assert [x[1::2] for x in spans(text)] == [("assign", 2)]
+    # the secret in a later member or frame, or behind the last one
+    for pack in packers:
+        for data in (pack(b"first ") + pack(secret), pack(b"first") + b" " + secret, pack(b"a") + gzip.compress(b"b") + pack(secret)):
+            assert [x[1::2] for x in spans(base64.b64encode(data).decode())] == [("assign", 1)]
+        # UTF-16 in a compressed layer, and one that is cut off
+        text = base64.b64encode(pack("é password=abcdef123".encode("utf-16"))).decode()
+        assert [x[1::2] for x in spans(text)] == [("assign", 1)]
+    cut = gzip.compress(secret + bytes(random.Random(1).randrange(256) for _ in range(9999)))[:5000]
+    assert ("assign", 1) in [x[1::2] for x in spans(base64.b64encode(cut).decode())]
+
+
+def test_secret_percent_encoded_bytes():
+    rng = random.Random(3)
+    for i in range(40):
+        filler = bytes(rng.randrange(256) for _ in range(rng.randrange(60)))
+        for pack in (gzip.compress, zlib.compress, zstandard.compress):
+            data = pack(filler + b" password=abcdef123 " + filler)
+            for quote in (urllib.parse.quote, urllib.parse.quote_plus):
+                text = quote(data, safe="" if i % 2 else "/")
+                # the range ends with the stream, not with the run
+                start = len("https://a.b/?d=")
+                assert (start, "assign", start + len(text), 1) in spans("https://a.b/?d=" + text + "&x=1")
+    escaped = "".join(f"\\u{b:04x}" for b in zlib.compress(b"password=abcdef123"))
+    assert spans("x " + escaped) == [(2, "assign", 2 + len(escaped), 1)]
+
+
+def test_secret_large_layers():
+    rng = random.Random(4)
+    for place in [*range(0, 9000, 487), 10_000]:
+        data = bytearray(rng.choice(b"ghijkl   ") for _ in range(10_000))
+        data[place:place] = b" password = abcdef123 "
+        text = base64.b64encode(zlib.compress(bytes(data))).decode()
+        found, split = secret_scan.secrets(text, limit=1000)
+        assert split > 10 and (0, 0, len(text)) in [x[:3] for x in found]
+        # a layer below one that is read in blocks, and a large layer within a large one
+        data[place:place] = b" " + base64.b64encode(gzip.compress(b"AKIA" + b"B" * 20)) + b" "
+        text = base64.b64encode(zstandard.compress(gzip.compress(bytes(data)))).decode()
+        found, split = secret_scan.secrets(text, limit=1000)
+        assert split > 10 and {x[1] for x in found} == {0, 1}
+    big = base64.b64encode(zlib.compress(b"-" * 33_000_000 + "é".encode() + b" password=abcdef123")).decode()
+    assert [x[1] for x in secret_scan.secrets(big)[0]] == [0]
+    # letters cut in two by a block are read as UTF-8
+    data = "é".encode() * 5000 + b"token=abcdefgh"
+    for shift in (b"", b"x"):
+        text = base64.b64encode(zlib.compress(shift + data)).decode()
+        assert [x[1] for x in secret_scan.secrets(text, limit=1001)[0]] == [0]
+
+
 def test_secret_ends():
-    # a layer that decodes to itself, and one beyond the limit
+    # a layer that decodes to itself, and one of nothing but zeros
     assert secret_scan.secrets("%25" * 50)[0] == []
     bomb = base64.b64encode(gzip.compress(b"\0" * 100_000)).decode()
-    assert secret_scan.secrets(bomb, limit=1000) == ([], 1)
+    found, split = secret_scan.secrets(bomb, limit=1000)
+    assert found == [] and split > 100
 
 
 def test_secret_scan_against_patterns(spark, documents):

@@ -10,17 +10,27 @@ layer is reported as that range.
 Rows are independent, so the scan is one pass over the documents without a
 shuffle, and a text is held by one task at a time.
 
+Decoded layers are bytes first. What is compressed is unpacked again until it is
+not, over all members of gzip and frames of zstandard; only then it is read as text.
+Unpacked layers over `max_layer_bytes` are read as a stream of overlapping blocks, so
+that memory is bounded whatever they unpack to, and counted in `split_layers`. Every
+run without white space of up to half a block, and whatever else is at most `OVERLAP`
+bytes long, lies whole within a block. As all places of a compressed layer stand for
+one range of the text, matches in two blocks are one finding.
+
 Defined results: a null text is an empty one; repeated rows come back as often
 as they came in; equal findings of several layers count once; columns other than
-those named are passed through by `find_secrets` untouched. A compressed layer
-that unpacks to more than `max_layer_bytes` is left packed and counted in
-`packed_layers`: that is what keeps a decompression bomb from filling a task.
+those named are passed through by `find_secrets` untouched. A damaged or truncated
+compressed layer is unpacked as far as it goes and read as it is as well; deflate
+without a header isn't recognised, and zstandard windows over 2 GB count as damaged.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import hashlib
+import itertools
 import re
 import zlib
 
@@ -57,6 +67,12 @@ CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 UPPER_OR_DIGIT = re.compile(r"[A-Z0-9]")
 
 MAX_LAYER_BYTES = 32 * 1024 * 1024
+#: Bytes that two blocks of a large layer share.
+OVERLAP = 1 << 20
+#: Compressed bytes taken in at a time; of zstandard fewer, as 4 can stand for 128 KB.
+PIECE, ZSTD_PIECE = 1 << 14, 1 << 8
+#: Unpacked bytes handed on at a time.
+UNPACKED = 1 << 16
 
 FINDINGS = "array<struct<start:bigint,kind:int,end:bigint,depth:int,value:string>>"
 
@@ -69,41 +85,172 @@ def scan(text: str):
     return found
 
 
-def unpack(data: bytes, limit: int):
-    """Decompressed bytes, None if `data` is not compressed, False beyond the limit."""
+def _unpacker(data: bytes):
+    """What decompresses `data`, by its first bytes, and how much it takes at a time."""
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor(max_window_size=1 << 31).decompressobj(), ZSTD_PIECE
+    if data[:3] == b"\x1f\x8b\x08" or _zlib_header(data):
+        return zlib.decompressobj(47), PIECE
+    return None, 0
+
+
+def _zlib_header(data: bytes) -> bool:
+    """Deflate, a window of at most 32 KB, no dictionary, and the check of both bytes."""
+    return len(data) > 2 and data[0] & 15 == 8 and data[0] < 128 and not data[1] & 32 and (data[0] * 256 + data[1]) % 31 == 0
+
+
+class Unpacked:
+    """Decompressed pieces of all members that stand one after the other in `chunks`.
+
+    `clean` tells afterwards whether the last member was whole, `rest` holds what
+    follows it as an iterator of bytes.
+    """
+
+    def __init__(self, chunks):
+        self.pieces = (bytes(c[i : i + PIECE]) for c in chunks for i in range(0, len(c), PIECE))
+        self.clean, self.rest = True, iter(())
+
+    def __iter__(self):
+        pending = b""
+        while True:
+            while len(pending) < 4 and (piece := next(self.pieces, b"")):
+                pending += piece
+            unpacker, step = _unpacker(pending)
+            if unpacker is None:
+                break
+            try:
+                while not unpacker.eof:
+                    pending = pending or next(self.pieces, b"")
+                    if not pending:
+                        self.clean = False
+                        if step == PIECE:
+                            yield unpacker.flush()
+                        return
+                    if step == PIECE:
+                        out = unpacker.decompress(pending, UNPACKED)
+                        pending = unpacker.unused_data if unpacker.eof else unpacker.unconsumed_tail
+                    else:
+                        out = unpacker.decompress(pending[:step])
+                        pending = (unpacker.unused_data if unpacker.eof else b"") + pending[step:]
+                    if out:
+                        yield out
+            except (zlib.error, zstandard.ZstdError):
+                self.clean = False
+                return
+        self.rest = itertools.chain([pending], self.pieces)
+
+    def with_rest(self):
+        """The pieces, and then what follows the last member."""
+        yield from self
+        yield from self.rest
+
+
+def measured(data: bytes):
+    """How many bytes of `data` are whole compressed members (0 if none), and whether
+    anything can be unpacked at all."""
+    if _unpacker(data)[0] is None:
+        return 0, False
+    pieces = Unpacked([data])
+    some = any([True for piece in pieces if piece])
+    return len(data) - sum(map(len, pieces.rest)) if pieces.clean else 0, some or pieces.clean
+
+
+def _blocks(head: bytes, chunks, limit: int):
+    """Overlapping blocks of at most `limit` bytes, cut at white space where the second half has any."""
+    block = bytearray(head)
+    overlap = min(OVERLAP, limit // 8) & ~1
+    more = True
+    while more:
+        while len(block) <= limit and (more := (chunk := next(chunks, None)) is not None):
+            block += chunk
+        if len(block) <= limit:
+            yield bytes(block)
+            return
+        cut = max(block.rfind(space, limit // 2, limit) for space in (b" ", b"\n", b"\t"))
+        cut = cut + 1 if cut >= 0 else limit & ~1
+        yield bytes(block[:cut])
+        # the shared part begins with a whole run as well, if one begins in it
+        back = max(block.rfind(space, cut - 2 * overlap, cut - overlap) for space in (b" ", b"\n", b"\t"))
+        back = (back if back >= 0 else cut - overlap) & ~1
+        del block[:back]
+        more = True
+
+
+def layer_bytes(chunks, limit: int):
+    """Bytes of every layer below `chunks` that is not compressed, or not as a whole, in blocks
+    of at most `limit`, and whether it is one of several blocks."""
+    seen, whole = set(), False
+    while True:
+        chunks, head, whole = iter(chunks), bytearray(), True
+        for chunk in chunks:
+            head += chunk
+            if len(head) > limit:
+                whole = False
+                break
+        head = bytes(head)
+        key = hashlib.blake2b(head, digest_size=16).digest()
+        if key in seen:
+            return
+        seen.add(key)
+        unpacked = Unpacked(itertools.chain([head], chunks)) if _unpacker(head)[0] else None
+        if unpacked and whole:
+            used, some = measured(head)
+            if not used and len(seen) > 1:
+                yield head, False
+            if not some:
+                return
+        elif unpacked and head[:2] not in (b"\x1f\x8b", b"\x28\xb5", b"\x78\x01", b"\x78\x9c", b"\x78\xda"):
+            # too large to try first, and likely a text that begins so by chance
+            unpacked = None
+        if not unpacked:
+            break
+        chunks = unpacked.with_rest()
+    if whole:
+        yield head, False
+    else:
+        for block in _blocks(head, chunks, limit):
+            yield block, True
+
+
+def _decoded(data: bytes, part: bool):
+    """`data` as UTF-8, or None; a `part` of a layer may begin and end within a character."""
     try:
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor(max_window_size=1 << 27).stream_reader(data) as reader:
-                out = reader.read(limit + 1)
-        elif data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0):
-            out = zlib.decompressobj(47).decompress(data, limit + 1)
-        else:
+        return data.decode("utf-8")
+    except UnicodeDecodeError:
+        if not part:
             return None
-    except (zlib.error, zstandard.ZstdError, MemoryError):
-        return None
-    return out if len(out) <= limit else False
+    start = next((i for i in range(min(4, len(data))) if data[i] & 0xC0 != 0x80), 0)
+    for end in range(len(data), max(start, len(data) - 4), -1):
+        try:
+            return data[start:end].decode("utf-8")
+        except UnicodeDecodeError:
+            continue
+    return None
 
 
-def readings(data: bytes):
-    """(text, bytes of each character) of each way to read `data`, and whether it is clean UTF-8.
+def readings(data: bytes, part: bool = False):
+    """Each way to read `data` as text, and whether it is clean UTF-8.
 
     What is not UTF-8 is read as Latin-1; with many zero bytes it may be UTF-16 as well.
     """
-    try:
-        text = data.decode("utf-8")
-        found = [(text, [len(char.encode("utf-8")) for char in text])]
-        clean = not CONTROL.search(text)
-    except UnicodeDecodeError:
-        found, clean = [(data.decode("latin-1"), [1] * len(data))], False
+    text = _decoded(data, part)
+    found = [data.decode("latin-1") if text is None else text]
+    clean = text is not None and not CONTROL.search(text)
     if not clean and 3 * data.count(0) >= len(data):
-        for code in ("utf-16-le", "utf-16-be"):
-            text = data[: len(data) // 2 * 2].decode(code, "replace")
-            sizes = [4 if ord(char) > 0xFFFF else 2 for char in text]
-            if sum(sizes) <= len(data):
-                found.append((text, sizes))
+        found += [data[: len(data) // 2 * 2].decode(code, "replace") for code in ("utf-16-le", "utf-16-be")]
     return found, clean
 
 
+def _sizes(data: bytes, ways: list[str]):
+    """The readings with the bytes that each of their characters takes."""
+    latin = len(ways[0]) == len(data)
+    yield ways[0], [1] * len(data) if latin else [len(char.encode("utf-8")) for char in ways[0]]
+    for text in ways[1:]:
+        sizes = [4 if ord(char) > 0xFFFF else 2 for char in text]
+        if sum(sizes) <= len(data):
+            yield text, sizes
+
+
 def _wrapped(text: str):
     """Offsets of the letters of runs that may be wrapped over lines."""
     for match in WRAPPED.finditer(text):
@@ -141,16 +288,26 @@ def _unescape(run: str):
     """The run without one level of escapes, with the source range of each character.
 
     Bytes of neighbouring %XX or \\xXX form one UTF-8 sequence; bytes that are not
-    UTF-8 stand for themselves. Also returns each byte group with its range.
+    UTF-8 stand for themselves. Also returns the run as bytes, in which an escape below
+    256 is one byte, with the source range of each.
     """
-    out, spans, groups, at = [], [], [], 0
+    out, spans, raw, places, at = [], [], bytearray(), [], 0
     pending: list[tuple[int, int, int]] = []
 
+    def plain(start, end):
+        out.extend(run[start:end])
+        spans.extend((k, k + 1) for k in range(start, end))
+        for k in range(start, end):
+            data = run[k].encode("utf-8", "surrogatepass")
+            raw.extend(data)
+            places.extend([(k, k + 1)] * len(data))
+
     def flush():
         if not pending:
             return
         data = bytes(b for b, _, _ in pending)
-        groups.append((data, pending[0][1], pending[-1][2]))
+        raw.extend(data)
+        places.extend((a, b) for _, a, b in pending)
         i = 0
         while i < len(data):
             for size in (1, 2, 3, 4):
@@ -170,8 +327,7 @@ def _unescape(run: str):
     for match in ESCAPE.finditer(run):
         if match.start() > at:
             flush()
-            out.extend(run[at : match.start()])
-            spans.extend((k, k + 1) for k in range(at, match.start()))
+            plain(at, match.start())
         token, at = match[0], match.end()
         if token[0] == "%" or token[1] == "x":
             pending.append((int(token.lstrip("%\\x") or "0", 16), match.start(), at))
@@ -181,12 +337,30 @@ def _unescape(run: str):
             code = int(token[3:-1], 16) if token[2] == "x" else int(token[2:-1])
         else:
             code = int(token[2:], 16)
-        out.append(chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�")
+        char = chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"
+        out.append(char)
         spans.append((match.start(), at))
+        data = bytes([code]) if code < 256 else char.encode("utf-8")
+        raw.extend(data)
+        places.extend([(match.start(), at)] * len(data))
     flush()
-    out.extend(run[at:])
-    spans.extend((k, k + 1) for k in range(at, len(run)))
-    return "".join(out), spans, groups
+    plain(at, len(run))
+    return "".join(out), spans, bytes(raw), places
+
+
+#: The first bytes of gzip, zstandard and zlib streams.
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x28\xb5\x2f\xfd|\x78[\x01\x5e\x9c\xda]")
+
+
+def _members(raw: bytes):
+    """(start, end) of compressed streams within bytes; what is cut off ends with them."""
+    at = 0
+    while match := MAGIC.search(raw, at):
+        start = match.start()
+        used, some = measured(raw[start:])
+        if used or some:
+            yield start, start + used if used else len(raw)
+        at = start + used if used else match.end()
 
 
 def _base64(token: str) -> bytes | None:
@@ -199,94 +373,111 @@ def _base64(token: str) -> bytes | None:
         return None
 
 
-def layers_of(text: str, limit: int):
-    """Layers one step below `text`: (layer, spans per character or one span), then
-    the number of layers left packed."""
-    found, packed = [], 0
+def layers_of(text: str, limit: int, flat: bool = False):
+    """Layers one step below `text`: (layer, spans per character or one span, whether it is
+    one of several blocks). With `flat`, spans are those of whole runs."""
 
-    def compressed(data: bytes, start: int, end: int) -> bool:
-        nonlocal packed
-        plain = unpack(data, limit)
-        if plain is False:
-            packed += 1
-        elif plain is not None:
-            found.append((plain.decode("utf-8", "replace"), (start, end)))
-        return plain is not None
+    def opened(data: bytes, start: int, end: int):
+        for block, part in layer_bytes([data], limit):
+            for layer in readings(block, part)[0]:
+                yield layer, (start, end), part
 
     if "%" in text or "\\" in text or "&#" in text:
         for start, end in _escaped_runs(text):
-            layer, spans, groups = _unescape(text[start:end])
-            found.append((layer, [(start + a, start + b) for a, b in spans]))
-            for data, a, b in groups:
-                compressed(data, start + a, start + b)
-    def decoded(places) -> bool:
-        """Takes up what the letters at `places` stand for; whether that is clean."""
+            layer, spans, raw, places = _unescape(text[start:end])
+            yield layer, (start, end) if flat else [(start + a, start + b) for a, b in spans], False
+            # in a form, a plus that is not escaped is a space
+            form = bytes(32 if c == 43 and b - a == 1 else c for c, (a, b) in zip(raw, places)) if b"+" in raw else raw
+            for data in dict.fromkeys((raw, form)):
+                for a, b in _members(data):
+                    yield from opened(data[a:b], start + places[a][0], start + places[b - 1][1])
+
+    def decoded(places):
+        """What the letters at `places` stand for; returns whether that is clean."""
         data = _base64("".join(map(text.__getitem__, places)) if isinstance(places, list) else text[places.start : places.stop])
         if data is None:
             return False
-        if compressed(data, places[0], places[-1] + 1):
-            return True
+        used, some = measured(data)
+        if some:
+            yield from opened(data, places[0], places[-1] + 1)
+            if used:
+                return True
         ways, clean = readings(data)
-        for layer, sizes in ways:
+        if flat:
+            for layer in ways:
+                yield layer, (places[0], places[-1] + 1), False
+            return clean
+        for layer, sizes in _sizes(data, ways):
             # three bytes come from four letters; characters take whole bytes
             spans, at = [], 0
             for size in sizes:
                 spans.append((places[at * 4 // 3], places[-(-(at + size) * 4 // 3) - 1] + 1))
                 at += size
-            found.append((layer, spans))
+            yield layer, spans, False
         return clean
 
     for match in BASE64.finditer(text):
-        if not decoded(range(*match.span())):
+        clean = yield from decoded(range(*match.span()))
+        if not clean:
             inner = {m.span() for run in ONE_ALPHABET for m in run.finditer(text, *match.span())} - {match.span()}
             for span in sorted(inner):
-                decoded(range(*span))
+                yield from decoded(range(*span))
     if "\n" in text:
         for places in _wrapped(text):
-            decoded(places)
-    return found, packed
+            yield from decoded(places)
+
+
+def _key(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def secrets(text: str, limit: int = MAX_LAYER_BYTES):
-    """Findings of one text, (start, kind, end, depth, value) in order, and layers left packed."""
+    """Findings of one text, (start, kind, end, depth, value) in order, and the number of
+    blocks that layers over the limit were read in.
+
+    A layer is done with all that lies below it before the next one is unpacked, so one
+    layer, or one block of it, is held for each step of depth. Layers seen are known by
+    128 bits.
+    """
     found = {(s, k, e): (0, text[s:e]) for k, s, e in scan(text)}
-    seen, packed = {text}, 0
-    work = [(text, None, 0)]
+    seen, split = {_key(text)}, 0
+    work = [(layers_of(text, limit), None)]
     while work:
-        layer, origin, depth = work.pop()
-        below, left = layers_of(layer, limit)
-        packed += left
-        for inner, spans in below:
-            if inner in seen:
-                continue
-            seen.add(inner)
-            one = isinstance(spans, tuple)
-            if origin is None:
-                mapped = spans
-            elif isinstance(origin, tuple):
-                mapped = origin
-            elif one:
-                mapped = (origin[spans[0]][0], origin[spans[1] - 1][1])
-            else:
-                mapped = [(origin[a][0], origin[b - 1][1]) for a, b in spans]
-            for kind, start, end in scan(inner):
-                if isinstance(mapped, tuple):
-                    first, last = mapped
-                else:
-                    first, last = mapped[start][0], mapped[end - 1][1]
-                found.setdefault((first, kind, last), (depth + 1, inner[start:end]))
-            work.append((inner, mapped, depth + 1))
-    return [(s, k, e, d, v) for (s, k, e), (d, v) in sorted(found.items())], packed
+        below, origin = work[-1]
+        step = next(below, None)
+        if step is None:
+            work.pop()
+            continue
+        inner, spans, part = step
+        split += part
+        key = _key(inner)
+        if key in seen:
+            continue
+        seen.add(key)
+        if origin is None:
+            mapped = spans
+        elif isinstance(origin, tuple):
+            mapped = origin
+        elif isinstance(spans, tuple):
+            mapped = (origin[spans[0]][0], origin[spans[1] - 1][1])
+        else:
+            mapped = [(origin[a][0], origin[b - 1][1]) for a, b in spans]
+        one = isinstance(mapped, tuple)
+        for kind, start, end in scan(inner):
+            first, last = mapped if one else (mapped[start][0], mapped[end - 1][1])
+            found.setdefault((first, kind, last), (len(work), inner[start:end]))
+        work.append((layers_of(inner, limit, one), mapped))
+    return [(s, k, e, d, v) for (s, k, e), (d, v) in sorted(found.items())], split
 
 
 def find_secrets(docs: DataFrame, text: str = "text", max_layer_bytes: int = MAX_LAYER_BYTES) -> DataFrame:
-    """`docs` with `findings` (start, kind number, end, depth, value) and `packed_layers`.
+    """`docs` with `findings` (start, kind number, end, depth, value) and `split_layers`.
 
     Start and end count code points of the text, the end not included.
     """
-    kept = [f for f in docs.schema.fields if f.name not in (text, "findings", "packed_layers")]
+    kept = [f for f in docs.schema.fields if f.name not in (text, "findings", "split_layers")]
     findings = docs.sparkSession.range(0).selectExpr(f"CAST(NULL AS {FINDINGS}) AS findings").schema["findings"]
-    schema = StructType([*kept, findings, StructField("packed_layers", IntegerType())])
+    schema = StructType([*kept, findings, StructField("split_layers", IntegerType())])
 
     def scanned(batches):
         for batch in batches:
@@ -297,7 +488,7 @@ def find_secrets(docs: DataFrame, text: str = "text", max_layer_bytes: int = MAX
                 index=out.index,
                 dtype=object,
             )
-            out["packed_layers"] = [packed for _, packed in results]
+            out["split_layers"] = [split for _, split in results]
             yield out
 
     return docs.select(*(f.name for f in kept), text).mapInPandas(scanned, schema)
@@ -317,5 +508,6 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             *(f"CAST(size(filter(base, f -> f.kind = {i})) AS BIGINT) AS n_{k}" for i, k in enumerate(KINDS)),
             f"sha2({joined.format('base')}, 256) AS base_sha256",
             f"{joined.format('findings')} AS spans",
+            "split_layers",
         )
     )
