@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,7 +67,26 @@ def test_bound_holds():
         pa, pb = (ngram_join._points([ngram_join._point(x)])[0].astype(int) for x in (a, b))
         assert np.minimum(pa, pb).sum() >= len(np.intersect1d(a, b))
         assert ngram_join._fine_room(ngram_join._fine(a), ngram_join._fine(b)) >= len(np.intersect1d(a, b))
-        assert (ngram_join._unpacked(ngram_join._packed(a)) == a >> np.uint64(24)).all()
+
+
+def test_sets_are_compared_whole():
+    """Hashes that agree in their first bits are different shingles."""
+    a = np.arange(1, 6, dtype=np.uint64)
+    b = a + (np.uint64(1) << np.uint64(20))
+    assert not ngram_join._linked(a.tobytes(), b.tobytes())
+    assert ngram_join._linked(a.tobytes(), a.tobytes()) and ngram_join._linked(a.tobytes(), a[:4].tobytes())
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 100])
+def test_trees(step):
+    """Members and pages, wherever batches end."""
+    s = np.array([1, 2, 2, 3, 3, 3, 3, 3, 4, 5, 5])
+    table = pa.RecordBatch.from_arrays([pa.array(s), pa.array(np.arange(11)), pa.array(np.arange(11))], names=["s", "doc_id", "n"])
+    empty = table.slice(0, 0)
+    batches = [empty, *(table.slice(i, step) for i in range(0, 11, step)), empty]
+    rows = [tuple(r.values()) for b in ngram_join._trees(iter(batches)) for r in b.to_pylist()]
+    assert [(a, d, p) for a, d, _, p in rows] == [(v, i, 0) for i, v in enumerate(s) if v not in (1, 4)]
+    assert list(ngram_join._trees(iter([empty]))) == []
 
 
 def test_needed_overlap():

@@ -12,10 +12,14 @@ documents is at most the sum of the smaller counts. Two documents link when
    documents come last in the order, so that common passages and lines make no
    trees; the list of these is bounded by the average text over `HOT_SHARE`,
    whatever the number of documents, and has no part in what is linked.
-3. Points of a tree are packed by size into pages. First each point is compared with
-   the leaders of its size class only. Links, verified on the whole sets, make
-   components, and a tree all of whose points are in one component is done. Copies
-   by the thousand thus take a number of comparisons in proportion to their number.
+3. Points of a tree are packed by size into pages. In rounds, every document is
+   compared with one leader only: a member of the largest component in one of its
+   trees, of about its size; round by round other trees, leaders and limits of sizes
+   are drawn. Links, verified on the whole sets, make components, and a tree all of
+   whose points are in one component is done. Copies by the thousand, near ones too,
+   thus take a number of comparisons in proportion to their number. Rounds end once
+   they find few links; that decides how much is left for the next step, not what
+   is linked.
 4. In the remaining trees pages are joined with pages, and within them boxes of
    sixteen points with boxes, while sizes fit and the sum of the smaller maxima
    reaches the overlap that a link needs; then points with points of another
@@ -23,7 +27,8 @@ documents is at most the sum of the smaller counts. Two documents link when
    could change a component is lost.
 
 A tree's points are streamed in order or handled as pairs of bounded pages, never
-gathered whole in one task. Set hashes are 64 bits wide, class keys 128.
+gathered whole in one task. Sets are compared by all 64 bits of their hashes, class
+keys have 128.
 
 Defined results: a null or blank text has an empty set, is linked with nothing and is
 its own component; repeated rows are equal documents; a null doc_id stays null, and
@@ -40,7 +45,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import joined, registered, table, written
+from tidelog.llm.common import discard, joined, registered, table, written
 from tidelog.llm.components import components
 
 WORDS = 5
@@ -194,65 +199,34 @@ def _entries(batches):
         )
 
 
-MEMBERS = "s long, doc_id long, n long, page long, first long, second long"
-
-
-def _size_class(n):
-    """Sizes within about an eighth of each other."""
-    return np.floor(np.log(n) / np.log(1.125)).astype(np.int64)
+MEMBERS = "s long, doc_id long, n long, page long"
 
 
 def _trees(batches):
-    """Members of trees of two or more, with page and leaders, from entries sorted by (s, n, doc_id).
+    """Members of trees of two or more with their page, from entries sorted by (s, n, doc_id).
 
-    A row is held back until the next one shows whether it stands alone. `state` is
-    what is known of it: place in its tree and leaders of its size class.
+    A row is held back until the next one shows whether it stands alone.
     """
-    held, state = None, None
+    held, place = None, 0
     for batch in batches:
-        s, doc, n = (batch.column(c).to_numpy() for c in ("s", "doc_id", "n"))
+        rows = [batch.column(c).to_numpy() for c in ("s", "doc_id", "n")]
         if held is not None:
-            s, doc, n = (np.append(h, x) for h, x in zip(held, (s, doc, n)))
+            rows = [np.append(h, x) for h, x in zip(held, rows)]
+        s = rows[0]
         if not len(s):
             continue
-        at, cls = np.arange(len(s)), _size_class(n)
-        new_tree = np.append(True, s[1:] != s[:-1])
-        new_class = new_tree | np.append(True, cls[1:] != cls[:-1])
-        tree_start = np.maximum.accumulate(np.where(new_tree, at, 0))
-        class_start = np.maximum.accumulate(np.where(new_class, at, 0))
-        place = at - tree_start
-        first = doc[class_start]
-        follows = np.minimum(class_start + 1, len(s) - 1)
-        second = np.where(class_start[follows] == class_start, doc[follows], first)
-        before = ~new_tree
-        if held is not None:
-            same_tree, same_class = tree_start == 0, class_start == 0
-            place = np.where(same_tree, place + state["place"], place)
-            first = np.where(same_class, state["first"], first)
-            if state["second"] is not None:
-                second = np.where(same_class, state["second"], second)
-            elif len(s) > 1 and same_class[1]:
-                second = np.where(same_class, doc[1], second)
-            before[0] = state["place"] > 0
-        alone = ~before & np.append(s[1:] != s[:-1], True)
-        alone[-1] = False
-        out = slice(0, len(s) - 1)
-        keep = ~alone[out]
+        new, at = np.append(True, s[1:] != s[:-1]), np.arange(len(s))
+        start = np.maximum.accumulate(np.where(new, at, 0))
+        places = at - start + np.where(start == 0, place, 0)
+        keep = ~(new[1:] & (places[:-1] == 0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x[out][keep]) for x in (s, doc, n, place // PAGE, first, second)],
-            names=["s", "doc_id", "n", "page", "first", "second"],
+            [pa.array(x[:-1][keep]) for x in (*rows, places // PAGE)], names=["s", "doc_id", "n", "page"]
+        )
+        held, place = [x[-1:] for x in rows], int(places[-1])
+    if place > 0:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (*held, np.array([place // PAGE]))], names=["s", "doc_id", "n", "page"]
         )
-        held = (s[-1:], doc[-1:], n[-1:])
-        has_second = class_start[-1] < len(s) - 1 or (class_start[-1] == 0 and state is not None and state["second"] is not None)
-        state = {
-            "place": int(place[-1]),
-            "first": first[-1],
-            "second": second[-1] if has_second or first[-1] != doc[-1] else None,
-        }
-    if held is not None and state["place"] > 0:
-        second = state["second"] if state["second"] is not None else state["first"]
-        row = [held[0], held[1], held[2], np.array([state["place"] // PAGE]), np.array([state["first"]]), np.array([second])]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], names=["s", "doc_id", "n", "page", "first", "second"])
 
 
 def _bounded(batches):
@@ -366,17 +340,6 @@ def _pages_joined(batches):
                     yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
-def _packed(found: np.ndarray) -> bytes:
-    """Sorted hashes by their first five bytes, which keep the order."""
-    return (found >> np.uint64(24)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 5, 8), np.uint8)
-    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    return wide.view(np.uint64).ravel()
-
-
 def _fine(found: np.ndarray) -> bytes:
     """A point with 65,536 groups, as the sorted groups of its shingles."""
     return np.sort((found & np.uint64(0xFFFF)).astype(np.uint16)).tobytes()
@@ -412,7 +375,7 @@ def _fine_fits(a: bytes, b: bytes) -> bool:
 
 
 def _linked(a: bytes, b: bytes) -> bool:
-    a, b = _unpacked(a), _unpacked(b)
+    a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * shared >= MIN_PERCENT * (len(a) + len(b) - shared)
 
@@ -432,7 +395,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, finer: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
-                    pa.array(map(_packed, found), pa.binary()),
+                    pa.array([x.tobytes() for x in found], pa.binary()),
                     pa.array(map(_fine, found), pa.binary()),
                 ],
                 names=["doc_id", "found", "fine"],
@@ -445,6 +408,31 @@ def _verified(pairs: DataFrame, docs: DataFrame, finer: bool) -> DataFrame:
     return _filtered(pairs, found, "found", _linked)
 
 
+def _leaders(members: DataFrame, turn: int) -> DataFrame:
+    """(doc_id, leader): for every member, one of another component to be compared with.
+
+    Trees are cut into classes of size, at other sizes each turn. The largest component
+    of a class offers one of its members as the leader to those that are not in it, and
+    a document takes the offer of one of its trees.
+    """
+    drawn = f"xxhash64({{}}, {turn})"
+    sized = members.withColumn("size", F.floor(F.log("n") / F.log(F.lit(1.125)) + turn * 0.618 % 1))
+    top = (
+        sized.groupBy("s", "size", "component")
+        .agg(F.count("*").alias("c"), F.expr(f"min(struct({drawn.format('doc_id')} AS drawn, doc_id))").alias("leader"))
+        .groupBy("s", "size")
+        .agg(F.expr(f"max(struct(c, {drawn.format('component')} AS drawn, component, leader.doc_id AS leader))").alias("top"), F.count("*").alias("several"))
+        .where("several > 1")
+        .selectExpr("s", "size", "top.component AS largest", "top.leader AS leader")
+    )
+    return (
+        sized.join(top, ["s", "size"])
+        .where("component <> largest")
+        .groupBy("doc_id")
+        .agg(F.expr(f"min(struct({drawn.format('s')} AS drawn, leader)).leader").alias("leader"))
+    )
+
+
 def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of the trees that still hold several components."""
     marked = members.select("s", "doc_id", "n", "page").join(
@@ -460,6 +448,37 @@ def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
     return marked.join(still, "s", "left_semi")
 
 
+#: A round that finds less than this share of the links of the best one is the last.
+LAST_ROUND = 0.1
+
+
+def _rounds(members: DataFrame, own: DataFrame, docs: DataFrame):
+    """Links with leaders, their components, and the members of the trees still open."""
+    left, links, found, best = members.withColumn("component", F.col("doc_id")), None, None, 0
+    for turn in itertools.count():
+        stars = (
+            _leaders(left, turn)
+            .selectExpr("greatest(doc_id, leader) AS u", "least(doc_id, leader) AS v")
+            .distinct()
+            .join(own.selectExpr("doc_id AS u", "n AS nu", "point AS pu"), "u")
+            .join(own.selectExpr("doc_id AS v", "n AS nv", "point AS pv"), "v")
+            .select("u", "v", "nu", "nv", "pu", "pv")
+            .mapInArrow(_bounded, "u long, v long")
+        )
+        new = _verified(stars, docs, finer=False)
+        before, links = links, written(new if links is None else links.unionByName(new), "links")
+        count = links.count() - (before.count() if before is not None else 0)
+        if before is not None:
+            discard(before)
+        if count or found is None:
+            found = components(links)
+            last, left = left, written(_open_members(left, found), "open-members")
+            discard(members if turn == 0 else last)
+        best = max(best, count)
+        if count <= LAST_ROUND * best:
+            return links, found, left
+
+
 def _rest(members: DataFrame, points: DataFrame) -> DataFrame:
     """Pairs of different components that survive the bounds of the trees."""
     pages = members.groupBy("s", "page").agg(F.min("n").alias("low"), F.max("n").alias("high"))
@@ -497,19 +516,7 @@ def linked_documents(docs: DataFrame) -> DataFrame:
         .mapInArrow(_trees, MEMBERS),
         "members",
     )
-    stars = (
-        members.selectExpr("doc_id AS a", "explode(array(first, second)) AS b")
-        .where("a <> b")
-        .selectExpr("greatest(a, b) AS u", "least(a, b) AS v")
-        .distinct()
-        .join(own.selectExpr("doc_id AS u", "n AS nu", "point AS pu"), "u")
-        .join(own.selectExpr("doc_id AS v", "n AS nv", "point AS pv"), "v")
-        .select("u", "v", "nu", "nv", "pu", "pv")
-        .mapInArrow(_bounded, "u long, v long")
-    )
-    links = written(_verified(stars, docs, finer=False), "links")
-    found = components(links)
-    left = written(_open_members(members, found), "open-members")
+    links, found, left = _rounds(members, own.select("doc_id", "n", "point"), docs)
     more = written(_verified(_rest(left, points), docs, finer=True), "links")
     if not more.isEmpty():
         found = components(links.unionByName(more))
