@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from collections import defaultdict
 
 import zstandard
@@ -44,14 +43,18 @@ CHUNK = 2048
 LEVEL = 6
 MIN_MARGIN = 0.003
 
-#: Numbers of all kinds, which `\\w` counts as parts of words: they are no letters.
-NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha())
-NOT_LETTERS = re.compile(rf"[\W_{NUMBERS}]+")
+NOT_LETTERS = re.compile(r"[\W\d_]+")
 RESULTS = ["lang_pred", "score", "accepted"]
 
 
 def normalised(text: str) -> bytes:
-    return NOT_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "replace")
+    text = text.lower()
+    if not text.isascii():
+        # numbers that are no decimal digits, like ½, which `\w` counts as parts of words
+        for char in set(text):
+            if char.isnumeric() and not char.isalpha() and not char.isdecimal():
+                text = text.replace(char, " ")
+    return NOT_LETTERS.sub(" ", text).strip().encode("utf-8", "replace")
 
 
 def fit(labelled: DataFrame) -> dict[str, list[bytes]]:
