@@ -172,8 +172,8 @@ def test_line_signatures():
     lines = ["abc", "12345678", "123456789", "a b\r\u2028 c d e f g", "x\U0001f600\U0001f601yz\U00020000abc\U0001f600\U0001f600d", "q" * 50_000]
     for line in lines:
         assert line_dedup.line_shingles(line) == frozenset(grams(line))
-    together = line_dedup.signatures(lines)
-    assert all((line_dedup.signatures([line])[0] == row).all() for line, row in zip(lines, together))
+    for alone, together in zip(zip(*map(line_dedup.signatures, [[line] for line in lines])), line_dedup.signatures(lines)):
+        assert all((one[0] == row).all() for one, row in zip(alone, together))
     rng = random.Random(6)
     met = {True: [], False: []}
     for _ in range(400):
@@ -184,12 +184,23 @@ def test_line_signatures():
                 other[place] = "#"
             a, b = grams(line), grams("".join(other))
             if (len(a & b) / len(a | b) >= 0.8) is near:
-                x, y = line_dedup.signatures([line, "".join(other)])
-                met[near].append(bool((x == y).any()))
+                bands, minima = line_dedup.signatures([line, "".join(other)])
+                apart = (minima[0].view("uint8") != minima[1].view("uint8")).sum()
+                met[near].append(bool((bands[0] == bands[1]).any()) and apart <= line_dedup.MOST_APART)
     assert sum(met[True]) >= 0.98 * len(met[True]) > 100
     assert sum(met[False]) <= 0.1 * len(met[False])
 
 
+def test_line_minima_apart(spark):
+    """What SQL counts between two sketches are the bytes that differ."""
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 256, (50, 8 * line_dedup.SKETCH_WORDS), np.uint8)
+    b = np.where(rng.random(a.shape) < 0.4, rng.integers(0, 256, a.shape, np.uint8), a)
+    rows = [(i, x.view(np.int64).tolist(), y.view(np.int64).tolist()) for i, (x, y) in enumerate(zip(a, b))]
+    found = spark.createDataFrame(rows, "i int, a array<bigint>, b array<bigint>").selectExpr("i", f"{line_dedup._apart('a', 'b')} AS n")
+    assert {r["i"]: r["n"] for r in found.collect()} == dict(enumerate((a != b).sum(axis=1).tolist()))
+
+
 def test_line_dedup_odd_rows(spark, frame):
     assert line_dedup.removed_lines(frame([])).collect() == []
     rows = [(1, "one line here\n\none line here"), (1, "one line here"), (2, None), (3, "")]

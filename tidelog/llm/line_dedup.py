@@ -11,8 +11,10 @@ component the line that comes first stays.
 The rows of the bands are dealt by band and sorted; a stream over them names for each
 band of several classes its first one as leader. Members are compared with their
 leader. Then bands whose members are all in one component are done, and in the rest
-only members of different components are compared, so no pair that could still change
-a component is left out and near copies are not expanded into pairs.
+only members of different components are compared, so near copies are not expanded
+into pairs. Of these, lines that differ in more than 23 of all 60 minima go no further:
+the minima are at hand in a byte each, and so few pairs that are similar enough differ
+in as many that bands remain what decides the recall.
 
 Signatures and sets are made by numpy and Python within tasks: as functions of Spark
 they took 3,900 CPU seconds a GB, where the limit is 400 (see the README). Equal lines
@@ -44,10 +46,11 @@ MIN_PERCENT = 80
 PLACE = ["doc_id", "text_md5", "line_no"]
 #: Characters whose lines are signed at once.
 CHUNK = 1 << 18
-#: Digests of lines that a task remembers to have signed; beyond, it forgets all.
-REMEMBERED = 1_000_000
-#: What a blank line may hold.
-BLANK = " \t\n\x0b\f\r"
+#: Words of eight bytes that hold a byte of each minimum.
+SKETCH_WORDS = -(-BANDS * PER_BAND // 8)
+#: Two lines that differ in more minima are not compared. At a similarity of 0.8 twelve of
+#: the 60 differ on average, and more than 23 in one of 3,000 pairs; at 0.5 in 95 of 100.
+MOST_APART = 23
 #: Fills short lines up to one shingle; no character of a text.
 FILL = "\U0010ffff"
 
@@ -60,11 +63,11 @@ BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """doc_id, text_md5, line_no, line and its class `k` for lines that are not blank."""
+    """doc_id, text_md5, line_no and the class `k` for lines that are not blank."""
     return (
         docs.select("doc_id", _text_md5(), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .where("line RLIKE '\\\\S'")
-        .withColumn("k", F.unhex(F.md5(F.col("line").cast("binary"))))
+        .select(*PLACE, F.unhex(F.md5(F.col("line").cast("binary"))).alias("k"))
     )
 
 
@@ -73,8 +76,8 @@ def _text_md5() -> Column:
     return F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_md5")
 
 
-def signatures(lines: list[str]) -> np.ndarray:
-    """The bands of each line, as 64-bit hashes in rows."""
+def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each line in rows: its bands as 64-bit hashes, and a byte of each minimum, in words."""
     lines = [line if len(line) >= SHINGLE else line.ljust(SHINGLE, FILL) for line in lines]
     codes = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
     ends = np.cumsum([len(line) for line in lines])
@@ -88,68 +91,45 @@ def signatures(lines: list[str]) -> np.ndarray:
     small = (hashes >> np.uint64(32)).astype(np.uint32)
     starts = np.concatenate([[0], ends[:-1]]) - (SHINGLE - 1) * np.arange(len(lines))
     found = np.empty((len(lines), BANDS), np.uint64)
+    low = np.zeros((len(lines), 8 * SKETCH_WORDS), np.uint8)
     for band in range(BANDS):
         value = np.full(len(lines), band + 1, np.uint64)
         for order in range(band * PER_BAND, (band + 1) * PER_BAND):
             least = np.minimum.reduceat(small * FACTORS[order] + SHIFTS[order], starts)
+            low[:, order] = least & np.uint32(255)
             value = (value ^ least) * MIX
             value ^= value >> np.uint64(29)
         found[:, band] = value
-    return found.view(np.int64)
+    return found.view(np.int64), low.view(np.int64)
 
 
 def _signed(batches):
-    """k, doc_id, text_md5, line, bands of the lines; line and bands where a task first meets them."""
-    seen: set[bytes] = set()
+    """k, line, bands and sketch of each line."""
     for batch in batches:
-        docs, digests = batch.column(0), batch.column(1)
-        rows, new, held = [], [], 0
-
-        def flush():
-            bands = iter(signatures([line for line in new if line is not None])) if any(new) else iter(())
-            flat = [None if line is None else next(bands) for line in new]
-            at = pa.array([row for row, _ in rows], pa.int32())
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k for _, k in rows], pa.binary()),
-                    docs.take(at),
-                    digests.take(at),
-                    pa.array(new, pa.string()),
-                    pa.array(flat, pa.list_(pa.int64())),
-                ],
-                names=["k", "doc_id", "text_md5", "line", "bands"],
-            )
-
-        for row, text in enumerate(batch.column(2)):
-            for line in (text.as_py() or "").split("\n"):
-                if not line.strip(BLANK):
-                    continue
-                k = hashlib.md5(line.encode()).digest()
-                rows.append((row, k))
-                if k in seen:
-                    new.append(None)
-                else:
-                    if len(seen) >= REMEMBERED:
-                        seen.clear()
-                    seen.add(k)
-                    new.append(line)
-                    held += len(line)
-                if held >= CHUNK or len(rows) >= CHUNK // 16:
-                    yield flush()
-                    rows, new, held = [], [], 0
-        if rows:
-            yield flush()
+        some, held = [], 0
+        lines = batch.column(0).to_pylist()
+        for i, line in enumerate(lines):
+            some.append(line)
+            held += max(SHINGLE, len(line))
+            if held >= CHUNK or i + 1 == len(lines):
+                bands, sketches = signatures(some)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([hashlib.md5(line.encode()).digest() for line in some], pa.binary()),
+                        pa.array(some, pa.string()),
+                        pa.array(list(bands), pa.list_(pa.int64())),
+                        pa.array(list(sketches), pa.list_(pa.int64())),
+                    ],
+                    names=["k", "line", "bands", "sketch"],
+                )
+                some, held = [], 0
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    """One row per class of equal lines: its number c, k, line and bands."""
-    doc_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", _text_md5(), "text").where("text IS NOT NULL")
-    signed = rows.mapInArrow(
-        _signed, f"k binary, doc_id {doc_type}, text_md5 binary, line string, bands array<bigint>"
-    ).where("bands IS NOT NULL")
-    one = signed.groupBy("k").agg(F.max(F.struct("line", "bands")).alias("own")).select("k", "own.*")
-    return one.withColumn("c", F.monotonically_increasing_id())
+    """One row per class of equal lines: its number c, k, line, bands and sketch."""
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).where("line RLIKE '\\\\S'").distinct()
+    signed = lines.mapInArrow(_signed, "k binary, line string, bands array<bigint>, sketch array<bigint>")
+    return signed.withColumn("c", F.monotonically_increasing_id())
 
 
 def _led(batches):
@@ -177,6 +157,18 @@ def _bands(classes: DataFrame) -> DataFrame:
     return ordered.mapInArrow(_led, "band bigint, leader bigint, c bigint")
 
 
+def _apart(a: str, b: str) -> str:
+    """SQL for the number of minima in which two sketches differ."""
+    words = []
+    for i in range(SKETCH_WORDS):
+        # the lowest bit of each byte says whether any of the byte differs
+        word = f"({a}[{i}] ^ {b}[{i}])"
+        for shift in (4, 2, 1):
+            word = f"({word} | shiftrightunsigned({word}, {shift}))"
+        words.append(f"bit_count({word} & {0x0101010101010101}L)")
+    return " + ".join(words)
+
+
 def line_shingles(line: str) -> frozenset[str]:
     return frozenset(line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
 
@@ -229,11 +221,12 @@ def similar_lines(docs: DataFrame) -> DataFrame:
         .select("band")
     )
     # the leaders have met all others
-    left = written(members.join(open_bands, "band", "left_semi"), "open-bands")
+    sketches = classes.select("c", "sketch")
+    left = written(members.join(open_bands, "band", "left_semi").join(sketches, "c"), "open-bands")
     rest = (
-        left.selectExpr("band", "c AS u", "component AS p")
-        .join(left.selectExpr("band", "c AS v", "component AS q"), "band")
-        .where("u > v AND p <> q")
+        left.selectExpr("band", "c AS u", "component AS p", "sketch AS s")
+        .join(left.selectExpr("band", "c AS v", "component AS q", "sketch AS t"), "band")
+        .where(f"u > v AND p <> q AND {_apart('s', 't')} <= {MOST_APART}")
         .select("u", "v")
         .distinct()
     )
@@ -252,19 +245,14 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_md5, removed): numbers, from 0, of the lines that go, where any do."""
     lines = lines_of(docs)
     found = similar_lines(docs)
-    places = lines.select(*PLACE, "k").join(found, "k", "left")
-    places = places.selectExpr(*PLACE, "coalesce(component, k) AS component")
-    places = written(places, "places")
-    first = (
-        places.groupBy("component", "doc_id", "text_md5")
-        .agg(F.min("line_no").alias("line_no"), F.count("*").alias("n"))
-        .groupBy("component")
-        .agg(F.min(F.struct(*PLACE)).alias("first"), F.sum("n").alias("n"))
-        .where("n > 1")
-        .select("component", "first")
-    )
+    # of each class its first place; classes of one place without links need nothing more
+    classes = lines.groupBy("k").agg(F.min(F.struct(*PLACE)).alias("own"), F.count("*").alias("n"))
+    classes = classes.join(found, "k", "left").where("n > 1 OR component IS NOT NULL")
+    classes = written(classes.selectExpr("k", "own", "coalesce(component, k) AS component"), "places")
+    first = classes.groupBy("component").agg(F.min("own").alias("first"))
+    first = classes.join(first, "component").select("k", "first")
     return (
-        joined(places, first, "component", measured=False)
+        joined(lines, first, "k")
         .where("NOT (doc_id <=> first.doc_id AND text_md5 = first.text_md5 AND line_no = first.line_no)")
         .groupBy("doc_id", "text_md5")
         .agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
