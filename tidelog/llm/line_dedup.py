@@ -11,10 +11,11 @@ component the line that comes first stays.
 The rows of the bands are dealt by band and sorted; a stream over them names for each
 band of several classes its first one as leader. Members are compared with their
 leader. Then bands whose members are all in one component are done, and in the rest
-only members of different components are compared, so near copies are not expanded
-into pairs. Of these, lines that differ in more than 23 of all 60 minima go no further:
-the minima are at hand in a byte each, and so few pairs that are similar enough differ
-in as many that bands remain what decides the recall.
+only members of different components are compared: of each two components the nearest
+pair, and the other pairs only where components are still apart after that. Lines that
+differ in more than 23 of all 60 minima go no further: the minima are at hand in a byte
+each, and so few pairs that are similar enough differ in as many that bands remain what
+decides the recall.
 
 Signatures and sets are made by numpy and Python within tasks: as functions of Spark
 they took 3,900 CPU seconds a GB, where the limit is 400 (see the README). Equal lines
@@ -189,70 +190,90 @@ def _similar(batches):
         yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
 
-def _verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, met: DataFrame) -> DataFrame:
     """The pairs (u, v) that are similar enough."""
-    pairs = written(pairs, "pairs")
-    used = pairs.selectExpr("explode(array(u, v)) AS c").distinct()
-    texts = written(classes.select("c", "line").join(used, "c", "left_semi"), "lines")
     rows = (
-        pairs.join(texts.selectExpr("c AS v", "line AS b"), "v")
-        .join(texts.selectExpr("c AS u", "line AS a"), "u")
+        pairs.join(met.selectExpr("c AS v", "line AS b"), "v")
+        .join(met.selectExpr("c AS u", "line AS a"), "u")
         .select("u", "v", "a", "b")
     )
-    links = written(rows.mapInArrow(_similar, "u bigint, v bigint"), "line-links")
-    discard(pairs, texts)
-    return links
+    return written(rows.mapInArrow(_similar, "u bigint, v bigint"), "line-links")
 
 
-def similar_lines(docs: DataFrame) -> DataFrame:
-    """(k, component) of the classes that are linked with another class; both are digests."""
-    classes = written(_classes(docs), "classes")
-    bands = written(_bands(classes.select("bands", "c")), "members")
-    stars = bands.selectExpr("c AS u", "leader AS v").distinct()
-    links = _verified(stars, classes)
-    found = written(components(links), "line-components")
-    # bands whose members, with their leader, still are in several components
-    members = bands.join(found.withColumnRenamed("node", "c"), "c", "left")
-    members = members.withColumn("component", F.coalesce("component", "c")).select("band", "c", "component")
-    open_bands = (
+def _with_component(rows: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
+    """`rows` with the component of the class in column `node`: itself where it has no links."""
+    named = found.selectExpr(f"node AS {node}", f"component AS {name}")
+    return rows.join(named, node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def _open_pairs(bands: DataFrame, found: DataFrame, met: DataFrame) -> DataFrame:
+    """(u, v, apart) of members of a band that are in different components and not too far apart."""
+    # the leaders have met all others
+    members = _with_component(bands.select("band", "c"), found, "c", "component")
+    several = (
         members.groupBy("band")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low < high")
         .select("band")
     )
-    # the leaders have met all others
-    sketches = classes.select("c", "sketch")
-    left = written(members.join(open_bands, "band", "left_semi").join(sketches, "c"), "open-bands")
-    rest = (
+    left = members.join(several, "band", "left_semi").join(met.select("c", "sketch"), "c")
+    left = written(left, "open-bands")
+    pairs = (
         left.selectExpr("band", "c AS u", "component AS p", "sketch AS s")
         .join(left.selectExpr("band", "c AS v", "component AS q", "sketch AS t"), "band")
         .where(f"u > v AND p <> q AND {_apart('s', 't')} <= {MOST_APART}")
-        .select("u", "v")
+        .selectExpr("u", "v", f"{_apart('s', 't')} AS apart")
         .distinct()
     )
-    more = _verified(rest, classes)
-    if not more.isEmpty():
-        found = written(components(links.unionByName(more)), "line-components")
-    named = classes.select("c", "k")
+    pairs = written(pairs, "open-pairs")
+    discard(left)
+    return pairs
+
+
+def similar_lines(docs: DataFrame) -> DataFrame:
+    """(k, component) of the classes that are linked with another class; both are digests."""
+    classes = written(_classes(docs), "classes")
+    bands = written(_bands(classes.select("bands", "c")), "members")
+    # what the classes that meet any other need from here on
+    used = bands.selectExpr("explode(array(c, leader)) AS c").distinct()
+    met = written(joined(classes.select("c", "k", "line", "sketch"), used, "c"), "met")
+    discard(classes)
+    links = _verified(bands.selectExpr("c AS u", "leader AS v").distinct(), met)
+    found = written(components(links), "line-components")
+    pairs = _open_pairs(bands, found, met)
+    discard(bands)
+    # of two components the nearest pair first; once it links them, their other pairs don't matter
+    both = _with_component(_with_component(pairs, found, "u", "p"), found, "v", "q")
+    near = both.selectExpr("least(p, q) AS p", "greatest(p, q) AS q", "struct(apart, u, v) AS pair")
+    near = written(near.groupBy("p", "q").agg(F.min("pair").alias("pair")).select("pair.*"), "nearest")
+    more = _verified(near.select("u", "v"), met)
+    links = links.unionByName(more)
+    found = written(components(links), "line-components")
+    both = _with_component(_with_component(pairs, found, "u", "p"), found, "v", "q").where("p <> q")
+    rest = written(both.select("u", "v").join(near, ["u", "v"], "left_anti"), "pairs")
+    last = _verified(rest, met)
+    if not last.isEmpty():
+        found = written(components(links.unionByName(last)), "line-components")
+    named = met.select("c", "k")
     roots = found.join(named.selectExpr("c AS component", "k AS root"), "component")
     roots = roots.join(named.selectExpr("c AS node", "k"), "node").selectExpr("k", "root AS component")
     roots = written(roots, "line-components")
-    discard(classes, bands, left, links, more)
+    discard(met, pairs, near, rest)
     return roots
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_md5, removed): numbers, from 0, of the lines that go, where any do."""
-    lines = lines_of(docs)
     found = similar_lines(docs)
-    # of each class its first place; classes of one place without links need nothing more
-    classes = lines.groupBy("k").agg(F.min(F.struct(*PLACE)).alias("own"), F.count("*").alias("n"))
-    classes = classes.join(found, "k", "left").where("n > 1 OR component IS NOT NULL")
-    classes = written(classes.selectExpr("k", "own", "coalesce(component, k) AS component"), "places")
-    first = classes.groupBy("component").agg(F.min("own").alias("first"))
-    first = classes.join(first, "component").select("k", "first")
+    places = written(lines_of(docs), "places")
+    # classes of one place without links need nothing more
+    classes = places.groupBy("k").count().join(found, "k", "left").where("count > 1 OR component IS NOT NULL")
+    classes = classes.selectExpr("k", "coalesce(component, k) AS component")
+    shared = written(joined(places, classes, "k").select(*PLACE, "component"), "shared")
+    discard(places)
+    first = shared.groupBy("component").agg(F.min(F.struct(*PLACE)).alias("first"))
     return (
-        joined(lines, first, "k")
+        joined(shared, first, "component")
         .where("NOT (doc_id <=> first.doc_id AND text_md5 = first.text_md5 AND line_no = first.line_no)")
         .groupBy("doc_id", "text_md5")
         .agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
