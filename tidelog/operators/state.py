@@ -99,15 +99,16 @@ def total_mutations(counters: DataFrame) -> DataFrame:
     return counters.agg(F.coalesce(F.sum("num_mutations"), F.lit(0)).alias("total_mutations"))
 
 
-def fold_events(events: DataFrame) -> DataFrame:
+def fold_events(events: DataFrame, control: DataFrame | None = None) -> DataFrame:
     """One progress row per partition.
 
     All values over the full stream are fixed-width, so the aggregate is
     hash-based and a hot partition shrinks to one row per map task. Reason and
-    failover log come from the rare control events only.
+    failover log come from the rare control events only. Where these are at hand as
+    `control`, which then holds all that are in `events`, the stream is read once.
     """
     numbers = checked_events(events).groupBy(*PARTITION).agg(*_latest_numbers(), *_counters())
-    texts = events.where(F.col("kind").isin("opened", "end")).groupBy(*PARTITION).agg(*_latest_texts())
+    texts = (events if control is None else control).where(F.col("kind").isin("opened", "end")).groupBy(*PARTITION).agg(*_latest_texts())
     return numbers.join(texts, PARTITION, "left")
 
 
@@ -141,8 +142,8 @@ def progress_to_state(progress: DataFrame) -> DataFrame:
     )
 
 
-def partition_state(events: DataFrame) -> DataFrame:
-    return progress_to_state(fold_events(events))
+def partition_state(events: DataFrame, control: DataFrame | None = None) -> DataFrame:
+    return progress_to_state(fold_events(events, control))
 
 
 def partitions_in(state: DataFrame, name: str) -> DataFrame:

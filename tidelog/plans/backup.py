@@ -163,7 +163,7 @@ def stream_rounds(source: Source, ranges: DataFrame, known: DataFrame, max_retri
     for attempt in range(max_retries + 1):
         sent = stored(as_events(source(todo.drop("reason"), attempt)))
         data = capture_ranges(data_events(sent), todo.drop("reason"))
-        control = sent.where(~F.col("kind").isin(*DATA_KINDS))
+        control = stored(sent.where(~F.col("kind").isin(*DATA_KINDS)))
         refused = Lookup(control.where("kind = 'rollback'").select(*PARTITION).distinct())
         data = refused.join(data, PARTITION, "left_anti")
         accepted = refused.join(todo, PARTITION, "left_anti", spread=["end_seqno"])
@@ -171,7 +171,8 @@ def stream_rounds(source: Source, ranges: DataFrame, known: DataFrame, max_retri
         data = stamp_uuid(data, branches, keep=True)
         captured.append(data)
         events = as_events(data).unionByName(control).withColumn("arrival", F.col("arrival") + attempt * ROUND)
-        found = fold_events(events.unionByName(_round_requests(todo, attempt)))
+        arrived = control.withColumn("arrival", F.col("arrival") + attempt * ROUND)
+        found = fold_events(events.unionByName(_round_requests(todo, attempt)), arrived)
         progress = stored(found if progress is None else combine_progress(progress.unionByName(found)))
         state = progress_to_state(progress)
         # branches as they were asked for, which is what a rollback is about
@@ -200,12 +201,14 @@ def _streamed_once(
     captured = capture_ranges(data, ranges)
     if answers is None:
         answers = accepted_answers(ranges.side, stamp_uuid(captured, ranges.side, keep=True))
+    # few rows, asked several times, that may take a pass over all events to make
+    answers = stored(as_events(answers))
     refused = Lookup(answers.where("kind = 'rollback'").select(*PARTITION).distinct())
     captured = refused.join(captured, PARTITION, "left_anti")
     accepted = refused.join(ranges.side, PARTITION, "left_anti", spread=["end_seqno"])
     captured = stamp_uuid(captured, opened_branches(accepted, answers, known), keep=True)
     seen = as_events(captured).unionByName(answers).unionByName(request_events(ranges.side))
-    return captured, partition_state(seen)
+    return captured, partition_state(seen, answers)
 
 
 def run_backup(

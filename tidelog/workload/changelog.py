@@ -171,10 +171,10 @@ def ranges(spark, sf_dir) -> DataFrame:
     return plan_ranges(high(spark, sf_dir), known_state(spark, sf_dir))
 
 
-def data_stream(spark, sf_dir) -> DataFrame:
-    """All changes as change-stream events; an INSERT stands for a snapshot marker."""
+def data_stream(spark, sf_dir, rows: DataFrame | None = None) -> DataFrame:
+    """All changes, or these, as change-stream events; an INSERT stands for a snapshot marker."""
     return as_events(
-        changes(spark, sf_dir)
+        (changes(spark, sf_dir) if rows is None else rows)
         .selectExpr(
             "*",
             "CASE rec_type WHEN 'DELETE' THEN 'remove' WHEN 'INSERT' THEN 'marker'"

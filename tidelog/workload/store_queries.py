@@ -14,7 +14,7 @@ from tidelog.operators import filters, ranges
 from tidelog.plans.backup import as_events, read_catalog, run_backup
 from tidelog.plans.store import Bucket, ChangeLogStore, group_outcomes
 from tidelog.schemas import CHANGE_EVENTS, MUTATIONS
-from tidelog.session import scratch_path
+from tidelog.session import Lookup, scratch_path, stored
 from tidelog.sources import events as event_sources
 from tidelog.sources import files, paths
 from tidelog.streaming.capture import capture_stream
@@ -368,11 +368,8 @@ def backed_up_store(spark, sf_dir) -> ChangeLogStore:
     def build() -> ChangeLogStore:
         store = ChangeLogStore(spark, scratch_path(spark, "backup"))
         stream = log.data_stream(spark, sf_dir)
-        early = stream.where(F.col("seqno").isNotNull()).join(
-            log.old_changes(spark, sf_dir).select("bucket", "partition_id", "seqno"),
-            ["bucket", "partition_id", "seqno"],
-            "left_semi",
-        )
+        early = log.data_stream(spark, sf_dir, log.old_changes(spark, sf_dir))
+        early = early.where("seqno IS NOT NULL AND partition_id IS NOT NULL")
         run_backup(store, early, "monday", BUCKETS)
         store.compact_filters(BUCKETS)
         run_backup(store, stream, "tuesday", BUCKETS)
@@ -484,12 +481,9 @@ def retried_backup(spark, sf_dir) -> ChangeLogStore:
     def build() -> ChangeLogStore:
         store = ChangeLogStore(spark, scratch_path(spark, "retried"))
         stream = ranges.data_events(log.data_stream(spark, sf_dir).drop("partition_uuid"))
-        early = stream.join(
-            log.old_changes(spark, sf_dir).select("bucket", "partition_id", "seqno"),
-            ["bucket", "partition_id", "seqno"],
-            "left_semi",
-        )
-        half = early.groupBy("bucket", "partition_id").agg(F.expr("max(seqno) div 2").alias("r"))
+        early = log.data_stream(spark, sf_dir, log.old_changes(spark, sf_dir)).drop("partition_uuid")
+        early = ranges.data_events(early).where("seqno IS NOT NULL AND partition_id IS NOT NULL")
+        half = stored(early.groupBy("bucket", "partition_id").agg(F.expr("max(seqno) div 2").alias("r")))
         opened = "array(named_struct('uuid', partition_id * 10L + {0}, 'seqno', {1}))"
         columns = ["bucket", "partition_id", "0L AS arrival"]
         first = as_events(half.selectExpr(*columns, "'opened' AS kind", f"{opened.format(1, '0L')} AS failover_log"))
@@ -511,8 +505,9 @@ def retried_backup(spark, sf_dir) -> ChangeLogStore:
                 "bucket", "partition_id", "end_seqno + 1 AS arrival", "'end' AS kind", "'OK' AS reason"
             )
             refused = asked.where(back).selectExpr(*columns, "'rollback' AS kind", "r AS seqno")
-            sent = stream.join(asked.select("bucket", "partition_id", "start_seqno", "upto"), ["bucket", "partition_id"])
-            sent = as_events(sent.where("seqno > start_seqno AND seqno <= upto").select(*stream.columns))
+            wanted = Lookup(asked.select("bucket", "partition_id", "start_seqno", "upto"))
+            inside = "l.seqno > r.start_seqno AND l.seqno <= r.upto"
+            sent = as_events(wanted.join(stream, ["bucket", "partition_id"], "left_semi", inside))
             return answers.unionByName(as_events(ended)).unionByName(as_events(refused)).unionByName(sent)
 
         run_backup(store, stream, "tuesday", BUCKETS, source)
