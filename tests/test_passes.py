@@ -7,6 +7,7 @@ from tidelog.operators.state import fold_events
 from tidelog.plans.backup import as_events, run_backup
 from tidelog.plans.store import Bucket, ChangeLogStore
 from tidelog.session import stored
+from tidelog.sources import events as sources
 from tidelog.workload import store_queries
 
 ONE = [Bucket("b", 1, 1)]
@@ -42,6 +43,13 @@ def test_fold_reads_events_once(spark, make, tmp_path):
     assert folded.collect() == fold_events(events).collect()
 
 
+def test_values_are_parsed_once(spark, tmp_path):
+    spark.createDataFrame([], sources.RECORD).write.parquet(str(tmp_path / "topic"))
+    decoded = sources.decode_records(spark.read.schema(sources.RECORD).parquet(str(tmp_path / "topic")))
+    for rows in (sources.accepted_events(decoded), sources.rejected_records(decoded)):
+        assert rows._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
+
+
 def test_early_events_are_not_joined_to_themselves(spark, monkeypatch):
     plans = []
 

@@ -50,7 +50,8 @@ def decode_records(records: DataFrame) -> DataFrame:
         "seqno": "IF(value IS NULL, offset, e.seqno)",
         "key": f"coalesce(e.key, {key})",
     }
-    events = records.withColumn("e", parsed).selectExpr(
+    # a filter on the reason would else go below this and parse the value for each field it looks at
+    events = records.select("*", F.explode(F.array(parsed)).alias("e")).selectExpr(
         *[f"{given.get(name, f'e.{name}')} AS {name}" for name in names],
         "named_struct('key', key, 'value', value, 'topic', topic, 'partition', partition, 'offset', offset) AS record",
         "e._corrupt AS _corrupt",
