@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tests.conftest import keyed
 from tests.test_store import change, opened
 from tidelog.operators.state import fold_events
 from tidelog.plans.backup import as_events, run_backup
@@ -50,6 +51,20 @@ def test_values_are_parsed_once(spark, tmp_path):
         assert rows._jdf.queryExecution().executedPlan().toString().count("from_json") == 1
 
 
+def plan_of_live(store):
+    return store.live_mutations(ONE)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_live_rows_are_made_distinct(spark, make, tmp_path):
+    store = ChangeLogStore(spark, str(tmp_path / "home"), num_buckets=2)
+    for run in ("r1", "again"):
+        store.append_run(run, make.mutations([{"seqno": 1, "key": "a"}, {"seqno": 2, "key": "a"}]))
+        store.compact_filters(ONE)
+    plan = plan_of_live(store)
+    assert plan.index("Aggregate") < plan.index("Join")
+    assert keyed(store.live_mutations(ONE)) == ["a@2"]
+
+
 def test_early_events_are_not_joined_to_themselves(spark, monkeypatch):
     plans = []
 

@@ -631,16 +631,20 @@ class ChangeLogStore:
     def _live(self, view: View, history: bool = False) -> DataFrame:
         """Live rows; one that several runs captured counts once.
 
-        Mutations are clustered by these columns, so this takes no shuffle. With
-        `history`, rows that the kept history names count as live, too.
+        Mutations are clustered by these columns, so this takes no shuffle. Only live
+        rows are compared with each other, as the others' content need not be sorted and
+        aggregated. With `history`, rows that the kept history names count as live, too.
         """
         self._check_complete(view)
         mutations, filters = self._read(view, entries_of.MUTATIONS, L1), self._filter(view)
         if history and self._has(view, HISTORY, L0):
             filters = filters.select(*SEQNO_TUPLE).unionByName(self._read(view, HISTORY, L0).select(*SEQNO_TUPLE))
-        if len(view.runs.get((entries_of.MUTATIONS, L1), [])) > 1:
-            mutations = mutations.dropDuplicates(SEQNO_TUPLE)
-        return live_mutations(mutations, filters)
+        return self._once(view, live_mutations(mutations, filters))
+
+    def _once(self, view: View, rows: DataFrame) -> DataFrame:
+        """Mutations of the view, each row once where several runs may have captured it."""
+        several = len(view.runs.get((entries_of.MUTATIONS, L1), [])) > 1
+        return rows.dropDuplicates(SEQNO_TUPLE) if several else rows
 
     def _check_complete(self, view: View) -> None:
         """A group must have both its filter and its mutations, or neither."""
@@ -693,9 +697,8 @@ class ChangeLogStore:
         view = self._view_of(self.manifest.latest(), buckets)
         self._check_complete(view)
         rows = self._read(view, entries_of.MUTATIONS, L1)
-        if len(view.runs.get((entries_of.MUTATIONS, L1), [])) > 1:
-            rows = rows.dropDuplicates(SEQNO_TUPLE)
-        return restore(rows, self.filter_as_of(positions, buckets), None, include_deletes).select(*MUTATIONS.names)
+        rows = restore(rows, self.filter_as_of(positions, buckets), None, include_deletes)
+        return self._once(view, rows).select(*MUTATIONS.names)
 
     def forget_history(self, keep: int = 0) -> int:
         """Give up displaced rows of all but the last `keep` merges of each group.
