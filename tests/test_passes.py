@@ -65,6 +65,15 @@ def test_only_live_rows_are_made_distinct(spark, make, tmp_path):
     assert keyed(store.live_mutations(ONE)) == ["a@2"]
 
 
+def test_runs_without_repeated_rows_are_not_made_distinct(spark, make, tmp_path):
+    store = ChangeLogStore(spark, str(tmp_path / "home"), num_buckets=2)
+    for run, seqno in (("r1", 1), ("r2", 2)):
+        store.append_run(run, make.mutations([{"seqno": seqno, "key": f"k{seqno}"}]))
+        store.compact_filters(ONE)
+    assert "Aggregate" not in plan_of_live(store)
+    assert keyed(store.live_mutations(ONE)) == ["k1@1", "k2@2"]
+
+
 def test_early_events_are_not_joined_to_themselves(spark, monkeypatch):
     plans = []
 

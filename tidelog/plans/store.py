@@ -639,12 +639,18 @@ class ChangeLogStore:
         mutations, filters = self._read(view, entries_of.MUTATIONS, L1), self._filter(view)
         if history and self._has(view, HISTORY, L0):
             filters = filters.select(*SEQNO_TUPLE).unionByName(self._read(view, HISTORY, L0).select(*SEQNO_TUPLE))
-        return self._once(view, live_mutations(mutations, filters))
+        return self._once(view, mutations, live_mutations(mutations, filters))
 
-    def _once(self, view: View, rows: DataFrame) -> DataFrame:
-        """Mutations of the view, each row once where several runs may have captured it."""
-        several = len(view.runs.get((entries_of.MUTATIONS, L1), [])) > 1
-        return rows.dropDuplicates(SEQNO_TUPLE) if several else rows
+    def _once(self, view: View, mutations: DataFrame, rows: DataFrame) -> DataFrame:
+        """Some of the view's mutations, each row once where several runs captured it.
+
+        Whether any was captured twice is seen from the slim columns, without a shuffle.
+        If none was, no content needs to be sorted and aggregated.
+        """
+        if len(view.runs.get((entries_of.MUTATIONS, L1), [])) < 2:
+            return rows
+        repeated = mutations.groupBy(*SEQNO_TUPLE).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        return rows.dropDuplicates(SEQNO_TUPLE) if (repeated or 0) > 1 else rows
 
     def _check_complete(self, view: View) -> None:
         """A group must have both its filter and its mutations, or neither."""
@@ -696,9 +702,9 @@ class ChangeLogStore:
         """Rows to write back for the state at these positions."""
         view = self._view_of(self.manifest.latest(), buckets)
         self._check_complete(view)
-        rows = self._read(view, entries_of.MUTATIONS, L1)
-        rows = restore(rows, self.filter_as_of(positions, buckets), None, include_deletes)
-        return self._once(view, rows).select(*MUTATIONS.names)
+        mutations = self._read(view, entries_of.MUTATIONS, L1)
+        rows = restore(mutations, self.filter_as_of(positions, buckets), None, include_deletes)
+        return self._once(view, mutations, rows).select(*MUTATIONS.names)
 
     def forget_history(self, keep: int = 0) -> int:
         """Give up displaced rows of all but the last `keep` merges of each group.
