@@ -249,6 +249,54 @@ def test_line_dedup_far_lines_do_not_meet(spark, frame, monkeypatch):
     assert sum(pairs) < 0.1 * 400 * 399 / 2
 
 
+def test_line_dedup_copies_edited_alike_do_not_pair(frame, monkeypatch):
+    """Copies of one line, each edited in its own way to a similarity of 0.7, leave no square of pairs."""
+    rng = random.Random(8)
+    centre = "".join(rng.choice("abcdefghijkl ") for _ in range(200))
+    lines = []
+    for i in range(300):
+        other = list(centre)
+        for place in (8 + i * 7 % 80, 100 + i * 11 % 90):
+            other[place] = chr(0x4E00 + i)
+        lines.append("".join(other))
+    rows = [(i, line) for i, line in enumerate(lines)]
+    found, open_pairs = [], line_dedup._open_pairs
+
+    def counted(*frames):
+        pairs = open_pairs(*frames)
+        found.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(line_dedup, "_open_pairs", counted)
+    gone = {r["doc_id"] for r in line_dedup.removed_lines(frame(rows)).collect()}
+    assert sum(found) < 0.05 * 300 * 299 / 2
+    exact = {doc for doc, numbers in brute.removed_lines(rows).items() if numbers}
+    assert gone <= exact and len(exact - gone) <= 0.02 * len(rows)
+
+
+def test_line_parities():
+    """Bits that differ are never more than the shingles that one line only has."""
+    rng = random.Random(4)
+    for size in (3, 8, 60, 700, 5000):
+        line = "".join(rng.choice("abcdefgh ") for _ in range(size))
+        other = list(line)
+        for place in rng.sample(range(size), size // 20):
+            other[place] = "#"
+        pair = [line, "".join(other)]
+        sets = [grams(x) for x in pair]
+        n, odd = line_dedup.parities(pair)
+        apart = np.bitwise_count((odd[0] ^ odd[1]).view(np.uint64)).sum()
+        assert n.tolist() == list(map(len, sets)) and apart <= len(sets[0] ^ sets[1])
+        assert (odd[1] == line_dedup.parities(pair[1:])[1][0]).all()
+
+
+def test_line_places_digest_each_text_once(frame):
+    """The digest of a text is below the rows of its lines, not worked out again for each of them."""
+    plan = line_dedup.lines_of(frame([(1, "a\nb")]))._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate")]
+    assert "md5(cast(text" not in above and "md5(cast(text" in plan
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_substring_dedup(frame, seed):
     rows = corpus(seed)

@@ -10,10 +10,17 @@ component the line that comes first stays.
 
 The rows of the bands are dealt by band and sorted; a stream over them names for each
 band of several classes its first one as leader. Members are compared with their
-leader. Then bands whose members are all in one component are done, and in the rest
-only members of different components are compared: of each two components the nearest
-pair, and the other pairs only where components are still apart after that. Lines that
-differ in more than 23 of all 60 minima go no further: the minima are at hand in a byte
+leader. Then bands whose members are all in one component are done. In the others, round
+by round, a few members of the largest component are drawn, and every class outside it
+is compared with the nearest of these, so that copies by the thousand take comparisons
+in proportion to their number. What is still apart after that is compared pair by pair,
+but for two members of the largest component: of each two components the nearest pair,
+and the other pairs only where components are still apart.
+
+Two bounds come before a comparison. Shingles are dealt into 1,024 bits, and of two lines
+the bits that hold an odd number for one only are at most the shingles that one only
+has; so pairs that can't be similar enough are told without a loss. Lines that differ in
+more than 23 of all 60 minima go no further either: the minima are at hand in a byte
 each, and so few pairs that are similar enough differ in as many that bands remain what
 decides the recall.
 
@@ -31,6 +38,7 @@ its row even if no line stays, with an empty text.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +60,12 @@ SKETCH_WORDS = -(-BANDS * PER_BAND // 8)
 #: Two lines that differ in more minima are not compared. At a similarity of 0.8 twelve of
 #: the 60 differ on average, and more than 23 in one of 3,000 pairs; at 0.5 in 95 of 100.
 MOST_APART = 23
+#: Members of a band's largest component that the others are held against in a round.
+DRAWN = 16
+#: Words of eight bytes that hold a parity in each bit.
+PARITY_WORDS = 16
+#: A round that finds less than this share of the links of the best one is the last.
+LAST_ROUND = 0.25
 #: Fills short lines up to one shingle; no character of a text.
 FILL = "\U0010ffff"
 
@@ -65,8 +79,10 @@ BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """doc_id, text_md5, line_no and the class `k` for lines that are not blank."""
+    # the digest of a text is taken before its lines come apart, not once for each of them
+    digests = docs.select("doc_id", "text", _text_md5())
     return (
-        docs.select("doc_id", _text_md5(), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        digests.select("doc_id", "text_md5", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .where("line RLIKE '\\\\S'")
         .select(*PLACE, F.unhex(F.md5(F.col("line").cast("binary"))).alias("k"))
     )
@@ -77,8 +93,8 @@ def _text_md5() -> Column:
     return F.unhex(F.md5(F.col("text").cast("binary"))).alias("text_md5")
 
 
-def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """For each line in rows: its bands as 64-bit hashes, and a byte of each minimum, in words."""
+def _hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all lines, and where those of each line start."""
     lines = [line if len(line) >= SHINGLE else line.ljust(SHINGLE, FILL) for line in lines]
     codes = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
     ends = np.cumsum([len(line) for line in lines])
@@ -89,8 +105,13 @@ def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     inside[(ends[:, None] - np.arange(1, SHINGLE)).ravel()] = False
     hashes = hashes[inside[: len(hashes)]]
     hashes = (hashes ^ hashes >> np.uint64(32)) * MIX
+    return hashes, np.concatenate([[0], ends[:-1]]) - (SHINGLE - 1) * np.arange(len(lines))
+
+
+def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each line in rows: its bands as 64-bit hashes, and a byte of each minimum, in words."""
+    hashes, starts = _hashed(lines)
     small = (hashes >> np.uint64(32)).astype(np.uint32)
-    starts = np.concatenate([[0], ends[:-1]]) - (SHINGLE - 1) * np.arange(len(lines))
     found = np.empty((len(lines), BANDS), np.uint64)
     low = np.zeros((len(lines), 8 * SKETCH_WORDS), np.uint8)
     for band in range(BANDS):
@@ -104,26 +125,61 @@ def signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return found.view(np.int64), low.view(np.int64)
 
 
+def _portions(batch, column: int = 0):
+    """Pieces of a batch whose lines have about `CHUNK` characters, each with its lines."""
+    first, held = 0, 0
+    lines = batch.column(column).to_pylist()
+    for i, line in enumerate(lines):
+        held += max(SHINGLE, len(line))
+        if held >= CHUNK or i + 1 == len(lines):
+            yield batch.slice(first, i + 1 - first), lines[first : i + 1]
+            first, held = i + 1, 0
+
+
 def _signed(batches):
     """k, line, bands and sketch of each line."""
     for batch in batches:
-        some, held = [], 0
-        lines = batch.column(0).to_pylist()
-        for i, line in enumerate(lines):
-            some.append(line)
-            held += max(SHINGLE, len(line))
-            if held >= CHUNK or i + 1 == len(lines):
-                bands, sketches = signatures(some)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([hashlib.md5(line.encode()).digest() for line in some], pa.binary()),
-                        pa.array(some, pa.string()),
-                        pa.array(list(bands), pa.list_(pa.int64())),
-                        pa.array(list(sketches), pa.list_(pa.int64())),
-                    ],
-                    names=["k", "line", "bands", "sketch"],
-                )
-                some, held = [], 0
+        for _, lines in _portions(batch):
+            bands, sketches = signatures(lines)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([hashlib.md5(line.encode()).digest() for line in lines], pa.binary()),
+                    pa.array(lines, pa.string()),
+                    pa.array(list(bands), pa.list_(pa.int64())),
+                    pa.array(list(sketches), pa.list_(pa.int64())),
+                ],
+                names=["k", "line", "bands", "sketch"],
+            )
+
+
+def parities(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each line its number of different shingles, and whether an odd number of them falls in each bit."""
+    hashes, starts = _hashed(lines)
+    row = np.repeat(np.arange(len(lines)), np.diff(np.append(starts, len(hashes))))
+    order = np.lexsort((hashes, row))
+    row, hashes = row[order], hashes[order]
+    new = np.append(True, (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1]))
+    row, hashes = row[new], hashes[new]
+    bits = 64 * PARITY_WORDS
+    place = row * bits + (hashes % np.uint64(bits)).astype(np.int64)
+    odd = (np.bincount(place, minlength=bits * len(lines)) & 1).astype(np.uint8)
+    return np.bincount(row, minlength=len(lines)), np.packbits(odd).view(np.int64).reshape(-1, PARITY_WORDS)
+
+
+def _with_parities(batches):
+    """c, k, line, the words of the sketch, n and the words of the parities."""
+    for batch in batches:
+        for part, lines in _portions(batch, 2):
+            n, odd = parities(lines)
+            sketch = np.array(part.column(3).to_pylist(), np.int64)
+            words = [pa.array(np.ascontiguousarray(x)) for x in (*sketch.T, n, *odd.T)]
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), *words], names=MET)
+
+
+#: Columns of the classes that meet others.
+MET = ["c", "k", "line", *(f"s{i}" for i in range(SKETCH_WORDS)), "n", *(f"o{i}" for i in range(PARITY_WORDS))]
+#: What tells of two of them whether they may be similar enough.
+BOUNDS = MET[3:]
 
 
 def _classes(docs: DataFrame) -> DataFrame:
@@ -158,18 +214,26 @@ def _bands(classes: DataFrame) -> DataFrame:
     return ordered.mapInArrow(_led, "band bigint, leader bigint, c bigint")
 
 
-def _apart(a: str, b: str) -> str:
-    """SQL for the number of minima in which two sketches differ."""
+def _apart(a: str, b: str, word: str = "{}[{}]") -> str:
+    """SQL for the number of minima in which two sketches differ; `word` names their words."""
     words = []
     for i in range(SKETCH_WORDS):
-        # the lowest bit of each byte says whether any of the byte differs
-        word = f"({a}[{i}] ^ {b}[{i}])"
-        for shift in (4, 2, 1):
-            word = f"({word} | shiftrightunsigned({word}, {shift}))"
-        words.append(f"bit_count({word} & {0x0101010101010101}L)")
+        x = f"({word.format(a, i)} ^ {word.format(b, i)})"
+        # a sum takes each of the lower seven bytes that differs to its highest bit, and overflows nowhere
+        low = f"bit_count((((({x}) & {0x007F7F7F7F7F7F7F}L) + {0x007F7F7F7F7F7F7F}L) | {x}) & {0x0080808080808080}L)"
+        words.append(f"{low} + int(shiftrightunsigned({x}, 56) <> 0)")
     return " + ".join(words)
 
 
+#: SQL: the parities in which the lines l and r differ. They are no more than the shingles
+#: that only one of both has; similar enough lines have these in at most one of nine.
+ODD = " + ".join(f"bit_count(l.o{i} ^ r.o{i})" for i in range(PARITY_WORDS))
+NEAR = f"{100 + MIN_PERCENT} * ({ODD}) <= {200 - 2 * MIN_PERCENT} * (l.n + r.n) DIV 2"
+MAY = f"{NEAR} AND {_apart('l.s', 'r.s', '{}{}')} <= {MOST_APART}"
+#: SQL for how far apart they seem to be.
+DISTANCE = f"float({ODD}) / (l.n + r.n)"
+
+
 def line_shingles(line: str) -> frozenset[str]:
     return frozenset(line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
 
@@ -192,10 +256,11 @@ def _similar(batches):
 
 def _verified(pairs: DataFrame, met: DataFrame) -> DataFrame:
     """The pairs (u, v) that are similar enough."""
+    known = met.select("c", "line", *BOUNDS)
     rows = (
-        pairs.join(met.selectExpr("c AS v", "line AS b"), "v")
-        .join(met.selectExpr("c AS u", "line AS a"), "u")
-        .select("u", "v", "a", "b")
+        pairs.join(known.alias("r"), F.expr("v = r.c"))
+        .join(known.alias("l"), F.expr(f"u = l.c AND {NEAR}"))
+        .selectExpr("u", "v", "l.line AS a", "r.line AS b")
     )
     return written(rows.mapInArrow(_similar, "u bigint, v bigint"), "line-links")
 
@@ -206,28 +271,78 @@ def _with_component(rows: DataFrame, found: DataFrame, node: str, name: str) ->
     return rows.join(named, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def _open_pairs(bands: DataFrame, found: DataFrame, met: DataFrame) -> DataFrame:
-    """(u, v, apart) of members of a band that are in different components and not too far apart."""
-    # the leaders have met all others
-    members = _with_component(bands.select("band", "c"), found, "c", "component")
-    several = (
-        members.groupBy("band")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low < high")
-        .select("band")
+def _members(bands: DataFrame) -> DataFrame:
+    """(band, c) of every member of the bands with several classes, leaders included."""
+    rows = bands.select("band", "c").unionByName(bands.selectExpr("band", "leader AS c").distinct())
+    return written(rows, "band-members")
+
+
+def _open_members(members: DataFrame, found: DataFrame, met: DataFrame) -> DataFrame:
+    """Members of the bands with several components, with their bounds and the band's largest component."""
+    marked = _with_component(members.select("band", "c"), found, "c", "component")
+    largest = (
+        marked.groupBy("band", "component")
+        .agg(F.count("*").alias("n"))
+        .groupBy("band")
+        .agg(F.count("*").alias("several"), F.expr("max(struct(n, component)).component").alias("largest"))
+        .where("several > 1")
+        .select("band", "largest")
+    )
+    return written(marked.join(largest, "band").join(met.select("c", *BOUNDS), "c"), "open-bands")
+
+
+def _nearest_drawn(left: DataFrame, turn: int) -> DataFrame:
+    """(u, v): each class that is not in the largest component of a band, and the nearest of those drawn there."""
+    drawn = (
+        left.where("component = largest")
+        .withColumn("place", F.expr(f"xxhash64(c, {turn})"))
+        .groupBy("band", F.expr(f"pmod(place, {DRAWN})").alias("slot"))
+        .agg(F.expr(f"min_by(struct(c, {', '.join(BOUNDS)}), place)").alias("other"))
+        .select("band", "other.*")
+    )
+    return (
+        left.where("component <> largest")
+        .alias("l")
+        .join(drawn.alias("r"), F.expr(f"l.band = r.band AND {MAY}"))
+        .selectExpr("l.c AS u", "r.c AS v", f"{DISTANCE} AS apart")
+        .groupBy("u")
+        .agg(F.expr("min(struct(apart, v)).v").alias("v"))
     )
-    left = members.join(several, "band", "left_semi").join(met.select("c", "sketch"), "c")
-    left = written(left, "open-bands")
+
+
+def _rounds(members: DataFrame, links: DataFrame, found: DataFrame, met: DataFrame):
+    """Links with those of the rounds, their components, the members of bands still open and the pairs compared."""
+    best, tried = 0, None
+    left = _open_members(members, found, met)
+    for turn in itertools.count():
+        pairs = written(_nearest_drawn(left, turn), "round-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        new = _verified(pairs, met)
+        count = new.count()
+        if count:
+            links = links.unionByName(new)
+            found = written(components(links), "line-components")
+            last, left = left, _open_members(left, found, met)
+            discard(last)
+        best = max(best, count)
+        if count <= LAST_ROUND * best:
+            return links, found, left, tried
+
+
+def _open_pairs(left: DataFrame) -> DataFrame:
+    """(u, v, apart) of members of a band that are in different components and may be similar enough."""
+    # two members of the largest component need no look at each other
     pairs = (
-        left.selectExpr("band", "c AS u", "component AS p", "sketch AS s")
-        .join(left.selectExpr("band", "c AS v", "component AS q", "sketch AS t"), "band")
-        .where(f"u > v AND p <> q AND {_apart('s', 't')} <= {MOST_APART}")
-        .selectExpr("u", "v", f"{_apart('s', 't')} AS apart")
+        left.where("component <> largest")
+        .alias("l")
+        .join(left.alias("r"), F.expr(
+            "l.band = r.band AND l.component <> r.component"
+            f" AND (r.component = r.largest OR l.c > r.c) AND {MAY}"
+        ))
+        .selectExpr("greatest(l.c, r.c) AS u", "least(l.c, r.c) AS v", f"{DISTANCE} AS apart")
         .distinct()
     )
-    pairs = written(pairs, "open-pairs")
-    discard(left)
-    return pairs
+    return written(pairs, "open-pairs")
 
 
 def similar_lines(docs: DataFrame) -> DataFrame:
@@ -236,21 +351,30 @@ def similar_lines(docs: DataFrame) -> DataFrame:
     bands = written(_bands(classes.select("bands", "c")), "members")
     # what the classes that meet any other need from here on
     used = bands.selectExpr("explode(array(c, leader)) AS c").distinct()
-    met = written(joined(classes.select("c", "k", "line", "sketch"), used, "c"), "met")
+    met = joined(classes.select("c", "k", "line", "sketch"), used, "c").select("c", "k", "line", "sketch")
+    kinds = {"k": "binary", "line": "string"}
+    met = written(met.mapInArrow(_with_parities, ", ".join(f"{x} {kinds.get(x, 'bigint')}" for x in MET)), "met")
     discard(classes)
     links = _verified(bands.selectExpr("c AS u", "leader AS v").distinct(), met)
     found = written(components(links), "line-components")
-    pairs = _open_pairs(bands, found, met)
+    members = _members(bands)
     discard(bands)
+    links, found, left, tried = _rounds(members, links, found, met)
+    discard(members)
+    pairs = _open_pairs(left)
+    discard(left)
     # of two components the nearest pair first; once it links them, their other pairs don't matter
     both = _with_component(_with_component(pairs, found, "u", "p"), found, "v", "q")
     near = both.selectExpr("least(p, q) AS p", "greatest(p, q) AS q", "struct(apart, u, v) AS pair")
     near = written(near.groupBy("p", "q").agg(F.min("pair").alias("pair")).select("pair.*"), "nearest")
-    more = _verified(near.select("u", "v"), met)
-    links = links.unionByName(more)
-    found = written(components(links), "line-components")
+    tried = tried.selectExpr("greatest(u, v) AS u", "least(u, v) AS v").distinct()
+    more = _verified(near.select("u", "v").join(tried, ["u", "v"], "left_anti"), met)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        found = written(components(links), "line-components")
     both = _with_component(_with_component(pairs, found, "u", "p"), found, "v", "q").where("p <> q")
-    rest = written(both.select("u", "v").join(near, ["u", "v"], "left_anti"), "pairs")
+    done = near.select("u", "v").unionByName(tried)
+    rest = written(both.select("u", "v").join(done, ["u", "v"], "left_anti"), "pairs")
     last = _verified(rest, met)
     if not last.isEmpty():
         found = written(components(links.unionByName(last)), "line-components")
