@@ -12,6 +12,7 @@ from tidelog.operators.ranges import mainline
 from tidelog.plans.backup import as_events, read_catalog, run_backup
 from tidelog.plans.store import Bucket, ChangeLogStore
 from tidelog.sources import events as sources
+from tidelog.streaming import capture
 from tidelog.streaming.capture import capture_stream
 
 ONE = [Bucket("b", 1, 1)]
@@ -58,6 +59,24 @@ def test_bad_records_stop_a_stream_unless_set_aside(spark, tmp_path):
     assert [bytes(r["value"]) for r in spark.read.parquet(aside).collect()] == [b"bad"]
 
 
+def test_streamed_records_are_decoded_once_by_several_tasks(spark, tmp_path, monkeypatch):
+    """Also where the topic is one file of one row group."""
+    home, seen, rejected = str(tmp_path / "topic"), [], capture.rejected_records
+
+    def watched(batch):
+        seen.append((batch.rdd.getNumPartitions(), batch.storageLevel.useDisk))
+        return rejected(batch)
+
+    monkeypatch.setattr(capture, "rejected_records", watched)
+    records(spark, ("a", PUT), ("b", b"bad")).coalesce(1).write.parquet(home)
+    stream = sources.decode_records(spark.readStream.schema(sources.RECORD).parquet(home))
+    store = ChangeLogStore(spark, str(tmp_path / "home"), num_buckets=2)
+    capture_stream(store, stream, ONE, "s", str(tmp_path / "o"), rejected_to=str(tmp_path / "aside")).awaitTermination()
+    store.compact_filters(ONE)
+    assert keyed(store.live_mutations(ONE)) == ["a@7"]
+    assert seen == [(4, True)]
+
+
 def test_retries_end_and_what_stays_open_is_recorded(spark, make, tmp_path):
     """One event a round: the run asks four times, then records the partition as open."""
     store = ChangeLogStore(spark, str(tmp_path / "home"), num_buckets=2)

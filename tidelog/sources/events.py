@@ -36,6 +36,9 @@ def decode_records(records: DataFrame) -> DataFrame:
     keeps what could be read of it, with its key, value, partition and offset as
     `record`, so nothing is lost and nothing stops.
     """
+    if records.isStreaming:
+        # a topic has few partitions, and a file of one row group is one task's
+        records = records.repartition(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     names = CHANGE_EVENTS.names
     kinds = ", ".join(f"'{kind}'" for kind in EVENT_KINDS)
     data_kinds = ", ".join(f"'{kind}'" for kind in DATA_KINDS)

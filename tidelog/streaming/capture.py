@@ -46,8 +46,16 @@ def capture_stream(
         return accepted_events(batch)
 
     def store_batch(batch: DataFrame, batch_id: int) -> None:
-        if "reject_reason" in batch.columns:
-            batch = set_aside(batch, batch_id)
+        if "reject_reason" not in batch.columns:
+            return store_events(batch, batch_id)
+        # records are decoded once, not again for those that are no events
+        batch.persist()
+        try:
+            store_events(set_aside(batch, batch_id), batch_id)
+        finally:
+            batch.unpersist()
+
+    def store_events(batch: DataFrame, batch_id: int) -> None:
         data = data_events(checked_events(batch))
         if lookup is not None:
             data = capture_ranges(data, lookup)
