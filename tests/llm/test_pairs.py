@@ -89,6 +89,38 @@ def test_trees(step):
     assert list(ngram_join._trees(iter([empty]))) == []
 
 
+@pytest.mark.parametrize("step", [1, 2, 3, 100])
+def test_trees_fall_apart_by_size(step):
+    """Members of sizes that no link spans are in trees of their own, wherever batches end."""
+    s = np.array([1, 1, 1, 2, 2, 2, 2, 2, 3, 3])
+    n = np.array([10, 13, 14, 80, 100, 126, 140, 300, 80, 101])
+    table = pa.RecordBatch.from_arrays([pa.array(s), pa.array(np.arange(10)), pa.array(n)], names=["s", "doc_id", "n"])
+    parted = ngram_join._parted(iter([table.slice(0, 0), *(table.slice(i, step) for i in range(0, 10, step))]))
+    trees = {}
+    for batch in ngram_join._trees(parted):
+        for r in batch.to_pylist():
+            trees.setdefault(r["s"], []).append(r["doc_id"])
+    assert sorted(trees.values()) == [[1, 2], [3, 4], [5, 6]]
+
+
+def test_trees_of_the_same_members_count_once(spark):
+    rows = [(s, doc, 50, 0) for s, docs in [(1, "AB"), (2, "AB"), (3, "ABC"), (4, "AAC"), (5, "BBC"), (6, "CBA")] for doc in map(ord, docs)]
+    found = ngram_join._different(spark.createDataFrame(rows, ngram_join.MEMBERS)).collect()
+    assert sorted({r["s"] for r in found}) == [1, 3, 4, 5] and len(found) == 11
+
+
+def test_middle_points_bound_the_overlap():
+    """Large sets that have nothing in common are told apart, and no link is lost."""
+    rng = np.random.default_rng(4)
+    for size in (100, 1100, 9000):
+        a, b = (np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64)) for _ in range(2))
+        near = np.unique(np.append(a[: -size // 10], b[: size // 10]))
+        assert ngram_join._linked(a.tobytes(), near.tobytes())
+        middle = [ngram_join._middle(x) for x in (a, b, near)]
+        assert ngram_join._middle_fits(middle[0], middle[2])
+        assert ngram_join._middle_fits(middle[0], middle[1]) == (size < ngram_join.LARGE)
+
+
 def test_needed_overlap():
     for a in range(1, 60):
         for b in range(1, 60):

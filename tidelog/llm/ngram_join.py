@@ -11,7 +11,9 @@ documents is at most the sum of the smaller counts. Two documents link when
    tree for every such shingle that several classes hold. Shingles found in many
    documents come last in the order, so that common passages and lines make no
    trees; the list of these is bounded by the average text over `HOT_SHARE`,
-   whatever the number of documents, and has no part in what is linked.
+   whatever the number of documents, and has no part in what is linked. A tree falls
+   into parts where sizes leave a gap that no link spans, and of trees with the same
+   members, as copied passages make them, one is enough.
 3. Points of a tree are packed by size into pages. In rounds, every document is
    compared with one leader only: a member of the largest component in one of its
    trees, of about its size; round by round other trees, leaders and limits of sizes
@@ -23,8 +25,8 @@ documents is at most the sum of the smaller counts. Two documents link when
 4. In the remaining trees pages are joined with pages, and within them boxes of
    sixteen points with boxes, while sizes fit and the sum of the smaller maxima
    reaches the overlap that a link needs; then points with points of another
-   component, at last with 65,536 groups. What survives is verified, so no link that
-   could change a component is lost.
+   component, with 2,048 groups where documents are large, at last with 65,536. What
+   survives is verified, so no link that could change a component is lost.
 
 A tree's points are streamed in order or handled as pairs of bounded pages, never
 gathered whole in one task. Sets are compared by all 64 bits of their hashes, class
@@ -51,6 +53,8 @@ from tidelog.llm.components import components
 WORDS = 5
 MIN_PERCENT = 80
 GROUPS = 256
+#: Groups of the points of large documents before whole sets are sent, and shingles from which one is large.
+MIDDLE_GROUPS, LARGE = 2048, 1024
 PAGE = 512
 BOX = 16
 #: Shingles in more than this share of the documents come last in the order.
@@ -133,19 +137,20 @@ def hot_shingles(docs: DataFrame, share: float = HOT_SHARE) -> np.ndarray:
 FEATURES = "doc_id long, n long, k1 long, k2 long, point binary, prefix binary"
 
 
-def _point(found: np.ndarray) -> bytes:
-    counts = np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=GROUPS)
+def _point(found: np.ndarray, groups: int = GROUPS) -> bytes:
+    shift = np.uint64(65 - groups.bit_length())
+    counts = np.bincount((found >> shift).astype(np.int64), minlength=groups)
     top = int(counts.max(initial=0))
     return counts.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32).tobytes()
 
 
-def _points(values: list[bytes]) -> np.ndarray:
+def _points(values: list[bytes], groups: int = GROUPS) -> np.ndarray:
     """A matrix of points, whatever the width of each."""
     if not values:
-        return np.empty((0, GROUPS), np.uint8)
-    kinds = {GROUPS: np.uint8, 2 * GROUPS: np.uint16, 4 * GROUPS: np.uint32}
+        return np.empty((0, groups), np.uint8)
+    kinds = {groups: np.uint8, 2 * groups: np.uint16, 4 * groups: np.uint32}
     if len({len(v) for v in values}) == 1:
-        return np.frombuffer(b"".join(values), kinds[len(values[0])]).reshape(-1, GROUPS)
+        return np.frombuffer(b"".join(values), kinds[len(values[0])]).reshape(-1, groups)
     return np.stack([np.frombuffer(v, kinds[len(v)]).astype(np.uint32) for v in values])
 
 
@@ -199,6 +204,32 @@ def _entries(batches):
         )
 
 
+#: An odd factor that names the parts of a tree.
+PART = np.int64(0x1E3779B97F4A7C15)
+
+
+def _parted(batches):
+    """Entries sorted by (s, n, doc_id), with a name of its own for each part of a tree.
+
+    A part ends where the next size is too large to be linked with the last one.
+    """
+    last = None
+    for batch in batches:
+        s, doc, n = (batch.column(c).to_numpy() for c in ("s", "doc_id", "n"))
+        if not len(s):
+            continue
+        before = last or (s[0], n[0], 0)
+        same = s == np.append(before[0], s[:-1])
+        gap = same & (100 * np.append(before[1], n[:-1]) < MIN_PERCENT * n)
+        parts = np.cumsum(gap)
+        # counted from the start of each tree; the first one here may have begun before
+        parts -= np.maximum.accumulate(np.where(same, -before[2], parts))
+        last = s[-1], n[-1], int(parts[-1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(s ^ parts * PART), pa.array(doc), pa.array(n)], names=["s", "doc_id", "n"]
+        )
+
+
 MEMBERS = "s long, doc_id long, n long, page long"
 
 
@@ -229,6 +260,14 @@ def _trees(batches):
         )
 
 
+def _different(members: DataFrame) -> DataFrame:
+    """The members of one tree of each set of documents, told by its number and 128 bits."""
+    bits = [F.sum(F.expr(f"shiftrightunsigned(xxhash64(doc_id, {i}), 32)")).alias(f"h{i}") for i in range(4)]
+    told = members.groupBy("s").agg(F.count("*").alias("c"), *bits)
+    once = told.groupBy("c", *(f"h{i}" for i in range(4))).agg(F.min("s").alias("s")).select("s")
+    return members.join(once, "s", "left_semi")
+
+
 def _bounded(batches):
     """Pairs (u, v) whose points leave room for the overlap they need."""
     for batch in batches:
@@ -374,6 +413,19 @@ def _fine_fits(a: bytes, b: bytes) -> bool:
     return _fine_room(a, b) >= needed_overlap(len(a) // 2, len(b) // 2)
 
 
+def _middle(found: np.ndarray) -> bytes | None:
+    """A point with 2,048 groups, of large sets only."""
+    return _point(found, MIDDLE_GROUPS) if len(found) >= LARGE else None
+
+
+def _middle_fits(a: bytes | None, b: bytes | None) -> bool:
+    if a is None or b is None:
+        return True
+    a, b = (_points([x], MIDDLE_GROUPS)[0] for x in (a, b))
+    room, sizes = np.minimum(a, b).sum(dtype=np.int64), (int(x.sum(dtype=np.int64)) for x in (a, b))
+    return bool(room >= needed_overlap(*sizes))
+
+
 def _linked(a: bytes, b: bytes) -> bool:
     a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     shared = len(np.intersect1d(a, b, assume_unique=True))
@@ -383,8 +435,9 @@ def _linked(a: bytes, b: bytes) -> bool:
 def _verified(pairs: DataFrame, docs: DataFrame, finer: bool) -> DataFrame:
     """The pairs whose whole sets are similar enough.
 
-    With `finer`, points of 65,536 groups are compared before the sets, as a quarter
-    of the bytes that sets take leaves hardly any pair that is not linked.
+    Large documents are told apart by their points of 2,048 groups, which stay as small
+    as they are. With `finer`, points of 65,536 groups are compared before the sets, as
+    a quarter of the bytes that sets take leaves hardly any pair that is not linked.
     """
     pairs = written(pairs, "pairs")
     needed = pairs.selectExpr("explode(array(u, v)) AS doc_id").distinct()
@@ -397,15 +450,19 @@ def _verified(pairs: DataFrame, docs: DataFrame, finer: bool) -> DataFrame:
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array([x.tobytes() for x in found], pa.binary()),
                     pa.array(map(_fine, found), pa.binary()),
+                    pa.array(map(_middle, found), pa.binary()),
                 ],
-                names=["doc_id", "found", "fine"],
+                names=["doc_id", "found", "fine", "middle"],
             )
 
     texts = joined(docs.select("doc_id", "text"), needed, "doc_id", "left_semi")
-    found = written(texts.mapInArrow(sets, "doc_id long, found binary, fine binary"), "sets")
-    if finer:
-        pairs = written(_filtered(pairs, found, "fine", _fine_fits), "pairs")
-    return _filtered(pairs, found, "found", _linked)
+    found = written(texts.mapInArrow(sets, "doc_id long, found binary, fine binary, middle binary"), "sets")
+    for column, fits in [("middle", _middle_fits), ("fine", _fine_fits)][: 1 + finer]:
+        last, pairs = pairs, written(_filtered(pairs, found, column, fits), "pairs")
+        discard(last)
+    links = written(_filtered(pairs, found, "found", _linked), "linked")
+    discard(pairs, found)
+    return links
 
 
 def _leaders(members: DataFrame, turn: int) -> DataFrame:
@@ -466,10 +523,8 @@ def _rounds(members: DataFrame, own: DataFrame, docs: DataFrame):
             .mapInArrow(_bounded, "u long, v long")
         )
         new = _verified(stars, docs, finer=False)
-        before, links = links, written(new if links is None else links.unionByName(new), "links")
-        count = links.count() - (before.count() if before is not None else 0)
-        if before is not None:
-            discard(before)
+        count = new.count()
+        links = new if links is None else links.unionByName(new)
         if count or found is None:
             found = components(links)
             last, left = left, written(_open_members(left, found), "open-members")
@@ -513,11 +568,14 @@ def linked_documents(docs: DataFrame) -> DataFrame:
         .mapInArrow(_entries, "s long, doc_id long, n long")
         .repartition("s")
         .sortWithinPartitions("s", "n", "doc_id")
-        .mapInArrow(_trees, MEMBERS),
-        "members",
+        .mapInArrow(lambda batches: _trees(_parted(batches)), MEMBERS),
+        "every-tree",
     )
+    every, members = members, written(_different(members), "members")
+    discard(every)
     links, found, left = _rounds(members, own.select("doc_id", "n", "point"), docs)
-    more = written(_verified(_rest(left, points), docs, finer=True), "links")
+    more = _verified(_rest(left, points), docs, finer=True)
+    discard(own)
     if not more.isEmpty():
         found = components(links.unionByName(more))
     named = (
