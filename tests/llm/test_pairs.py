@@ -142,6 +142,30 @@ def test_components(spark, seed):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_later_links(spark, seed):
+    rng = random.Random(seed)
+    links = [(rng.randrange(90), rng.randrange(90)) for _ in range(75)] + [(100, i) for i in range(101, 120)]
+    sets, found = brute.Sets(), None
+    for part in (links[::3], links[1::3], [], links[2::3]):
+        for a, b in part:
+            sets.join(a, b)
+        found = components(spark.createDataFrame(part, "u long, v long"), found)
+    rows = [(r["node"], r["component"]) for r in found.collect()]
+    assert len(rows) == len(set(rows))
+    assert dict(rows) == {x: sets.root(x) for x in {x for a, b in links if a != b for x in (a, b)}}
+
+
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    monkeypatch.setattr("tidelog.llm.components._round", None)
+    stars = spark.createDataFrame([(i, i % 3) for i in range(3, 40)], "u long, v long")
+    found = components(stars)
+    # once contracted, later links are a star again
+    more = components(spark.createDataFrame([(31, 30), (35, 30), (50, 33)], "u long, v long"), found)
+    assert {(r["node"], r["component"]) for r in found.collect()} == {(i, i % 3) for i in range(40)}
+    assert {tuple(r) for r in more.select("node", "component").collect()} == {(i, 0) for i in [*range(40), 50]}
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_line_dedup(frame, seed):
     rows = corpus(seed, 40)

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import discard, joined, registered, table, written
-from tidelog.llm.components import components
+from tidelog.llm.components import components, with_component
 
 SHINGLE = 8
 BANDS, PER_BAND = 12, 5
@@ -265,12 +265,6 @@ def _verified(pairs: DataFrame, met: DataFrame) -> DataFrame:
     return written(rows.mapInArrow(_similar, "u bigint, v bigint"), "line-links")
 
 
-def _with_component(rows: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
-    """`rows` with the component of the class in column `node`: itself where it has no links."""
-    named = found.selectExpr(f"node AS {node}", f"component AS {name}")
-    return rows.join(named, node, "left").withColumn(name, F.coalesce(name, node))
-
-
 def _members(bands: DataFrame) -> DataFrame:
     """(band, c) of every member of the bands with several classes, leaders included."""
     rows = bands.select("band", "c").unionByName(bands.selectExpr("band", "leader AS c").distinct())
@@ -279,7 +273,7 @@ def _members(bands: DataFrame) -> DataFrame:
 
 def _open_members(members: DataFrame, found: DataFrame, met: DataFrame) -> DataFrame:
     """Members of the bands with several components, with their bounds and the band's largest component."""
-    marked = _with_component(members.select("band", "c"), found, "c", "component")
+    marked = with_component(members.select("band", "c"), found, "c", "component")
     largest = (
         marked.groupBy("band", "component")
         .agg(F.count("*").alias("n"))
@@ -310,8 +304,8 @@ def _nearest_drawn(left: DataFrame, turn: int) -> DataFrame:
     )
 
 
-def _rounds(members: DataFrame, links: DataFrame, found: DataFrame, met: DataFrame):
-    """Links with those of the rounds, their components, the members of bands still open and the pairs compared."""
+def _rounds(members: DataFrame, found: DataFrame, met: DataFrame):
+    """Components with the links of the rounds, the members of bands still open and the pairs compared."""
     best, tried = 0, None
     left = _open_members(members, found, met)
     for turn in itertools.count():
@@ -320,13 +314,12 @@ def _rounds(members: DataFrame, links: DataFrame, found: DataFrame, met: DataFra
         new = _verified(pairs, met)
         count = new.count()
         if count:
-            links = links.unionByName(new)
-            found = written(components(links), "line-components")
+            found = components(new, found)
             last, left = left, _open_members(left, found, met)
             discard(last)
         best = max(best, count)
         if count <= LAST_ROUND * best:
-            return links, found, left, tried
+            return found, left, tried
 
 
 def _open_pairs(left: DataFrame) -> DataFrame:
@@ -356,28 +349,27 @@ def similar_lines(docs: DataFrame) -> DataFrame:
     met = written(met.mapInArrow(_with_parities, ", ".join(f"{x} {kinds.get(x, 'bigint')}" for x in MET)), "met")
     discard(classes)
     links = _verified(bands.selectExpr("c AS u", "leader AS v").distinct(), met)
-    found = written(components(links), "line-components")
+    found = components(links)
     members = _members(bands)
     discard(bands)
-    links, found, left, tried = _rounds(members, links, found, met)
+    found, left, tried = _rounds(members, found, met)
     discard(members)
     pairs = _open_pairs(left)
     discard(left)
     # of two components the nearest pair first; once it links them, their other pairs don't matter
-    both = _with_component(_with_component(pairs, found, "u", "p"), found, "v", "q")
+    both = with_component(with_component(pairs, found, "u", "p"), found, "v", "q")
     near = both.selectExpr("least(p, q) AS p", "greatest(p, q) AS q", "struct(apart, u, v) AS pair")
     near = written(near.groupBy("p", "q").agg(F.min("pair").alias("pair")).select("pair.*"), "nearest")
     tried = tried.selectExpr("greatest(u, v) AS u", "least(u, v) AS v").distinct()
     more = _verified(near.select("u", "v").join(tried, ["u", "v"], "left_anti"), met)
     if not more.isEmpty():
-        links = links.unionByName(more)
-        found = written(components(links), "line-components")
-    both = _with_component(_with_component(pairs, found, "u", "p"), found, "v", "q").where("p <> q")
+        found = components(more, found)
+    both = with_component(with_component(pairs, found, "u", "p"), found, "v", "q").where("p <> q")
     done = near.select("u", "v").unionByName(tried)
     rest = written(both.select("u", "v").join(done, ["u", "v"], "left_anti"), "pairs")
     last = _verified(rest, met)
     if not last.isEmpty():
-        found = written(components(links.unionByName(last)), "line-components")
+        found = components(last, found)
     named = met.select("c", "k")
     roots = found.join(named.selectExpr("c AS component", "k AS root"), "component")
     roots = roots.join(named.selectExpr("c AS node", "k"), "node").selectExpr("k", "root AS component")

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import discard, joined, registered, table, written
-from tidelog.llm.components import components
+from tidelog.llm.components import components, with_component
 
 WORDS = 5
 MIN_PERCENT = 80
@@ -492,10 +492,7 @@ def _leaders(members: DataFrame, turn: int) -> DataFrame:
 
 def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of the trees that still hold several components."""
-    marked = members.select("s", "doc_id", "n", "page").join(
-        found.selectExpr("node AS doc_id", "component"), "doc_id", "left"
-    )
-    marked = marked.withColumn("component", F.coalesce("component", "doc_id"))
+    marked = with_component(members.select("s", "doc_id", "n", "page"), found, "doc_id", "component")
     still = (
         marked.groupBy("s")
         .agg(F.min("component").alias("a"), F.max("component").alias("z"))
@@ -510,13 +507,12 @@ LAST_ROUND = 0.1
 
 
 def _rounds(members: DataFrame, own: DataFrame, docs: DataFrame):
-    """Links with leaders, their components, and the members of the trees still open."""
-    left, links, found, best = members.withColumn("component", F.col("doc_id")), None, None, 0
+    """Components of the links with leaders, and the members of the trees still open."""
+    left, found, best = members.withColumn("component", F.col("doc_id")), None, 0
     for turn in itertools.count():
         stars = (
             _leaders(left, turn)
             .selectExpr("greatest(doc_id, leader) AS u", "least(doc_id, leader) AS v")
-            .distinct()
             .join(own.selectExpr("doc_id AS u", "n AS nu", "point AS pu"), "u")
             .join(own.selectExpr("doc_id AS v", "n AS nv", "point AS pv"), "v")
             .select("u", "v", "nu", "nv", "pu", "pv")
@@ -524,14 +520,13 @@ def _rounds(members: DataFrame, own: DataFrame, docs: DataFrame):
         )
         new = _verified(stars, docs, finer=False)
         count = new.count()
-        links = new if links is None else links.unionByName(new)
         if count or found is None:
-            found = components(links)
+            found = components(new, found)
             last, left = left, written(_open_members(left, found), "open-members")
             discard(members if turn == 0 else last)
         best = max(best, count)
         if count <= LAST_ROUND * best:
-            return links, found, left
+            return found, left
 
 
 def _rest(members: DataFrame, points: DataFrame) -> DataFrame:
@@ -573,11 +568,11 @@ def linked_documents(docs: DataFrame) -> DataFrame:
     )
     every, members = members, written(_different(members), "members")
     discard(every)
-    links, found, left = _rounds(members, own.select("doc_id", "n", "point"), docs)
+    found, left = _rounds(members, own.select("doc_id", "n", "point"), docs)
     more = _verified(_rest(left, points), docs, finer=True)
     discard(own)
     if not more.isEmpty():
-        found = components(links.unionByName(more))
+        found = components(more, found)
     named = (
         classes.join(found.selectExpr("node AS rep", "component"), "rep", "left")
         .where("copies > 1 OR component IS NOT NULL")
