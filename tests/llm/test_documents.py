@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -47,6 +48,20 @@ def test_language_id_odd_rows(spark, frame):
     assert language_id.classify("text", {}) == ("und", 0.0)
 
 
+def test_language_id_answers_in_slices(spark, monkeypatch):
+    """A large batch is not turned into strings, or sent back, as a whole."""
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: f)
+    predict = language_id.identify(docs, {"en": [b"some words of a language"] * 4})
+    rows = 2 * language_id.SLICE + 5
+    ids = pa.array([None, (1 << 53) + 1, *range(2, rows)], pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, pa.array([None, "", *["words"] * (rows - 2)])], names=["doc_id", "text"])
+    found = list(predict(iter([batch])))
+    assert max(b.num_rows for b in found) == language_id.SLICE
+    assert [x for b in found for x in b.column("doc_id").to_pylist()] == ids.to_pylist()
+    assert [x for b in found for x in b.column("lang_pred").to_pylist()] == ["und", "und", *["en"] * (rows - 2)]
+
+
 # packing
 
 

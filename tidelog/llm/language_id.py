@@ -25,6 +25,7 @@ import math
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,8 @@ MAX_LANGUAGES = 1000
 DICTIONARIES = 4
 DICTIONARY_BYTES = 16 * 1024
 CHUNK = 2048
+#: Rows of a batch that are Python strings, and on their way back, at once.
+SLICE = 128
 LEVEL = 6
 MIN_MARGIN = 0.003
 
@@ -128,17 +131,23 @@ def identify(docs: DataFrame, dictionaries: dict[str, list[bytes]], min_margin:
         ]
     )
 
+    names = [f.name for f in schema]
+
     def predict(batches):
         made = compressors(dictionaries)
         for batch in batches:
-            found = [classify(text, made) for text in batch["text"]]
-            yield batch.assign(
-                lang_pred=[lang for lang, _ in found],
-                score=[score for _, score in found],
-                accepted=[lang != UNDETERMINED and score >= min_margin for lang, score in found],
-            )
-
-    return docs.select(*(f.name for f in kept)).mapInPandas(predict, schema)
+            # the other columns go back as they came
+            for start in range(0, batch.num_rows, SLICE):
+                part = batch.slice(start, SLICE)
+                found = [classify(text, made) for text in part.column("text").to_pylist()]
+                results = [
+                    pa.array([lang for lang, _ in found], pa.string()),
+                    pa.array([score for _, score in found], pa.float64()),
+                    pa.array([lang != UNDETERMINED and score >= min_margin for lang, score in found], pa.bool_()),
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns, *results], names=names)
+
+    return docs.select(*(f.name for f in kept)).mapInArrow(predict, schema)
 
 
 def held_out():
