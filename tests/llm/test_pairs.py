@@ -166,6 +166,24 @@ def test_components_of_stars_take_no_round(spark, monkeypatch):
     assert {tuple(r) for r in more.select("node", "component").collect()} == {(i, 0) for i in [*range(40), 50]}
 
 
+def test_line_dedup_gives_lines_back_before_bands(frame, monkeypatch):
+    """Between the shuffle of all lines and that of the bands, dropped frames are handed over and released."""
+    steps = []
+
+    class Reached(Exception):
+        pass
+
+    def bands(classes):
+        steps.append("bands")
+        raise Reached
+
+    monkeypatch.setattr(line_dedup, "release", lambda spark, wait: steps.append(wait))
+    monkeypatch.setattr(line_dedup, "_bands", bands)
+    with pytest.raises(Reached):
+        line_dedup.similar_lines(frame([(1, "a line of some words\nanother line")]))
+    assert steps == [line_dedup.HANDED_OVER, "bands"]
+
+
 @pytest.mark.parametrize("seed", [3, 4])
 def test_line_dedup(frame, seed):
     rows = corpus(seed, 40)

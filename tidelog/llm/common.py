@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import gc
+import time
 from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,9 +103,17 @@ def joined(rows: DataFrame, side: DataFrame, on, how: str = "inner", measured: b
     return rows.join(F.broadcast(side) if measured and fits_broadcast(side) else side, on, how)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver notice unused shuffles and checkpoints, so that their files go."""
+#: Seconds until what Python has dropped is dropped on the JVM too: it is handed over once a second.
+HANDED_OVER = 1.5
+
+
+def release(spark: SparkSession, wait: float = 0) -> None:
+    """Let the driver notice unused shuffles and checkpoints, so that their files go.
+
+    Those of the last table go only with a `wait` of `HANDED_OVER`, for large ones.
+    """
     gc.collect()
+    time.sleep(wait)
     spark.sparkContext._jvm.System.gc()
 
 

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import discard, joined, registered, table, written
+from tidelog.llm.common import HANDED_OVER, discard, joined, registered, release, table, written
 from tidelog.llm.components import components, with_component
 
 SHINGLE = 8
@@ -341,6 +341,8 @@ def _open_pairs(left: DataFrame) -> DataFrame:
 def similar_lines(docs: DataFrame) -> DataFrame:
     """(k, component) of the classes that are linked with another class; both are digests."""
     classes = written(_classes(docs), "classes")
+    # the shuffle of all lines must not stay beside that of the bands
+    release(docs.sparkSession, HANDED_OVER)
     bands = written(_bands(classes.select("bands", "c")), "members")
     # what the classes that meet any other need from here on
     used = bands.selectExpr("explode(array(c, leader)) AS c").distinct()
