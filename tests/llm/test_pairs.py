@@ -109,6 +109,72 @@ def test_trees_of_the_same_members_count_once(spark):
     assert sorted({r["s"] for r in found}) == [1, 3, 4, 5] and len(found) == 11
 
 
+def test_ngram_join_few_and_many(frame, monkeypatch):
+    """Trees of few documents take no rounds with leaders; passages and groups of many lose no link."""
+    rng = random.Random(7)
+    text = lambda words: [rng.choice(WORDS) for _ in range(words)]
+    passage, group, rows = text(30), text(90), []
+    for i in range(ngram_join.FEW + 20):
+        rows.append((len(rows), " ".join(passage + text(60))))
+        rows.append((len(rows), " ".join(f"w{i}" if j == 3 * i % 90 else word for j, word in enumerate(group))))
+    for _ in range(15):
+        pair = text(50)
+        rows += [(len(rows), " ".join(pair)), (len(rows) + 1, " ".join(pair[3:]))]
+    rounds, members = ngram_join._rounds, []
+    monkeypatch.setattr(ngram_join, "_rounds", lambda *args: (members.append(args[0].select("doc_id").distinct().count()), rounds(*args))[1])
+    for part in (rows, rows[-30:]):
+        found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.linked_documents(frame(part)).collect()}
+        assert found == brute.linked(part)
+    assert members[0] > 0 and members[1] == 0
+
+
+def test_frequent_shingles_come_last(frame, spark):
+    """Those that more than `FEW` documents have early, however many documents there are; the rarer first."""
+    often, seldom = ([f"{w}{i}" for i in range(40)] for w in "ab")
+    rows = [(i, " ".join([f"x{i}", *often])) for i in range(3 * ngram_join.FEW)] + [(1000 + i, " ".join([f"y{i}", *seldom])) for i in range(ngram_join.FEW)]
+    found, times = ngram_join.frequent_shingles(frame(rows).selectExpr("doc_id", "text"))
+    a, b = (set(ngram_join.shingles(" ".join(x)).tolist()) for x in (often, seldom))
+    assert len(found) and list(found) == sorted(found) and set(found.tolist()) <= a and set(times) <= set(range(ngram_join.FEW + 1, 3 * ngram_join.FEW + 1))
+    frequent, counts = np.array([3, 5, 9], np.uint64), np.array([40, 90, 35], np.uint32)
+    ordered = ngram_join._ordered(np.arange(2, 11, dtype=np.uint64), frequent, counts)
+    assert ordered.tolist() == [2, 4, 6, 7, 8, 10, 9, 3, 5]
+    assert len(ngram_join.frequent_shingles(frame([(1, None)]).selectExpr("doc_id", "text"))[0]) == 0
+
+
+@pytest.mark.parametrize("step", [1, 7, 33, 500])
+def test_trees_are_dealt(step):
+    """Pairs of small trees and members of large ones, wherever batches end."""
+    sizes = [1, 2, ngram_join.FEW, ngram_join.FEW + 1, 3, 100, 2, 1]
+    s = np.repeat(np.arange(len(sizes)), sizes)
+    columns = [pa.array(x) for x in (s, np.arange(len(s)), np.full(len(s), 50), np.zeros(len(s), np.int64))]
+    table = pa.RecordBatch.from_arrays(columns, names=["s", "doc_id", "n", "at"])
+    batches = [table.slice(0, 0), *(table.slice(i, step) for i in range(0, len(s), step)), table.slice(0, 0)]
+    rows = [tuple(r.values()) for b in ngram_join._dealt(iter(batches)) for r in b.to_pylist()]
+    few, many = ([i for i, size in enumerate(sizes) if (size > ngram_join.FEW) == large] for large in (False, True))
+    assert sorted(r[:2] for r in rows if r[3] is None) == [(t, d) for d, t in enumerate(s) if t in many]
+    pairs = [(t, b, a) for t in few for a in np.flatnonzero(s == t) for b in np.flatnonzero(s == t) if a < b]
+    assert sorted((t, u, v) for t, u, _, v in rows if v is not None) == sorted(pairs)
+    assert list(ngram_join._dealt(iter([table.slice(0, 0)]))) == []
+
+
+def test_late_shingles_make_no_pairs():
+    """A pair is left out only where its sets, sharing no earlier shingle, can't be linked."""
+    rng = np.random.default_rng(6)
+    kept = 0
+    for _ in range(300):
+        a, b = (np.unique(rng.integers(0, 40, rng.integers(15, 120)).astype(np.uint64)) for _ in range(2))
+        prefixes = [x[: ngram_join._prefix_size(len(x))].tobytes() for x in (a, b)]
+        batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([len(a), len(b)]), pa.array(prefixes)], names=["doc_id", "n", "prefix"])
+        entries = pa.Table.from_batches(ngram_join._entries([batch])).sort_by([("s", "ascending"), ("n", "ascending")]).to_batches()
+        pairs = sum(len(x) for x in ngram_join._dealt(ngram_join._parted(iter(entries))))
+        linked = ngram_join._linked(a.tobytes(), b.tobytes())
+        kept += linked
+        assert pairs or not linked
+    assert 0 < kept < 300
+    far = [pa.array(x) for x in ([1, 1], [1, 2], [50, 50], [6, 0])]
+    assert list(map(len, ngram_join._dealt(iter([pa.RecordBatch.from_arrays(far, names=["s", "doc_id", "n", "at"])])))) in ([], [0])
+
+
 def test_middle_points_bound_the_overlap():
     """Large sets that have nothing in common are told apart, and no link is lost."""
     rng = np.random.default_rng(4)

@@ -8,25 +8,30 @@ documents is at most the sum of the smaller counts. Two documents link when
 1. Documents with equal sets become one class, with its smallest id.
 2. Space is cut exactly: linked sets share a shingle among the first
    n - ceil(0.8 n) + 1 of each, in one fixed order of all shingles. So there is one
-   tree for every such shingle that several classes hold. Shingles found in many
-   documents come last in the order, so that common passages and lines make no
-   trees; the list of these is bounded by the average text over `HOT_SHARE`,
-   whatever the number of documents, and has no part in what is linked. A tree falls
-   into parts where sizes leave a gap that no link spans, and of trees with the same
-   members, as copied passages make them, one is enough.
-3. Points of a tree are packed by size into pages. In rounds, every document is
-   compared with one leader only: a member of the largest component in one of its
-   trees, of about its size; round by round other trees, leaders and limits of sizes
-   are drawn. Links, verified on the whole sets, make components, and a tree all of
-   whose points are in one component is done. Copies by the thousand, near ones too,
-   thus take a number of comparisons in proportion to their number. Rounds end once
-   they find few links; that decides how much is left for the next step, not what
+   tree for every such shingle that several classes hold. Shingles that more than `FEW`
+   documents have early in their order come last, the rarer of them first, so that
+   common passages and lines make no trees, and the others stay small however many
+   documents there are. At most `MOST_LAST` shingles, the most frequent, are put last;
+   this has no part in what is linked. A tree falls into parts where sizes leave a gap
+   that no link spans.
+3. A tree of at most `FEW` documents gives its pairs, unless a shingle stands too late
+   in one of both to be the first that they share. Points of a larger tree are packed by
+   size into pages; of trees with the same members, as copied passages make them, one
+   is enough.
+4. In rounds, every document is compared with one partner of its pairs, and in the
+   larger trees with one leader only: a member of the largest component in one of its
+   trees, of about its size; round by round other partners, trees, leaders and limits of
+   sizes are drawn. Links, verified on the whole sets, make components, and pairs or a
+   tree all of whose points are in one component are done. Copies by the thousand, near
+   ones too, thus take a number of comparisons in proportion to their number. Rounds end
+   once they find few links; that decides how much is left for the next step, not what
    is linked.
-4. In the remaining trees pages are joined with pages, and within them boxes of
-   sixteen points with boxes, while sizes fit and the sum of the smaller maxima
-   reaches the overlap that a link needs; then points with points of another
-   component, with 2,048 groups where documents are large, at last with 65,536. What
-   survives is verified, so no link that could change a component is lost.
+5. The remaining pairs are compared by their points. In the remaining trees pages are
+   joined with pages, and within them boxes of sixteen points with boxes, while sizes fit
+   and the sum of the smaller maxima reaches the overlap that a link needs; then points
+   with points of another component, with 2,048 groups where documents are large, at last
+   with 65,536. What survives is verified, so no link that could change a component is
+   lost.
 
 A tree's points are streamed in order or handled as pairs of bounded pages, never
 gathered whole in one task. Sets are compared by all 64 bits of their hashes, class
@@ -49,6 +54,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import discard, joined, registered, table, written
 from tidelog.llm.components import components, with_component
+from tidelog.session import fits_broadcast
 
 WORDS = 5
 MIN_PERCENT = 80
@@ -57,8 +63,14 @@ GROUPS = 256
 MIDDLE_GROUPS, LARGE = 2048, 1024
 PAGE = 512
 BOX = 16
-#: Shingles in more than this share of the documents come last in the order.
-HOT_SHARE = 0.0005
+#: Documents of a tree that are paired at once; shingles that more have early in their order come last.
+FEW = 32
+#: Shingles that come last, at most.
+MOST_LAST = 1 << 19
+#: Parts of all shingles that are counted one at a time.
+BUCKETS = 4096
+#: Shingles sent together.
+SENT = 1 << 20
 #: Points compared in one step.
 STEP = 1 << 15
 
@@ -103,35 +115,88 @@ def _sized(batches, column):
         yield batch, batch.column(column).to_pylist()
 
 
-def hot_shingles(docs: DataFrame, share: float = HOT_SHARE) -> np.ndarray:
-    """Sorted shingles found in more than about `share` of the documents.
-
-    Every batch of documents reports what is that frequent in it; sums decide.
+def _prefix_size(n: int) -> int:
+    """Shingles of a set of `n` that no set it is linked with can miss all of."""
+    return n - -(-MIN_PERCENT * n // 100) + 1 if n else 0
+
+
+def _early(batches):
+    """(bucket, shingles, how often) of those that documents have early in the order of hashes."""
+
+    def sent(pieces):
+        found, times = np.unique(np.concatenate(pieces), return_counts=True)
+        bucket = (found & np.uint64(BUCKETS - 1)).astype(np.uint16)
+        order = np.argsort(bucket, kind="stable")
+        bucket = bucket[order]
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        ends = np.append(starts, len(bucket)).astype(np.int32)
+        columns = [
+            pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends * x.itemsize), pa.py_buffer(x)])
+            for x in (found[order], times[order].astype(np.uint32))
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), *columns], names=["bucket", "found", "times"])
+
+    pieces, held = [], 0
+    for _, texts in _sized(batches, "text"):
+        for text in texts:
+            found = shingles(text)
+            size = _prefix_size(len(found))
+            # what comes last gives way to half as many more
+            pieces.append(found[: size + size // 2])
+            held += len(pieces[-1])
+            if held >= SENT:
+                yield sent(pieces)
+                pieces, held = [], 0
+    if held:
+        yield sent(pieces)
+
+
+def _frequent(batches):
+    """(s, n) of the shingles counted more than `FEW` times, from rows sorted by bucket."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+    for _, parts in itertools.groupby(rows, key=lambda row: row[0]):
+        _, found, times = zip(*parts)
+        found, times = np.frombuffer(b"".join(found), np.uint64), np.frombuffer(b"".join(times), np.uint32)
+        order = np.argsort(found)
+        found = found[order]
+        starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+        sums = np.add.reduceat(times[order].astype(np.int64), starts)
+        keep = sums > FEW
+        yield pa.RecordBatch.from_arrays([pa.array(found[starts][keep].view(np.int64)), pa.array(sums[keep])], names=["s", "n"])
+
+
+def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles that come last, sorted, and in how many documents they are early.
+
+    Every part of the documents sends its early shingles bucket by bucket, so that rows
+    are few, and a bucket is counted as a whole.
     """
-
-    def frequent(batches):
-        for batch, texts in _sized(batches, "text"):
-            sets = [shingles(text) for text in texts]
-            found, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_counts=True)
-            keep = counts >= max(3, int(share * len(texts)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.append(found[keep], 0).astype(np.uint64).view(np.int64)),
-                    pa.array(np.append(counts[keep], 0).astype(np.int64)),
-                    pa.array(np.append(np.zeros(keep.sum(), np.int64), len(texts))),
-                ],
-                names=["s", "n", "docs"],
-            )
-
     counted = written(
-        docs.select("text").mapInArrow(frequent, "s long, n long, docs long").groupBy("s").agg(
-            F.sum("n").alias("n"), F.sum("docs").alias("docs")
-        ),
+        docs.select("text")
+        .mapInArrow(_early, "bucket int, found binary, times binary")
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_frequent, "s long, n long"),
         "frequent",
     )
-    total = counted.agg(F.sum("docs")).first()[0] or 0
-    rows = counted.where(F.col("n") > max(3, share * total)).select("s").toPandas()
-    return np.sort(rows["s"].to_numpy(np.int64).view(np.uint64))
+    sizes = counted.groupBy("n").count().orderBy(F.desc("n")).toPandas().astype(np.int64)
+    fit = sizes["n"][sizes["count"].cumsum() <= MOST_LAST]
+    rows = counted.where(F.col("n") >= int(fit.min()) if len(fit) else F.lit(False)).toPandas()
+    discard(counted)
+    found, times = rows["s"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
+    order = np.argsort(found)
+    return found[order], times[order].astype(np.uint32)
+
+
+def _ordered(found: np.ndarray, frequent: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The shingles of a set in the fixed order of all shingles."""
+    if not len(frequent):
+        return found
+    at = np.minimum(np.searchsorted(frequent, found), len(frequent) - 1)
+    last = frequent[at] == found
+    if not last.any():
+        return found
+    return np.concatenate([found[~last], found[last][np.argsort(times[at[last]], kind="stable")]])
 
 
 FEATURES = "doc_id long, n long, k1 long, k2 long, point binary, prefix binary"
@@ -154,12 +219,11 @@ def _points(values: list[bytes], groups: int = GROUPS) -> np.ndarray:
     return np.stack([np.frombuffer(v, kinds[len(v)]).astype(np.uint32) for v in values])
 
 
-def features(docs: DataFrame, hot: np.ndarray) -> DataFrame:
+def features(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """Size, class key, point and tree shingles of every document."""
-    hot = docs.sparkSession.sparkContext.broadcast(hot)
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def described(batches):
-        common = hot.value
         for batch, texts in _sized(batches, "text"):
             rows = []
             for text in texts:
@@ -167,12 +231,8 @@ def features(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                 n = len(found)
                 k1 = int(_mixed(found + np.uint64(1)).sum(dtype=np.uint64))
                 k2 = int(np.bitwise_xor.reduce(_mixed(found ^ MULTIPLIERS[1]), initial=np.uint64(0)))
-                last = np.zeros(n, bool)
-                if len(common):
-                    last = common[np.minimum(np.searchsorted(common, found), len(common) - 1)] == found
-                order = np.concatenate([found[~last], found[last]])
-                size = n - -(-MIN_PERCENT * n // 100) + 1 if n else 0
-                rows.append((n, k1, k2, _point(found), order[:size].tobytes()))
+                prefix = _ordered(found, *frequent.value)[: _prefix_size(n)]
+                rows.append((n, k1, k2, _point(found), prefix.tobytes()))
             n, k1, k2, points, prefix = map(list, zip(*rows)) if rows else ([], [], [], [], [])
             yield pa.RecordBatch.from_arrays(
                 [
@@ -190,7 +250,7 @@ def features(docs: DataFrame, hot: np.ndarray) -> DataFrame:
 
 
 def _entries(batches):
-    """(s, doc_id, n) for every tree shingle of every class."""
+    """(s, doc_id, n, at) for every tree shingle of every class; `at` is its place in the order."""
     for batch in batches:
         prefixes = batch.column("prefix").to_pylist()
         sizes = np.array([len(p) // 8 for p in prefixes], np.int64)
@@ -199,8 +259,9 @@ def _entries(batches):
                 pa.array(np.frombuffer(b"".join(prefixes), np.int64)),
                 pa.array(np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), sizes)),
                 pa.array(np.repeat(batch.column("n").to_numpy(), sizes)),
+                pa.array(np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)),
             ],
-            names=["s", "doc_id", "n"],
+            names=["s", "doc_id", "n", "at"],
         )
 
 
@@ -215,7 +276,7 @@ def _parted(batches):
     """
     last = None
     for batch in batches:
-        s, doc, n = (batch.column(c).to_numpy() for c in ("s", "doc_id", "n"))
+        s, n = (batch.column(c).to_numpy() for c in ("s", "n"))
         if not len(s):
             continue
         before = last or (s[0], n[0], 0)
@@ -225,9 +286,61 @@ def _parted(batches):
         # counted from the start of each tree; the first one here may have begun before
         parts -= np.maximum.accumulate(np.where(same, -before[2], parts))
         last = s[-1], n[-1], int(parts[-1])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(s ^ parts * PART), pa.array(doc), pa.array(n)], names=["s", "doc_id", "n"]
-        )
+        yield batch.set_column(batch.schema.get_field_index("s"), "s", pa.array(s ^ parts * PART))
+
+
+def _pairs_within(starts, sizes):
+    """Index pairs (a > b) of rows of the same group, a bounded number of groups at a time."""
+    begin = 0
+    costs = np.cumsum(sizes * (sizes - 1) // 2)
+    while begin < len(starts):
+        done = costs[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(costs, done + STEP, side="right")))
+        rows = np.concatenate([np.arange(s, s + m) for s, m in zip(starts[begin:end], sizes[begin:end])])
+        back = np.concatenate([np.arange(m) for m in sizes[begin:end]])
+        a = np.repeat(rows, back)
+        first = np.repeat(np.cumsum(back) - back, back)
+        yield a, np.repeat(rows - back, back) + np.arange(len(a)) - first
+        begin = end
+
+
+DEALT = "s long, doc_id long, n long, partner long"
+
+
+def _dealt(batches):
+    """Pairs of trees of at most `FEW`, and members of larger ones, from entries sorted by (s, n, doc_id).
+
+    Members have no partner. A pair is left out where the shingle has no room before and
+    behind it for the overlap needed, as it is not the first that linked sets share. The
+    last tree is held back until it has ended or has more than `FEW` members.
+    """
+    rest, large = [np.empty(0, np.int64)] * 4, None
+    for batch in itertools.chain(batches, [None]):
+        rows = rest
+        if batch is not None:
+            rows = [np.append(x, batch.column(c).to_numpy()) for x, c in zip(rest, ("s", "doc_id", "n", "at"))]
+        s, doc, n, at = rows
+        if not len(s):
+            continue
+        starts = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
+        sizes = np.diff(np.append(starts, len(s)))
+        many = sizes > FEW
+        many[0] |= s[0] == large
+        large, end = s[-1] if many[-1] else None, len(s)
+        if batch is not None and not many[-1]:
+            starts, sizes, many, end = starts[:-1], sizes[:-1], many[:-1], starts[-1]
+        rest = [x[end:] for x in rows]
+        keep = np.flatnonzero(np.repeat(many, sizes))
+        if len(keep):
+            columns = [pa.array(x[keep]) for x in (s, doc, n)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(keep), pa.int64())], names=["s", "doc_id", "n", "partner"])
+        few = ~many & (sizes > 1)
+        for a, b in _pairs_within(starts[few], sizes[few]):
+            room = needed_overlap(n[a], n[b])
+            fits = (at[a] <= n[a] - room) & (at[b] <= n[b] - room) & (doc[a] != doc[b])
+            a, b = a[fits], b[fits]
+            columns = [s[a], np.maximum(doc[a], doc[b]), n[a], np.minimum(doc[a], doc[b])]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["s", "doc_id", "n", "partner"])
 
 
 MEMBERS = "s long, doc_id long, n long, page long"
@@ -305,21 +418,6 @@ def _joined_boxes(n, points, left, right):
 SMALL_TREE = 64
 
 
-def _pairs_within(starts, sizes):
-    """Index pairs (a > b) of rows of the same group, a bounded number of groups at a time."""
-    begin = 0
-    costs = np.cumsum(sizes * (sizes - 1) // 2)
-    while begin < len(starts):
-        done = costs[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(costs, done + STEP, side="right")))
-        rows = np.concatenate([np.arange(s, s + m) for s, m in zip(starts[begin:end], sizes[begin:end])])
-        back = np.concatenate([np.arange(m) for m in sizes[begin:end]])
-        a = np.repeat(rows, back)
-        first = np.repeat(np.cumsum(back) - back, back)
-        yield a, np.repeat(rows - back, back) + np.arange(len(a)) - first
-        begin = end
-
-
 def _bounded_pairs(pairs, doc, n, component, points):
     """(u, v) of the index pairs whose bounds leave room for a link between two components."""
     for a, b in pairs:
@@ -506,27 +604,45 @@ def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
 LAST_ROUND = 0.1
 
 
-def _rounds(members: DataFrame, own: DataFrame, docs: DataFrame):
-    """Components of the links with leaders, and the members of the trees still open."""
-    left, found, best = members.withColumn("component", F.col("doc_id")), None, 0
+def _partners(pairs: DataFrame, turn: int) -> DataFrame:
+    """One pair (u, v) for every u: the smallest v at first, then one drawn."""
+    drawn = f"xxhash64(v, {turn})" if turn else "v"
+    return pairs.groupBy("u").agg(F.expr(f"min(struct({drawn} AS drawn, v)).v").alias("v"))
+
+
+def _open_pairs(pairs: DataFrame, tried: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs of different components that were not tried."""
+    left = pairs.join(tried, ["u", "v"], "left_anti")
+    return with_component(with_component(left, found, "u", "p"), found, "v", "q").where("p <> q").select("u", "v")
+
+
+def _near(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """The pairs (u, v) whose points leave room for a link."""
+    return (
+        pairs.join(own.selectExpr("doc_id AS u", "n AS nu", "point AS pu"), "u")
+        .join(own.selectExpr("doc_id AS v", "n AS nv", "point AS pv"), "v")
+        .select("u", "v", "nu", "nv", "pu", "pv")
+        .mapInArrow(_bounded, "u long, v long")
+    )
+
+
+def _rounds(members: DataFrame, pairs: DataFrame, own: DataFrame, docs: DataFrame):
+    """Components of the links with leaders and partners, and the members and pairs still open."""
+    left, open_pairs, found, best = members.withColumn("component", F.col("doc_id")), pairs, None, 0
     for turn in itertools.count():
-        stars = (
-            _leaders(left, turn)
-            .selectExpr("greatest(doc_id, leader) AS u", "least(doc_id, leader) AS v")
-            .join(own.selectExpr("doc_id AS u", "n AS nu", "point AS pu"), "u")
-            .join(own.selectExpr("doc_id AS v", "n AS nv", "point AS pv"), "v")
-            .select("u", "v", "nu", "nv", "pu", "pv")
-            .mapInArrow(_bounded, "u long, v long")
-        )
-        new = _verified(stars, docs, finer=False)
+        leaders = _leaders(left, turn).selectExpr("greatest(doc_id, leader) AS u", "least(doc_id, leader) AS v")
+        tried = written(leaders.unionByName(_partners(open_pairs, turn)).distinct(), "tried")
+        new = _verified(_near(tried, own), docs, finer=False)
         count = new.count()
         if count or found is None:
             found = components(new, found)
             last, left = left, written(_open_members(left, found), "open-members")
             discard(members if turn == 0 else last)
+        last, open_pairs = open_pairs, written(_open_pairs(open_pairs, tried, found), "open-pairs")
+        discard(last, tried)
         best = max(best, count)
         if count <= LAST_ROUND * best:
-            return found, left
+            return found, left, open_pairs
 
 
 def _rest(members: DataFrame, points: DataFrame) -> DataFrame:
@@ -553,24 +669,41 @@ def _rest(members: DataFrame, points: DataFrame) -> DataFrame:
 def linked_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     docs = docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text")
-    described = written(features(docs, hot_shingles(docs)), "features")
+    described = written(features(docs, frequent_shingles(docs)), "features")
     classes = described.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     reps = classes.where("rep IS NOT NULL").selectExpr("rep AS doc_id")
     own = written(described.where("n > 0").join(reps, "doc_id", "left_semi"), "classes")
-    points = own.select("doc_id", "point")
-    members = written(
+    trees = written(
         own.select("doc_id", "n", "prefix")
-        .mapInArrow(_entries, "s long, doc_id long, n long")
+        .mapInArrow(_entries, "s long, doc_id long, n long, at long")
+        .repartition("s")
+        .sortWithinPartitions("s", "n", "doc_id")
+        .mapInArrow(lambda batches: _dealt(_parted(batches)), DEALT),
+        "trees",
+    )
+    pairs = written(trees.where("partner IS NOT NULL").selectExpr("doc_id AS u", "partner AS v").distinct(), "pairs-of-trees")
+    every = written(
+        trees.where("partner IS NULL")
+        .select("s", "doc_id", "n")
         .repartition("s")
         .sortWithinPartitions("s", "n", "doc_id")
-        .mapInArrow(lambda batches: _trees(_parted(batches)), MEMBERS),
+        .mapInArrow(_trees, MEMBERS),
         "every-tree",
     )
-    every, members = members, written(_different(members), "members")
-    discard(every)
-    found, left = _rounds(members, own.select("doc_id", "n", "point"), docs)
-    more = _verified(_rest(left, points), docs, finer=True)
+    members = written(_different(every), "members")
+    discard(trees, every)
+    # documents that are in no pair and no larger tree need no further look
+    needed = written(pairs.selectExpr("explode(array(u, v)) AS doc_id").unionByName(members.select("doc_id")).distinct(), "needed")
+    points = written(own.select("doc_id", "n", "point").join(needed, "doc_id", "left_semi"), "points")
     discard(own)
+    texts = docs
+    if fits_broadcast(needed):
+        texts = written(docs.join(F.broadcast(needed), "doc_id", "left_semi"), "texts")
+    found, left, pairs = _rounds(members, pairs, points, texts)
+    more = _verified(_rest(left, points.select("doc_id", "point")).unionByName(_near(pairs, points)).distinct(), texts, finer=True)
+    discard(left, pairs, points, needed)
+    if texts is not docs:
+        discard(texts)
     if not more.isEmpty():
         found = components(more, found)
     named = (
